@@ -148,8 +148,10 @@ def in_set_ci(c: Column, values: Iterable[str]) -> Column:
 
 
 def rate(num: Column, den: Column, scale: int = 6) -> Column:
-    """num / den as decimal(18, scale); null when den is 0."""
-    return (num.cast(T.DecimalType(38, 12)) / F.nullif(den, F.lit(0)).cast(T.DecimalType(38, 12))).cast(T.DecimalType(18, scale))
+    """count / count as decimal(18, scale); null when den is 0. Inputs are whole counts;
+    decimal(20,0) operands keep 18 exact fraction digits in the quotient."""
+    q = num.cast(T.DecimalType(20, 0)) / F.nullif(den, F.lit(0)).cast(T.DecimalType(20, 0))
+    return q.cast(T.DecimalType(18, scale))
 
 
 def as_decimal(c: Column, precision: int = 18, scale: int = 6) -> Column:

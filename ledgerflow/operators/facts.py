@@ -75,29 +75,40 @@ def load_fact(staged: DataFrame, dim_customer: DataFrame, dim_merchant: DataFram
     )
 
 
+def unknown_safe_key(key: str, *spread: str, buckets: int = 1024) -> Column:
+    """Join key that sends unknown-member rows (-1) to no dimension row and spreads them
+    over ``buckets`` negative keys, so a large -1 share never lands in one join task.
+    Dimension keys are non-negative, so the negative keys never match."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(buckets))
+    return F.when(F.col(key) == C.UNKNOWN_KEY, F.lit(-2) - salt).otherwise(F.col(key))
+
+
 def star_rollup(fact: DataFrame, dim_customer: DataFrame, dim_merchant: DataFrame) -> DataFrame:
     """USD amount and count by merchant category group x region x current customer tier x month.
 
     Plan shape chosen for scale: the fact is first aggregated to (customer_key,
     merchant_key, month) with map-side partial aggregation, so the joins see one row per
-    combination instead of one per transaction. Unknown-member rows (key -1, possibly a
-    large share of all rows) are split off before each join and given the unknown
-    attributes directly, so the -1 key never lands in one join task.
+    combination instead of one per transaction. Rows on the unknown member (-1) get a
+    spread, never-matching join key (:func:`unknown_safe_key`) and the unknown
+    attributes directly, so the -1 key is no hot partition.
     """
     pre = (fact.groupBy("customer_key", "merchant_key", month_key(F.col("transaction_timestamp")).alias("month_key"))
            .agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount_usd").alias("amount_usd")))
     merch = dim_merchant.where(F.col("merchant_key") != C.UNKNOWN_KEY).select(
-        "merchant_key", "category_group", "merchant_region")
-    known_m = pre.where(F.col("merchant_key") != C.UNKNOWN_KEY).join(merch, "merchant_key", "left")
-    unknown_m = (pre.where(F.col("merchant_key") == C.UNKNOWN_KEY)
-                 .withColumn("category_group", F.lit(C.UNKNOWN_NAME)).withColumn("merchant_region", F.lit(C.UNKNOWN_NAME)))
-    with_m = known_m.unionByName(unknown_m)
+        F.col("merchant_key").alias("_mk"), "category_group", "merchant_region")
     cust = dim_customer.where(F.col("is_current") & (F.col("customer_key") != C.UNKNOWN_KEY)).select(
-        "customer_key", "customer_tier")
-    known_c = with_m.where(F.col("customer_key") != C.UNKNOWN_KEY).join(cust, "customer_key", "left")
-    unknown_c = with_m.where(F.col("customer_key") == C.UNKNOWN_KEY).withColumn("customer_tier", F.lit(C.UNKNOWN_NAME))
-    both = known_c.unionByName(unknown_c)
-    return (both.groupBy("category_group", "merchant_region", "customer_tier", "month_key")
+        F.col("customer_key").alias("_ck"), "customer_tier")
+    j = (pre.withColumn("_mj", unknown_safe_key("merchant_key", "customer_key", "month_key"))
+         .withColumn("_cj", unknown_safe_key("customer_key", "merchant_key", "month_key"))
+         .join(merch, F.col("_mj") == F.col("_mk"), "left")
+         .join(cust, F.col("_cj") == F.col("_ck"), "left"))
+    unknown = F.lit(C.UNKNOWN_NAME)
+    m_unknown = F.col("merchant_key") == C.UNKNOWN_KEY
+    return (j.groupBy(F.when(m_unknown, unknown).otherwise(F.col("category_group")).alias("category_group"),
+                      F.when(m_unknown, unknown).otherwise(F.col("merchant_region")).alias("merchant_region"),
+                      F.when(F.col("customer_key") == C.UNKNOWN_KEY, unknown)
+                      .otherwise(F.col("customer_tier")).alias("customer_tier"),
+                      "month_key")
             .agg(F.sum("txn_count").cast(T.LongType()).alias("txn_count"),
                  F.sum("amount_usd").cast(T.DecimalType(38, 2)).alias("amount_usd")))
 

@@ -69,30 +69,37 @@ def classify_changes(history: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def scd2_merge(history: DataFrame, incoming: DataFrame, as_of: dt.date) -> DataFrame:
-    changes = classify_changes(history, incoming)
-    updated_ids = changes.where(F.col("change_type") == "UPDATE").select(
-        "customer_id", F.lit(True).alias("_expire"))
+    """One pass: a full outer join of the whole history with the deduplicated feed, on the
+    customer and only against the current row. Each joined row then yields the old row
+    (closed when its hash changed) and, for new or changed customers, the new version,
+    through one ``explode``. History rows of other versions pass through unmatched.
+    """
+    src = latest_customers(incoming).select(
+        F.col("customer_id").alias("_s_id"), *[F.col(a).alias(f"_s_{a}") for a in CUSTOMER_ATTRIBUTES],
+        attribute_hash().alias("_s_hash"))
+    j = history.join(src, (history.customer_id == src._s_id) & history.is_current, "full_outer")
     now = ts_lit(dt.datetime.combine(as_of, dt.time()))
-    expired = (history.join(updated_ids, "customer_id", "left")
-               .withColumn("_expire", F.coalesce(F.col("_expire"), F.lit(False)) & F.col("is_current")))
-    kept = expired.select(
-        "customer_key", "customer_id", *CUSTOMER_ATTRIBUTES,
-        "effective_date",
-        F.when(F.col("_expire"), F.date_sub(date_lit(as_of), 1)).otherwise(F.col("expiry_date")).alias("expiry_date"),
-        F.when(F.col("_expire"), F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
-        "_hash_key",
-        F.when(F.col("_expire"), now).otherwise(F.col("_updated_at")).alias("_updated_at"),
+    has_old = F.col("customer_key").isNotNull()
+    has_new = F.col("_s_id").isNotNull()
+    # INSERT: no current row; UPDATE: stored hash differs (a null stored hash is NO_CHANGE)
+    insert = has_new & ~has_old
+    update = has_new & has_old & F.coalesce(F.col("_hash_key") != F.col("_s_hash"), F.lit(False))
+    old = F.struct(
+        F.col("customer_key"), F.col("customer_id"), *[F.col(a) for a in CUSTOMER_ATTRIBUTES],
+        F.col("effective_date"),
+        F.when(update, F.date_sub(date_lit(as_of), 1)).otherwise(F.col("expiry_date")).alias("expiry_date"),
+        F.when(update, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+        F.col("_hash_key"),
+        F.when(update, now).otherwise(F.col("_updated_at")).alias("_updated_at"),
     )
-    inserts = changes.where(F.col("change_type").isin("INSERT", "UPDATE")).select(
-        hash_key(F.col("customer_id"), date_lit(as_of)).alias("customer_key"),
-        "customer_id", *CUSTOMER_ATTRIBUTES,
-        date_lit(as_of).alias("effective_date"),
-        date_lit(C.OPEN_END_DATE).alias("expiry_date"),
-        F.lit(True).alias("is_current"),
-        F.col("new_hash").alias("_hash_key"),
-        now.alias("_updated_at"),
+    new = F.struct(
+        hash_key(F.col("_s_id"), date_lit(as_of)).alias("customer_key"), F.col("_s_id").alias("customer_id"),
+        *[F.col(f"_s_{a}").alias(a) for a in CUSTOMER_ATTRIBUTES],
+        date_lit(as_of).alias("effective_date"), date_lit(C.OPEN_END_DATE).alias("expiry_date"),
+        F.lit(True).alias("is_current"), F.col("_s_hash").alias("_hash_key"), now.alias("_updated_at"),
     )
-    return kept.select(*HISTORY_COLUMNS).unionByName(inserts.select(*HISTORY_COLUMNS))
+    out = F.filter(F.array(F.when(has_old, old), F.when(insert | update, new)), lambda x: x.isNotNull())
+    return j.select(F.explode(out).alias("r")).select("r.*")
 
 
 def as_of_lookup(facts: DataFrame, history: DataFrame, ts_col: str = "transaction_timestamp") -> DataFrame:
@@ -122,35 +129,40 @@ def empty_dim_customer(spark) -> DataFrame:
 
 
 def load_dim_customer(dim: DataFrame, history: DataFrame, as_of: dt.date) -> DataFrame:
-    """Bring the mart dimension up to the staging history.
-
-    A current dimension row is closed when staging holds a different current version of
-    the customer (the same attribute list decides both, compared through the version, so
-    a phone- or address-only change can never leave two current rows). Staged current
-    versions not yet current in the dimension are inserted (anti-join on id + version).
-    The unknown member passes through.
+    """Bring the mart dimension up to the staging history, in one full outer join.
+
+    The current staged version of each customer is matched with the current dimension
+    row. A different version closes the dimension row and inserts the staged one; a
+    customer without a current dimension row is inserted; the same version changes
+    nothing. Comparing versions (the staged history already applied one attribute list)
+    means a phone- or address-only change can never leave two current rows. The unknown
+    member and closed rows pass through unmatched.
     """
-    stg_cur = history.where("is_current")
+    stg = history.where("is_current").select(*[F.col(c).alias(f"_s_{c}") for c in HISTORY_COLUMNS])
+    j = dim.join(stg, (dim.customer_id == stg._s_customer_id) & dim.is_current
+                 & (dim.customer_key != C.UNKNOWN_KEY), "full_outer")
     now = ts_lit(dt.datetime.combine(as_of, dt.time()))
-    newer = stg_cur.select("customer_id", F.col("effective_date").alias("_stg_eff"))
-    marked = dim.join(newer, "customer_id", "left").withColumn(
-        "_expire", F.col("is_current") & (F.col("customer_key") != C.UNKNOWN_KEY)
-        & F.col("_stg_eff").isNotNull() & ~F.col("_stg_eff").eqNullSafe(F.col("effective_date")))
-    kept = marked.select(
-        *[c for c in DIM_CUSTOMER_COLUMNS if c not in ("expiry_date", "is_current", "_loaded_at")],
-        F.when(F.col("_expire"), F.date_sub(date_lit(as_of), 1)).otherwise(F.col("expiry_date")).alias("expiry_date"),
-        F.when(F.col("_expire"), F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
-        F.when(F.col("_expire"), now).otherwise(F.col("_loaded_at")).alias("_loaded_at"),
-    ).select(*DIM_CUSTOMER_COLUMNS)
-    dim_cur = dim.where("is_current").select("customer_id", "effective_date")
-    inserts = stg_cur.join(dim_cur, ["customer_id", "effective_date"], "left_anti").select(
-        "customer_key", "customer_id", "first_name", "last_name",
-        F.concat(F.coalesce("first_name", F.lit("")), F.lit(" "), F.coalesce("last_name", F.lit(""))).alias("full_name"),
-        "email", "phone", "city", "state", "country", "postal_code",
-        F.coalesce(F.col("customer_tier"), F.lit(C.DEFAULT_TIER)).alias("customer_tier"),
-        "account_open_date",
-        F.datediff(date_lit(as_of), F.col("account_open_date")).alias("account_age_days"),
-        "effective_date", "expiry_date", "is_current",
-        now.alias("_loaded_at"),
+    has_old = F.col("customer_key").isNotNull()
+    has_new = F.col("_s_customer_id").isNotNull()
+    changed = has_old & has_new & ~F.col("effective_date").eqNullSafe(F.col("_s_effective_date"))
+    insert = has_new & (~has_old | changed)
+    old = F.struct(
+        *[F.col(c) for c in DIM_CUSTOMER_COLUMNS if c not in ("expiry_date", "is_current", "_loaded_at")],
+        F.when(changed, F.date_sub(date_lit(as_of), 1)).otherwise(F.col("expiry_date")).alias("expiry_date"),
+        F.when(changed, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+        F.when(changed, now).otherwise(F.col("_loaded_at")).alias("_loaded_at"),
+    )
+    s = lambda c: F.col(f"_s_{c}")
+    new = F.struct(
+        s("customer_key").alias("customer_key"), s("customer_id").alias("customer_id"),
+        s("first_name").alias("first_name"), s("last_name").alias("last_name"),
+        F.concat(F.coalesce(s("first_name"), F.lit("")), F.lit(" "), F.coalesce(s("last_name"), F.lit(""))).alias("full_name"),
+        *[s(c).alias(c) for c in ["email", "phone", "city", "state", "country", "postal_code"]],
+        F.coalesce(s("customer_tier"), F.lit(C.DEFAULT_TIER)).alias("customer_tier"),
+        s("account_open_date").alias("account_open_date"),
+        F.datediff(date_lit(as_of), s("account_open_date")).alias("account_age_days"),
+        s("effective_date").alias("effective_date"), s("expiry_date").alias("expiry_date"),
+        s("is_current").alias("is_current"), now.alias("_loaded_at"),
     )
-    return kept.unionByName(inserts)
+    out = F.filter(F.array(F.when(has_old, old), F.when(insert, new)), lambda x: x.isNotNull())
+    return j.select(F.explode(out).alias("r")).select("r.*")

@@ -35,3 +35,152 @@ oracle("scd2_changes", "SELECT customer_id, new_hash, existing_hash, change_type
 oracle("scd2_expire", "SELECT * FROM hist2", "hist2")
 oracle("fact_load", "SELECT * FROM fact", "fact")
 oracle("merchant_stats", "SELECT * FROM merchant_stats", "merchant_stats")
+
+
+# --- monitoring ------------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from ledgerflow.plans.oracle_sql import (  # noqa: E402
+    AS_OF, METRIC_DAYS, cte, minutes_sql, rate_sql, seconds_sql, ts, window,
+)
+
+oracle("raw_profile", f"""
+SELECT count(*) AS record_count, count(DISTINCT transaction_id) AS unique_txns, min(transaction_timestamp) AS min_ts,
+  max(transaction_timestamp) AS max_ts, count(CASE WHEN transaction_id IS NULL THEN 1 END) AS null_ids,
+  count(CASE WHEN amount IS NULL THEN 1 END) AS null_amounts,
+  CASE WHEN count(*) = 0 THEN 'EMPTY' ELSE 'OK' END AS status
+FROM raw_transactions WHERE {window('_loaded_at', AS_OF, METRIC_DAYS)}""", "raw_transactions")
+
+MINS = METRIC_DAYS * 24 * 60
+cte("qm_agg", f"""
+SELECT count(*) AS n, max(_batch_id) AS batch_id, count(CASE WHEN amount IS NULL THEN 1 END) AS null_amounts,
+  count(DISTINCT transaction_id) AS distinct_ids, avg(amount_usd) AS avg_usd, min(amount_usd) AS min_usd,
+  max(amount_usd) AS max_usd,
+  (SELECT max(transaction_timestamp) FROM fact) AS max_ts, (SELECT max(_batch_id) FROM fact) AS all_batch_id
+FROM fact WHERE {window('processed_at', AS_OF, METRIC_DAYS)}""", ["fact"])
+
+QM = {
+    "row_count": f"""SELECT 'row_count' AS metric_name, CAST(n AS DECIMAL(18,6)) AS metric_value,
+  CAST(1000 AS DECIMAL(18,6)) AS threshold, CASE WHEN n >= 1000 THEN 'PASS' ELSE 'WARNING' END AS status,
+  'Total rows in last {MINS} min: ' || CAST(n AS VARCHAR) AS details, batch_id FROM qm_agg""",
+    "null_rate_amount": f"""SELECT 'null_rate_amount', {rate_sql('null_amounts', 'n')}, CAST(0.001 AS DECIMAL(18,6)),
+  CASE WHEN {rate_sql('null_amounts', 'n')} <= 0.001 THEN 'PASS' ELSE 'FAIL' END,
+  'Null amounts: ' || CAST(null_amounts AS VARCHAR), batch_id FROM qm_agg""",
+    "duplicate_rate": f"""SELECT 'duplicate_rate', {rate_sql('n - distinct_ids', 'n')}, CAST(0 AS DECIMAL(18,6)),
+  CASE WHEN n = distinct_ids THEN 'PASS' ELSE 'FAIL' END, 'Duplicates: ' || CAST(n - distinct_ids AS VARCHAR),
+  batch_id FROM qm_agg""",
+    "data_freshness_minutes": f"""SELECT 'data_freshness_minutes',
+  CAST({minutes_sql('max_ts', ts(AS_OF))} AS DECIMAL(18,6)), CAST(60 AS DECIMAL(18,6)),
+  CASE WHEN {minutes_sql('max_ts', ts(AS_OF))} <= 60 THEN 'PASS' ELSE 'WARNING' END,
+  'Last transaction: ' || coalesce(CAST(max_ts AS VARCHAR), ''), all_batch_id FROM qm_agg""",
+    "avg_amount_usd": """SELECT 'avg_amount_usd', CAST(CAST(avg_usd AS DECIMAL(18,2)) AS DECIMAL(18,6)),
+  CAST(NULL AS DECIMAL(18,6)), 'INFO',
+  'Avg: $' || coalesce(CAST(CAST(avg_usd AS DECIMAL(18,2)) AS VARCHAR), '') || ' | Min: $'
+  || coalesce(CAST(min_usd AS VARCHAR), '') || ' | Max: $' || coalesce(CAST(max_usd AS VARCHAR), ''),
+  batch_id FROM qm_agg""",
+}
+
+
+def _qm_sql(names):
+    body = "\nUNION ALL\n".join(QM[n] for n in names)
+    return (f"SELECT {ts(AS_OF)} AS metric_timestamp, 'fct_transactions' AS table_name, metric_name, metric_value, "
+            f"threshold, status, details, batch_id FROM ({body}) m(metric_name, metric_value, threshold, status, details, batch_id)")
+
+
+for _k, _m in [("metric_row_count", "row_count"), ("metric_null_rate", "null_rate_amount"),
+               ("metric_duplicate_rate", "duplicate_rate"), ("metric_freshness", "data_freshness_minutes"),
+               ("metric_avg_amount", "avg_amount_usd")]:
+    oracle(_k, _qm_sql([_m]), "qm_agg")
+oracle("quality_metrics", _qm_sql(list(QM)), "qm_agg")
+
+cte("sla_agg", f"""
+SELECT count(*) AS n, min(processed_at) AS first_processed, max(processed_at) AS last_processed,
+  avg({seconds_sql('transaction_timestamp', 'processed_at')}) AS avg_latency,
+  quantile_disc({seconds_sql('transaction_timestamp', 'processed_at')}, 0.95) AS p95_latency,
+  count(CASE WHEN customer_key <> -1 AND merchant_key <> -1 THEN 1 END) AS covered,
+  count(CASE WHEN NOT (customer_key <> -1 AND merchant_key <> -1) THEN 1 END) AS orphans
+FROM fact WHERE {window('processed_at', AS_OF, METRIC_DAYS)}""", ["fact"])
+
+THR = rate_sql("n", f"greatest({minutes_sql('first_processed', 'last_processed')}, 1)")
+COV = f"CAST({rate_sql('covered', 'n', 12)} * 100 AS DECIMAL(18,6))"
+SLA = {
+    "throughput_records_per_minute": f"""SELECT 'throughput_records_per_minute' AS metric_name, {THR} AS metric_value,
+  'records/min' AS unit, CASE WHEN {THR} >= 100 THEN 'HEALTHY' ELSE 'DEGRADED' END AS status,
+  'Processed ' || CAST(n AS VARCHAR) || ' records in last {MINS} min' AS details FROM sla_agg""",
+    "e2e_latency_seconds": """SELECT 'e2e_latency_seconds', CAST(CAST(round(avg_latency, 0) AS DECIMAL(38,0)) AS DECIMAL(18,6)),
+  'seconds', CASE WHEN avg_latency <= 120 THEN 'WITHIN_SLA' ELSE 'SLA_BREACH' END,
+  'Avg latency: ' || coalesce(CAST(CAST(round(avg_latency, 1) AS DECIMAL(18,1)) AS VARCHAR), '') || 's | P95: '
+  || coalesce(CAST(p95_latency AS VARCHAR), '') || 's' FROM sla_agg""",
+    "dimension_coverage_pct": f"""SELECT 'dimension_coverage_pct', {COV}, 'percent',
+  CASE WHEN {rate_sql('covered', 'n', 12)} >= 0.99 THEN 'PASS' ELSE 'WARNING' END,
+  'Orphan records: ' || CAST(orphans AS VARCHAR) FROM sla_agg""",
+}
+
+
+def _sla_sql(names, src="sla_agg"):
+    body = "\nUNION ALL\n".join(SLA[n] for n in names)
+    return (f"SELECT {ts(AS_OF)} AS metric_timestamp, 'transaction_pipeline' AS dag_id, {ts(AS_OF)} AS execution_date, "
+            f"metric_name, metric_value, unit, status, details FROM ({body}) m(metric_name, metric_value, unit, status, details)")
+
+
+for _k, _m in [("sla_throughput", "throughput_records_per_minute"), ("sla_latency", "e2e_latency_seconds"),
+               ("dimension_coverage", "dimension_coverage_pct")]:
+    oracle(_k, _sla_sql([_m]), "sla_agg")
+
+oracle("sla_latency_p95", """SELECT 'e2e_latency_p95_seconds' AS metric_name,
+  CAST(p95_latency AS DECIMAL(18,6)) AS metric_value, n AS sample_size FROM sla_agg""", "sla_agg")
+
+oracle("sla_bands", """
+SELECT metric_name, metric_value,
+  CASE WHEN metric_value >= 120 THEN 'red' WHEN metric_value >= 90 THEN 'yellow'
+       WHEN metric_value IS NOT NULL THEN 'green' END AS band
+FROM (SELECT 'e2e_latency_seconds' AS metric_name,
+        CAST(CAST(round(avg_latency, 0) AS DECIMAL(38,0)) AS DECIMAL(18,6)) AS metric_value FROM sla_agg
+      UNION ALL
+      SELECT 'e2e_latency_p95_seconds', CAST(p95_latency AS DECIMAL(18,6)) FROM sla_agg) b""", "sla_agg")
+
+_LAST = AS_OF.date() - _dt.timedelta(days=1)
+oracle("daily_volume", f"""
+SELECT {ts(AS_OF)} AS metric_timestamp, 'transaction_pipeline' AS dag_id, {ts(AS_OF)} AS execution_date,
+  'daily_volume' AS metric_name, CAST(count(*) AS DECIMAL(18,6)) AS metric_value, 'records' AS unit,
+  CASE WHEN count(*) >= 30000 THEN 'ON_TRACK' ELSE 'BELOW_TARGET' END AS status,
+  'Today: ' || CAST(count(*) AS VARCHAR) || ' records (target: 500K/day)' AS details
+FROM fact WHERE transaction_timestamp >= TIMESTAMP '{_LAST} 00:00:00'
+  AND transaction_timestamp < TIMESTAMP '{_LAST} 00:00:00' + INTERVAL 1 DAY""", "fact")
+
+cte("g_daily", """SELECT CAST(processed_at AS DATE) AS day, count(*) AS n,
+  count(CASE WHEN amount IS NULL THEN 1 END) AS nulls, count(DISTINCT transaction_id) AS ids,
+  max(_batch_id) AS batch_id FROM fact GROUP BY 1""", ["fact"])
+
+cte("daily_qm", f"""
+SELECT CAST(day AS TIMESTAMP) AS metric_timestamp, 'fct_transactions' AS table_name, batch_id, metric_name,
+  metric_value, status FROM (
+  SELECT day, batch_id, 'row_count' AS metric_name, CAST(n AS DECIMAL(18,6)) AS metric_value,
+    CASE WHEN n >= 1000 THEN 'PASS' ELSE 'WARNING' END AS status FROM g_daily
+  UNION ALL SELECT day, batch_id, 'null_rate_amount', {rate_sql('nulls', 'n')},
+    CASE WHEN {rate_sql('nulls', 'n')} <= 0.001 THEN 'PASS' ELSE 'FAIL' END FROM g_daily
+  UNION ALL SELECT day, batch_id, 'duplicate_rate', {rate_sql('n - ids', 'n')},
+    CASE WHEN n = ids THEN 'PASS' ELSE 'FAIL' END FROM g_daily) x""", ["g_daily"])
+oracle("top_failed_metrics", """
+SELECT * FROM daily_qm WHERE status IN ('FAIL', 'WARNING')
+ORDER BY metric_timestamp DESC, metric_name, table_name LIMIT 20""", "daily_qm")
+
+oracle("reconcile_counts", """
+SELECT s.staged_rows, f.fact_rows, s.staged_rows - f.fact_rows AS difference,
+  CASE WHEN s.staged_rows = f.fact_rows THEN 'MATCH' ELSE 'MISMATCH' END AS status
+FROM (SELECT count(*) AS staged_rows FROM staged) s, (SELECT count(*) AS fact_rows FROM fact) f""", "staged", "fact")
+
+oracle("volume_over_time", """
+SELECT 'ingested' AS layer, CAST(_loaded_at AS DATE) AS day, count(*) AS records FROM raw_transactions GROUP BY 2
+UNION ALL SELECT 'staged', CAST(_staged_at AS DATE), count(*) FROM staged GROUP BY 2
+UNION ALL SELECT 'loaded', CAST(processed_at AS DATE), count(*) FROM fact GROUP BY 2""",
+       "raw_transactions", "staged", "fact")
+
+oracle("volume_variance", """
+SELECT day, records, expected,
+  CAST((records - expected) / expected AS DECIMAL(18,6)) AS variance,
+  CASE WHEN expected IS NULL THEN 'NO_HISTORY'
+       WHEN abs(CAST((records - expected) / expected AS DECIMAL(18,6))) <= 0.2 THEN 'PASS' ELSE 'WARNING' END AS status
+FROM (SELECT day, records, CAST(avg(records) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
+        AS DECIMAL(18,6)) AS expected
+      FROM (SELECT CAST(processed_at AS DATE) AS day, count(*) AS records FROM fact GROUP BY 1) d) v""", "fact")

@@ -80,3 +80,91 @@ def q_fact_load(spark, sf_dir):
 @query("merchant_stats")
 def q_merchant_stats(spark, sf_dir):
     return M.merchant_batch_stats(P(spark, sf_dir).staged())
+
+
+# --- monitoring ------------------------------------------------------------------------------
+from ledgerflow.operators import monitoring as MO  # noqa: E402
+from ledgerflow.plans.pipeline import METRIC_WINDOW  # noqa: E402
+
+LAST_DAY = A.TXN_AS_OF.date() - __import__("datetime").timedelta(days=1)
+
+
+@query("raw_profile")
+def q_raw_profile(spark, sf_dir):
+    """Profile of the recent raw batch (count, distinct ids, time range, null ids and
+    amounts); an empty batch is reported as EMPTY instead of failing later."""
+    raw = ST.recent(P(spark, sf_dir).raw(), "_loaded_at", A.TXN_AS_OF, METRIC_WINDOW)
+    a = raw.agg(F.count(F.lit(1)).alias("record_count"), F.count_distinct("transaction_id").alias("unique_txns"),
+                F.min("transaction_timestamp").alias("min_ts"), F.max("transaction_timestamp").alias("max_ts"),
+                F.count(F.when(F.col("transaction_id").isNull(), 1)).alias("null_ids"),
+                F.count(F.when(F.col("amount").isNull(), 1)).alias("null_amounts"))
+    return a.withColumn("status", F.when(F.col("record_count") == 0, "EMPTY").otherwise("OK"))
+
+
+def _qm(metric):
+    def run(spark, sf_dir):
+        return MO.quality_metrics(P(spark, sf_dir).fact(), A.TXN_AS_OF, METRIC_WINDOW, metrics=[metric])
+    return run
+
+
+for _k, _m in [("metric_row_count", "row_count"), ("metric_null_rate", "null_rate_amount"),
+               ("metric_duplicate_rate", "duplicate_rate"), ("metric_freshness", "data_freshness_minutes"),
+               ("metric_avg_amount", "avg_amount_usd")]:
+    QUERIES[_k] = _qm(_m)
+
+
+@query("quality_metrics")
+def q_quality_metrics(spark, sf_dir):
+    return MO.quality_metrics(P(spark, sf_dir).fact(), A.TXN_AS_OF, METRIC_WINDOW)
+
+
+def _sla(metric):
+    def run(spark, sf_dir):
+        return MO.sla_metrics(P(spark, sf_dir).fact(), A.TXN_AS_OF, METRIC_WINDOW, metrics=[metric])
+    return run
+
+
+for _k, _m in [("sla_throughput", "throughput_records_per_minute"), ("sla_latency", "e2e_latency_seconds"),
+               ("dimension_coverage", "dimension_coverage_pct")]:
+    QUERIES[_k] = _sla(_m)
+
+
+@query("sla_latency_p95")
+def q_sla_latency_p95(spark, sf_dir):
+    return MO.latency_p95(P(spark, sf_dir).fact(), A.TXN_AS_OF, METRIC_WINDOW)
+
+
+@query("sla_bands")
+def q_sla_bands(spark, sf_dir):
+    fact = P(spark, sf_dir).fact()
+    lat = MO.sla_metrics(fact, A.TXN_AS_OF, METRIC_WINDOW, metrics=["e2e_latency_seconds"])
+    p95 = MO.latency_p95(fact, A.TXN_AS_OF, METRIC_WINDOW).drop("sample_size")
+    return MO.latency_bands(lat.select("metric_name", "metric_value").unionByName(p95))
+
+
+@query("daily_volume")
+def q_daily_volume(spark, sf_dir):
+    """Volume of the last full day before as_of."""
+    return MO.daily_volume(P(spark, sf_dir).fact(), LAST_DAY, A.TXN_AS_OF)
+
+
+@query("top_failed_metrics")
+def q_top_failed_metrics(spark, sf_dir):
+    return MO.top_failed_metrics(MO.daily_quality_metrics(P(spark, sf_dir).fact()), 20)
+
+
+@query("reconcile_counts")
+def q_reconcile_counts(spark, sf_dir):
+    p = P(spark, sf_dir)
+    return MO.reconcile_counts(p.staged(), p.fact())
+
+
+@query("volume_over_time")
+def q_volume_over_time(spark, sf_dir):
+    p = P(spark, sf_dir)
+    return MO.volume_over_time(p.raw(), p.staged(), p.fact())
+
+
+@query("volume_variance")
+def q_volume_variance(spark, sf_dir):
+    return MO.volume_variance(P(spark, sf_dir).fact())
