@@ -50,6 +50,8 @@ def clean_columns() -> list[Column]:
         t("auth_code").alias("auth_code"),
         F.col("_loaded_at"),
         F.col("_source_file"),
+        # the raw card number stays only until staging (checks look for unmasked numbers)
+        F.col("card_number"),
     ]
 
 

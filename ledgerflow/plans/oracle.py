@@ -184,3 +184,86 @@ SELECT day, records, expected,
 FROM (SELECT day, records, CAST(avg(records) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
         AS DECIMAL(18,6)) AS expected
       FROM (SELECT CAST(processed_at AS DATE) AS day, count(*) AS records FROM fact GROUP BY 1) d) v""", "fact")
+
+
+# --- data-quality checks --------------------------------------------------------------------
+from ledgerflow import constants as _C  # noqa: E402
+from ledgerflow.plans.oracle_sql import in_list as _in  # noqa: E402
+
+_ASOF = ts(AS_OF)
+_NUM = "TRY_CAST(amount AS DECIMAL(38,6))"
+_TIME = "TRY_CAST(CAST(transaction_timestamp AS VARCHAR) AS TIMESTAMP)"
+
+
+def _bad_set(c, vals):
+    return f"count(CASE WHEN {c} IS NOT NULL AND lower(CAST({c} AS VARCHAR)) NOT IN {_in([v.lower() for v in vals])} THEN 1 END)"
+
+
+cte("dq_frame", "SELECT * FROM clean", ["clean"])
+cte("dq_agg", f"""
+SELECT count(*) AS n,
+  count(CASE WHEN transaction_id IS NULL THEN 1 END) AS c1, count(DISTINCT transaction_id) AS c2,
+  count(CASE WHEN {_NUM} < 0.01 OR {_NUM} > 999999.99 THEN 1 END) AS c3,
+  count(CASE WHEN {_NUM} > 999999.99 THEN 1 END) AS c4,
+  {_bad_set('currency', _C.VALID_CURRENCIES)} AS c5, count(currency) AS c5_n,
+  {_bad_set('status', _C.VALID_STATUSES)} AS c6, count(status) AS c6_n,
+  count(CASE WHEN {_TIME} > {_ASOF} THEN 1 END) AS c7,
+  count(CASE WHEN customer_id IS NULL THEN 1 END) AS c8, count(CASE WHEN merchant_id IS NULL THEN 1 END) AS c9,
+  (SELECT count(*) FROM (SELECT DISTINCT * FROM dq_frame) x) AS c10,
+  max({_TIME}) AS c13,
+  {_bad_set('channel', _C.VALID_CHANNELS)} AS c14, count(channel) AS c14_n,
+  count(CASE WHEN regexp_matches(regexp_replace(CAST(card_number AS VARCHAR), '[- ]', '', 'g'), '^[0-9]{{13,}}$')
+        THEN 1 END) AS c15
+FROM dq_frame""", ["dq_frame"])
+
+
+def _r(num, den):
+    return f"(1 - {rate_sql(num, den)})"
+
+
+_AGE_US = f"(epoch_us({_ASOF}) - epoch_us(c13))"
+DQ_ROWS = {
+    1: f"SELECT 1, 'Check 1: Transaction ID not null', 'completeness', c1 * 1000 <= n, 'Null rows: ' || c1 || ' of ' || n, {_r('c1', 'n')}, 0.999 FROM dq_agg",
+    2: f"SELECT 2, 'Check 2: Transaction ID unique', 'uniqueness', n - c2 = 0, (n - c2) || ' duplicates', {_r('n - c2', 'greatest(n, 1)')}, 1.0 FROM dq_agg",
+    3: f"SELECT 3, 'Check 3: Amount > 0', 'accuracy', {_r('c3', 'greatest(n, 1)')} >= 0.999, c3 || ' out of range', {_r('c3', 'greatest(n, 1)')}, 0.999 FROM dq_agg",
+    4: f"SELECT 4, 'Check 4: Amount < 1M', 'accuracy', {_r('c4', 'greatest(n, 1)')} >= 0.9999, c4 || ' exceed max', {_r('c4', 'greatest(n, 1)')}, 0.9999 FROM dq_agg",
+    5: f"SELECT 5, 'Check 5: Valid currency', 'referential', {_r('c5', 'greatest(c5_n, 1)')} >= 0.995, c5 || ' invalid values', {_r('c5', 'greatest(c5_n, 1)')}, 0.995 FROM dq_agg",
+    6: f"SELECT 6, 'Check 6: Valid status', 'referential', {_r('c6', 'greatest(c6_n, 1)')} >= 0.995, c6 || ' invalid values', {_r('c6', 'greatest(c6_n, 1)')}, 0.995 FROM dq_agg",
+    7: "SELECT 7, 'Check 7: No future timestamps', 'timeliness', c7 = 0, c7 || ' future timestamps', CASE WHEN c7 = 0 THEN 1 ELSE 0 END, 1.0 FROM dq_agg",
+    8: f"SELECT 8, 'Check 8: Customer ID exists', 'completeness', c8 * 1000 <= n, 'Null rows: ' || c8 || ' of ' || n, {_r('c8', 'n')}, 0.999 FROM dq_agg",
+    9: f"SELECT 9, 'Check 9: Merchant ID exists', 'completeness', c9 * 1000 <= n, 'Null rows: ' || c9 || ' of ' || n, {_r('c9', 'n')}, 0.999 FROM dq_agg",
+    10: f"SELECT 10, 'Check 10: No duplicate rows', 'uniqueness', n - c10 = 0, (n - c10) || ' duplicate rows', {_r('n - c10', 'greatest(n, 1)')}, 1.0 FROM dq_agg",
+    11: "SELECT 11, 'Check 11: Schema compliance', 'schema', TRUE, 'All columns present', 1, 1.0 FROM dq_agg",
+    12: "SELECT 12, 'Check 12: Row count in range', 'volume', n >= 100, 'Rows: ' || n || ' (min: 100)', n, 100 FROM dq_agg",
+    13: f"""SELECT 13, 'Check 13: Data freshness', 'timeliness',
+      CASE WHEN c13 IS NULL THEN FALSE ELSE {_AGE_US} <= 3600000000 END,
+      CASE WHEN c13 IS NULL THEN 'No valid timestamps' ELSE 'Age: ' || CAST(floor({_AGE_US} / 60000000) AS BIGINT) || ' min' END,
+      CASE WHEN c13 IS NOT NULL AND {_AGE_US} <= 3600000000 THEN 1 ELSE 0 END, 0.99 FROM dq_agg""",
+    14: f"SELECT 14, 'Check 14: Valid channel', 'referential', {_r('c14', 'greatest(c14_n, 1)')} >= 0.995, c14 || ' invalid values', {_r('c14', 'greatest(c14_n, 1)')}, 0.995 FROM dq_agg",
+    15: "SELECT 15, 'Check 15: Card number masked', 'security', c15 = 0, c15 || ' unmasked in ''card_number''', CASE WHEN c15 = 0 THEN 1 ELSE 0 END, 1 FROM dq_agg",
+}
+
+
+def _dq_sql(ids):
+    body = "\nUNION ALL\n".join(DQ_ROWS[i] for i in ids)
+    return (f"SELECT check_id, check_name, check_type, success, details, CAST(metric_value AS DECIMAL(18,6)) AS metric_value, "
+            f"CAST(threshold AS DECIMAL(18,6)) AS threshold FROM ({body}) r(check_id, check_name, check_type, success, "
+            f"details, metric_value, threshold) WHERE (SELECT n FROM dq_agg) > 0")
+
+
+for _k, _ids in {"dq_all": list(range(1, 16)), "dq_completeness": [1, 8, 9], "dq_uniqueness": [2, 10],
+                 "dq_accuracy": [3, 4], "dq_referential": [5, 6, 14], "dq_timeliness": [7, 13],
+                 "dq_security": [15]}.items():
+    oracle(_k, _dq_sql(_ids), "dq_agg")
+
+oracle("dq_duplicate_rows", """
+SELECT transaction_id, customer_id, status, channel, card_type, count(*) - 1 AS duplicate_copies
+FROM raw_transactions GROUP BY ALL HAVING count(*) > 1""", "raw_transactions")
+
+cte("dq_results", _dq_sql(list(range(1, 16))), ["dq_agg"])
+oracle("dq_summary", """
+SELECT count(CASE WHEN success THEN 1 END) AS passed, count(CASE WHEN NOT success THEN 1 END) AS failed,
+  list_sort(list(check_name) FILTER (WHERE NOT success)) AS failed_checks,
+  CASE WHEN count(*) = 0 THEN 'SKIPPED' WHEN count(CASE WHEN NOT success THEN 1 END) = 0 THEN 'PASSED'
+       ELSE 'WARNING' END AS status
+FROM dq_results""", "dq_results")

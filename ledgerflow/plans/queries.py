@@ -168,3 +168,60 @@ def q_volume_over_time(spark, sf_dir):
 @query("volume_variance")
 def q_volume_variance(spark, sf_dir):
     return MO.volume_variance(P(spark, sf_dir).fact())
+
+
+# --- data-quality checks --------------------------------------------------------------------
+from ledgerflow.operators import quality as Q  # noqa: E402
+
+
+def check_frame(spark, sf_dir):
+    """The cleaned batch with its raw card number: what the checks see before staging."""
+    return P(spark, sf_dir).clean()
+
+
+DQ_GROUPS = {
+    "dq_all": None,
+    "dq_completeness": [1, 8, 9],
+    "dq_uniqueness": [2, 10],
+    "dq_accuracy": [3, 4],
+    "dq_referential": [5, 6, 14],
+    "dq_timeliness": [7, 13],
+    "dq_security": [15],
+}
+
+
+def _dq(ids):
+    def run(spark, sf_dir):
+        return Q.run_checks(check_frame(spark, sf_dir), A.TXN_AS_OF, ids)
+    return run
+
+
+for _k, _ids in DQ_GROUPS.items():
+    QUERIES[_k] = _dq(_ids)
+
+
+@query("dq_duplicate_rows")
+def q_dq_duplicate_rows(spark, sf_dir):
+    raw = P(spark, sf_dir).raw().select("transaction_id", "customer_id", "status", "channel", "card_type")
+    return Q.duplicate_rows(raw)
+
+
+@query("dq_missing_columns")
+def q_dq_missing_columns(spark, sf_dir):
+    return Q.run_checks(check_frame(spark, sf_dir).select("transaction_id", "amount"), A.TXN_AS_OF)
+
+
+@query("dq_sample_cap")
+def q_dq_sample_cap(spark, sf_dir):
+    """The reference's optional unordered 50 000-row cap before checking (off by default)."""
+    return Q.run_checks(check_frame(spark, sf_dir).limit(50_000), A.TXN_AS_OF)
+
+
+@query("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    return Q.check_summary(Q.run_checks(check_frame(spark, sf_dir), A.TXN_AS_OF))
+
+
+@query("quality_score")
+def q_quality_score(spark, sf_dir):
+    return Q.quality_score(Q.run_checks(check_frame(spark, sf_dir), A.TXN_AS_OF))
