@@ -16,7 +16,7 @@ __all__ = [
     "ts_lit", "date_lit", "null_markers", "trimmed", "safe_decimal", "safe_timestamp", "last_four",
     "international_flag", "category_group", "merchant_region", "online_flag", "usd_amount", "date_key",
     "month_key", "minutes_between", "seconds_between", "hash_key", "mask_card", "batch_id",
-    "in_set_ci", "rate", "as_decimal", "rate_table",
+    "in_set_ci", "rate", "as_decimal", "rate_table", "usd_amount_by_table",
 ]
 
 
@@ -156,3 +156,13 @@ def rate(num: Column, den: Column, scale: int = 6) -> Column:
 
 def as_decimal(c: Column, precision: int = 18, scale: int = 6) -> Column:
     return c.cast(T.DecimalType(precision, scale))
+
+
+def usd_amount_by_table(df: DataFrame, rates: DataFrame, amount: str = "amount", currency: str = "currency",
+                        out: str = "amount_usd") -> DataFrame:
+    """Conversion through a rate table instead of a CASE chain. The rate table is a
+    reference list (one row per currency, size fixed by the list), so it is broadcast."""
+    r = rates.select(F.col("currency").alias("_fx_ccy"), F.col("usd_rate").alias("_fx_rate"))
+    j = df.join(F.broadcast(r), F.col(currency) == F.col("_fx_ccy"), "left")
+    conv = F.when(F.col("_fx_rate").isNull(), F.col(amount)).otherwise(F.col(amount) * F.col("_fx_rate"))
+    return j.withColumn(out, F.round(conv, 2).cast(T.DecimalType(18, 2))).drop("_fx_ccy", "_fx_rate")

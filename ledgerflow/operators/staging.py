@@ -87,14 +87,15 @@ def _reject_reason() -> Column:
     return F.coalesce(*checks)
 
 
-def stage_transactions(clean: DataFrame, as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
+def stage_transactions(clean: DataFrame, as_of: dt.datetime, keep_load_time: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split cleaned rows into (staged rows, rejects). Both are projections of one input,
-    so persisting ``clean`` lets the two writes share one scan."""
+    so persisting ``clean`` lets the two writes share one scan. ``keep_load_time`` keeps
+    ``_loaded_at`` on the staged rows, as :func:`upsert_staging` needs it."""
     with_reason = clean.withColumn("_reject_reason", _reject_reason())
     staged = (with_reason.where(F.col("_reject_reason").isNull())
               .withColumn("_staged_at", ts_lit(as_of))
               .withColumn("_batch_id", batch_id(as_of))
-              .select(*STAGED_COLUMNS))
+              .select(*STAGED_COLUMNS, *(["_loaded_at"] if keep_load_time else [])))
     rejects = with_reason.where(F.col("_reject_reason").isNotNull()).withColumn("_rejected_at", ts_lit(as_of))
     return staged, rejects
 

@@ -267,3 +267,165 @@ SELECT count(CASE WHEN success THEN 1 END) AS passed, count(CASE WHEN NOT succes
   CASE WHEN count(*) = 0 THEN 'SKIPPED' WHEN count(CASE WHEN NOT success THEN 1 END) = 0 THEN 'PASSED'
        ELSE 'WARNING' END AS status
 FROM dq_results""", "dq_results")
+
+
+# --- sources, sinks, projections ---------------------------------------------------------------
+from ledgerflow.plans.oracle_sql import (  # noqa: E402
+    FULL_DAYS, RUN1, STAGED_COLS, category_group_sql, clean_sql, d, dim_merchant_rows_sql, fact_sql, key_sql,
+    merchant_stats_sql, region_sql, staged_sql, UNKNOWN_MERCHANT, usd_sql,
+)
+
+_RAW15 = ", ".join(["transaction_id", "customer_id", "merchant_id", "amount", "currency", "transaction_timestamp",
+                    "status", "channel", "card_type", "card_number", "merchant_category", "merchant_city",
+                    "merchant_country", "response_code", "auth_code"])
+oracle("null_markers", f"SELECT {_RAW15} FROM raw_transactions", "raw_transactions")
+oracle("recent_window", f"SELECT transaction_id, _loaded_at, amount FROM raw_transactions "
+       f"WHERE {window('_loaded_at', AS_OF, METRIC_DAYS)}", "raw_transactions")
+oracle("raw_retention", f"SELECT CAST(_loaded_at AS DATE) AS load_date, count(*) AS records FROM raw_transactions "
+       f"WHERE {window('_loaded_at', AS_OF, 90)} GROUP BY 1", "raw_transactions")
+oracle("merchant_enrich", "SELECT merchant_id, merchant_category, category_group, merchant_country, merchant_region, "
+       "is_online FROM dim_merchant WHERE merchant_key <> -1", "dim_merchant")
+oracle("fx_convert", f"""
+SELECT currency, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(38,2)) AS amount,
+  CAST(sum({usd_sql('amount', 'currency')}) AS DECIMAL(38,2)) AS amount_usd
+FROM staged GROUP BY currency""", "staged")
+oracle("date_key", "SELECT transaction_id, transaction_timestamp, "
+       "CAST(strftime(transaction_timestamp, '%Y%m%d') AS INTEGER) AS transaction_date_key FROM staged", "staged")
+oracle("scalar_functions", f"""
+SELECT transaction_id,
+  concat_ws('|', coalesce(merchant_category, ''), upper(merchant_city)) AS text_concat,
+  md5(concat_ws('|', customer_id, merchant_id)) AS hash_md5,
+  regexp_replace('4111-1111 ' || card_last_four, '[- ]', '', 'g') AS digits,
+  nullif(status, 'approved') AS status_nullif,
+  greatest(amount, CAST(100 AS DECIMAL(18,2))) AS amount_floor100,
+  CAST(round(amount / 3, 2) AS DECIMAL(18,2)) AS amount_third,
+  strftime(transaction_timestamp, '%Y%m%d') AS day_text,
+  CAST(date_diff('day', CAST(transaction_timestamp AS DATE), {d(AS_OF.date())}) AS INTEGER) AS age_days,
+  CAST(transaction_timestamp AS DATE) AS txn_date,
+  lower(' X' || currency) AS lower_text,
+  right(auth_code, 4) AS auth_tail
+FROM staged""", "staged")
+oracle("dim_date", """
+SELECT CAST(strftime(dd, '%Y%m%d') AS INTEGER) AS transaction_date_key, CAST(dd AS DATE) AS date,
+  year(dd) AS year, quarter(dd) AS quarter, month(dd) AS month, day(dd) AS day,
+  (isodow(dd) - 1) AS day_of_week, isodow(dd) >= 6 AS is_weekend
+FROM (SELECT unnest(generate_series(min(CAST(transaction_timestamp AS DATE)), max(CAST(transaction_timestamp AS DATE)),
+      INTERVAL 1 DAY)) AS dd FROM fact) x""", "fact")
+
+# --- two incremental runs ------------------------------------------------------------------------
+_RUN2_DAYS = (AS_OF - RUN1).total_seconds() / 86400
+cte("raw_run1", f"SELECT * FROM raw_transactions WHERE _loaded_at < {ts(RUN1)}", ["raw_transactions"])
+cte("clean_run1", clean_sql("raw_run1", RUN1, FULL_DAYS), ["raw_run1"])
+cte("staged_run1", staged_sql("clean_run1", RUN1), ["clean_run1"])
+cte("clean_run2", clean_sql("raw_transactions", AS_OF, _RUN2_DAYS), ["raw_transactions"])
+cte("staged2_src", staged_sql("clean_run2", AS_OF, keep_loaded=True), ["clean_run2"])
+_TAKE = "(t.transaction_id IS NULL OR (s.transaction_id IS NOT NULL AND s._loaded_at > t._staged_at))"
+_UP_COLS = STAGED_COLS + ["_staged_at", "_batch_id"]
+cte("staged_run2", "SELECT " + ", ".join(f"CASE WHEN {_TAKE} THEN s.{c} ELSE t.{c} END AS {c}" for c in _UP_COLS)
+    + f", CASE WHEN {_TAKE} THEN coalesce(s._source_file, t._source_file) ELSE t._source_file END AS _source_file"
+    + " FROM staged_run1 t FULL OUTER JOIN staged2_src s ON t.transaction_id = s.transaction_id",
+    ["staged_run1", "staged2_src"])
+oracle("stage_upsert", "SELECT * FROM staged_run2", "staged_run2")
+
+cte("merchant_stats_run1", merchant_stats_sql("staged_run1"), ["staged_run1"])
+cte("dim_merchant_run1", dim_merchant_rows_sql("merchant_stats_run1", RUN1) + "\nUNION ALL\n" + UNKNOWN_MERCHANT,
+    ["merchant_stats_run1"])
+cte("merchant_stats_run2", merchant_stats_sql(f"(SELECT * FROM staged_run2 WHERE _staged_at > {ts(RUN1)})"),
+    ["staged_run2"])
+_NEW = "t.merchant_id IS NULL"
+_MATCH = "(t.merchant_id IS NOT NULL AND s.merchant_id IS NOT NULL)"
+
+
+def _merged(a):
+    return f"(CASE WHEN {_NEW} THEN s.{a} WHEN {_MATCH} THEN coalesce(s.{a}, t.{a}) ELSE t.{a} END)"
+
+
+_CAT, _CTRY = _merged("merchant_category"), _merged("merchant_country")
+cte("dim_merchant_run2", f"""
+SELECT CASE WHEN {_NEW} THEN {key_sql('s.merchant_id')} ELSE t.merchant_key END AS merchant_key,
+  coalesce(t.merchant_id, s.merchant_id) AS merchant_id, coalesce(t.merchant_name, s.merchant_id) AS merchant_name,
+  {_CAT} AS merchant_category,
+  CASE WHEN t.merchant_key = -1 THEN t.category_group ELSE {category_group_sql(_CAT)} END AS category_group,
+  t.mcc_code AS mcc_code, {_merged('merchant_city')} AS merchant_city, t.merchant_state AS merchant_state,
+  {_CTRY} AS merchant_country,
+  CASE WHEN t.merchant_key = -1 THEN t.merchant_region ELSE {region_sql(_CTRY)} END AS merchant_region,
+  CASE WHEN t.merchant_key = -1 THEN t.is_online ELSE coalesce({_CAT} IN ('online', 'streaming', 'digital'), FALSE) END
+    AS is_online,
+  coalesce(t.risk_score, CAST(0 AS DECIMAL(5,2))) AS risk_score,
+  CASE WHEN {_NEW} THEN CAST(s.first_seen AS DATE) ELSE t.first_seen_date END AS first_seen_date,
+  CASE WHEN {_NEW} THEN CAST(s.last_seen AS DATE)
+       WHEN {_MATCH} THEN greatest(t.last_transaction_date, CAST(s.last_seen AS DATE))
+       ELSE t.last_transaction_date END AS last_transaction_date,
+  CAST(CASE WHEN {_NEW} THEN s.txn_count WHEN {_MATCH} THEN t.total_transaction_count + s.txn_count
+       ELSE t.total_transaction_count END AS BIGINT) AS total_transaction_count,
+  CASE WHEN {_NEW} OR {_MATCH} THEN {ts(AS_OF)} ELSE t._loaded_at END AS _loaded_at
+FROM dim_merchant_run1 t FULL OUTER JOIN merchant_stats_run2 s ON t.merchant_id = s.merchant_id""",
+    ["dim_merchant_run1", "merchant_stats_run2"])
+oracle("dim_merchant_upsert", "SELECT * FROM dim_merchant_run2", "dim_merchant_run2")
+
+cte("fact_run1", fact_sql("staged_run1", "dim_customer", "dim_merchant_run1", RUN1, FULL_DAYS),
+    ["staged_run1", "dim_customer", "dim_merchant_run1"])
+cte("fact_run2_new", fact_sql("staged_run2", "dim_customer", "dim_merchant_run2", AS_OF, _RUN2_DAYS,
+                              existing="fact_run1"), ["staged_run2", "dim_customer", "dim_merchant_run2", "fact_run1"])
+oracle("fact_load_incremental", "SELECT * FROM fact_run2_new", "fact_run2_new")
+
+cte("fact_reload", fact_sql("staged_run2", "dim_customer", "dim_merchant_run2", AS_OF, FULL_DAYS),
+    ["staged_run2", "dim_customer", "dim_merchant_run2"])
+oracle("fact_full_reload", """
+SELECT coalesce(s._batch_id, f._batch_id) AS _batch_id, coalesce(s.staged_rows, 0) AS staged_rows,
+  coalesce(f.fact_rows, 0) AS fact_rows
+FROM (SELECT _batch_id, count(*) AS staged_rows FROM staged_run2 GROUP BY 1) s
+FULL OUTER JOIN (SELECT _batch_id, count(*) AS fact_rows FROM fact_reload GROUP BY 1) f ON s._batch_id = f._batch_id""",
+       "staged_run2", "fact_reload")
+
+oracle("unknown_members", """
+SELECT 'dim_merchant' AS dimension, merchant_key AS member_key, merchant_id AS member_id, merchant_name AS member_name
+FROM dim_merchant WHERE merchant_key = -1
+UNION ALL
+SELECT 'dim_customer', customer_key, customer_id, first_name FROM dim_customer WHERE customer_key = -1""",
+       "dim_merchant", "dim_customer")
+
+oracle("orphan_keys", """
+SELECT 'customer_key' AS key_name, count(*) AS fact_rows, count(CASE WHEN customer_key = -1 THEN 1 END) AS unknown_member_rows,
+  count(CASE WHEN customer_key NOT IN (SELECT customer_key FROM dim_customer) THEN 1 END) AS orphan_rows FROM fact
+UNION ALL
+SELECT 'merchant_key', count(*), count(CASE WHEN merchant_key = -1 THEN 1 END),
+  count(CASE WHEN merchant_key NOT IN (SELECT merchant_key FROM dim_merchant) THEN 1 END) FROM fact""",
+       "fact", "dim_customer", "dim_merchant")
+
+oracle("scd2_as_of_lookup", """
+SELECT s.transaction_id, s.customer_id, h.customer_key AS asof_customer_key, h.customer_tier AS asof_customer_tier
+FROM staged s LEFT JOIN hist2 h ON s.customer_id = h.customer_id
+  AND CAST(s.transaction_timestamp AS DATE) >= h.effective_date AND CAST(s.transaction_timestamp AS DATE) <= h.expiry_date""",
+       "staged", "hist2")
+
+# --- merchant windows, profiles ---------------------------------------------------------------------
+oracle("merchant_latest", """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY merchant_id
+  ORDER BY _staged_at DESC, transaction_timestamp DESC, transaction_id DESC) AS rn
+  FROM staged WHERE merchant_id IS NOT NULL) WHERE rn = 1""", "staged")
+oracle("merchant_first_value", """
+SELECT merchant_id, transaction_id,
+  first_value(merchant_category) OVER w AS latest_category, first_value(merchant_city) OVER w AS latest_city,
+  first_value(merchant_country) OVER w AS latest_country
+FROM staged WHERE merchant_id IS NOT NULL
+WINDOW w AS (PARTITION BY merchant_id ORDER BY _staged_at DESC, transaction_timestamp DESC, transaction_id DESC)""",
+       "staged")
+oracle("merchant_window_stats", """
+SELECT merchant_id, transaction_id,
+  min(transaction_timestamp) OVER (PARTITION BY merchant_id) AS merchant_first_seen,
+  max(transaction_timestamp) OVER (PARTITION BY merchant_id) AS merchant_last_seen,
+  count(*) OVER (PARTITION BY merchant_id) AS merchant_txn_count
+FROM staged WHERE merchant_id IS NOT NULL""", "staged")
+oracle("dataset_profile", """
+SELECT count(*) AS rows, 19 AS columns, min(transaction_timestamp) AS first_ts, max(transaction_timestamp) AS last_ts,
+  count(DISTINCT customer_id) AS customers, count(DISTINCT merchant_id) AS merchants, min(amount) AS amount_min,
+  max(amount) AS amount_max, CAST(avg(amount) AS DECIMAL(18,2)) AS amount_mean FROM staged""", "staged")
+oracle("value_breakdown", """
+SELECT column_name, value, count(*) AS count FROM (
+  SELECT 'status' AS column_name, status AS value FROM staged
+  UNION ALL SELECT 'channel', channel FROM staged
+  UNION ALL SELECT 'currency', currency FROM staged) t GROUP BY 1, 2""", "staged")
+oracle("distinct_counts", """
+SELECT count(DISTINCT transaction_id) AS distinct_transactions, count(DISTINCT customer_id) AS distinct_customers,
+  count(DISTINCT merchant_id) AS distinct_merchants FROM staged""", "staged")

@@ -16,6 +16,7 @@ from ledgerflow.operators import facts as FA
 from ledgerflow.operators import merchant as M
 from ledgerflow.operators import scd2 as S
 from ledgerflow.operators import staging as ST
+from ledgerflow.functions.columns import ts_lit
 from ledgerflow.sources import adapters as A
 
 FULL = dt.timedelta(days=A.TXN_FULL_LOOKBACK_DAYS)
@@ -67,7 +68,7 @@ class Pipeline:
 
     # --- transactions, two incremental runs ----------------------------------------
     def staged_run1(self) -> DataFrame:
-        raw1 = self.raw().where(F.col("_loaded_at") < F.lit(A.TXN_RUN1_AS_OF))
+        raw1 = self.raw().where(F.col("_loaded_at") < ts_lit(A.TXN_RUN1_AS_OF))
         clean1 = ST.clean_transactions(raw1, A.TXN_RUN1_AS_OF, FULL)
         return ST.stage_transactions(clean1, A.TXN_RUN1_AS_OF)[0]
 
@@ -76,6 +77,25 @@ class Pipeline:
 
     def staged_run2(self) -> DataFrame:
         """Staging after run 2: run-1 staging upserted with run 2's batch."""
-        staged2, _ = ST.stage_transactions(self.clean_run2(), A.TXN_AS_OF)
-        src = staged2.join(self.clean_run2().select("transaction_id", "_loaded_at"), "transaction_id")
+        src, _ = ST.stage_transactions(self.clean_run2(), A.TXN_AS_OF, keep_load_time=True)
         return ST.upsert_staging(self.staged_run1(), src)
+
+    def dim_merchant_run1(self) -> DataFrame:
+        d = M.build_dim_merchant(self.staged_run1(), A.TXN_RUN1_AS_OF)
+        return FA.ensure_unknown_member(d, FA.unknown_merchant(d), "merchant_key")
+
+    def dim_merchant_run2(self) -> DataFrame:
+        stats = M.merchant_batch_stats(self.staged_run2(), since=A.TXN_RUN1_AS_OF)
+        return M.upsert_dim_merchant(self.dim_merchant_run1(), stats, A.TXN_AS_OF)
+
+    def fact_run1(self) -> DataFrame:
+        s1 = self.staged_run1()
+        return FA.load_fact(s1, self.dim_customer(), self.dim_merchant_run1(), A.TXN_RUN1_AS_OF, FULL,
+                            processed_at=A.simulated_processed_at(s1))
+
+    def fact_run2_new(self) -> DataFrame:
+        """Run 2's fact load: rows staged in the window and not yet in the fact."""
+        s2 = self.staged_run2()
+        return FA.load_fact(s2, self.dim_customer(), self.dim_merchant_run2(), A.TXN_AS_OF,
+                            A.TXN_AS_OF - A.TXN_RUN1_AS_OF, existing_fact=self.fact_run1(),
+                            processed_at=A.simulated_processed_at(s2))

@@ -225,3 +225,212 @@ def q_dq_summary(spark, sf_dir):
 @query("quality_score")
 def q_quality_score(spark, sf_dir):
     return Q.quality_score(Q.run_checks(check_frame(spark, sf_dir), A.TXN_AS_OF))
+
+
+# --- sources and sinks -----------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from ledgerflow.functions.columns import date_key as _date_key  # noqa: E402
+from ledgerflow.functions.columns import rate_table, usd_amount_by_table  # noqa: E402
+from ledgerflow.session import scratch_path  # noqa: E402
+from ledgerflow.sources import landing as L  # noqa: E402
+
+
+def _fresh_dir(spark, name):
+    import uuid
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query("null_markers")
+def q_null_markers(spark, sf_dir):
+    """Raw rows written to landing CSV with nulls as the text NULL, bulk-loaded back:
+    the markers must come back as nulls and every value unchanged."""
+    path = _fresh_dir(spark, "landing-csv")
+    L.write_landing_csv(P(spark, sf_dir).raw(), path, null_token="NULL")
+    good, _ = L.split_corrupt(L.read_landing_csv(spark, path, A.TXN_AS_OF))
+    return good.select(*L.RAW_TXN_FIELDS)
+
+
+@query("ingest_csv")
+def q_ingest_csv(spark, sf_dir):
+    """Landing CSV load with audit columns and the corrupt-row split (rows + rejects)."""
+    path = _fresh_dir(spark, "landing-csv")
+    L.write_landing_csv(P(spark, sf_dir).raw(), path)
+    good, bad = L.split_corrupt(L.read_landing_csv(spark, path, A.TXN_AS_OF))
+    return good.withColumn("_rejected", F.lit(False)).unionByName(
+        bad.drop(L.CORRUPT).withColumn("_rejected", F.lit(True)))
+
+
+@query("ingest_json")
+def q_ingest_json(spark, sf_dir):
+    path = _fresh_dir(spark, "landing-json")
+    L.write_landing_json_array(P(spark, sf_dir).raw(), path)
+    return L.read_landing_json(spark, path, A.TXN_AS_OF)
+
+
+@query("recent_window")
+def q_recent_window(spark, sf_dir):
+    raw = ST.recent(P(spark, sf_dir).raw(), "_loaded_at", A.TXN_AS_OF, METRIC_WINDOW)
+    return raw.select("transaction_id", "_loaded_at", "amount")
+
+
+@query("raw_retention")
+def q_raw_retention(spark, sf_dir):
+    """Raw rows kept by a 90-day retention at as_of, per load day."""
+    kept = ST.recent(P(spark, sf_dir).raw(), "_loaded_at", A.TXN_AS_OF, _dt.timedelta(days=90))
+    return kept.groupBy(F.to_date("_loaded_at").alias("load_date")).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("merchant_enrich")
+def q_merchant_enrich(spark, sf_dir):
+    d = P(spark, sf_dir).dim_merchant().where(F.col("merchant_key") != -1)
+    return d.select("merchant_id", "merchant_category", "category_group", "merchant_country", "merchant_region",
+                    "is_online")
+
+
+@query("fx_convert")
+def q_fx_convert(spark, sf_dir):
+    """USD totals per currency through the broadcast rate table."""
+    conv = usd_amount_by_table(P(spark, sf_dir).staged(), rate_table(spark))
+    return conv.groupBy("currency").agg(F.count(F.lit(1)).alias("txn_count"),
+                                        F.sum("amount").cast("decimal(38,2)").alias("amount"),
+                                        F.sum("amount_usd").cast("decimal(38,2)").alias("amount_usd"))
+
+
+@query("date_key")
+def q_date_key(spark, sf_dir):
+    s = P(spark, sf_dir).staged()
+    return s.select("transaction_id", "transaction_timestamp",
+                    _date_key(F.col("transaction_timestamp")).alias("transaction_date_key"))
+
+
+@query("scalar_functions")
+def q_scalar_functions(spark, sf_dir):
+    """One column per scalar family the pipeline uses, over the staged rows."""
+    s = P(spark, sf_dir).staged()
+    return s.select(
+        "transaction_id",
+        F.concat_ws("|", F.coalesce("merchant_category", F.lit("")), F.upper("merchant_city")).alias("text_concat"),
+        F.md5(F.concat_ws("|", "customer_id", "merchant_id")).alias("hash_md5"),
+        F.regexp_replace(F.concat(F.lit("4111-1111 "), F.col("card_last_four")), "[- ]", "").alias("digits"),
+        F.nullif(F.col("status"), F.lit("approved")).alias("status_nullif"),
+        F.greatest(F.col("amount"), F.lit(100).cast("decimal(18,2)")).alias("amount_floor100"),
+        F.round(F.col("amount") / 3, 2).cast("decimal(18,2)").alias("amount_third"),
+        F.date_format("transaction_timestamp", "yyyyMMdd").alias("day_text"),
+        F.datediff(F.lit(A.TXN_AS_OF.date()), F.to_date("transaction_timestamp")).alias("age_days"),
+        F.to_date("transaction_timestamp").alias("txn_date"),
+        F.lower(F.concat(F.lit(" X"), F.col("currency"))).alias("lower_text"),
+        F.right(F.col("auth_code"), F.lit(4)).alias("auth_tail"),
+    )
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    return FA.dim_date(P(spark, sf_dir).fact())
+
+
+@query("fact_full_reload")
+def q_fact_full_reload(spark, sf_dir):
+    """Fact rebuilt from all of staging (no lookback), reconciled per staging batch."""
+    p = P(spark, sf_dir)
+    staged = p.staged_run2()
+    from ledgerflow.plans.pipeline import FULL
+    fact = FA.load_fact(staged, p.dim_customer(), p.dim_merchant_run2(), A.TXN_AS_OF, FULL,
+                        processed_at=A.simulated_processed_at(staged))
+    s = staged.groupBy("_batch_id").agg(F.count(F.lit(1)).alias("staged_rows"))
+    f = fact.groupBy("_batch_id").agg(F.count(F.lit(1)).alias("fact_rows"))
+    return s.join(f, "_batch_id", "full_outer").select(
+        "_batch_id", F.coalesce("staged_rows", F.lit(0)).alias("staged_rows"),
+        F.coalesce("fact_rows", F.lit(0)).alias("fact_rows"))
+
+
+# --- upserts and incremental loads -------------------------------------------------------------
+@query("stage_upsert")
+def q_stage_upsert(spark, sf_dir):
+    return P(spark, sf_dir).staged_run2()
+
+
+@query("dim_merchant_upsert")
+def q_dim_merchant_upsert(spark, sf_dir):
+    return P(spark, sf_dir).dim_merchant_run2()
+
+
+@query("fact_load_incremental")
+def q_fact_load_incremental(spark, sf_dir):
+    return P(spark, sf_dir).fact_run2_new()
+
+
+@query("unknown_members")
+def q_unknown_members(spark, sf_dir):
+    """Unknown members after inserting them twice (the second insert adds nothing)."""
+    p = P(spark, sf_dir)
+    dm = p.dim_merchant()
+    dm = FA.ensure_unknown_member(dm, FA.unknown_merchant(dm), "merchant_key")
+    dc = FA.ensure_unknown_member(p.dim_customer(), FA.unknown_customer(spark), "customer_key")
+    m = dm.where(F.col("merchant_key") == -1).select(F.lit("dim_merchant").alias("dimension"),
+                                                    F.col("merchant_key").alias("member_key"),
+                                                    F.col("merchant_id").alias("member_id"),
+                                                    F.col("merchant_name").alias("member_name"))
+    c = dc.where(F.col("customer_key") == -1).select(F.lit("dim_customer").alias("dimension"),
+                                                    F.col("customer_key").alias("member_key"),
+                                                    F.col("customer_id").alias("member_id"),
+                                                    F.col("first_name").alias("member_name"))
+    return m.unionByName(c)
+
+
+@query("orphan_keys")
+def q_orphan_keys(spark, sf_dir):
+    p = P(spark, sf_dir)
+    return FA.orphan_keys(p.fact(), p.dim_customer(), p.dim_merchant())
+
+
+@query("scd2_as_of_lookup")
+def q_scd2_as_of_lookup(spark, sf_dir):
+    p = P(spark, sf_dir)
+    rows = p.staged().select("transaction_id", "customer_id", "transaction_timestamp")
+    return S.as_of_lookup(rows, p.customer_history()).drop("transaction_timestamp")
+
+
+# --- merchant windows ----------------------------------------------------------------------------
+@query("merchant_latest")
+def q_merchant_latest(spark, sf_dir):
+    return M.merchant_latest_rows(P(spark, sf_dir).staged())
+
+
+@query("merchant_first_value")
+def q_merchant_first_value(spark, sf_dir):
+    return M.merchant_first_values(P(spark, sf_dir).staged())
+
+
+@query("merchant_window_stats")
+def q_merchant_window_stats(spark, sf_dir):
+    return M.merchant_window_stats(P(spark, sf_dir).staged())
+
+
+# --- profiles ----------------------------------------------------------------------------------------
+@query("dataset_profile")
+def q_dataset_profile(spark, sf_dir):
+    s = P(spark, sf_dir).staged()
+    return s.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(s.columns)).alias("columns"),
+                 F.min("transaction_timestamp").alias("first_ts"), F.max("transaction_timestamp").alias("last_ts"),
+                 F.count_distinct("customer_id").alias("customers"), F.count_distinct("merchant_id").alias("merchants"),
+                 F.min("amount").alias("amount_min"), F.max("amount").alias("amount_max"),
+                 F.avg("amount").cast("decimal(18,2)").alias("amount_mean"))
+
+
+@query("value_breakdown")
+def q_value_breakdown(spark, sf_dir):
+    """Value counts of status, channel and currency, most frequent first."""
+    s = P(spark, sf_dir).staged()
+    tall = s.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"))
+                                       for c in ["status", "channel", "currency"]])))
+    return (tall.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+            .orderBy("column_name", F.desc("count"), "value"))
+
+
+@query("distinct_counts")
+def q_distinct_counts(spark, sf_dir):
+    s = P(spark, sf_dir).staged()
+    return s.agg(F.count_distinct("transaction_id").alias("distinct_transactions"),
+                 F.count_distinct("customer_id").alias("distinct_customers"),
+                 F.count_distinct("merchant_id").alias("distinct_merchants"))
