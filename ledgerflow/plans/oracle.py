@@ -429,3 +429,117 @@ SELECT column_name, value, count(*) AS count FROM (
 oracle("distinct_counts", """
 SELECT count(DISTINCT transaction_id) AS distinct_transactions, count(DISTINCT customer_id) AS distinct_customers,
   count(DISTINCT merchant_id) AS distinct_merchants FROM staged""", "staged")
+
+
+# --- events ------------------------------------------------------------------------------------------
+_PAYLOAD = """'{"transaction_id":"' ||
+    CASE WHEN event_id % 61 = 0 THEN 'T' WHEN event_id % 20 = 19 THEN 'TXN_' || CAST(event_id - 1 AS VARCHAR)
+         ELSE 'TXN_' || CAST(event_id AS VARCHAR) END
+  || '","customer_id":"CUST_' || CAST(user_id AS VARCHAR) || '"'
+  || CASE WHEN event_id % 59 <> 0 THEN ',"merchant_id":"MERCH_' || CAST(event_id % 50 AS VARCHAR) || '"' ELSE '' END
+  || ',"amount":' || CASE WHEN event_id % 67 = 0 THEN '"abc"' WHEN event_id % 50 = 0 THEN '-5.00'
+                          WHEN event_id % 71 = 0 THEN '2000000.00' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END
+  || ',"currency":"' || CASE WHEN event_id % 53 = 0 THEN 'FAKE' WHEN event_id % 3 = 0 THEN 'eur' ELSE 'USD' END || '"'
+  || ',"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"'
+  || CASE WHEN event_id % 5 <> 0 THEN ',"status":"Approved","channel":"Online"' ELSE '' END
+  || CASE WHEN event_id % 7 = 0 THEN ',"card_number":"4111-1111-1111-' || CAST(1000 + event_id % 9000 AS VARCHAR) || '"'
+          ELSE '' END
+  || '}'"""
+cte("ev_lines", f"""
+SELECT event_id, ts, CASE event_id % 4 WHEN 0 THEN payload WHEN 1 THEN '{{"body":' || payload || '}}'
+  WHEN 2 THEN '{{"source":"card.events","detail":' || payload || '}}'
+  ELSE '{{"Records":[{{"messageId":"m' || CAST(event_id AS VARCHAR) || '","body":"' || replace(payload, '"', '\\"')
+       || '"}}]}}' END AS line
+FROM (SELECT event_id, ts, {_PAYLOAD} AS payload FROM events) p""")
+
+
+def _items_sql(t):
+    return (f"(CASE WHEN json_type({t}) = 'ARRAY' THEN list_transform(CAST(CAST({t} AS JSON) AS JSON[]), "
+            f"lambda x: CAST(x AS VARCHAR)) ELSE [{t}] END)")
+
+
+cte("ev_keyed", """SELECT event_id, ts, line,
+  CASE WHEN json_valid(line) AND json_type(line) = 'OBJECT' THEN json_keys(line) END AS k FROM ev_lines""",
+    ["ev_lines"])
+cte("ev_lists", f"""
+SELECT event_id, ts, CASE
+  WHEN list_contains(k, 'Records') THEN coalesce(flatten(list_transform(
+       CAST(json_extract(line, '$.Records') AS JSON[]), lambda r: {_items_sql("json_extract_string(r, '$.body')")})), [])
+  WHEN list_contains(k, 'body') THEN {_items_sql("json_extract_string(line, '$.body')")}
+  WHEN list_contains(k, 'detail') THEN [json_extract_string(line, '$.detail')]
+  WHEN list_contains(k, 'transaction_id') THEN [line]
+  WHEN json_valid(line) AND json_type(line) = 'ARRAY' THEN list_transform(CAST(CAST(line AS JSON) AS JSON[]),
+       lambda x: CAST(x AS VARCHAR))
+  WHEN k IS NULL AND NOT json_valid(line) THEN [line]
+  ELSE [] END AS evs
+FROM ev_keyed""", ["ev_keyed"])
+cte("ev", """SELECT event_id, ts, unnest(range(len(evs))) AS event_pos, unnest(evs) AS payload FROM ev_lists
+  WHERE len(evs) > 0""", ["ev_lists"])
+_REQ = "['amount', 'currency', 'customer_id', 'merchant_id', 'timestamp', 'transaction_id']"
+cte("ev_checked", f"""
+SELECT *, CASE
+  WHEN keys IS NULL THEN 'Malformed event: not a JSON object'
+  WHEN len(missing) > 0 THEN 'Missing required fields: ' || array_to_string(missing, ', ')
+  WHEN amt IS NULL THEN 'Invalid amount: ' || coalesce(raw_amount, 'None') || ' — not a number'
+  WHEN amt <= 0 THEN 'Invalid amount: ' || shown || ' — must be > 0'
+  WHEN amt > 999999.99 THEN 'Invalid amount: ' || shown || ' — exceeds maximum 999999.99'
+  WHEN cur NOT IN ('USD', 'EUR', 'GBP', 'CAD', 'AUD', 'JPY', 'CHF', 'INR') THEN 'Invalid currency: ' || cur
+  WHEN length(tid) < 3 THEN 'Invalid transaction_id: ' || tid
+  END AS error
+FROM (SELECT *, list_filter({_REQ}, lambda x: NOT list_contains(keys, x)) AS missing,
+        TRY_CAST(raw_amount AS DOUBLE) AS amt,
+        coalesce(CAST(TRY_CAST(raw_amount AS DECIMAL(38,2)) AS VARCHAR), raw_amount) AS shown,
+        upper(coalesce(json_extract_string(payload, '$.currency'), 'None')) AS cur,
+        coalesce(json_extract_string(payload, '$.transaction_id'), 'None') AS tid
+      FROM (SELECT *, CASE WHEN json_valid(payload) AND json_type(payload) = 'OBJECT' THEN json_keys(payload) END AS keys,
+              json_extract_string(payload, '$.amount') AS raw_amount FROM ev) a) b""", ["ev"])
+
+oracle("event_unwrap", """
+SELECT event_id, event_pos, json_extract_string(payload, '$.transaction_id') AS transaction_id,
+  json_extract_string(payload, '$.customer_id') AS customer_id, json_extract_string(payload, '$.merchant_id') AS merchant_id,
+  TRY_CAST(json_extract_string(payload, '$.amount') AS DECIMAL(18,2)) AS amount,
+  json_extract_string(payload, '$.currency') AS currency, json_extract_string(payload, '$.timestamp') AS timestamp,
+  len(json_keys(payload)) AS n_fields
+FROM ev""", "ev")
+oracle("event_validate", "SELECT event_id, event_pos, json_extract_string(payload, '$.transaction_id') AS transaction_id, "
+       "error FROM ev_checked", "ev_checked")
+oracle("event_enrich", """
+SELECT event_id, ts, event_pos, json_extract_string(payload, '$.transaction_id') AS transaction_id,
+  json_extract_string(payload, '$.customer_id') AS customer_id, json_extract_string(payload, '$.merchant_id') AS merchant_id,
+  TRY_CAST(raw_amount AS DECIMAL(18,2)) AS amount, upper(json_extract_string(payload, '$.currency')) AS currency,
+  json_extract_string(payload, '$.timestamp') AS timestamp,
+  lower(coalesce(json_extract_string(payload, '$.status'), 'pending')) AS status,
+  lower(coalesce(json_extract_string(payload, '$.channel'), 'unknown')) AS channel,
+  CASE WHEN json_extract_string(payload, '$.card_number') IS NULL THEN NULL
+       WHEN length(regexp_replace(json_extract_string(payload, '$.card_number'), '[- ]', '', 'g')) >= 4
+       THEN '****' || right(regexp_replace(json_extract_string(payload, '$.card_number'), '[- ]', '', 'g'), 4)
+       ELSE '****' END AS card_number,
+  ts AS _ingested_at, md5(CAST(event_id AS VARCHAR) || '-' || CAST(event_pos AS VARCHAR)) AS _request_id,
+  'development' AS _environment, 'event_ingestion' AS _source
+FROM ev_checked WHERE error IS NULL""", "ev_checked")
+oracle("mask_card", """
+SELECT event_id, event_pos, json_extract_string(payload, '$.card_number') AS card_number_raw,
+  CASE WHEN length(regexp_replace(json_extract_string(payload, '$.card_number'), '[- ]', '', 'g')) >= 4
+       THEN '****' || right(regexp_replace(json_extract_string(payload, '$.card_number'), '[- ]', '', 'g'), 4)
+       ELSE '****' END AS card_number
+FROM ev WHERE json_extract_string(payload, '$.card_number') IS NOT NULL""", "ev")
+oracle("event_summary", """
+SELECT (SELECT count(*) FROM ev_checked WHERE error IS NULL) AS processed,
+  (SELECT count(*) FROM ev_checked WHERE error IS NOT NULL) AS failed,
+  coalesce((SELECT list(error ORDER BY event_id, event_pos) FROM (
+     SELECT event_id, event_pos, error FROM ev_checked WHERE error IS NOT NULL ORDER BY event_id, event_pos LIMIT 10) f),
+     []) AS first_errors""", "ev_checked")
+oracle("event_rejects", "SELECT event_id, event_pos, error, ts AS timestamp FROM ev_checked WHERE error IS NOT NULL",
+       "ev_checked")
+oracle("hourly_volume", "SELECT date_trunc('hour', ts) AS hour_start, count(*) AS events FROM ev GROUP BY 1", "ev")
+oracle("sliding_metrics", """
+SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, count(*) AS events,
+  CAST(sum(amount) AS DECIMAL(38,2)) AS amount
+FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start, TRY_CAST(raw_amount AS DECIMAL(18,2)) AS amount
+      FROM ev_checked WHERE error IS NULL
+      UNION ALL
+      SELECT time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 15 MINUTE, TRY_CAST(raw_amount AS DECIMAL(18,2))
+      FROM ev_checked WHERE error IS NULL) w GROUP BY 1""", "ev_checked")
+oracle("event_sink_partitions", """
+SELECT year(ts) AS year, month(ts) AS month, day(ts) AS day, hour(ts) AS hour, count(*) AS events
+FROM ev_checked WHERE error IS NULL GROUP BY 1, 2, 3, 4""", "ev_checked")

@@ -434,3 +434,92 @@ def q_distinct_counts(spark, sf_dir):
     return s.agg(F.count_distinct("transaction_id").alias("distinct_transactions"),
                  F.count_distinct("customer_id").alias("distinct_customers"),
                  F.count_distinct("merchant_id").alias("distinct_merchants"))
+
+
+# --- events -----------------------------------------------------------------------------------------
+from ledgerflow.operators import events as E  # noqa: E402
+
+
+def _validated(spark, sf_dir):
+    return E.validate(E.unwrap(A.event_lines(spark, sf_dir)))
+
+
+def _request_id():
+    return F.md5(F.concat_ws("-", F.col("event_id").cast("string"), F.col("event_pos").cast("string")))
+
+
+def _enriched(spark, sf_dir):
+    accepted, _ = E.split(_validated(spark, sf_dir))
+    return E.enrich(accepted, ingested_at=F.col("ts"), request_id=_request_id())
+
+
+def _f(name):
+    return F.get_json_object(F.col("payload"), f"$.{name}")
+
+
+@query("event_unwrap")
+def q_event_unwrap(spark, sf_dir):
+    ev = E.unwrap(A.event_lines(spark, sf_dir))
+    return ev.select("event_id", "event_pos", _f("transaction_id").alias("transaction_id"),
+                     _f("customer_id").alias("customer_id"), _f("merchant_id").alias("merchant_id"),
+                     _f("amount").try_cast("decimal(18,2)").alias("amount"), _f("currency").alias("currency"),
+                     _f("timestamp").alias("timestamp"),
+                     F.size(F.json_object_keys("payload")).alias("n_fields"))
+
+
+@query("event_validate")
+def q_event_validate(spark, sf_dir):
+    return _validated(spark, sf_dir).select("event_id", "event_pos", _f("transaction_id").alias("transaction_id"),
+                                            F.col("_error").alias("error"))
+
+
+@query("event_enrich")
+def q_event_enrich(spark, sf_dir):
+    return _enriched(spark, sf_dir).drop("payload")
+
+
+@query("mask_card")
+def q_mask_card(spark, sf_dir):
+    ev = E.unwrap(A.event_lines(spark, sf_dir)).where(_f("card_number").isNotNull())
+    from ledgerflow.functions.columns import mask_card
+    return ev.select("event_id", "event_pos", _f("card_number").alias("card_number_raw"),
+                     mask_card(_f("card_number")).alias("card_number"))
+
+
+@query("event_summary")
+def q_event_summary(spark, sf_dir):
+    return E.batch_summary(_validated(spark, sf_dir), ["event_id", "event_pos"], 10)
+
+
+@query("event_rejects")
+def q_event_rejects(spark, sf_dir):
+    _, rejected = E.split(_validated(spark, sf_dir))
+    return E.rejects(rejected, F.col("ts")).select("event_id", "event_pos", "error", "timestamp")
+
+
+@query("hourly_volume")
+def q_hourly_volume(spark, sf_dir):
+    ev = E.unwrap(A.event_lines(spark, sf_dir))
+    return (ev.groupBy(F.window("ts", "1 hour").start.alias("hour_start"))
+            .agg(F.count(F.lit(1)).alias("events")))
+
+
+@query("sliding_metrics")
+def q_sliding_metrics(spark, sf_dir):
+    """Accepted events in 30-minute windows every 15 minutes (overlapping), the batch
+    form of the streaming monitor."""
+    en = _enriched(spark, sf_dir)
+    return (en.groupBy(F.window("ts", "30 minutes", "15 minutes").alias("w"))
+            .agg(F.count(F.lit(1)).alias("events"), F.sum("amount").cast("decimal(38,2)").alias("amount"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events", "amount"))
+
+
+@query("event_sink_partitions")
+def q_event_sink_partitions(spark, sf_dir):
+    """Accepted events written as JSON lines partitioned by ingest hour, read back and
+    counted per partition directory."""
+    from ledgerflow.sources.sinks import read_event_batches, write_event_batches
+    path = _fresh_dir(spark, "event-sink")
+    write_event_batches(_enriched(spark, sf_dir), path)
+    back = read_event_batches(spark, path)
+    return back.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("events"))

@@ -154,3 +154,49 @@ def raw_customer_snapshot(spark: SparkSession, sf_dir: str, snapshot: int) -> Da
             .withColumn("_loaded_at", F.when(stale, F.col("_loaded_at") - F.expr("INTERVAL 1 HOUR"))
                         .otherwise(F.col("_loaded_at")))
             .drop("_dup", "_copy"))
+
+
+# --- adapter B: event payloads ---------------------------------------------------------------
+
+def _js(c: Column) -> Column:
+    """A JSON string literal of a text column (the ids and codes here need no escaping)."""
+    return F.concat(F.lit('"'), c, F.lit('"'))
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw event message per ``events`` row, ``(event_id, ts, line)``.
+
+    The payload is built by plain text concatenation (so any engine can rebuild the same
+    text) and wrapped by event_id % 4: 0 bare, 1 ``body`` object, 2 ``detail`` object,
+    3 a ``Records`` list whose ``body`` is the payload as a JSON string.
+    """
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    e = F.col("event_id")
+    tid = (F.when(e % 61 == 0, F.lit("T"))
+           .when(e % 20 == 19, F.concat(F.lit("TXN_"), _s(e - 1)))
+           .otherwise(F.concat(F.lit("TXN_"), _s(e))))
+    amount = (F.when(e % 67 == 0, F.lit('"abc"'))
+              .when(e % 50 == 0, F.lit("-5.00"))
+              .when(e % 71 == 0, F.lit("2000000.00"))
+              .otherwise(_s(F.col("value").cast(T.DecimalType(18, 2)))))
+    currency = F.when(e % 53 == 0, F.lit("FAKE")).when(e % 3 == 0, F.lit("eur")).otherwise(F.lit("USD"))
+    ts_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    opt = lambda cond, text: F.when(cond, text).otherwise(F.lit(""))
+    payload = F.concat(
+        F.lit('{"transaction_id":'), _js(tid),
+        F.lit(',"customer_id":'), _js(F.concat(F.lit("CUST_"), _s(F.col("user_id")))),
+        opt(e % 59 != 0, F.concat(F.lit(',"merchant_id":'), _js(F.concat(F.lit("MERCH_"), _s(e % 50))))),
+        F.lit(',"amount":'), amount,
+        F.lit(',"currency":'), _js(currency),
+        F.lit(',"timestamp":'), _js(ts_text),
+        opt(e % 5 != 0, F.lit(',"status":"Approved","channel":"Online"')),
+        opt(e % 7 == 0, F.concat(F.lit(',"card_number":'),
+                                 _js(F.concat(F.lit("4111-1111-1111-"), _s(F.lit(1000) + e % 9000))))),
+        F.lit("}"))
+    escaped = F.replace(payload, F.lit('"'), F.lit('\\"'))
+    line = (F.when(e % 4 == 0, payload)
+            .when(e % 4 == 1, F.concat(F.lit('{"body":'), payload, F.lit("}")))
+            .when(e % 4 == 2, F.concat(F.lit('{"source":"card.events","detail":'), payload, F.lit("}")))
+            .otherwise(F.concat(F.lit('{"Records":[{"messageId":"m'), _s(e), F.lit('","body":"'), escaped,
+                                F.lit('"}]}'))))
+    return ev.select("event_id", "ts", line.alias("line"))
