@@ -229,6 +229,7 @@ def q_quality_score(spark, sf_dir):
 
 # --- sources and sinks -----------------------------------------------------------------------
 import datetime as _dt  # noqa: E402
+import os  # noqa: E402
 
 from ledgerflow.functions.columns import date_key as _date_key  # noqa: E402
 from ledgerflow.functions.columns import rate_table, usd_amount_by_table  # noqa: E402
@@ -523,3 +524,111 @@ def q_event_sink_partitions(spark, sf_dir):
     write_event_batches(_enriched(spark, sf_dir), path)
     back = read_event_batches(spark, path)
     return back.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("events"))
+
+
+# --- streaming ----------------------------------------------------------------------------------------
+from ledgerflow.streaming import ingest as SI  # noqa: E402
+
+
+def _landed_messages(spark, sf_dir, n_chunks=4):
+    root = _fresh_dir(spark, "stream")
+    src = os.path.join(root, "in")
+    lines = A.event_lines(spark, sf_dir)
+    return root, src, SI.time_chunks(lines, "ts", n_chunks)
+
+
+@query("stream_incremental_ingest")
+def q_stream_incremental_ingest(spark, sf_dir):
+    """Two availableNow runs over a growing landing folder: the second run loads only
+    the files that arrived after the first (load-once through the checkpoint)."""
+    root, src, chunks = _landed_messages(spark, sf_dir)
+    ck, out = os.path.join(root, "ck"), os.path.join(root, "out")
+    for c in chunks[:2]:
+        SI.land_messages(c, src)
+    SI.ingest_events(spark, src, out, ck)
+    for c in chunks[2:]:
+        SI.land_messages(c, src)
+    SI.ingest_events(spark, src, out, ck)
+    return spark.read.parquet(os.path.join(out, "accepted"))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    root, src, chunks = _landed_messages(spark, sf_dir)
+    for c in chunks:
+        SI.land_messages(c, src)
+    out = os.path.join(root, "out")
+    SI.dedup_events(spark, src, out, os.path.join(root, "ck"), max_files_per_trigger=4)
+    return spark.read.parquet(out)
+
+
+@query("late_rows")
+def q_late_rows(spark, sf_dir):
+    """Messages land in four time slices, then a late file re-sends the oldest slice
+    with new ids: those rows go to the late side table. The allowed delay (8 days) is
+    longer than one slice, so rows of one slice are never late against each other."""
+    root, src, chunks = _landed_messages(spark, sf_dir)
+    out = os.path.join(root, "out")
+    for c in chunks:
+        SI.land_messages(c, src)
+    late = chunks[0].withColumn("line", F.regexp_replace("line", "TXN_", "LATE_"))
+    SI.land_messages(late, src)
+    SI.late_event_split(spark, src, out, os.path.join(root, "ck"), delay=_dt.timedelta(days=8),
+                        max_files_per_trigger=1)
+    return spark.read.parquet(os.path.join(out, "late"))
+
+
+@query("stream_stage_upsert")
+def q_stream_stage_upsert(spark, sf_dir):
+    """Landing CSVs in load-time order, staged by micro-batch upserts into the bucketed
+    staging table; the end state equals one batch staging of all rows."""
+    root = _fresh_dir(spark, "stream-stage")
+    src, table = os.path.join(root, "in"), os.path.join(root, "staging")
+    raw = P(spark, sf_dir).raw()
+    for c in SI.time_chunks(raw, "_loaded_at", 3):
+        SI.land_transactions_csv(c, src)
+    from ledgerflow.plans.pipeline import FULL
+    SI.stage_landing_stream(spark, src, table, os.path.join(root, "ck"), os.path.join(root, "scratch"), FULL,
+                            as_of_of_batch=lambda b: A.TXN_AS_OF, max_files_per_trigger=8)
+    return spark.read.parquet(table).drop("_bucket")
+
+
+# --- generators, table writes --------------------------------------------------------------------------
+from ledgerflow.sources import generators as G  # noqa: E402
+from ledgerflow.sources import sinks as SK  # noqa: E402
+
+
+@query("generate_transactions")
+def q_generate_transactions(spark, sf_dir):
+    """One synthetic transaction per lineitem row (scales with the table)."""
+    from ledgerflow.sources.tables import read_table
+    base = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return G.generate_transactions(base, ["l_orderkey", "l_linenumber"], A.TXN_AS_OF)
+
+
+@query("generate_customers")
+def q_generate_customers(spark, sf_dir):
+    from ledgerflow.sources.tables import read_table
+    return G.generate_customers(read_table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey",
+                                A.TXN_AS_OF.date())
+
+
+@query("bulk_load_modes")
+def q_bulk_load_modes(spark, sf_dir):
+    """Append twice, then replace: the table ends with one copy of the staged rows; the
+    row counts come from the writes themselves."""
+    path = _fresh_dir(spark, "table-staging")
+    staged = P(spark, sf_dir).staged()
+    n1 = SK.write_table(staged, path, mode="append")
+    n2 = SK.write_table(staged, path, mode="append")
+    n3 = SK.write_table(staged, path, mode="overwrite")
+    return spark.read.parquet(path).withColumn("_rows_written", F.array(F.lit(n1), F.lit(n2), F.lit(n3)))
+
+
+@query("fact_layout")
+def q_fact_layout(spark, sf_dir):
+    """The fact written clustered (month directories, range-partitioned and sorted on
+    date key and customer key), read back."""
+    path = _fresh_dir(spark, "fact")
+    SK.write_fact(P(spark, sf_dir).fact(), path, mode="overwrite")
+    return spark.read.parquet(path)
