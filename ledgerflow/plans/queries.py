@@ -602,8 +602,9 @@ from ledgerflow.sources import sinks as SK  # noqa: E402
 def q_generate_transactions(spark, sf_dir):
     """One synthetic transaction per lineitem row (scales with the table)."""
     from ledgerflow.sources.tables import read_table
-    base = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return G.generate_transactions(base, ["l_orderkey", "l_linenumber"], A.TXN_AS_OF)
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    base = read_table(spark, sf_dir, "lineitem").select(*keys)
+    return G.generate_transactions(base, keys, A.TXN_AS_OF)
 
 
 @query("generate_customers")
