@@ -1,38 +1,94 @@
-"""The batch pipeline over the adapted driver tables, stage by stage.
-
-Each function returns a lazily planned DataFrame; nothing runs until a query's result
-is consumed. The scenario (two transaction runs, two customer snapshots) is fixed by
-the adapter constants so results repeat.
+"""The batch pipeline over the adapted driver tables, layer by layer.
+
+Like the warehouse it replaces, the pipeline keeps its layers as tables: raw, staging,
+history, dimensions and fact are written once per session as Parquet under the shared
+checkpoint folder and read back by every later step. A query then runs its own
+operator over its input tables (``build_*``), not the whole lineage from the driver's
+tables. Layer writes survive lost executors (they are files on shared storage) and cut
+the lineage of later jobs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import os
+import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.columns import ts_lit
 from ledgerflow.operators import facts as FA
 from ledgerflow.operators import merchant as M
 from ledgerflow.operators import scd2 as S
 from ledgerflow.operators import staging as ST
-from ledgerflow.functions.columns import ts_lit
+from ledgerflow.session import path_exists, scratch_path
 from ledgerflow.sources import adapters as A
 
 FULL = dt.timedelta(days=A.TXN_FULL_LOOKBACK_DAYS)
 METRIC_WINDOW = dt.timedelta(days=A.TXN_METRIC_LOOKBACK_DAYS)
 
+_LOCK = threading.RLock()
+_CODE_VERSION: str | None = None
+
+
+def code_version() -> str:
+    """Hash of the library source, so stored layers of an older version are not reused."""
+    global _CODE_VERSION
+    if _CODE_VERSION is None:
+        h = hashlib.sha1()
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        for d, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(d, f), "rb") as fh:
+                        h.update(fh.read())
+        _CODE_VERSION = h.hexdigest()[:12]
+    return _CODE_VERSION
+
 
 class Pipeline:
-    """Stages of one scenario over ``sf_dir``."""
+    """Layers of one scenario over ``sf_dir``; ``materialize=False`` keeps every layer a
+    lazy plan (used by tests that inspect whole plans)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
+
+    # --- layer storage ------------------------------------------------------------------
+    def _root(self) -> str:
+        key = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:10]
+        return scratch_path(self.spark, os.path.join("layers", f"{key}-{code_version()}"))
+
+    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if not self.materialize:
+            return build()
+        path = os.path.join(self._root(), name)
+        with _LOCK:
+            if not path_exists(self.spark, os.path.join(path, "_SUCCESS")):
+                df = build()
+                # a layer fed by a single input split would be read by one task later on
+                par = self.spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < par:
+                    df = df.repartition(par)
+                df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def layer_names(self) -> list[str]:
+        return ["event_lines", "raw", "staged", "customer_history_1", "customer_history", "dim_customer_1", "dim_customer",
+                "dim_merchant", "fact", "staged_run1", "staged_run2", "dim_merchant_run1", "dim_merchant_run2",
+                "fact_run1"]
+
+    # --- event messages (the landing layer of the event path) -----------------------
+    def event_lines(self) -> DataFrame:
+        return self.table("event_lines", lambda: A.event_lines(self.spark, self.sf_dir))
 
     # --- transactions, single run ---------------------------------------------------
     def raw(self) -> DataFrame:
-        return A.raw_transactions(self.spark, self.sf_dir)
+        return self.table("raw", lambda: A.raw_transactions(self.spark, self.sf_dir))
 
     def clean(self) -> DataFrame:
         return ST.clean_transactions(self.raw(), A.TXN_AS_OF, FULL)
@@ -40,58 +96,91 @@ class Pipeline:
     def staged_and_rejects(self):
         return ST.stage_transactions(self.clean(), A.TXN_AS_OF)
 
-    def staged(self) -> DataFrame:
+    def build_staged(self) -> DataFrame:
         return self.staged_and_rejects()[0]
 
+    def staged(self) -> DataFrame:
+        return self.table("staged", self.build_staged)
+
     # --- customers ------------------------------------------------------------------
-    def customer_history_1(self) -> DataFrame:
+    def build_customer_history_1(self) -> DataFrame:
         return S.scd2_merge(S.empty_history(self.spark), A.raw_customer_snapshot(self.spark, self.sf_dir, 1),
                             A.CUSTOMER_SNAPSHOT_1)
 
-    def customer_history(self) -> DataFrame:
+    def customer_history_1(self) -> DataFrame:
+        return self.table("customer_history_1", self.build_customer_history_1)
+
+    def build_customer_history(self) -> DataFrame:
         return S.scd2_merge(self.customer_history_1(), A.raw_customer_snapshot(self.spark, self.sf_dir, 2),
                             A.CUSTOMER_SNAPSHOT_2)
 
+    def customer_history(self) -> DataFrame:
+        return self.table("customer_history", self.build_customer_history)
+
+    def dim_customer_1(self) -> DataFrame:
+        return self.table("dim_customer_1", lambda: S.load_dim_customer(
+            FA.unknown_customer(self.spark), self.customer_history_1(), A.CUSTOMER_SNAPSHOT_1))
+
+    def build_dim_customer(self) -> DataFrame:
+        return S.load_dim_customer(self.dim_customer_1(), self.customer_history(), A.CUSTOMER_SNAPSHOT_2)
+
     def dim_customer(self) -> DataFrame:
-        d1 = S.load_dim_customer(FA.unknown_customer(self.spark), self.customer_history_1(), A.CUSTOMER_SNAPSHOT_1)
-        return S.load_dim_customer(d1, self.customer_history(), A.CUSTOMER_SNAPSHOT_2)
+        return self.table("dim_customer", self.build_dim_customer)
 
     # --- merchants, facts -----------------------------------------------------------
-    def dim_merchant(self) -> DataFrame:
+    def build_dim_merchant(self) -> DataFrame:
         d = M.build_dim_merchant(self.staged(), A.TXN_AS_OF)
         return FA.ensure_unknown_member(d, FA.unknown_merchant(d), "merchant_key")
 
-    def fact(self) -> DataFrame:
+    def dim_merchant(self) -> DataFrame:
+        return self.table("dim_merchant", self.build_dim_merchant)
+
+    def build_fact(self) -> DataFrame:
         staged = self.staged()
         return FA.load_fact(staged, self.dim_customer(), self.dim_merchant(), A.TXN_AS_OF, FULL,
                             processed_at=A.simulated_processed_at(staged))
 
+    def fact(self) -> DataFrame:
+        return self.table("fact", self.build_fact)
+
     # --- transactions, two incremental runs ----------------------------------------
     def staged_run1(self) -> DataFrame:
-        raw1 = self.raw().where(F.col("_loaded_at") < ts_lit(A.TXN_RUN1_AS_OF))
-        clean1 = ST.clean_transactions(raw1, A.TXN_RUN1_AS_OF, FULL)
-        return ST.stage_transactions(clean1, A.TXN_RUN1_AS_OF)[0]
+        def build():
+            raw1 = self.raw().where(F.col("_loaded_at") < ts_lit(A.TXN_RUN1_AS_OF))
+            clean1 = ST.clean_transactions(raw1, A.TXN_RUN1_AS_OF, FULL)
+            return ST.stage_transactions(clean1, A.TXN_RUN1_AS_OF)[0]
+        return self.table("staged_run1", build)
 
     def clean_run2(self) -> DataFrame:
         return ST.clean_transactions(self.raw(), A.TXN_AS_OF, A.TXN_AS_OF - A.TXN_RUN1_AS_OF)
 
-    def staged_run2(self) -> DataFrame:
+    def build_staged_run2(self) -> DataFrame:
         """Staging after run 2: run-1 staging upserted with run 2's batch."""
         src, _ = ST.stage_transactions(self.clean_run2(), A.TXN_AS_OF, keep_load_time=True)
         return ST.upsert_staging(self.staged_run1(), src)
 
+    def staged_run2(self) -> DataFrame:
+        return self.table("staged_run2", self.build_staged_run2)
+
     def dim_merchant_run1(self) -> DataFrame:
-        d = M.build_dim_merchant(self.staged_run1(), A.TXN_RUN1_AS_OF)
-        return FA.ensure_unknown_member(d, FA.unknown_merchant(d), "merchant_key")
+        def build():
+            d = M.build_dim_merchant(self.staged_run1(), A.TXN_RUN1_AS_OF)
+            return FA.ensure_unknown_member(d, FA.unknown_merchant(d), "merchant_key")
+        return self.table("dim_merchant_run1", build)
 
-    def dim_merchant_run2(self) -> DataFrame:
+    def build_dim_merchant_run2(self) -> DataFrame:
         stats = M.merchant_batch_stats(self.staged_run2(), since=A.TXN_RUN1_AS_OF)
         return M.upsert_dim_merchant(self.dim_merchant_run1(), stats, A.TXN_AS_OF)
 
+    def dim_merchant_run2(self) -> DataFrame:
+        return self.table("dim_merchant_run2", self.build_dim_merchant_run2)
+
     def fact_run1(self) -> DataFrame:
-        s1 = self.staged_run1()
-        return FA.load_fact(s1, self.dim_customer(), self.dim_merchant_run1(), A.TXN_RUN1_AS_OF, FULL,
-                            processed_at=A.simulated_processed_at(s1))
+        def build():
+            s1 = self.staged_run1()
+            return FA.load_fact(s1, self.dim_customer(), self.dim_merchant_run1(), A.TXN_RUN1_AS_OF, FULL,
+                                processed_at=A.simulated_processed_at(s1))
+        return self.table("fact_run1", build)
 
     def fact_run2_new(self) -> DataFrame:
         """Run 2's fact load: rows staged in the window and not yet in the fact."""

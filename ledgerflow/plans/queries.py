@@ -57,7 +57,7 @@ def q_dedup_latest(spark, sf_dir):
 # --- dimensions and facts ---------------------------------------------------------------------
 @query("dim_customer_load")
 def q_dim_customer_load(spark, sf_dir):
-    return P(spark, sf_dir).dim_customer()
+    return P(spark, sf_dir).build_dim_customer()
 
 
 @query("scd2_changes")
@@ -69,12 +69,12 @@ def q_scd2_changes(spark, sf_dir):
 
 @query("scd2_expire")
 def q_scd2_expire(spark, sf_dir):
-    return P(spark, sf_dir).customer_history()
+    return P(spark, sf_dir).build_customer_history()
 
 
 @query("fact_load")
 def q_fact_load(spark, sf_dir):
-    return P(spark, sf_dir).fact()
+    return P(spark, sf_dir).build_fact()
 
 
 @query("merchant_stats")
@@ -284,7 +284,7 @@ def q_raw_retention(spark, sf_dir):
 
 @query("merchant_enrich")
 def q_merchant_enrich(spark, sf_dir):
-    d = P(spark, sf_dir).dim_merchant().where(F.col("merchant_key") != -1)
+    d = P(spark, sf_dir).build_dim_merchant().where(F.col("merchant_key") != -1)
     return d.select("merchant_id", "merchant_category", "category_group", "merchant_country", "merchant_region",
                     "is_online")
 
@@ -348,12 +348,12 @@ def q_fact_full_reload(spark, sf_dir):
 # --- upserts and incremental loads -------------------------------------------------------------
 @query("stage_upsert")
 def q_stage_upsert(spark, sf_dir):
-    return P(spark, sf_dir).staged_run2()
+    return P(spark, sf_dir).build_staged_run2()
 
 
 @query("dim_merchant_upsert")
 def q_dim_merchant_upsert(spark, sf_dir):
-    return P(spark, sf_dir).dim_merchant_run2()
+    return P(spark, sf_dir).build_dim_merchant_run2()
 
 
 @query("fact_load_incremental")
@@ -442,7 +442,7 @@ from ledgerflow.operators import events as E  # noqa: E402
 
 
 def _validated(spark, sf_dir):
-    return E.validate(E.unwrap(A.event_lines(spark, sf_dir)))
+    return E.validate(E.unwrap(P(spark, sf_dir).event_lines()))
 
 
 def _request_id():
@@ -460,7 +460,7 @@ def _f(name):
 
 @query("event_unwrap")
 def q_event_unwrap(spark, sf_dir):
-    ev = E.unwrap(A.event_lines(spark, sf_dir))
+    ev = E.unwrap(P(spark, sf_dir).event_lines())
     return ev.select("event_id", "event_pos", _f("transaction_id").alias("transaction_id"),
                      _f("customer_id").alias("customer_id"), _f("merchant_id").alias("merchant_id"),
                      _f("amount").try_cast("decimal(18,2)").alias("amount"), _f("currency").alias("currency"),
@@ -481,7 +481,7 @@ def q_event_enrich(spark, sf_dir):
 
 @query("mask_card")
 def q_mask_card(spark, sf_dir):
-    ev = E.unwrap(A.event_lines(spark, sf_dir)).where(_f("card_number").isNotNull())
+    ev = E.unwrap(P(spark, sf_dir).event_lines()).where(_f("card_number").isNotNull())
     from ledgerflow.functions.columns import mask_card
     return ev.select("event_id", "event_pos", _f("card_number").alias("card_number_raw"),
                      mask_card(_f("card_number")).alias("card_number"))
@@ -500,7 +500,7 @@ def q_event_rejects(spark, sf_dir):
 
 @query("hourly_volume")
 def q_hourly_volume(spark, sf_dir):
-    ev = E.unwrap(A.event_lines(spark, sf_dir))
+    ev = E.unwrap(P(spark, sf_dir).event_lines())
     return (ev.groupBy(F.window("ts", "1 hour").start.alias("hour_start"))
             .agg(F.count(F.lit(1)).alias("events")))
 
@@ -533,7 +533,7 @@ from ledgerflow.streaming import ingest as SI  # noqa: E402
 def _landed_messages(spark, sf_dir, n_chunks=4):
     root = _fresh_dir(spark, "stream")
     src = os.path.join(root, "in")
-    lines = A.event_lines(spark, sf_dir)
+    lines = P(spark, sf_dir).event_lines()
     return root, src, SI.time_chunks(lines, "ts", n_chunks)
 
 
@@ -581,7 +581,8 @@ def q_late_rows(spark, sf_dir):
 @query("stream_stage_upsert")
 def q_stream_stage_upsert(spark, sf_dir):
     """Landing CSVs in load-time order, staged by micro-batch upserts into the bucketed
-    staging table; the end state equals one batch staging of all rows."""
+    staging table. Each id ends with its latest valid version (an id whose newest row is
+    unparseable keeps the version staged earlier, where one batch over all rows drops it)."""
     root = _fresh_dir(spark, "stream-stage")
     src, table = os.path.join(root, "in"), os.path.join(root, "staging")
     raw = P(spark, sf_dir).raw()
@@ -589,7 +590,7 @@ def q_stream_stage_upsert(spark, sf_dir):
         SI.land_transactions_csv(c, src)
     from ledgerflow.plans.pipeline import FULL
     SI.stage_landing_stream(spark, src, table, os.path.join(root, "ck"), os.path.join(root, "scratch"), FULL,
-                            as_of_of_batch=lambda b: A.TXN_AS_OF, max_files_per_trigger=8)
+                            as_of_of_batch="data", max_files_per_trigger=8)
     return spark.read.parquet(table).drop("_bucket")
 
 

@@ -56,3 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables, under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence test through the Hadoop file system of the path (local, HDFS, object
+    stores alike), as a cluster job must not use the driver's local disk."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.columns import date_lit
-from ledgerflow.sources.tables import read_table
+from ledgerflow.sources.tables import read_table, spread
 
 # Scenario times for the transaction adapter (A).
 TXN_AS_OF = dt.datetime(2001, 11, 5, 0, 0, 0)
@@ -63,7 +63,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+    j = (spread(li).join(orders, li.l_orderkey == orders.o_orderkey)
          .join(supplier, li.l_suppkey == supplier.s_suppkey))
     part, supp, line, order = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.col("l_orderkey")
     return j.select(
@@ -170,7 +170,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text) and wrapped by event_id % 4: 0 bare, 1 ``body`` object, 2 ``detail`` object,
     3 a ``Records`` list whose ``body`` is the payload as a JSON string.
     """
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value"))
     e = F.col("event_id")
     tid = (F.when(e % 61 == 0, F.lit("T"))
            .when(e % 20 == 19, F.concat(F.lit("TXN_"), _s(e - 1)))

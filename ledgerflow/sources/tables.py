@@ -17,3 +17,11 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that arrives in fewer partitions than the cluster has cores (a
+    small file with one row group is one split) before string-heavy projections.
+    On real inputs the scan already has many splits and this adds nothing."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
