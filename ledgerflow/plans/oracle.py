@@ -422,10 +422,13 @@ SELECT count(*) AS rows, 19 AS columns, min(transaction_timestamp) AS first_ts,
   count(DISTINCT customer_id) AS customers, count(DISTINCT merchant_id) AS merchants, min(amount) AS amount_min,
   max(amount) AS amount_max, CAST(avg(amount) AS DECIMAL(18,2)) AS amount_mean FROM staged""", "staged")
 oracle("value_breakdown", """
-SELECT column_name, value, count(*) AS count FROM (
+SELECT column_name, value, count,
+  CAST(round(CAST(count AS DECIMAL(20,0)) * 100 / sum(count) OVER (PARTITION BY column_name), 2) AS DECIMAL(9,2))
+    AS percent
+FROM (SELECT column_name, value, count(*) AS count FROM (
   SELECT 'status' AS column_name, status AS value FROM staged
   UNION ALL SELECT 'channel', channel FROM staged
-  UNION ALL SELECT 'currency', currency FROM staged) t GROUP BY 1, 2""", "staged")
+  UNION ALL SELECT 'currency', currency FROM staged) t GROUP BY 1, 2) c""", "staged")
 oracle("distinct_counts", """
 SELECT count(DISTINCT transaction_id) AS distinct_transactions, count(DISTINCT customer_id) AS distinct_customers,
   count(DISTINCT merchant_id) AS distinct_merchants FROM staged""", "staged")
@@ -543,3 +546,45 @@ FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start, TRY_CAST(raw_a
 oracle("event_sink_partitions", """
 SELECT year(ts) AS year, month(ts) AS month, day(ts) AS day, hour(ts) AS hour, count(*) AS events
 FROM ev_checked WHERE error IS NULL GROUP BY 1, 2, 3, 4""", "ev_checked")
+
+
+# --- oracles for keys whose result is deterministic though written through files -----------------
+oracle("quality_score", """
+SELECT passed, failed, CAST(passed * 100.0 / NULLIF(passed + failed, 0) AS DECIMAL(9,4)) AS quality_score,
+  CASE WHEN CAST(passed * 100.0 / NULLIF(passed + failed, 0) AS DECIMAL(9,4)) >= 99 THEN 'green'
+       WHEN CAST(passed * 100.0 / NULLIF(passed + failed, 0) AS DECIMAL(9,4)) >= 90 THEN 'yellow'
+       WHEN passed + failed > 0 THEN 'red' END AS band
+FROM (SELECT count(CASE WHEN success THEN 1 END) AS passed, count(CASE WHEN NOT success THEN 1 END) AS failed
+      FROM dq_results) s""", "dq_results")
+
+cte("dq2_agg", f"""SELECT count(*) AS n, count(CASE WHEN transaction_id IS NULL THEN 1 END) AS c1,
+  count(DISTINCT transaction_id) AS c2,
+  count(CASE WHEN {_NUM} < 0.01 OR {_NUM} > 999999.99 THEN 1 END) AS c3,
+  count(CASE WHEN {_NUM} > 999999.99 THEN 1 END) AS c4,
+  (SELECT count(*) FROM (SELECT DISTINCT transaction_id, amount FROM clean) x) AS c10
+FROM clean""", ["clean"])
+_MISSING = [
+    (5, "Check 5: Valid currency", "referential", "currency", "1"),
+    (6, "Check 6: Valid status", "referential", "status", "1"),
+    (7, "Check 7: No future timestamps", "timeliness", "transaction_timestamp", "1"),
+    (8, "Check 8: Customer ID exists", "completeness", "customer_id", "1"),
+    (9, "Check 9: Merchant ID exists", "completeness", "merchant_id", "1"),
+    (13, "Check 13: Data freshness", "timeliness", "transaction_timestamp", "0.99"),
+    (14, "Check 14: Valid channel", "referential", "channel", "1"),
+]
+_dq2 = [DQ_ROWS[i].replace("FROM dq_agg", "FROM dq2_agg") for i in (1, 2, 3, 4, 10)]
+_dq2.append("SELECT 11, 'Check 11: Schema compliance', 'schema', FALSE, "
+            "'Missing: [''currency'', ''customer_id'', ''merchant_id'', ''status'', ''transaction_timestamp'']', "
+            "0.285714, 1.0 FROM dq2_agg")
+_dq2.append(DQ_ROWS[12].replace("FROM dq_agg", "FROM dq2_agg"))
+_dq2.append("SELECT 15, 'Check 15: Card number masked', 'security', TRUE, 'No card column - N/A', 1, 1 FROM dq2_agg")
+for cid, name, typ, col, thr in _MISSING:
+    _dq2.append(f"SELECT {cid}, '{name}', '{typ}', FALSE, 'Column ''{col}'' missing', 0, {thr} FROM dq2_agg")
+oracle("dq_missing_columns", "SELECT check_id, check_name, check_type, success, details, "
+       "CAST(metric_value AS DECIMAL(18,6)) AS metric_value, CAST(threshold AS DECIMAL(18,6)) AS threshold FROM ("
+       + "\nUNION ALL\n".join(_dq2) + ") r(check_id, check_name, check_type, success, details, metric_value, threshold) "
+       "WHERE (SELECT n FROM dq2_agg) > 0", "dq2_agg")
+
+oracle("fact_layout", "SELECT *, CAST(transaction_date_key // 100 AS INTEGER) AS date_month FROM fact", "fact")
+oracle("bulk_load_modes", "SELECT s.*, [c.n, c.n, c.n] AS _rows_written FROM staged s, (SELECT count(*) AS n FROM staged) c",
+       "staged")

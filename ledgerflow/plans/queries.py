@@ -421,12 +421,17 @@ def q_dataset_profile(spark, sf_dir):
 
 @query("value_breakdown")
 def q_value_breakdown(spark, sf_dir):
-    """Value counts of status, channel and currency, most frequent first."""
+    """Value counts with percent of rows for status, channel and currency, most
+    frequent first: one pass (the three columns stacked), then a window over the
+    grouped counts only (one row per distinct value)."""
+    from pyspark.sql import Window
     s = P(spark, sf_dir).staged()
     tall = s.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"))
                                        for c in ["status", "channel", "currency"]])))
-    return (tall.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
-            .orderBy("column_name", F.desc("count"), "value"))
+    counts = tall.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    total = F.sum("count").over(Window.partitionBy("column_name"))
+    pct = F.round(F.col("count").cast("decimal(20,0)") * 100 / total.cast("decimal(20,0)"), 2).cast("decimal(9,2)")
+    return counts.withColumn("percent", pct).orderBy("column_name", F.desc("count"), "value")
 
 
 @query("distinct_counts")
