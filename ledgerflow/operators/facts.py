@@ -37,10 +37,13 @@ def unknown_merchant(dim_merchant: DataFrame) -> DataFrame:
 
 
 def ensure_unknown_member(dim: DataFrame, member: DataFrame, key: str) -> DataFrame:
-    """Insert-if-missing of the unknown member (key -1): one literal row anti-joined
-    against the dimension's -1 rows, so re-running adds nothing."""
-    missing = member.join(dim.where(F.col(key) == C.UNKNOWN_KEY).select(key), key, "left_anti")
-    return dim.unionByName(missing)
+    """Insert-if-missing of the unknown member (key -1): the dimension's own -1 row wins
+    over the literal one (top-1 of at most a few rows by priority), so re-running adds
+    nothing and no join is needed."""
+    known = dim.where(F.col(key) != C.UNKNOWN_KEY)
+    candidates = (dim.where(F.col(key) == C.UNKNOWN_KEY).withColumn("_prio", F.lit(0))
+                  .unionByName(member.withColumn("_prio", F.lit(1))))
+    return known.unionByName(candidates.orderBy("_prio").limit(1).drop("_prio"))
 
 
 def load_fact(staged: DataFrame, dim_customer: DataFrame, dim_merchant: DataFrame, as_of: dt.datetime,
