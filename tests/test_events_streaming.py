@@ -151,3 +151,19 @@ def test_corrupt_csv_rows_are_kept(spark):
     assert good.count() == 1 and bad.count() == 1
     r = bad.first()
     assert r["customer_id"] is None and r["merchant_id"] is None and r["amount"] is None
+
+
+def test_fact_dense_keys_append(spark):
+    from ledgerflow.plans.pipeline import Pipeline
+    from ledgerflow.sources import sinks as SK
+    fact = Pipeline(spark, SF_SMALL).fact()
+    path = scratch_path(spark, f"fact-{uuid.uuid4().hex[:8]}")
+    half1 = fact.where(F.col("transaction_date_key") < 19980101)
+    half2 = fact.where(F.col("transaction_date_key") >= 19980101)
+    n1 = SK.write_fact(half1, path, mode="append")
+    n2 = SK.write_fact(half2, path, mode="append")
+    t = spark.read.parquet(path)
+    a = t.agg(F.min("transaction_key"), F.max("transaction_key"), F.count_distinct("transaction_key"),
+              F.count(F.lit(1))).first()
+    assert (a[0], a[1], a[2], a[3]) == (1, n1 + n2, n1 + n2, n1 + n2)
+    assert t.where(F.col("transaction_date_key") >= 19980101).agg(F.min("transaction_key")).first()[0] == n1 + 1
