@@ -31,6 +31,7 @@ FULL = dt.timedelta(days=A.TXN_FULL_LOOKBACK_DAYS)
 METRIC_WINDOW = dt.timedelta(days=A.TXN_METRIC_LOOKBACK_DAYS)
 
 _LOCK = threading.RLock()
+_SIGNATURES: dict = {}
 _CODE_VERSION: str | None = None
 
 
@@ -53,15 +54,34 @@ class Pipeline:
     """Layers of one scenario over ``sf_dir``; ``materialize=False`` keeps every layer a
     lazy plan (used by tests that inspect whole plans)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True, run_id: str = "shared"):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
+        self.run_id = run_id
 
     # --- layer storage ------------------------------------------------------------------
+    def _input_signature(self) -> str:
+        """Path, size and modification time of every input file (Hadoop FS listing), so
+        stored layers are reused only for unchanged inputs."""
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(self.sf_dir)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        h = hashlib.sha1(self.sf_dir.encode())
+        it = fs.listFiles(p, True)
+        entries = []
+        while it.hasNext():
+            st = it.next()
+            entries.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+        for e in sorted(entries):
+            h.update(e.encode())
+        return h.hexdigest()[:10]
+
     def _root(self) -> str:
-        key = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:10]
-        return scratch_path(self.spark, os.path.join("layers", f"{key}-{code_version()}"))
+        key = _SIGNATURES.get((self.sf_dir, id(self.spark)))
+        if key is None:
+            key = _SIGNATURES[(self.sf_dir, id(self.spark))] = self._input_signature()
+        return scratch_path(self.spark, os.path.join("layers", self.run_id, f"{key}-{code_version()}"))
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if not self.materialize:
@@ -78,7 +98,7 @@ class Pipeline:
         return self.spark.read.parquet(path)
 
     def layer_names(self) -> list[str]:
-        return ["event_lines", "raw", "staged", "customer_history_1", "customer_history", "dim_customer_1", "dim_customer",
+        return ["event_lines", "raw", "clean", "staged", "customer_history_1", "customer_history", "dim_customer_1", "dim_customer",
                 "dim_merchant", "fact", "staged_run1", "staged_run2", "dim_merchant_run1", "dim_merchant_run2",
                 "fact_run1"]
 
@@ -90,9 +110,14 @@ class Pipeline:
     def raw(self) -> DataFrame:
         return self.table("raw", lambda: A.raw_transactions(self.spark, self.sf_dir))
 
-    def clean(self) -> DataFrame:
+    def build_clean(self) -> DataFrame:
         return ST.clean_transactions(self.raw(), A.TXN_AS_OF, FULL)
 
+    def clean(self) -> DataFrame:
+        """The cleaned, deduplicated batch (with its raw card number) before the reject
+        split: what the data-quality checks inspect."""
+        return self.table("clean", self.build_clean)
+
     def staged_and_rejects(self):
         return ST.stage_transactions(self.clean(), A.TXN_AS_OF)
 

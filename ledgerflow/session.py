@@ -24,10 +24,14 @@ JOB_CONF = {
 }
 
 
-def get_session(master: str | None = None, app: str = "ledgerflow", shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(master: str | None = None, app: str = "ledgerflow", shuffle_partitions: int | None = None,
+                driver_memory: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        # only effective when this call starts the JVM (local runs, tests, bench)
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

@@ -14,7 +14,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ledgerflow.session import get_session
-    s = get_session("local[8]", shuffle_partitions=8)
+    s = get_session("local[8]", shuffle_partitions=8, driver_memory="6g")
     yield s
     s.stop()
 

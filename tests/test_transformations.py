@@ -64,7 +64,7 @@ def test_dedup_latest(spark):
 
 def test_dedup_plans_group_limit(spark):
     p = Pipeline(spark, SF_SMALL)
-    plan = p.clean()._jdf.queryExecution().executedPlan().toString()
+    plan = p.build_clean()._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
