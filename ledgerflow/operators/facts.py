@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerflow import constants as C
 from ledgerflow.functions.columns import date_key, month_key, ts_lit, usd_amount
+from ledgerflow.operators.joins import HOT_KEY_ROWS, lookup_join
 from ledgerflow.operators.merchant import DIM_MERCHANT_COLUMNS
 from ledgerflow.operators.scd2 import DIM_CUSTOMER_COLUMNS
 from ledgerflow.operators.staging import recent
@@ -48,14 +49,16 @@ def ensure_unknown_member(dim: DataFrame, member: DataFrame, key: str) -> DataFr
 
 def load_fact(staged: DataFrame, dim_customer: DataFrame, dim_merchant: DataFrame, as_of: dt.datetime,
               lookback: dt.timedelta, existing_fact: DataFrame | None = None,
-              processed_at: Column | None = None) -> DataFrame:
+              processed_at: Column | None = None, hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Fact rows for recently staged transactions not yet in the fact.
 
     Dimension lookups are left joins on the natural key to the current customer version
     and to the merchant; misses get the unknown member -1. The lookup sides hold one row
-    per key, so a hot customer or merchant can only skew the streamed fact side, which
-    AQE splits; small dimensions are broadcast by Spark's size check. The "already
-    loaded" test is a left-anti join on transaction_id.
+    per key, so a hot customer or merchant can only skew the fact side: the customer
+    lookup splits off hot customers and joins them by broadcast (:func:`lookup_join`);
+    the merchant dimension is small by nature and broadcast by Spark's size check (AQE
+    splits skewed partitions if it is not). The "already loaded" test is a left-anti
+    join on transaction_id.
     """
     feed = recent(staged, "_staged_at", as_of, lookback)
     if existing_fact is not None:
@@ -63,7 +66,7 @@ def load_fact(staged: DataFrame, dim_customer: DataFrame, dim_merchant: DataFram
     cust = (dim_customer.where(F.col("is_current") & (F.col("customer_key") != C.UNKNOWN_KEY))
             .select("customer_id", "customer_key"))
     merch = dim_merchant.where(F.col("merchant_key") != C.UNKNOWN_KEY).select("merchant_id", "merchant_key")
-    j = feed.join(cust, "customer_id", "left").join(merch, "merchant_id", "left")
+    j = lookup_join(feed, cust, "customer_id", "left", hot_rows).join(merch, "merchant_id", "left")
     return j.select(
         "transaction_id",
         F.coalesce(F.col("customer_key"), F.lit(C.UNKNOWN_KEY).cast(T.LongType())).alias("customer_key"),

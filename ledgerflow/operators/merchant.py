@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerflow import constants as C
 from ledgerflow.functions.columns import category_group, hash_key, merchant_region, online_flag, ts_lit
+from ledgerflow.operators.joins import lookup_join
 
 DIM_MERCHANT_COLUMNS = [
     "merchant_key", "merchant_id", "merchant_name", "merchant_category", "category_group", "mcc_code",
@@ -134,14 +135,14 @@ def merchant_first_values(staged: DataFrame) -> DataFrame:
 
     Computed as an aggregate joined back rather than a window: a window would pull every
     row of a hot merchant into one task; the aggregate pre-aggregates map-side and the
-    join back is a one-row-per-merchant lookup (broadcast when small, else a skew-split
-    sort-merge join under AQE).
+    join back is a one-row-per-merchant lookup with hot merchants joined by broadcast
+    (:func:`ledgerflow.operators.joins.lookup_join`).
     """
     stats = merchant_batch_stats(staged).select(
         "merchant_id", F.col("merchant_category").alias("latest_category"),
         F.col("merchant_city").alias("latest_city"), F.col("merchant_country").alias("latest_country"))
     rows = staged.where(F.col("merchant_id").isNotNull()).select("transaction_id", "merchant_id")
-    return rows.join(stats, "merchant_id", "left")
+    return lookup_join(rows, stats, "merchant_id", "left")
 
 
 def merchant_window_stats(staged: DataFrame) -> DataFrame:
@@ -151,4 +152,4 @@ def merchant_window_stats(staged: DataFrame) -> DataFrame:
         "merchant_id", F.col("first_seen").alias("merchant_first_seen"),
         F.col("last_seen").alias("merchant_last_seen"), F.col("txn_count").alias("merchant_txn_count"))
     rows = staged.where(F.col("merchant_id").isNotNull()).select("transaction_id", "merchant_id")
-    return rows.join(stats, "merchant_id", "left")
+    return lookup_join(rows, stats, "merchant_id", "left")

@@ -51,3 +51,17 @@ def test_star_rollup_preaggregates(spark):
 
 def test_dedup_group_limit(spark):
     assert "WindowGroupLimit" in plan_of(QUERIES["stage_clean"](spark, SF_SMALL))
+
+
+def test_hot_key_lookup(spark):
+    from pyspark.sql import functions as F
+    from ledgerflow.operators.joins import lookup_join
+    facts = spark.range(0, 20000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500))
+                                         .alias("k"), F.col("id"))
+    dim = spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    split = lookup_join(facts, dim, "k", "left", hot_rows=1000)
+    plain = facts.join(dim, "k", "left")
+    assert split.count() == plain.count() == 20000
+    assert split.exceptAll(plain).count() == 0
+    hot = split.where("k = 7").agg(F.count(F.lit(1)), F.max("v")).first()
+    assert hot[0] >= 6667 and hot[1] == 70
