@@ -282,9 +282,15 @@ def q_recent_window(spark, sf_dir):
 
 @query("raw_retention")
 def q_raw_retention(spark, sf_dir):
-    """Raw rows kept by a 90-day retention at as_of, per load day."""
-    kept = ST.recent(P(spark, sf_dir).raw(), "_loaded_at", A.TXN_AS_OF, _dt.timedelta(days=90))
-    return kept.groupBy(F.to_date("_loaded_at").alias("load_date")).agg(F.count(F.lit(1)).alias("records"))
+    """The raw table stored by load day, 90-day retention applied at as_of by dropping
+    old day partitions, then rows kept per load day."""
+    from ledgerflow.sources import sinks as SK
+    path = _fresh_dir(spark, "raw-by-day")
+    SK.write_by_day(P(spark, sf_dir).raw(), path, "_loaded_at")
+    cutoff = A.TXN_AS_OF - _dt.timedelta(days=90)
+    SK.drop_partitions_before(spark, path, cutoff.date())
+    kept = SK.retain(spark.read.parquet(path), "_loaded_at", A.TXN_AS_OF, 90)
+    return kept.groupBy(F.col("load_date")).agg(F.count(F.lit(1)).alias("records"))
 
 
 @query("merchant_enrich")
