@@ -14,6 +14,7 @@ import datetime as dt
 import hashlib
 import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,16 @@ def code_version() -> str:
     return _CODE_VERSION
 
 
+def _publish(spark: SparkSession, tmp: str, path: str) -> None:
+    sc = spark.sparkContext
+    jp = sc._jvm.org.apache.hadoop.fs.Path
+    src, dst = jp(tmp), jp(path)
+    fs = dst.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        fs.delete(src, True)  # another builder published first
+
+
 class Pipeline:
     """Layers of one scenario over ``sf_dir``; ``materialize=False`` keeps every layer a
     lazy plan (used by tests that inspect whole plans)."""
@@ -94,7 +105,11 @@ class Pipeline:
                 par = self.spark.sparkContext.defaultParallelism
                 if df.rdd.getNumPartitions() < par:
                     df = df.repartition(par)
-                df.write.mode("overwrite").parquet(path)
+                # write aside, then publish with one rename: a reader never sees a
+                # half-written layer, and of two concurrent builders one wins
+                tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+                df.write.mode("overwrite").parquet(tmp)
+                _publish(self.spark, tmp, path)
         return self.spark.read.parquet(path)
 
     def layer_names(self) -> list[str]:
