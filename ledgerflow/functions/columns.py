@@ -50,7 +50,7 @@ def trimmed(name: str) -> Column:
 
 def safe_decimal(c: Column, precision: int = 18, scale: int = 2) -> Column:
     """Unparseable text becomes null instead of failing the job (ANSI mode)."""
-    return F.try_cast(c, T.DecimalType(precision, scale)) if hasattr(F, "try_cast") else c.try_cast(T.DecimalType(precision, scale))
+    return c.try_cast(T.DecimalType(precision, scale))
 
 
 def safe_timestamp(c: Column) -> Column:

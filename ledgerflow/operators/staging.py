@@ -7,7 +7,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerflow.functions.columns import (
     batch_id, international_flag, last_four, null_markers, safe_decimal, safe_timestamp, ts_lit,
