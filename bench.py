@@ -33,7 +33,7 @@ def main() -> None:
     import uuid
 
     from ledgerflow.plans import queries as QM
-    from ledgerflow.plans.pipeline import Pipeline
+    from ledgerflow.plans.layers import Layers
 
     # a fresh layer folder per bench run: every layer is built (and timed) in this run
     run_id = f"bench-{uuid.uuid4().hex[:10]}"
@@ -45,7 +45,7 @@ def main() -> None:
     # service, not class loading and first compilation.
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if warm_dir and os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
-        wp = Pipeline(spark, warm_dir, run_id=run_id)
+        wp = Layers(spark, warm_dir, run_id=run_id)
         for name in wp.layer_names():
             getattr(wp, name)()
         for k in keys:
@@ -54,7 +54,7 @@ def main() -> None:
     times = {}
     # the pipeline layers (raw, staging, history, dimensions, facts) are written once
     # and read by the queries; their build time is part of the total
-    p = Pipeline(spark, sf_dir, run_id=run_id)
+    p = Layers(spark, sf_dir, run_id=run_id)
     for name in p.layer_names():
         t = time.perf_counter()
         getattr(p, name)()

@@ -61,7 +61,7 @@ def _publish(spark: SparkSession, tmp: str, path: str) -> None:
         fs.delete(src, True)  # another builder published first
 
 
-class Pipeline:
+class Layers:
     """Layers of one scenario over ``sf_dir``; ``materialize=False`` keeps every layer a
     lazy plan (used by tests that inspect whole plans)."""
 

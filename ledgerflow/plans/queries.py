@@ -15,7 +15,7 @@ from ledgerflow.operators import facts as FA
 from ledgerflow.operators import merchant as M
 from ledgerflow.operators import scd2 as S
 from ledgerflow.operators import staging as ST
-from ledgerflow.plans.pipeline import Pipeline
+from ledgerflow.plans.layers import Layers
 from ledgerflow.sources import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,8 +33,8 @@ def query(name: str):
 RUN_ID = "shared"
 
 
-def P(spark, sf_dir) -> Pipeline:
-    return Pipeline(spark, sf_dir, run_id=RUN_ID)
+def P(spark, sf_dir) -> Layers:
+    return Layers(spark, sf_dir, run_id=RUN_ID)
 
 
 # --- flagship ----------------------------------------------------------------------------
@@ -89,7 +89,7 @@ def q_merchant_stats(spark, sf_dir):
 
 # --- monitoring ------------------------------------------------------------------------------
 from ledgerflow.operators import monitoring as MO  # noqa: E402
-from ledgerflow.plans.pipeline import METRIC_WINDOW  # noqa: E402
+from ledgerflow.plans.layers import METRIC_WINDOW  # noqa: E402
 
 LAST_DAY = A.TXN_AS_OF.date() - __import__("datetime").timedelta(days=1)
 
@@ -346,7 +346,7 @@ def q_fact_full_reload(spark, sf_dir):
     """Fact rebuilt from all of staging (no lookback), reconciled per staging batch."""
     p = P(spark, sf_dir)
     staged = p.staged_run2()
-    from ledgerflow.plans.pipeline import FULL
+    from ledgerflow.plans.layers import FULL
     fact = FA.load_fact(staged, p.dim_customer(), p.dim_merchant_run2(), A.TXN_AS_OF, FULL,
                         processed_at=A.simulated_processed_at(staged))
     s = staged.groupBy("_batch_id").agg(F.count(F.lit(1)).alias("staged_rows"))
@@ -604,7 +604,7 @@ def q_stream_stage_upsert(spark, sf_dir):
     raw = P(spark, sf_dir).raw()
     for c in SI.time_chunks(raw, "_loaded_at", 3):
         SI.land_transactions_csv(c, src)
-    from ledgerflow.plans.pipeline import FULL
+    from ledgerflow.plans.layers import FULL
     SI.stage_landing_stream(spark, src, table, os.path.join(root, "ck"), os.path.join(root, "scratch"), FULL,
                             as_of_of_batch="data", max_files_per_trigger=8)
     return spark.read.parquet(table).drop("_bucket")

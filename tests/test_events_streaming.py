@@ -102,8 +102,8 @@ def test_late_rows_side_table(spark):
 
 def test_stream_stage_upsert_matches_batch(spark):
     streamed = QUERIES["stream_stage_upsert"](spark, SF_SMALL)
-    from ledgerflow.plans.pipeline import Pipeline
-    batch = Pipeline(spark, SF_SMALL).staged()
+    from ledgerflow.plans.layers import Layers
+    batch = Layers(spark, SF_SMALL).staged()
     cols = ["transaction_id", "customer_id", "amount", "currency", "status", "transaction_timestamp"]
     assert streamed.groupBy("transaction_id").count().where("count > 1").count() == 0
     # every id staged by one batch run has the same latest version in the stream
@@ -114,8 +114,8 @@ def test_stream_stage_upsert_matches_batch(spark):
 
 
 def test_rows_only_keys(spark):
-    from ledgerflow.plans.pipeline import Pipeline
-    p = Pipeline(spark, SF_SMALL)
+    from ledgerflow.plans.layers import Layers
+    p = Layers(spark, SF_SMALL)
     n_raw = p.raw().count()
     csv = QUERIES["ingest_csv"](spark, SF_SMALL)
     assert csv.count() == n_raw and csv.where("_rejected").count() == 0
@@ -154,9 +154,9 @@ def test_corrupt_csv_rows_are_kept(spark):
 
 
 def test_fact_dense_keys_append(spark):
-    from ledgerflow.plans.pipeline import Pipeline
+    from ledgerflow.plans.layers import Layers
     from ledgerflow.sources import sinks as SK
-    fact = Pipeline(spark, SF_SMALL).fact()
+    fact = Layers(spark, SF_SMALL).fact()
     path = scratch_path(spark, f"fact-{uuid.uuid4().hex[:8]}")
     half1 = fact.where(F.col("transaction_date_key") < 19980101)
     half2 = fact.where(F.col("transaction_date_key") >= 19980101)
@@ -170,10 +170,10 @@ def test_fact_dense_keys_append(spark):
 
 
 def test_stream_sliding_windows_equal_batch(spark):
-    from ledgerflow.plans.pipeline import Pipeline
+    from ledgerflow.plans.layers import Layers
     root = scratch_path(spark, f"win-{uuid.uuid4().hex[:8]}")
     src, out, ck = (os.path.join(root, x) for x in ("in", "out", "ck"))
-    for c in SI.time_chunks(Pipeline(spark, SF_SMALL).event_lines(), "ts", 3):
+    for c in SI.time_chunks(Layers(spark, SF_SMALL).event_lines(), "ts", 3):
         SI.land_messages(c, src)
     SI.windowed_event_metrics(spark, src, out, ck, max_files_per_trigger=8)
     streamed = spark.read.parquet(out)

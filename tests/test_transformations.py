@@ -12,7 +12,7 @@ from ledgerflow.functions.columns import (
 )
 from ledgerflow.operators import scd2 as S
 from ledgerflow.operators import staging as ST
-from ledgerflow.plans.pipeline import Pipeline
+from ledgerflow.plans.layers import Layers
 from ledgerflow.sources import adapters as A
 
 from conftest import SF_SMALL
@@ -63,13 +63,13 @@ def test_dedup_latest(spark):
 
 
 def test_dedup_plans_group_limit(spark):
-    p = Pipeline(spark, SF_SMALL)
+    p = Layers(spark, SF_SMALL)
     plan = p.build_clean()._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
 def test_scd2_invariants(spark):
-    p = Pipeline(spark, SF_SMALL)
+    p = Layers(spark, SF_SMALL)
     hist = p.customer_history()
     cur = hist.where("is_current").groupBy("customer_id").count()
     assert cur.where("count > 1").count() == 0
@@ -86,14 +86,14 @@ def test_scd2_invariants(spark):
 
 
 def test_scd2_classes_golden(spark):
-    p = Pipeline(spark, "/root/testdata/sf0.01")
+    p = Layers(spark, "/root/testdata/sf0.01")
     ch = S.classify_changes(p.customer_history_1(), A.raw_customer_snapshot(spark, "/root/testdata/sf0.01", 2))
     got = {r[0]: r[1] for r in ch.groupBy("change_type").count().collect()}
     assert got == {"INSERT": 77, "UPDATE": 390, "NO_CHANGE": 1003}
 
 
 def test_upsert_idempotent(spark):
-    p = Pipeline(spark, SF_SMALL)
+    p = Layers(spark, SF_SMALL)
     s2 = p.staged_run2()
     src, _ = ST.stage_transactions(p.clean_run2(), A.TXN_AS_OF, keep_load_time=True)
     again = ST.upsert_staging(s2, src)
@@ -101,7 +101,7 @@ def test_upsert_idempotent(spark):
 
 
 def test_adapter_golden_sf001(spark):
-    p = Pipeline(spark, "/root/testdata/sf0.01")
+    p = Layers(spark, "/root/testdata/sf0.01")
     raw = p.raw()
     assert raw.count() == 60000
     clean = p.clean()
