@@ -307,8 +307,8 @@ SELECT transaction_id,
 FROM staged""", "staged")
 oracle("dim_date", """
 SELECT CAST(strftime(dd, '%Y%m%d') AS INTEGER) AS transaction_date_key, CAST(dd AS DATE) AS date,
-  year(dd) AS year, quarter(dd) AS quarter, month(dd) AS month, day(dd) AS day,
-  (isodow(dd) - 1) AS day_of_week, isodow(dd) >= 6 AS is_weekend
+  CAST(year(dd) AS INTEGER) AS year, CAST(quarter(dd) AS INTEGER) AS quarter, CAST(month(dd) AS INTEGER) AS month,
+  CAST(day(dd) AS INTEGER) AS day, CAST(isodow(dd) - 1 AS INTEGER) AS day_of_week, isodow(dd) >= 6 AS is_weekend
 FROM (SELECT unnest(generate_series(min(CAST(transaction_timestamp AS DATE)), max(CAST(transaction_timestamp AS DATE)),
       INTERVAL 1 DAY)) AS dd FROM fact) x""", "fact")
 
@@ -476,7 +476,7 @@ SELECT event_id, ts, CASE
   WHEN k IS NULL AND NOT json_valid(line) THEN [line]
   ELSE [] END AS evs
 FROM ev_keyed""", ["ev_keyed"])
-cte("ev", """SELECT event_id, ts, unnest(range(len(evs))) AS event_pos, unnest(evs) AS payload FROM ev_lists
+cte("ev", """SELECT event_id, ts, CAST(unnest(range(len(evs))) AS INTEGER) AS event_pos, unnest(evs) AS payload FROM ev_lists
   WHERE len(evs) > 0""", ["ev_lists"])
 _REQ = "['amount', 'currency', 'customer_id', 'merchant_id', 'timestamp', 'transaction_id']"
 cte("ev_checked", f"""
@@ -502,7 +502,7 @@ SELECT event_id, event_pos, json_extract_string(payload, '$.transaction_id') AS
   json_extract_string(payload, '$.customer_id') AS customer_id, json_extract_string(payload, '$.merchant_id') AS merchant_id,
   TRY_CAST(json_extract_string(payload, '$.amount') AS DECIMAL(18,2)) AS amount,
   json_extract_string(payload, '$.currency') AS currency, json_extract_string(payload, '$.timestamp') AS timestamp,
-  len(json_keys(payload)) AS n_fields
+  CAST(len(json_keys(payload)) AS INTEGER) AS n_fields
 FROM ev""", "ev")
 oracle("event_validate", "SELECT event_id, event_pos, json_extract_string(payload, '$.transaction_id') AS transaction_id, "
        "error FROM ev_checked", "ev_checked")
@@ -544,7 +544,8 @@ FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start, TRY_CAST(raw_a
       SELECT time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 15 MINUTE, TRY_CAST(raw_amount AS DECIMAL(18,2))
       FROM ev_checked WHERE error IS NULL) w GROUP BY 1""", "ev_checked")
 oracle("event_sink_partitions", """
-SELECT year(ts) AS year, month(ts) AS month, day(ts) AS day, hour(ts) AS hour, count(*) AS events
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+  CAST(hour(ts) AS INTEGER) AS hour, count(*) AS events
 FROM ev_checked WHERE error IS NULL GROUP BY 1, 2, 3, 4""", "ev_checked")
 
 

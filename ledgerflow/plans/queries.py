@@ -640,7 +640,8 @@ def q_bulk_load_modes(spark, sf_dir):
     n1 = SK.write_table(staged, path, mode="append")
     n2 = SK.write_table(staged, path, mode="append")
     n3 = SK.write_table(staged, path, mode="overwrite")
-    return spark.read.parquet(path).withColumn("_rows_written", F.array(F.lit(n1), F.lit(n2), F.lit(n3)))
+    written = F.array(*[F.lit(n).cast("long") for n in (n1, n2, n3)])
+    return spark.read.parquet(path).withColumn("_rows_written", written)
 
 
 @query("fact_layout")

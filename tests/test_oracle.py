@@ -29,3 +29,19 @@ def test_oracle_sf001(spark, duck_oracle, key):
 
 def test_every_oracle_key_is_a_query():
     assert set(ORACLE) <= set(QUERIES)
+
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "timestamp_ntz": "TIMESTAMP",
+                 "date": "DATE", "boolean": "BOOLEAN", "double": "DOUBLE", "array<string>": "VARCHAR[]",
+                 "array<bigint>": "BIGINT[]"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_oracle_types(spark, duck_small, key):
+    df = QUERIES[key](spark, SF_SMALL)
+    got = {f.name: (f.dataType.simpleString().upper() if f.dataType.simpleString().startswith("decimal")
+                    else SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()))
+           for f in df.schema.fields}
+    rel = duck_small.sql(f"SELECT * FROM ({ORACLE[key]}) q LIMIT 0")
+    want = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    assert got == want
