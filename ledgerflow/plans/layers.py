@@ -101,10 +101,6 @@ class Layers:
         with _LOCK:
             if not path_exists(self.spark, os.path.join(path, "_SUCCESS")):
                 df = build()
-                # a layer fed by a single input split would be read by one task later on
-                par = self.spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() < par:
-                    df = df.repartition(par)
                 # write aside, then publish with one rename: a reader never sees a
                 # half-written layer, and of two concurrent builders one wins
                 tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"

@@ -22,6 +22,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that arrives in fewer partitions than the cluster has cores (a
     small file with one row group is one split) before string-heavy projections.
-    On real inputs the scan already has many splits and this adds nothing."""
+    On real inputs the scan already has many splits and this adds nothing. Only for
+    plain scans: asking an adaptive plan with shuffles for its partition count would
+    run those shuffles."""
     par = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(par) if df.rdd.getNumPartitions() < par else df
