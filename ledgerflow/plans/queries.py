@@ -582,7 +582,9 @@ def q_stream_dedup(spark, sf_dir):
 def q_late_rows(spark, sf_dir):
     """Messages land in four time slices, then a late file re-sends the oldest slice
     with new ids: those rows go to the late side table. The allowed delay (8 days) is
-    longer than one slice, so rows of one slice are never late against each other."""
+    longer than one slice, so rows of one slice are never late against each other, and
+    the late file (landed last, so read last) is 15+ days behind whatever batch it
+    shares."""
     root, src, chunks = _landed_messages(spark, sf_dir)
     out = os.path.join(root, "out")
     for c in chunks:
@@ -590,7 +592,7 @@ def q_late_rows(spark, sf_dir):
     late = chunks[0].withColumn("line", F.regexp_replace("line", "TXN_", "LATE_"))
     SI.land_messages(late, src)
     SI.late_event_split(spark, src, out, os.path.join(root, "ck"), delay=_dt.timedelta(days=8),
-                        max_files_per_trigger=1)
+                        max_files_per_trigger=8)
     return spark.read.parquet(os.path.join(out, "late"))
 
 
