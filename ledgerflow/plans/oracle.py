@@ -589,3 +589,17 @@ oracle("dq_missing_columns", "SELECT check_id, check_name, check_type, success,
 oracle("fact_layout", "SELECT *, CAST(transaction_date_key // 100 AS INTEGER) AS date_month FROM fact", "fact")
 oracle("bulk_load_modes", "SELECT s.*, [c.n, c.n, c.n] AS _rows_written FROM staged s, (SELECT count(*) AS n FROM staged) c",
        "staged")
+
+
+# late rows: the oldest quarter of the event-time range, re-sent with new ids after the rest
+cte("ev_bounds", """SELECT min(ts) AS lo, max(ts) AS hi,
+  min(ts) + to_microseconds(CAST(round((epoch_us(max(ts)) - epoch_us(min(ts))) / 4) AS BIGINT)) AS b1
+  FROM ev_lines""", ["ev_lines"])
+oracle("late_rows", """
+SELECT replace(json_extract_string(c.payload, '$.transaction_id'), 'TXN_', 'LATE_')
+    AS transaction_id, TRY_CAST(c.raw_amount AS DECIMAL(18,2)) AS amount,
+  upper(json_extract_string(c.payload, '$.currency')) AS currency,
+  lower(coalesce(json_extract_string(c.payload, '$.status'), 'pending')) AS status,
+  lower(coalesce(json_extract_string(c.payload, '$.channel'), 'unknown')) AS channel,
+  CAST(json_extract_string(c.payload, '$.timestamp') AS TIMESTAMP) AS event_time
+FROM ev_checked c, ev_bounds b WHERE c.error IS NULL AND c.ts >= b.lo AND c.ts < b.b1""", "ev_checked", "ev_bounds")

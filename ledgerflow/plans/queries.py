@@ -593,7 +593,8 @@ def q_late_rows(spark, sf_dir):
     SI.land_messages(late, src)
     SI.late_event_split(spark, src, out, os.path.join(root, "ck"), delay=_dt.timedelta(days=8),
                         max_files_per_trigger=8)
-    return spark.read.parquet(os.path.join(out, "late"))
+    return spark.read.parquet(os.path.join(out, "late")).select(
+        "transaction_id", "amount", "currency", "status", "channel", "event_time")
 
 
 @query("stream_stage_upsert")
