@@ -6,22 +6,61 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import packing, token_store
+from pyspark.sql import functions as F
+
+from ledgerflow.llm import jaccard, packing, pii, quality, token_store, topk, toxicity
 from ledgerflow.sources.tables import read_table
 
 
+def op1_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op2_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files written and read back: place, length and checksum of each document."""
     return token_store.token_store_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by word 3-gram similarity of 0.9 or more."""
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+def op7_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain and disguised personal data of every document."""
+    return pii.pii_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op8_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.packing_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products for every vector whose id is divisible by 50."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_store, op8_best_two_fit)
+    f.__name__: f for f in (op1_factorization_machine, op2_bradley_terry, op3_token_store,
+                              op4_jaccard_join, op7_deobfuscated_pii, op8_best_two_fit, op10_threshold_top_k)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_threshold_top_k": """
+WITH ok AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id,
+                 CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+          FROM ok q JOIN ok c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 5""",
+}

@@ -20,7 +20,8 @@ import numpy as np
 _ODD = re.compile("[\x1c-\x1f]")
 #: Characters whose normal form and lower case need no look at their neighbours.
 _LATIN = re.compile("[\x21-\x7e\xa1-įı-ɏ]+")
-CACHE = 900_000
+#: Entries of either cache of a worker; what comes later is encoded each time.
+CACHE = 500_000
 
 
 def _byte_letters() -> list[str]:
@@ -53,6 +54,8 @@ class Encoder:
         if self.direct:
             self.words = regex.compile(cuts[0]["pattern"]["Regex"])
             self.letters = _byte_letters()
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.open = "<" if all("<" in x for x in self.specials) else ""
         self.pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
@@ -62,40 +65,38 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         got = self.known.get(word)
         if got is None:
-            if not word.isascii():
-                plain = "".join([self.letters[b] for b in word.encode()])
-            else:
-                plain = word
-            got = array("H" if self.dtype.itemsize == 2 else "I", [t.id for t in self.tok.model.tokenize(plain)]).tobytes()
-            self.known[word] = got
+            plain = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+            got = array(self.code, [t.id for t in self.tok.model.tokenize(plain)]).tobytes()
+            if len(self.known) < CACHE:
+                self.known[word] = got
         return got
 
     def _piece(self, piece: str) -> bytes:
-        if not self.direct or not _LATIN.fullmatch(piece) or any(s in piece for s in self.specials):
+        if not self.direct or not _LATIN.fullmatch(piece) or (self.open in piece and any(s in piece for s in self.specials)):
             return self._whole(piece)
         low = piece.lower()
         if low.isalpha():
             return self._word(low)
+        if low[:-1].isalpha() and low[-1] in ".,!?;:":
+            return self._word(low[:-1]) + self._word(low[-1])
         return b"".join([self._word(w) for w in self.words.findall(low)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
-        if len(self.known) > CACHE:
-            self.known.clear()
-        have, out = self.pieces, []
+        have, get, out = self.pieces, self.pieces.__getitem__, []
         for t in texts:
             if _ODD.search(t):
                 out.append(self._whole(t))
                 continue
             split = t.split()
             try:
-                out.append(b"".join(map(have.__getitem__, split)))
+                out.append(b"".join(map(get, split)))
             except KeyError:
-                for p in split:
-                    if p not in have:
-                        have[p] = self._piece(p)
-                out.append(b"".join(map(have.__getitem__, split)))
+                new = {p: self._piece(p) for p in {*split}.difference(have)}
+                if len(have) < CACHE:
+                    have.update(new)
+                    out.append(b"".join(map(get, split)))
+                else:  # the first pieces seen are the frequent ones: they stay
+                    out.append(b"".join([new[p] if p in new else have[p] for p in split]))
         return out
 
 
