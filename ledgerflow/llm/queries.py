@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import jaccard, packing, pii, quality, token_store, topk, toxicity
+from ledgerflow.llm import decontaminate, jaccard, packing, pii, quality, sentences, token_store, topk, toxicity
 from ledgerflow.sources.tables import read_table
 
 
@@ -32,6 +32,16 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences of repeated runs that are not their first."""
+    return sentences.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op6_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, with the best window of each."""
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain and disguised personal data of every document."""
     return pii.pii_digest(read_table(spark, sf_dir, "documents"))
@@ -49,7 +59,7 @@ def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_factorization_machine, op2_bradley_terry, op3_token_store,
-                              op4_jaccard_join, op7_deobfuscated_pii, op8_best_two_fit, op10_threshold_top_k)
+                              op4_jaccard_join, op5_sentence_spans, op6_simhash_windows, op7_deobfuscated_pii, op8_best_two_fit, op10_threshold_top_k)
 }
 
 ORACLE: dict[str, str] = {
