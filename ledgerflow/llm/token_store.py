@@ -13,7 +13,7 @@ shard is written again whole. A document's global start is its shard's offset, a
 sum with one row per shard, plus ``local_start``.
 
 Cases: null text is empty; an empty text has only the end id; repeated doc_ids stay, in
-order of text; null doc_id sorts first; an empty table gives an empty store; extra
+order of their ids; null doc_id sorts first; an empty table gives an empty store; extra
 columns are ignored.
 """
 
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import scratch, texts
+from ledgerflow.llm.common import cut, discard, scratch, texts
 from ledgerflow.llm.tokens import encoder
 
 _CODES = (np.arange(256)[:, None] >> (2 * np.arange(4))) & 3
@@ -57,29 +57,41 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     return d[at].reshape(-1).view("<u4")[:n]
 
 
-def token_counts(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """(doc_id, ids): each document's ids with the end id, packed as wide as the vocabulary needs."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer)
+        end = np.array([end_id], enc.dtype).tobytes()
+        for b in batches:
+            ids = [x + end for x in enc.encode(b.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    return texts(docs).mapInArrow(encode, "doc_id long, ids binary")
+
+
+def token_counts(table: DataFrame, tokenizer: str) -> DataFrame:
     """(id, n) over all documents, each task adding up its own first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, total = encoder(tokenizer), np.zeros(0, np.int64)
+        kind, total = encoder(tokenizer).dtype, np.zeros(0, np.int64)
         for b in batches:
-            ids = np.frombuffer(b"".join(enc.encode(b.column("text").to_pylist())), enc.dtype)
-            got = np.bincount(ids, minlength=end_id + 1)
-            got[end_id] += b.num_rows
+            got = np.bincount(np.frombuffer(b"".join(b.column("ids").to_pylist()), kind))
             if len(got) < len(total):
                 got, total = total, got
             total = got + np.pad(total, (0, len(got) - len(total)))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    return texts(docs).select("text").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return table.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_store(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 1) -> str:
     """Write the token ids of all documents, ``end_id`` behind each, and return ``path``."""
     spark = docs.sparkSession
+    table = cut(token_table(docs, tokenizer, end_id), "token-ids")
     # one row per id in use: bounded by the tokenizer's vocabulary, whatever the corpus
-    found = token_counts(docs, tokenizer, end_id).toPandas().sort_values(["n", "id"], ascending=[False, True])
+    found = token_counts(table, tokenizer).toPandas().sort_values(["n", "id"], ascending=[False, True])
     by_rank = found["id"].to_numpy(np.int64)
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, "<u4")
     rank[by_rank] = np.arange(len(by_rank))
@@ -87,10 +99,9 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k
                           "rank int, id int, n long").coalesce(1).write.parquet(f"{path}/ranks")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, start, part = encoder(tokenizer), 0, TaskContext.get().partitionId()
+        kind, start, part = encoder(tokenizer).dtype, 0, TaskContext.get().partitionId()
         for b in batches:
-            coded = [rank[np.append(np.frombuffer(x, enc.dtype), enc.dtype.type(end_id))]
-                     for x in enc.encode(b.column("text").to_pylist())]
+            coded = [rank[np.frombuffer(x, kind)] for x in b.column("ids").to_pylist()]
             n = np.array([len(x) for x in coded], np.int64)
             both = [encode_values(x) for x in coded]
             begin = start + np.cumsum(n) - n
@@ -101,9 +112,10 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k
                  pa.array([x for _, x in both], pa.binary())],
                 ["shard", "local_start", "doc_id", "n_tokens", "control", "data"])
 
-    (texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    (table.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
      .mapInArrow(shard, "shard int, local_start long, doc_id long, n_tokens long, control binary, data binary")
      .write.option("compression", "uncompressed").parquet(f"{path}/shards"))
+    discard(spark, table)
     return path
 
 
