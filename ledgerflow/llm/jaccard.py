@@ -6,8 +6,9 @@ Links: documents whose sets of word n-grams have Jaccard similarity of at least
 1. Classes. Documents with the same set are one row of the matrix from here on.
 2. Size-derived bound on single rows. A partner of a set of n n-grams shares at least
    n * percent / 100 of them, so at most n * (100 - percent) / 100 occur nowhere else.
-   The n-grams of a fixed fifth of the hash space are counted over all documents, and rows
-   with more unshared ones than that are left out: exact, and in ordinary text most rows.
+   The n-grams of a fixed part of the hash space, twice that share of it, are counted over
+   all documents, and rows with more unshared ones than the bound are left out: exact, and
+   in ordinary text most rows.
 3. Blocks. Remaining rows are cut to the columns that can meet a partner: n-grams in order
    of document frequency, the first n - ceil(n * percent / 100) + 1, without those that
    occur once. Rows that have a column in common form a block.
@@ -38,7 +39,6 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import components, cut, discard, mix64, texts
 
-ZONE = 5
 TILE = 192
 
 
@@ -81,12 +81,12 @@ def _cls(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def document_sets(docs: DataFrame, n: int) -> DataFrame:
+def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, digest, cls, zone): the set's size, a 128-bit digest and half of it
-    as a number, and the set's hashes in the lowest fifth of the hash space."""
+    as a number, and the set's hashes in the counted part of the hash space, the lowest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = np.uint64(2 ** 64 // ZONE)
+        top = np.uint64(min(2 ** 64 - 1, 2 ** 64 * 2 * (100 - percent) // 100))
         for b, sets in _sets(batches, n):
             digests = [_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -225,7 +225,7 @@ def links(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
-    own = cut(document_sets(docs, n), "jaccard-sets")
+    own = cut(document_sets(docs, n, percent), "jaccard-sets")
     classes = (own.where("n_shingles > 0").groupBy("digest")
                .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("cls").alias("cls")))
     rows = cut(candidate_rows(docs, own, classes, n, percent), "jaccard-rows")
@@ -237,3 +237,15 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
                 .select("digest", F.coalesce("comp", "rep").alias("component_id")))
     return (own.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, that have the smallest doc_id of their component; of rows
+    with that same doc_id one."""
+    found = jaccard_components(docs, n, percent).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_kept"]), "left_semi")
+    repeated = docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").limit(1).count()
+    if not repeated:
+        return kept
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    return (kept.withColumn("_at", F.row_number().over(order)).where("_at = 1 OR doc_id IS NULL").drop("_at"))

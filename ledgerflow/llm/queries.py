@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontaminate, jaccard, packing, pii, quality, sentences, token_store, topk, toxicity
+from ledgerflow.llm import decontaminate, jaccard, packing, pii, quality, sentences, suffix, token_store, topk, toxicity
 from ledgerflow.sources.tables import read_table
 
 
@@ -52,6 +52,11 @@ def op8_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 400-byte strings."""
+    return suffix.suffix_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products for every vector whose id is divisible by 50."""
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
@@ -59,7 +64,8 @@ def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_factorization_machine, op2_bradley_terry, op3_token_store,
-                              op4_jaccard_join, op5_sentence_spans, op6_simhash_windows, op7_deobfuscated_pii, op8_best_two_fit, op10_threshold_top_k)
+                              op4_jaccard_join, op5_sentence_spans, op6_simhash_windows, op7_deobfuscated_pii, op8_best_two_fit,
+                              op9_suffix_intervals, op10_threshold_top_k)
 }
 
 ORACLE: dict[str, str] = {
