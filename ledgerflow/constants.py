@@ -55,7 +55,10 @@ ONLINE_CATEGORIES = ["online", "streaming", "digital"]
 # --- fixed values: event ingestion ----------------------------------------------------
 EVENT_REQUIRED_FIELDS = ["amount", "currency", "customer_id", "merchant_id", "timestamp", "transaction_id"]
 EVENT_MAX_AMOUNT = Decimal("999999.99")
-EVENT_SOURCE_TAG = "event_ingestion"
+EVENT_SOURCE_TAG = "lambda_ingestion"
+
+# what a cleaned row shows in place of a card number that came unmasked
+UNMASKED_MARK = "unmasked "
 
 # --- fixed values: data-quality rules -------------------------------------------------
 DQ_REQUIRED_COLUMNS = [

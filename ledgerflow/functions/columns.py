@@ -130,6 +130,12 @@ def hash_key(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast(T.LongType())
 
 
+def unmasked_card(card: Column) -> Column:
+    """True for 13 or more digits and nothing else but spaces and hyphens."""
+    digits = F.regexp_replace(card.cast(T.StringType()), "[- ]", "")
+    return F.coalesce(digits.rlike("^[0-9]{13,}$"), F.lit(False))
+
+
 def mask_card(card: Column) -> Column:
     """Strip '-' and ' ', keep '****' + last four, or '****' when shorter."""
     digits = F.regexp_replace(card.cast(T.StringType()), "[- ]", "")
@@ -138,6 +144,15 @@ def mask_card(card: Column) -> Column:
             .otherwise(F.lit("****")))
 
 
+# 13 to 19 digits with single spaces or hyphens between them, as card numbers are written
+_CARD_RUN = r"\d(?:[ -]?\d){8,14}[ -]?(\d[ -]?\d[ -]?\d[ -]?\d)(?!\d)"
+
+
+def mask_card_runs(text: Column) -> Column:
+    """The text with every card-like run of digits cut to its last four."""
+    return F.regexp_replace(text, _CARD_RUN, "****$1")
+
+
 def batch_id(as_of: dt.datetime) -> Column:
     return F.lit(f"batch_{as_of:%Y%m%d_%H%M%S}")
 

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow import constants as C
-from ledgerflow.functions.columns import mask_card
+from ledgerflow.functions.columns import mask_card, mask_card_runs
 
 ARR = T.ArrayType(T.StringType())
+# payload fields that become columns of their own
+EVENT_COLUMNS = ["transaction_id", "customer_id", "merchant_id", "amount", "currency", "timestamp", "status", "channel",
+                 "card_number"]
 
 
 def _items(text: Column) -> Column:
@@ -48,8 +51,11 @@ def _field(name: str) -> Column:
     return F.get_json_object(F.col("payload"), f"$.{name}")
 
 
-def _money_text(c: Column) -> Column:
-    return F.coalesce(c.try_cast(T.DecimalType(38, 2)).cast(T.StringType()), c)
+def _number_text(x: Column) -> Column:
+    """A double as plain decimal text, without an exponent and with one digit at least
+    behind the point (-5.0, 2000000.0)."""
+    plain = F.regexp_replace(x.cast(T.DecimalType(38, 6)).cast(T.StringType()), "0+$", "")
+    return F.coalesce(F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain), x.cast(T.StringType()))
 
 
 def validation_error(required=C.EVENT_REQUIRED_FIELDS, max_amount=C.EVENT_MAX_AMOUNT) -> Column:
@@ -60,17 +66,21 @@ def validation_error(required=C.EVENT_REQUIRED_FIELDS, max_amount=C.EVENT_MAX_AM
     missing = F.array_except(F.array(*[F.lit(f) for f in sorted(required)]), keys)
     raw_amount = _field("amount")
     amt = raw_amount.try_cast(T.DoubleType())
-    shown = _money_text(raw_amount)
+    # a JSON string or whole number is shown as it came, another number as a double
+    as_text = F.col("payload").rlike(r'"amount"\s*:\s*"') | raw_amount.rlike(r"^-?\d+$")
+    shown = F.when(as_text, raw_amount).otherwise(_number_text(amt))
+    invalid = F.concat(F.lit("Invalid amount: "), F.coalesce(F.when(amt.isNull(), raw_amount).otherwise(shown), F.lit("None")),
+                       F.lit(" — "))
     currency = F.upper(F.coalesce(_field("currency"), F.lit("None")))
     tid = F.coalesce(_field("transaction_id"), F.lit("None"))
     return F.coalesce(
         F.when(keys.isNull(), F.lit("Malformed event: not a JSON object")),
         F.when(F.size(missing) > 0, F.concat(F.lit("Missing required fields: "), F.array_join(missing, ", "))),
-        F.when(amt.isNull(), F.concat(F.lit("Invalid amount: "), F.coalesce(raw_amount, F.lit("None")),
-                                      F.lit(" — not a number"))),
-        F.when(amt <= 0, F.concat(F.lit("Invalid amount: "), shown, F.lit(" — must be > 0"))),
-        F.when(amt > F.lit(float(max_amount)), F.concat(F.lit("Invalid amount: "), shown,
-                                                        F.lit(f" — exceeds maximum {max_amount}"))),
+        F.when(raw_amount.isNull(), F.concat(invalid, F.lit(
+            "float() argument must be a string or a real number, not 'NoneType'"))),
+        F.when(amt.isNull(), F.concat(invalid, F.lit("could not convert string to float: '"), raw_amount, F.lit("'"))),
+        F.when(amt <= 0, F.concat(invalid, F.lit("Invalid amount: "), _number_text(amt), F.lit(" (must be > 0)"))),
+        F.when(amt > F.lit(float(max_amount)), F.concat(invalid, F.lit("Amount exceeds maximum: "), _number_text(amt))),
         F.when(~currency.isin(C.VALID_CURRENCIES), F.concat(F.lit("Invalid currency: "), currency)),
         F.when(F.length(tid) < 3, F.concat(F.lit("Invalid transaction_id: "), tid)),
     )
@@ -84,8 +94,11 @@ def enrich(valid: DataFrame, ingested_at: Column, request_id: Column | None = No
            environment: str = "development") -> DataFrame:
     """Typed, normalised event rows. Amount is parsed from its text straight to
     decimal(18,2) (half-up); status/channel are lower-cased with defaults; the card
-    number is masked; the original payload is kept for fields without a column."""
+    number is masked. The payload itself is not kept: fields without a column go on in
+    ``extra``, JSON rebuilt without the known keys, card-like digits cut; null if none."""
     card = _field("card_number")
+    rest = F.map_filter(F.from_json("payload", T.MapType(T.StringType(), T.StringType())),
+                        lambda k, v: ~k.isin(*EVENT_COLUMNS))
     return valid.select(
         *[c for c in valid.columns if c not in ("payload", "_error")],
         _field("transaction_id").alias("transaction_id"),
@@ -101,7 +114,7 @@ def enrich(valid: DataFrame, ingested_at: Column, request_id: Column | None = No
         (request_id if request_id is not None else F.md5(F.col("payload"))).alias("_request_id"),
         F.lit(environment).alias("_environment"),
         F.lit(C.EVENT_SOURCE_TAG).alias("_source"),
-        F.col("payload"),
+        F.when(F.size(rest) > 0, mask_card_runs(F.to_json(rest))).alias("extra"),
     )
 
 
@@ -112,9 +125,11 @@ def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def rejects(rejected: DataFrame, rejected_at: Column) -> DataFrame:
-    """Dead-letter rows ``{event, error, timestamp}`` (always kept, never dropped)."""
+    """Dead-letter rows ``{event, error, timestamp}`` (always kept, never dropped), card
+    numbers in the event text and in the error cut to their last four digits."""
     return rejected.select(*[c for c in rejected.columns if c not in ("payload", "_error")],
-                           F.col("payload").alias("event"), F.col("_error").alias("error"),
+                           mask_card_runs(F.col("payload")).alias("event"),
+                           mask_card_runs(F.col("_error")).alias("error"),
                            rejected_at.alias("timestamp"))
 
 

@@ -8,8 +8,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow import constants as C
 from ledgerflow.functions.columns import (
-    batch_id, international_flag, last_four, null_markers, safe_decimal, safe_timestamp, ts_lit,
+    batch_id, international_flag, last_four, mask_card, null_markers, safe_decimal, safe_timestamp, ts_lit, unmasked_card,
 )
 
 STAGED_COLUMNS = [
@@ -49,8 +50,9 @@ def clean_columns() -> list[Column]:
         t("auth_code").alias("auth_code"),
         F.col("_loaded_at"),
         F.col("_source_file"),
-        # the raw card number stays only until staging (checks look for unmasked numbers)
-        F.col("card_number"),
+        # never the number itself: check 15 counts the marks
+        F.when(unmasked_card(F.col("card_number")), F.concat(F.lit(C.UNMASKED_MARK), mask_card(F.col("card_number"))))
+        .otherwise(F.col("card_number")).alias("card_number"),
     ]
 
 
@@ -66,15 +68,32 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: list[Column]) ->
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def clean_rows(raw: DataFrame, as_of: dt.datetime, lookback: dt.timedelta) -> DataFrame:
+    """Recent raw rows with id and amount text, cleaned, every version kept."""
+    src = recent(null_markers(raw), "_loaded_at", as_of, lookback)
+    src = src.where(F.col("transaction_id").isNotNull() & F.col("amount").isNotNull())
+    return src.select(*clean_columns())
+
+
+def latest_valid(raw: DataFrame, as_of: dt.datetime, lookback: dt.timedelta) -> tuple[DataFrame, DataFrame]:
+    """(staged rows with ``_loaded_at``, rejects): of each id the latest version that parses. The
+    order has no file name in it, so the way rows are spread over files does not matter."""
+    staged, refused = stage_transactions(clean_rows(raw, as_of, lookback), as_of, keep_load_time=True)
+    return latest_per_key(staged, "transaction_id", version_order()), refused
+
+
+def version_order(prefix: str = "") -> list[Column]:
+    """Newest version first: load time, then the values themselves."""
+    return [F.col(f"{prefix}{c}").desc_nulls_last() for c in ("_loaded_at", "amount", "transaction_timestamp", "status", "customer_id")]
+
+
 def clean_transactions(raw: DataFrame, as_of: dt.datetime, lookback: dt.timedelta) -> DataFrame:
     """Recent raw rows with id and amount text, cleaned and deduplicated (latest load wins).
 
     The not-null test runs on the raw text before the cast; rows whose amount does not
     parse keep a null amount here and are split off by :func:`stage_transactions`.
     """
-    src = recent(null_markers(raw), "_loaded_at", as_of, lookback)
-    src = src.where(F.col("transaction_id").isNotNull() & F.col("amount").isNotNull())
-    cleaned = src.select(*clean_columns())
+    cleaned = clean_rows(raw, as_of, lookback)
     # tie-break after load time: source file, then the raw amount (total order)
     return latest_per_key(cleaned, "transaction_id",
                           [F.col("_loaded_at").desc(), F.col("_source_file").desc_nulls_last(),

@@ -109,7 +109,7 @@ class Layers:
         return self.spark.read.parquet(path)
 
     def layer_names(self) -> list[str]:
-        return ["event_lines", "raw", "clean", "staged", "customer_history_1", "customer_history", "dim_customer_1", "dim_customer",
+        return ["event_lines", "raw", "clean", "staged", "staging_rejects", "customer_history_1", "customer_history", "dim_customer_1", "dim_customer",
                 "dim_merchant", "fact", "staged_run1", "staged_run2", "dim_merchant_run1", "dim_merchant_run2",
                 "fact_run1"]
 
@@ -138,6 +138,9 @@ class Layers:
     def staged(self) -> DataFrame:
         return self.table("staged", self.build_staged)
 
+    def staging_rejects(self) -> DataFrame:
+        return self.table("staging_rejects", lambda: self.staged_and_rejects()[1])
+
     # --- customers ------------------------------------------------------------------
     def build_customer_history_1(self) -> DataFrame:
         return S.scd2_merge(S.empty_history(self.spark), A.raw_customer_snapshot(self.spark, self.sf_dir, 1),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerflow.plans.oracle_sql import with_ctes
+from ledgerflow.plans.oracle_sql import AS_OF, REQUIRED, cte, nm, ts, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -22,7 +22,7 @@ LEFT JOIN dim_merchant dm ON f.merchant_key = dm.merchant_key AND dm.merchant_ke
 LEFT JOIN dim_customer dc ON f.customer_key = dc.customer_key AND dc.is_current AND dc.customer_key <> -1
 GROUP BY 1, 2, 3, 4""", "fact", "dim_merchant", "dim_customer")
 
-oracle("stage_clean", "SELECT * EXCLUDE (card_number) FROM clean", "clean")
+oracle("stage_clean", "SELECT * EXCLUDE (card_number), CASE WHEN regexp_matches(regexp_replace(card_number, '[- ]', '', 'g'), '^[0-9]{13,}$') THEN 'unmasked ****' || right(regexp_replace(card_number, '[- ]', '', 'g'), 4) ELSE card_number END AS card_number FROM clean", "clean")
 
 oracle("dedup_latest", """
 SELECT transaction_id, _loaded_at, amount_text FROM (
@@ -257,8 +257,11 @@ for _k, _ids in {"dq_all": list(range(1, 16)), "dq_completeness": [1, 8, 9], "dq
     oracle(_k, _dq_sql(_ids), "dq_agg")
 
 oracle("dq_duplicate_rows", """
-SELECT transaction_id, customer_id, status, channel, card_type, count(*) - 1 AS duplicate_copies
-FROM raw_transactions GROUP BY ALL HAVING count(*) > 1""", "raw_transactions")
+SELECT * EXCLUDE (card_number, n), right(card_number, 4) AS card_number, n - 1 AS duplicate_copies
+FROM (SELECT * EXCLUDE (_loaded_at, _source_file), count(*) AS n
+      FROM (SELECT * FROM raw_transactions UNION ALL
+            SELECT * FROM raw_transactions WHERE substr(md5(transaction_id), 1, 1) = '0') r GROUP BY ALL) g
+WHERE n > 1""", "raw_transactions")
 
 cte("dq_results", _dq_sql(list(range(1, 16))), ["dq_agg"])
 oracle("dq_summary", """
@@ -483,15 +486,17 @@ cte("ev_checked", f"""
 SELECT *, CASE
   WHEN keys IS NULL THEN 'Malformed event: not a JSON object'
   WHEN len(missing) > 0 THEN 'Missing required fields: ' || array_to_string(missing, ', ')
-  WHEN amt IS NULL THEN 'Invalid amount: ' || coalesce(raw_amount, 'None') || ' — not a number'
-  WHEN amt <= 0 THEN 'Invalid amount: ' || shown || ' — must be > 0'
-  WHEN amt > 999999.99 THEN 'Invalid amount: ' || shown || ' — exceeds maximum 999999.99'
+  WHEN raw_amount IS NULL THEN 'Invalid amount: None — float() argument must be a string or a real number, not ''NoneType'''
+  WHEN amt IS NULL THEN 'Invalid amount: ' || raw_amount || ' — could not convert string to float: ''' || raw_amount || ''''
+  WHEN amt <= 0 THEN 'Invalid amount: ' || shown || ' — Invalid amount: ' || CAST(amt AS VARCHAR) || ' (must be > 0)'
+  WHEN amt > 999999.99 THEN 'Invalid amount: ' || shown || ' — Amount exceeds maximum: ' || CAST(amt AS VARCHAR)
   WHEN cur NOT IN ('USD', 'EUR', 'GBP', 'CAD', 'AUD', 'JPY', 'CHF', 'INR') THEN 'Invalid currency: ' || cur
   WHEN length(tid) < 3 THEN 'Invalid transaction_id: ' || tid
   END AS error
 FROM (SELECT *, list_filter({_REQ}, lambda x: NOT list_contains(keys, x)) AS missing,
         TRY_CAST(raw_amount AS DOUBLE) AS amt,
-        coalesce(CAST(TRY_CAST(raw_amount AS DECIMAL(38,2)) AS VARCHAR), raw_amount) AS shown,
+        CASE WHEN json_type(payload, '$.amount') = 'DOUBLE' THEN CAST(TRY_CAST(raw_amount AS DOUBLE) AS VARCHAR)
+             ELSE raw_amount END AS shown,
         upper(coalesce(json_extract_string(payload, '$.currency'), 'None')) AS cur,
         coalesce(json_extract_string(payload, '$.transaction_id'), 'None') AS tid
       FROM (SELECT *, CASE WHEN json_valid(payload) AND json_type(payload) = 'OBJECT' THEN json_keys(payload) END AS keys,
@@ -518,10 +523,10 @@ SELECT event_id, ts, event_pos, json_extract_string(payload, '$.transaction_id')
        THEN '****' || right(regexp_replace(json_extract_string(payload, '$.card_number'), '[- ]', '', 'g'), 4)
        ELSE '****' END AS card_number,
   ts AS _ingested_at, md5(CAST(event_id AS VARCHAR) || '-' || CAST(event_pos AS VARCHAR)) AS _request_id,
-  'development' AS _environment, 'event_ingestion' AS _source
+  'development' AS _environment, 'lambda_ingestion' AS _source, CAST(NULL AS VARCHAR) AS extra
 FROM ev_checked WHERE error IS NULL""", "ev_checked")
 oracle("mask_card", """
-SELECT event_id, event_pos, json_extract_string(payload, '$.card_number') AS card_number_raw,
+SELECT event_id, event_pos, 
   CASE WHEN length(regexp_replace(json_extract_string(payload, '$.card_number'), '[- ]', '', 'g')) >= 4
        THEN '****' || right(regexp_replace(json_extract_string(payload, '$.card_number'), '[- ]', '', 'g'), 4)
        ELSE '****' END AS card_number
@@ -603,3 +608,110 @@ SELECT replace(json_extract_string(c.payload, '$.transaction_id'), 'TXN_', 'LATE
   lower(coalesce(json_extract_string(c.payload, '$.channel'), 'unknown')) AS channel,
   CAST(json_extract_string(c.payload, '$.timestamp') AS TIMESTAMP) AS event_time
 FROM ev_checked c, ev_bounds b WHERE c.error IS NULL AND c.ts >= b.lo AND c.ts < b.b1""", "ev_checked", "ev_bounds")
+
+
+# --- landing and streaming keys ----------------------------------------------------------------------
+_RAW_FIELDS = ["transaction_id", "customer_id", "merchant_id", "amount", "currency", "transaction_timestamp", "status", "channel",
+               "card_type", "card_number", "merchant_category", "merchant_city", "merchant_country", "response_code", "auth_code"]
+_LANDED = ", ".join(f"{nm(c)} AS {c}" for c in _RAW_FIELDS)
+oracle("ingest_csv", f"SELECT {_LANDED}, {ts(AS_OF)} AS _loaded_at, FALSE AS _rejected FROM raw_transactions", "raw_transactions")
+oracle("ingest_json", f"SELECT {', '.join(_RAW_FIELDS)}, {ts(AS_OF)} AS _loaded_at FROM raw_transactions", "raw_transactions")
+oracle("landing_rejects", f"""
+SELECT {nm('transaction_id')} AS transaction_id, {nm('customer_id')} AS customer_id, {nm('amount')} AS amount
+FROM raw_transactions WHERE substr(md5(transaction_id), 1, 1) = '0'""", "raw_transactions")
+_REASON = "coalesce(" + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c} is null or unparseable' END" for c in REQUIRED) + ")"
+oracle("staging_rejects", f"""
+SELECT transaction_id, customer_id, amount, _loaded_at, {_REASON} AS _reject_reason, {ts(AS_OF)} AS _rejected_at
+FROM clean WHERE {_REASON} IS NOT NULL""", "clean")
+oracle("stream_incremental_ingest", f"""
+SELECT json_extract_string(payload, '$.transaction_id') AS transaction_id,
+  json_extract_string(payload, '$.customer_id') AS customer_id, json_extract_string(payload, '$.merchant_id') AS merchant_id,
+  TRY_CAST(raw_amount AS DECIMAL(18,2)) AS amount, upper(json_extract_string(payload, '$.currency')) AS currency,
+  json_extract_string(payload, '$.timestamp') AS timestamp,
+  TRY_CAST(json_extract_string(payload, '$.timestamp') AS TIMESTAMP) AS event_time,
+  lower(coalesce(json_extract_string(payload, '$.status'), 'pending')) AS status,
+  lower(coalesce(json_extract_string(payload, '$.channel'), 'unknown')) AS channel,
+  CASE WHEN json_extract_string(payload, '$.card_number') IS NOT NULL
+       THEN '****' || right(json_extract_string(payload, '$.card_number'), 4) END AS card_number,
+  {ts(AS_OF)} AS _ingested_at, 'development' AS _environment, 'lambda_ingestion' AS _source, CAST(NULL AS VARCHAR) AS extra
+FROM ev_checked WHERE error IS NULL""", "ev_checked")
+oracle("stream_dedup", "SELECT DISTINCT json_extract_string(payload, '$.transaction_id') AS transaction_id FROM ev_checked "
+       "WHERE error IS NULL", "ev_checked")
+_MARKED = ", ".join(f"{nm(c)} AS {c}" for c in _RAW_FIELDS)
+oracle("stream_stage_upsert", f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _loaded_at DESC NULLS LAST, amount DESC NULLS LAST,
+      transaction_timestamp DESC NULLS LAST, status DESC NULLS LAST, customer_id DESC NULLS LAST) AS rn
+  FROM (SELECT trim(transaction_id) AS transaction_id, trim(customer_id) AS customer_id, trim(merchant_id) AS merchant_id,
+      TRY_CAST(amount AS DECIMAL(18,2)) AS amount, upper(trim(currency)) AS currency,
+      TRY_CAST(transaction_timestamp AS TIMESTAMP) AS transaction_timestamp, lower(trim(status)) AS status,
+      lower(trim(channel)) AS channel, trim(card_type) AS card_type, right(trim(card_number), 4) AS card_last_four,
+      trim(merchant_category) AS merchant_category, trim(merchant_city) AS merchant_city,
+      upper(trim(merchant_country)) AS merchant_country,
+      CASE WHEN upper(trim(merchant_country)) != 'US' THEN TRUE ELSE FALSE END AS is_international,
+      trim(response_code) AS response_code, trim(auth_code) AS auth_code, _loaded_at
+    FROM (SELECT {_MARKED}, _loaded_at FROM raw_transactions) m
+    WHERE transaction_id IS NOT NULL AND amount IS NOT NULL) c
+  WHERE {" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED)}) v
+WHERE rn = 1""", "raw_transactions")
+
+
+# --- generators: md5 draws repeated in SQL -------------------------------------------------------------
+def _pick_sql(draw: str, values: list[str]) -> str:
+    return "list_extract([" + ", ".join(f"'{v}'" for v in values) + f"], CAST({draw} % {len(values)} AS INTEGER) + 1)"
+
+
+def _draw(salt: int) -> str:
+    return f"CAST('0x' || substr(md5(k || '|{salt}'), 1, 12) AS BIGINT)"
+
+
+def _pad(x: str, width: int) -> str:
+    return f"CASE WHEN length(CAST({x} AS VARCHAR)) >= {width} THEN CAST({x} AS VARCHAR) ELSE lpad(CAST({x} AS VARCHAR), {width}, '0') END"
+
+
+def _country(salt: int) -> str:
+    d = f"({_draw(salt)} % 93)"
+    return (f"CASE WHEN {d} < 50 THEN 'US' WHEN {d} < 60 THEN 'GB' WHEN {d} < 68 THEN 'CA' WHEN {d} < 73 THEN 'DE' "
+            f"WHEN {d} < 78 THEN 'JP' WHEN {d} < 83 THEN 'AU' WHEN {d} < 93 THEN 'IN' END")
+
+
+_STATUS = _pick_sql(_draw(3), ["approved", "approved", "approved", "approved", "approved", "declined", "pending", "reversed", "settled"])
+_BAND = f"({_draw(6)} % 100)"
+
+
+def _cents(lo: int, hi: int) -> str:
+    return f"{_draw(7)} % {hi - lo + 1} + {lo}"
+
+
+oracle("generate_transactions", f"""
+SELECT 'TXN_' || upper(substr(md5(k), 1, 12)) AS transaction_id,
+  'CUST_' || {_pad(f"({_draw(1)} % 200 + 1)", 4)} AS customer_id,
+  'MERCH_' || {_pad(f"({_draw(2)} % 50 + 1)", 3)} AS merchant_id,
+  CAST(CAST((CASE WHEN {_BAND} < 50 THEN {_cents(500, 5000)} WHEN {_BAND} < 80 THEN {_cents(5000, 20000)}
+        WHEN {_BAND} < 95 THEN {_cents(20000, 100000)} ELSE {_cents(100000, 1000000)} END) / 100.0 AS DECIMAL(18,2)) AS VARCHAR) AS amount,
+  {_pick_sql(_draw(9), ["USD", "USD", "USD", "USD", "EUR", "GBP", "CAD", "AUD", "JPY", "INR"])} AS currency,
+  strftime({ts(AS_OF)} - to_minutes(CAST({_draw(8)} % 1441 AS INTEGER)), '%Y-%m-%dT%H:%M:%S') AS transaction_timestamp,
+  {_STATUS} AS status,
+  {_pick_sql(_draw(10), ["online", "online", "in_store", "in_store", "mobile", "atm", "phone"])} AS channel,
+  {_pick_sql(_draw(11), ["visa", "visa", "mastercard", "mastercard", "amex", "discover"])} AS card_type,
+  '****' || CAST({_draw(12)} % 9000 + 1000 AS VARCHAR) AS card_number,
+  {_pick_sql(_draw(13), ["grocery", "retail", "restaurant", "gas", "travel", "entertainment", "healthcare", "utilities",
+                         "streaming", "dining", "hotel", "airline", "clothing", "pharmacy"])} AS merchant_category,
+  'City_' || {_country(4)} || '_' || CAST({_draw(5)} % 40 + 1 AS VARCHAR) AS merchant_city,
+  {_country(4)} AS merchant_country,
+  CASE WHEN {_STATUS} = 'declined' THEN {_pick_sql(_draw(14), ["05", "14", "51", "54"])} ELSE '00' END AS response_code,
+  CASE WHEN {_STATUS} = 'approved' THEN 'AUTH' || CAST({_draw(15)} % 900000 + 100000 AS VARCHAR) ELSE '' END AS auth_code
+FROM (SELECT concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
+        CAST(l_suppkey AS VARCHAR), CAST(CAST(l_shipdate AS DATE) AS VARCHAR),
+        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)) AS k FROM lineitem) b""")
+_CID = "'CUST_' || " + _pad("k", 4)
+oracle("generate_customers", f"""
+SELECT {_CID} AS customer_id, 'First' || CAST({_draw(22)} % 5000 + 1 AS VARCHAR) AS first_name,
+  'Last' || CAST({_draw(23)} % 20000 + 1 AS VARCHAR) AS last_name, lower({_CID}) || '@example.com' AS email,
+  '+1' || CAST({_draw(24)} % 8000000000 + 2000000000 AS VARCHAR) AS phone,
+  CAST({_draw(25)} % 9999 + 1 AS VARCHAR) || ' Street ' || CAST({_draw(26)} % 400 + 1 AS VARCHAR) AS address_line_1,
+  'City_' || {_country(21)} || '_' || CAST({_draw(27)} % 40 + 1 AS VARCHAR) AS city, '' AS state, {_country(21)} AS country,
+  CAST({_draw(28)} % 90000 + 10000 AS VARCHAR) AS postal_code,
+  {_pick_sql(_draw(29), ["standard", "standard", "standard", "gold", "gold", "platinum"])} AS customer_tier,
+  CAST({ts(AS_OF)} AS DATE) - CAST({_draw(30)} % 1796 + 30 AS INTEGER) AS account_open_date
+FROM (SELECT CAST(c_custkey AS VARCHAR) AS k FROM customer) b""")

@@ -45,11 +45,15 @@ def get_session(master: str | None = None, app: str = "ledgerflow", shuffle_part
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local runs and
-    tests) is a private scratch folder chosen.
+    A cluster names a shared folder there; only when it is unset on a local master (tests)
+    is a private scratch folder chosen. Executors on other machines could not see such a
+    folder, so any other master without the setting is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -68,3 +72,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop file system of its path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
