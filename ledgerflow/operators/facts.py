@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerflow import constants as C
 from ledgerflow.functions.columns import date_key, month_key, ts_lit, usd_amount
-from ledgerflow.operators.joins import HOT_KEY_ROWS, lookup_join
+from ledgerflow.operators.joins import lookup_join
 from ledgerflow.operators.merchant import DIM_MERCHANT_COLUMNS
 from ledgerflow.operators.scd2 import DIM_CUSTOMER_COLUMNS
 from ledgerflow.operators.staging import recent
@@ -49,24 +49,27 @@ def ensure_unknown_member(dim: DataFrame, member: DataFrame, key: str) -> DataFr
 
 def load_fact(staged: DataFrame, dim_customer: DataFrame, dim_merchant: DataFrame, as_of: dt.datetime,
               lookback: dt.timedelta, existing_fact: DataFrame | None = None,
-              processed_at: Column | None = None, hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+              processed_at: Column | None = None, existing_from_key: int | None = None) -> DataFrame:
     """Fact rows for recently staged transactions not yet in the fact.
 
     Dimension lookups are left joins on the natural key to the current customer version
     and to the merchant; misses get the unknown member -1. The lookup sides hold one row
     per key, so a hot customer or merchant can only skew the fact side: the customer
-    lookup splits off hot customers and joins them by broadcast (:func:`lookup_join`);
-    the merchant dimension is small by nature and broadcast by Spark's size check (AQE
-    splits skewed partitions if it is not). The "already loaded" test is a left-anti
-    join on transaction_id.
+    lookup and the merchant lookup are joins whose skewed partitions AQE splits, and the
+    feed is evaluated once. The "already loaded" test is a left-anti join on
+    transaction_id; ``existing_from_key`` limits it to fact rows from that date key on
+    (their month folders alone are read) where older transactions cannot come again.
     """
     feed = recent(staged, "_staged_at", as_of, lookback)
     if existing_fact is not None:
-        feed = feed.join(existing_fact.select("transaction_id"), "transaction_id", "left_anti")
+        loaded = existing_fact
+        if existing_from_key is not None:
+            loaded = loaded.where(F.col("transaction_date_key") >= existing_from_key)
+        feed = feed.join(loaded.select("transaction_id"), "transaction_id", "left_anti")
     cust = (dim_customer.where(F.col("is_current") & (F.col("customer_key") != C.UNKNOWN_KEY))
             .select("customer_id", "customer_key"))
     merch = dim_merchant.where(F.col("merchant_key") != C.UNKNOWN_KEY).select("merchant_id", "merchant_key")
-    j = lookup_join(feed, cust, "customer_id", "left", hot_rows).join(merch, "merchant_id", "left")
+    j = lookup_join(lookup_join(feed, cust, "customer_id"), merch, "merchant_id")
     return j.select(
         "transaction_id",
         F.coalesce(F.col("customer_key"), F.lit(C.UNKNOWN_KEY).cast(T.LongType())).alias("customer_key"),
@@ -92,29 +95,31 @@ def unknown_safe_key(key: str, *spread: str, buckets: int = 1024) -> Column:
 def star_rollup(fact: DataFrame, dim_customer: DataFrame, dim_merchant: DataFrame) -> DataFrame:
     """USD amount and count by merchant category group x region x current customer tier x month.
 
-    Plan shape chosen for scale: the fact is first aggregated to (customer_key,
-    merchant_key, month) with map-side partial aggregation, so the joins see one row per
-    combination instead of one per transaction. Rows on the unknown member (-1) get a
-    spread, never-matching join key (:func:`unknown_safe_key`) and the unknown
-    attributes directly, so the -1 key is no hot partition.
+    Plan shape chosen for scale: the fact first meets the merchant attributes (a small
+    table: broadcast by Spark's size check, else a join that AQE balances), then is
+    aggregated to (customer_key, group, region, month) with map-side partial aggregation,
+    so the customer join sees a customer's few combinations instead of its transactions.
+    Rows on the unknown member (-1) get a spread, never-matching join key
+    (:func:`unknown_safe_key`) and the unknown attributes directly, so the -1 key is no
+    hot partition.
     """
-    pre = (fact.groupBy("customer_key", "merchant_key", month_key(F.col("transaction_timestamp")).alias("month_key"))
-           .agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount_usd").alias("amount_usd")))
+    unknown = F.lit(C.UNKNOWN_NAME)
     merch = dim_merchant.where(F.col("merchant_key") != C.UNKNOWN_KEY).select(
         F.col("merchant_key").alias("_mk"), "category_group", "merchant_region")
+    m_unknown = F.col("merchant_key") == C.UNKNOWN_KEY
+    tagged = (fact.select("customer_key", "merchant_key", "amount_usd", "transaction_id",
+                          month_key(F.col("transaction_timestamp")).alias("month_key"))
+              .withColumn("_mj", unknown_safe_key("merchant_key", "transaction_id"))
+              .join(merch, F.col("_mj") == F.col("_mk"), "left"))
+    pre = (tagged.groupBy("customer_key", F.when(m_unknown, unknown).otherwise(F.col("category_group")).alias("category_group"),
+                          F.when(m_unknown, unknown).otherwise(F.col("merchant_region")).alias("merchant_region"), "month_key")
+           .agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount_usd").alias("amount_usd")))
     cust = dim_customer.where(F.col("is_current") & (F.col("customer_key") != C.UNKNOWN_KEY)).select(
         F.col("customer_key").alias("_ck"), "customer_tier")
-    j = (pre.withColumn("_mj", unknown_safe_key("merchant_key", "customer_key", "month_key"))
-         .withColumn("_cj", unknown_safe_key("customer_key", "merchant_key", "month_key"))
-         .join(merch, F.col("_mj") == F.col("_mk"), "left")
+    j = (pre.withColumn("_cj", unknown_safe_key("customer_key", "category_group", "merchant_region", "month_key"))
          .join(cust, F.col("_cj") == F.col("_ck"), "left"))
-    unknown = F.lit(C.UNKNOWN_NAME)
-    m_unknown = F.col("merchant_key") == C.UNKNOWN_KEY
-    return (j.groupBy(F.when(m_unknown, unknown).otherwise(F.col("category_group")).alias("category_group"),
-                      F.when(m_unknown, unknown).otherwise(F.col("merchant_region")).alias("merchant_region"),
-                      F.when(F.col("customer_key") == C.UNKNOWN_KEY, unknown)
-                      .otherwise(F.col("customer_tier")).alias("customer_tier"),
-                      "month_key")
+    tier = F.when(F.col("customer_key") == C.UNKNOWN_KEY, unknown).otherwise(F.col("customer_tier"))
+    return (j.groupBy("category_group", "merchant_region", tier.alias("customer_tier"), "month_key")
             .agg(F.sum("txn_count").cast(T.LongType()).alias("txn_count"),
                  F.sum("amount_usd").cast(T.DecimalType(38, 2)).alias("amount_usd")))
 
@@ -138,16 +143,18 @@ def dim_date(fact: DataFrame, ts_col: str = "transaction_timestamp") -> DataFram
 
 
 def orphan_keys(fact: DataFrame, dim_customer: DataFrame, dim_merchant: DataFrame) -> DataFrame:
-    """Referential test per key column: rows on the unknown member (-1) and true orphans
-    (a key no dimension row carries, found by left-anti join against the key set)."""
+    """Referential test per key column: rows on the unknown member (-1) and true orphans (a key
+    no dimension row carries). The fact is scanned once per key and counted by key before
+    any join, so a hot key is one row when the dimension's keys are looked up."""
     out = []
     for key, dim in (("customer_key", dim_customer), ("merchant_key", dim_merchant)):
-        keys = dim.select(key).distinct()
-        orphans = fact.join(keys, key, "left_anti").agg(F.count(F.lit(1)).alias("orphan_rows"))
-        unknown = fact.agg(F.count(F.when(F.col(key) == C.UNKNOWN_KEY, 1)).alias("unknown_member_rows"),
-                           F.count(F.lit(1)).alias("fact_rows"))
-        both = unknown.unionByName(orphans, allowMissingColumns=True).agg(
-            F.max("fact_rows").alias("fact_rows"), F.max("unknown_member_rows").alias("unknown_member_rows"),
-            F.max("orphan_rows").alias("orphan_rows"))
-        out.append(both.select(F.lit(key).alias("key_name"), "fact_rows", "unknown_member_rows", "orphan_rows"))
+        counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        known = dim.select(F.col(key).alias("_known")).distinct()
+        found = counts.join(known, F.col(key) == F.col("_known"), "left")
+        none = F.lit(0).cast(T.LongType())
+        out.append(found.agg(
+            F.coalesce(F.sum("_n"), none).alias("fact_rows"),
+            F.coalesce(F.sum(F.when(F.col(key) == C.UNKNOWN_KEY, F.col("_n"))), none).alias("unknown_member_rows"),
+            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), none).alias("orphan_rows"))
+            .select(F.lit(key).alias("key_name"), "fact_rows", "unknown_member_rows", "orphan_rows"))
     return out[0].unionByName(out[1])

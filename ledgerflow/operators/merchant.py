@@ -20,31 +20,23 @@ DIM_MERCHANT_COLUMNS = [
 ]
 
 
-def latest_order():
-    """Total order for "latest row of a merchant": staging time, then event time, then id
-    (all rows of one batch share the staging time)."""
-    return F.struct(F.col("_staged_at"), F.col("transaction_timestamp"), F.col("transaction_id"))
-
-
 def merchant_batch_stats(staged: DataFrame, since: dt.datetime | None = None) -> DataFrame:
     """One row per merchant: first/last seen, row count, latest category/city/country.
 
-    A single hash-partitioned aggregate with map-side partial aggregation: a merchant
-    holding a third of all rows is reduced to one partial row per map task before the
-    shuffle. ``since`` limits the input to rows staged after the previous run, so counts
+    A hash aggregate for the numbers and a top-1 window with group limits for the attributes,
+    both cut to one row per merchant and map task before the shuffle: a merchant holding a
+    third of all rows is no hot partition, and nothing is sorted beyond the task's merchants. ``since`` limits the input to rows staged after the previous run, so counts
     are not added twice; ``since=None`` counts every staged row.
     """
     src = staged.where(F.col("merchant_id").isNotNull())
     if since is not None:
         src = src.where(F.col("_staged_at") > ts_lit(since))
-    latest = F.max_by(F.struct("merchant_category", "merchant_city", "merchant_country"), latest_order())
-    return (src.groupBy("merchant_id")
-            .agg(F.min("transaction_timestamp").alias("first_seen"),
-                 F.max("transaction_timestamp").alias("last_seen"),
-                 F.count(F.lit(1)).alias("txn_count"),
-                 latest.alias("_latest"))
-            .select("merchant_id", "_latest.merchant_category", "_latest.merchant_city", "_latest.merchant_country",
-                    "first_seen", "last_seen", "txn_count"))
+    numbers = (src.groupBy("merchant_id")
+               .agg(F.min("transaction_timestamp").alias("first_seen"), F.max("transaction_timestamp").alias("last_seen"),
+                    F.count(F.lit(1)).alias("txn_count")))
+    latest = merchant_latest_rows(src).select("merchant_id", "merchant_category", "merchant_city", "merchant_country")
+    return (latest.join(numbers, "merchant_id")
+            .select("merchant_id", "merchant_category", "merchant_city", "merchant_country", "first_seen", "last_seen", "txn_count"))
 
 
 def _dim_row(df: DataFrame, as_of: dt.datetime) -> DataFrame:

@@ -65,11 +65,12 @@ class Layers:
     """Layers of one scenario over ``sf_dir``; ``materialize=False`` keeps every layer a
     lazy plan (used by tests that inspect whole plans)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True, run_id: str = "shared"):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True, run_id: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
-        self.run_id = run_id
+        # one folder per application: a session never reads layers that another one built
+        self.run_id = run_id or spark.sparkContext.applicationId
 
     # --- layer storage ------------------------------------------------------------------
     def _input_signature(self) -> str:
@@ -92,7 +93,7 @@ class Layers:
         key = _SIGNATURES.get((self.sf_dir, id(self.spark)))
         if key is None:
             key = _SIGNATURES[(self.sf_dir, id(self.spark))] = self._input_signature()
-        return scratch_path(self.spark, os.path.join("layers", self.run_id, f"{key}-{code_version()}"))
+        return scratch_path(self.spark, os.path.join(f"layers-{self.run_id}", f"{key}-{code_version()}"))
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if not self.materialize:

@@ -29,9 +29,9 @@ def query(name: str):
     return deco
 
 
-# folder name of the stored pipeline layers ("shared": reused while inputs and code
-# are unchanged; the bench sets a fresh one so it builds and times every layer)
-RUN_ID = "shared"
+# folder name of the stored pipeline layers (None: the application's own; the bench sets a
+# fresh one so it builds and times every layer)
+RUN_ID: str | None = None
 
 
 def P(spark, sf_dir) -> Layers:

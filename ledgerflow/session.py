@@ -62,8 +62,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder for intermediate tables, under the shared checkpoint folder."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    """A folder for intermediate tables, under the shared checkpoint folder; its first part is
+    removed when the session ends."""
+    base = ensure_checkpoint_dir(spark)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(base, name.split(os.sep)[0]))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return os.path.join(base, name)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
