@@ -84,8 +84,9 @@ def run_table(docs: DataFrame) -> DataFrame:
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(doc_id, ranges): the sentences, by first and last number, of the runs that are not first."""
     table = cut(run_table(docs), "runs")
-    shared = (table.groupBy("h", "more").agg(F.count("*").alias("times"), F.min("doc_id").alias("first"))
-              .where("times > 1").select("h", "more", "first"))
+    # written first: a join straight behind the aggregation could not be split where skewed
+    shared = cut(table.groupBy("h", "more").agg(F.count("*").alias("times"), F.min("doc_id").alias("first"))
+                 .where("times > 1").select("h", "more", "first"), "shared-runs")
     later = table.join(shared, ["h", "more"]).where("again OR doc_id > first")
     return later.groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
 
