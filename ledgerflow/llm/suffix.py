@@ -94,6 +94,13 @@ def anchors(raw: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarr
     return at.astype(np.int32), h[at].view(np.int64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: a text brings many contexts, and its bytes are held twice."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def _cls(raw: bytes) -> int:
     return xxhash.xxh3_64_intdigest(raw) - 2 ** 63
 
@@ -102,7 +109,7 @@ def document_anchors(docs: DataFrame, span: int, gram: int) -> DataFrame:
     """(doc_id, digest, cls, n_bytes, sha256, places, hashes) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             raws = [t.encode() for t in b.column("text").to_pylist()]
             found = [anchors(np.frombuffer(r, np.uint8), span, gram) for r in raws]
             yield pa.RecordBatch.from_arrays(
@@ -160,7 +167,7 @@ def occurrences(held: DataFrame, span: int, gram: int) -> DataFrame:
     """(key, cls, place): where each context is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             rows = [(key, cls, p) for cls, p, _, _, _, key in _contexts(b, span, gram)]
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -174,7 +181,7 @@ def contexts(held: DataFrame, span: int, gram: int) -> DataFrame:
     """(key, fp, left_, ctx, n): the different contexts and how often each occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             rows: dict[bytes, list] = {}
             for _, _, fp, left, ctx, key in _contexts(b, span, gram):
                 rows.setdefault(key, [key, fp, left, ctx, 0])[4] += 1
