@@ -16,8 +16,11 @@ Links: documents whose sets of word n-grams have Jaccard similarity of at least
    incidence matrices, pairs whose sizes or counts are below the bound dropped. First every
    row meets only the block's smallest id; links found so are merged into components, and
    blocks whose rows are in one component are finished. The others are dealt out as tiles
-   of at most 2 * ``TILE`` rows, so that a block of any size is never in one task, and
-   a tile puts out a spanning forest of its links, never all its pairs.
+   of about 2 * ``TILE`` rows, so that a block of any size is never in one task. A tile is
+   multiplied twice: first over columns folded to ``BITS`` parities, which bounds the
+   difference of two sets from below, then, with the rows that still have a partner in
+   another component, over the columns themselves. It puts out a spanning forest of its
+   links, never all its pairs.
 
 Cases: null and empty texts have no n-grams, link with nothing and are their own
 component; texts with fewer words than n have their whole word sequence as the only
@@ -31,7 +34,6 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import components, cut, discard, mix64, texts
 
-TILE = 192
+TILE, BITS = 192, 2048
 
 
 class _Hashes(dict):
@@ -103,8 +105,14 @@ def _room(percent: int):
     return F.floor(F.col("n") * (100 - percent) / 100)
 
 
+def _folded(s: np.ndarray) -> bytes:
+    """The parities of a set's columns folded to ``BITS``: two of these differ in no more
+    places than the sets do."""
+    return np.packbits(np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).tobytes()
+
+
 def candidate_rows(docs: DataFrame, own: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """(cls, rep, n, hashes) of the rows that can have a partner (step 2)."""
+    """(cls, rep, n, folded, hashes) of the rows that can have a partner (step 2)."""
     # counted by class: the exact copies of a text do not make its n-grams shared
     unshared = (own.select("cls", F.explode("zone").alias("h"))
                 .groupBy("h").agg(F.min("cls").alias("cls"), F.max("cls").alias("other")).where("cls = other")
@@ -114,15 +122,15 @@ def candidate_rows(docs: DataFrame, own: DataFrame, classes: DataFrame, n: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, sets in _sets(batches, n):
-            found = [(c, i, len(s), s.view(np.int64)) for c, i, s in
+            found = [(c, i, len(s), _folded(s), s.view(np.int64)) for c, i, s in
                      zip(b.column("wanted").to_pylist(), b.column("doc_id").to_pylist(), sets) if _cls(_digest(s)) == c]
             if found:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), kinds)],
-                                                 ["cls", "rep", "n", "hashes"])
+                                                 ["cls", "rep", "n", "folded", "hashes"])
 
     rows = (texts(docs).join(likely.withColumnRenamed("rep", "doc_id"), "doc_id")
-            .mapInArrow(run, "cls long, rep long, n long, hashes array<long>"))
+            .mapInArrow(run, "cls long, rep long, n long, folded binary, hashes array<long>"))
     repeated = own.groupBy("doc_id").count().where("count > 1").limit(1).count()
     return rows.dropDuplicates(["cls"]) if repeated else rows
 
@@ -130,7 +138,7 @@ def candidate_rows(docs: DataFrame, own: DataFrame, classes: DataFrame, n: int,
 def block_columns(rows: DataFrame, percent: int) -> DataFrame:
     """(h, rep, n): the columns in which a row can meet a partner (step 3)."""
     cells = rows.select("cls", "rep", "n", F.explode("hashes").alias("h"))
-    df = cells.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    df = cut(cells.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-df")
     row = Window.partitionBy("cls")
     shared = cells.join(df, "h").withColumns({
         "shared": F.count("*").over(row), "at": F.row_number().over(row.orderBy("df", "h"))})
@@ -151,14 +159,65 @@ def _links_to_first(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFram
             .where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b"))
 
 
-def _tile_links(tile: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, for batches that come sorted by the keys."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = np.column_stack([b.column(c).to_numpy() for c in keys])
+        edge = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+        for x, y in zip([0, *edge.tolist()], [*edge.tolist(), b.num_rows]):
+            now = tuple(k[x])
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(x, y - x))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _apart(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The sizes of a tile's rows, and which pairs of them it is to look at: those of different
+    components and, in a tile of two parts, of different parts."""
+    n, comp, side = (t.column(c).to_numpy() for c in ("n", "comp", "side"))
+    look = comp[:, None] != comp[None, :]
+    if side.min() != side.max():
+        look &= side[:, None] != side[None, :]
+    return n, look
+
+
+def _possible(t: pa.Table, percent: int) -> np.ndarray:
+    """Which rows of a tile can have a link in it, by size and folded columns."""
+    n, look = _apart(t)
+    few, many = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+    look &= 100 * few >= percent * many
+    a, b = np.nonzero(np.triu(look, 1))
+    if not len(a):
+        return np.zeros(len(n), bool)
+    bits = np.frombuffer(b"".join(t.column("folded").to_pylist()), np.uint64).reshape(len(n), -1)
+    ok = np.zeros(len(n), bool)
+    for k in range(0, len(a), 8192):
+        i, j = a[k: k + 8192], b[k: k + 8192]
+        differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+        # overlap is (n + m - difference) / 2 at most
+        near = (100 + percent) * (n[i] + n[j] - differ) >= 2 * percent * (n[i] + n[j])
+        ok[i[near]] = True
+        ok[j[near]] = True
+    return ok
+
+
+def _tile_links(t: pa.Table, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among a tile's rows, by the product of their incidence
     matrices over the columns that two of them share."""
-    tile = tile.sort_values("n", kind="stable")
-    n = tile["n"].to_numpy()
-    rep, comp, side = tile["rep"].to_numpy(), tile["comp"].to_numpy(), tile["side"].to_numpy()
-    row = np.repeat(np.arange(len(n)), [len(h) for h in tile["hashes"]])
-    _, column, times = np.unique(np.concatenate(tile["hashes"].to_numpy()), return_inverse=True, return_counts=True)
+    n, look = _apart(t)
+    rep, comp = t.column("rep").to_numpy(), t.column("comp").to_numpy()
+    sets = t.column("hashes").combine_chunks()
+    row = np.repeat(np.arange(len(n)), np.diff(sets.offsets.to_numpy()))
+    cells = sets.flatten().to_numpy()
+    _, column, times = np.unique(cells, return_inverse=True, return_counts=True)
     common = times[column] > 1
     row, column = row[common], column[common]
     _, column = np.unique(column, return_inverse=True)
@@ -171,9 +230,7 @@ def _tile_links(tile: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         x = np.zeros((len(n), min(4096, width - a)), np.float32)
         x[row[part], column[part] - a] = 1
         overlap += x @ x.T
-    near = _near(n[:, None], n[None, :], overlap.astype(np.int64), percent) & (comp[:, None] != comp[None, :])
-    if side.min() != side.max():
-        near &= side[:, None] != side[None, :]
+    near = _near(n[:, None], n[None, :], overlap.astype(np.int64), percent) & look
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -193,8 +250,7 @@ def _tile_links(tile: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
 def _tiles(blocks: DataFrame) -> DataFrame:
     """(h, i, j, side, rep, comp): each block's rows dealt by hash into parts of about ``TILE``, and
     a tile for every two parts and for each part alone."""
-    parts = blocks.groupBy("h").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
-    dealt = blocks.join(parts, "h").withColumn("mine", F.pmod(F.xxhash64("cls", "h"), F.col("parts")).cast("int"))
+    dealt = blocks.withColumn("mine", F.pmod(F.xxhash64("cls", "h"), F.col("parts")).cast("int"))
     return dealt.select("h", "cls", "rep", "n", "comp", "mine",
                         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("theirs")).select(
         "h", F.least("mine", "theirs").alias("i"), F.greatest("mine", "theirs").alias("j"),
@@ -211,14 +267,29 @@ def links(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
     merged = components(star, "jaccard-cc")
     placed = (columns.join(merged.withColumnRenamed("id", "rep"), "rep", "left")
               .withColumn("comp", F.coalesce("comp", "rep")))
-    open_ = placed.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
+    open_ = cut(placed.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows"))
+                .where("lo <> hi").select("h", F.ceil(F.col("rows") / TILE).cast("int").alias("parts")), "jaccard-blocks")
     tiles = _tiles(cut(placed.join(open_, "h"), "jaccard-open"))
-
-    def product(tile: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_tile_links(tile, percent), columns=["a", "b"], dtype="int64")
-
-    more = (tiles.join(rows.select("cls", "hashes"), "cls").groupBy("h", "i", "j")
-            .applyInPandas(product, "a long, b long"))
+    keys = ["h", "i", "j"]
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(*keys).sortWithinPartitions(*keys, "n", "cls")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, keys):
+            ok = _possible(t, percent)
+            if ok.any():
+                yield from t.filter(pa.array(ok)).drop_columns(["folded"]).combine_chunks().to_batches()
+
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, keys):
+            if found := _tile_links(t, percent):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+
+    kind = "h long, i int, j int, side int, cls long, rep long, n long, comp long"
+    folded = tiles.join(rows.select("cls", "folded"), "cls").select(*[c.split()[0] for c in kind.split(", ")], "folded")
+    sifted = cut(dealt(folded).mapInArrow(sift, kind), "jaccard-sifted")
+    more = dealt(sifted.join(rows.select("cls", "hashes"), "cls")).mapInArrow(product, "a long, b long")
     return star.union(more)
 
 
@@ -230,11 +301,18 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
                .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("cls").alias("cls")))
     rows = cut(candidate_rows(docs, own, classes, n, percent), "jaccard-rows")
     columns = cut(block_columns(rows, percent), "jaccard-columns")
+    # only rows that share a block with another are looked at again: their sets are moved on
+    met = columns.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").select("h")
+    live = cut(columns.join(met, "h", "left_semi").select("cls").distinct(), "jaccard-live")
+    every, rows = rows, cut(rows.join(live, "cls", "left_semi"), "jaccard-live-rows")
+    discard(spark, every)
     merged = components(cut(links(rows, columns, percent), "jaccard-links"), "jaccard-all")
     discard(spark, rows)
     discard(spark, columns)
-    of_class = (classes.join(merged.withColumnRenamed("id", "rep"), "rep", "left")
-                .select("digest", F.coalesce("comp", "rep").alias("component_id")))
+    # written first, like the frequencies above: a join straight behind an aggregation could
+    # not be split where one set has very many documents
+    of_class = cut(classes.join(merged.withColumnRenamed("id", "rep"), "rep", "left")
+                   .select("digest", F.coalesce("comp", "rep").alias("component_id")), "jaccard-classes")
     return (own.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
