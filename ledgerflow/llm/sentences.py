@@ -1,10 +1,14 @@
 """Removal of repeated runs of consecutive sentences.
 
-A sentence ends at white space behind ``.``, ``!`` or ``?``, or at a line break. From every
-sentence one run starts: the shortest one of at least ``RUN`` sentences and ``WORDS``
-words, or of ``LONG`` words in fewer sentences. Its case-folded words are hashed (96 bits)
-and the runs of all documents joined on the hash. The first occurrence, by doc_id, then
-place, stays; every sentence covered by a later occurrence of any run goes.
+A sentence ends at white space behind ``.``, ``!`` or ``?``, or at a line break. A run has at
+least ``RUN`` sentences and ``WORDS`` words, or ``LONG`` words in fewer sentences. The first
+occurrence of a run, by doc_id, then place, stays; every sentence covered by a later
+occurrence of any run goes.
+
+Two runs a sentence stand for all: the shortest that starts and the shortest that ends at
+it. In a repeated run, those that start in it and those that end at its last sentence lie
+in it and cover it whole, and they repeat wherever it does. Their case-folded words are hashed
+(96 bits) and the runs of all documents joined on the hash.
 
 Counts and the smallest doc_id of a run are combined before the shuffle, and the join back
 to the places of a common run is one that Spark splits when skewed. A document's ranges
@@ -43,26 +47,42 @@ def sentences(t: str) -> list[tuple[int, int]]:
     return out
 
 
-def runs(t: str, run: int = RUN, least: int = WORDS, alone: int = LONG) -> list[tuple[int, int, int, int, bool]]:
-    """(hash, more hash, first sentence, last sentence, seen before in this text) of every run."""
-    words = [t[a:b].casefold().split() for a, b in sentences(t)]
-    sizes = [len(w) for w in words]
-    joined = [" ".join(w) for w in words]
-    out, seen = [], set()
+def bounds(sizes: list[int], run: int, least: int, alone: int) -> list[tuple[int, int]]:
+    """First and last sentence of the shortest runs that start, and that end, at each sentence."""
+    n = len(sizes)
+    out = set()
     last, total = -1, 0  # the run i..last has `total` words
-    for i in range(len(words)):
+    for i in range(n):
         if last < i:
             last, total = i, sizes[i]
-        while (last - i + 1 < run or total < least) and total < alone and last + 1 < len(words):
+        while (last - i + 1 < run or total < least) and total < alone and last + 1 < n:
             last += 1
             total += sizes[last]
         if not (last - i + 1 >= run and total >= least or total >= alone):
             break  # the rest of the text is too short
+        out.add((i, last))
+        total -= sizes[i]
+    first, total = 0, 0  # the run first..j has `total` words
+    for j in range(n):
+        total += sizes[j]
+        while first < j and (j - first >= run and total - sizes[first] >= least or total - sizes[first] >= alone):
+            total -= sizes[first]
+            first += 1
+        if j - first + 1 >= run and total >= least or total >= alone:
+            out.add((first, j))
+    return sorted(out)
+
+
+def runs(t: str, run: int = RUN, least: int = WORDS, alone: int = LONG) -> list[tuple[int, int, int, int, bool]]:
+    """(hash, more hash, first sentence, last sentence, seen before in this text) of every run."""
+    words = [t[a:b].casefold().split() for a, b in sentences(t)]
+    joined = [" ".join(w) for w in words]
+    out, seen = [], set()
+    for i, last in bounds([len(w) for w in words], run, least, alone):
         h = xxhash.xxh3_128_intdigest("\n".join(joined[i: last + 1]))
         key = (h & (2 ** 64 - 1)) - 2 ** 63, (h >> 64) & 0x7FFFFFFF
         out.append((*key, i, last, key in seen))
         seen.add(key)
-        total -= sizes[i]
     return out
 
 

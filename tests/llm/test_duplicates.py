@@ -131,6 +131,44 @@ def test_sentence_cases(spark):
     assert sentences.remove_repeats(empty_docs(spark)).collect() == []
 
 
+def every_run_gone(texts):
+    """Places of the sentences covered by any run, of any length, that an earlier place has too."""
+    split = [sentences.sentences(t) for t in texts]
+    words = [[tuple(t[a:b].casefold().split()) for a, b in places] for t, places in zip(texts, split)]
+    seen, gone = {}, [set() for _ in texts]
+    for d, w in enumerate(words):
+        for a in range(len(w)):
+            for b in range(a, len(w)):
+                size = sum(map(len, w[a: b + 1]))
+                if (b - a >= 1 and size >= 12) or size >= 40:
+                    if seen.setdefault(tuple(w[a: b + 1]), (d, a)) != (d, a):
+                        gone[d] |= set(range(a, b + 1))
+    return gone
+
+
+def test_short_ends_of_repeated_runs_go(spark):
+    def tell(name, n):
+        return " ".join(f"{name}{k}" for k in range(n)) + "."
+
+    a, b, s = tell("a", 45), tell("b", 5), tell("s", 20)
+    copy = f"{tell('o', 15)} {s} Thanks. Bye."
+    texts = [f"{a} {b} {tell('x', 9)}", f"{a} {b} {tell('y', 9)}", copy, copy, f"{tell('z', 6)} {copy}"]
+    got = {r.doc_id: r.text for r in sentences.remove_repeats(docs_of(spark, texts)).collect()}
+    assert got == {0: texts[0], 1: tell("y", 9), 2: copy, 3: "", 4: tell("z", 6) + " "}
+
+
+def test_sentence_spans_equal_every_run(spark):
+    rng = random.Random(11)
+    bank = [" ".join(rng.choices("the of and river stone light winter paper".split(), k=k)) + "." for k in
+            [1, 1, 2, 3, 4, 5, 6, 9, 13, 20, 39, 41, 45]]
+    texts = [" ".join(rng.choices(bank, k=rng.randint(1, 8))) for _ in range(40)]
+    texts += ["\n".join(f"{k} {rng.random()}." if rng.random() < 0.3 else x for x in rng.choices(bank, k=9)) for k in range(60)]
+    got = {r.doc_id: r.text for r in sentences.remove_repeats(docs_of(spark, texts)).collect()}
+    gone = every_run_gone(texts)
+    assert got == {d: sentences.without(t, [(k, k) for k in gone[d]])[0] for d, t in enumerate(texts)}
+    assert sum(map(len, gone)) > 50
+
+
 def brute_suffix(rows, span):
     raws = [(d, (t or "").encode()) for d, t in rows]
     times = Counter(r[i: i + span] for _, r in raws for i in range(len(r) - span + 1))
