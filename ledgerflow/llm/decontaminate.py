@@ -8,7 +8,11 @@
    ``BLOCKS`` - 1 bits agree in at least one piece, so joining windows and items of one size
    on (piece number, piece) finds every pair within that radius; the distance is then
    checked in full.
-4. The pairs are verified on the exact shingle sets: the weight of the common shingles over
+4. A leak can lie further apart than the radius, as where a passage is cut off. So every
+   window is also paired with the items of its size of which it has a rare shingle: the
+   rarest, up to more than 1 - ``SIMILARITY`` of the item's weight. A window without any
+   of them cannot reach ``SIMILARITY``, so no pair is lost to the fingerprints.
+5. The pairs are verified on the exact shingle sets: the weight of the common shingles over
    the weight of all, a shingle weighing ln(1 + items / items that have it), one that no
    item has like one that a single item has. Pairs of ``SIMILARITY`` or more are leaks.
 
@@ -23,7 +27,7 @@ a whole; repeated rows leak each; empty tables give no leaks; extra columns are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import cut, spread, texts
@@ -95,11 +99,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     right = items.select("item_id", "size", F.col("print").alias("q"), F.explode(pieces(F.col("print"))).alias("x"))
     near = (left.join(small(right), ["size", "x"])
             .where(F.bit_count(F.col("p").bitwiseXOR(F.col("q"))) < BLOCKS)
-            .select("doc_id", "start", "size", "item_id").distinct())
-    # exact weighted similarity
+            .select("doc_id", "start", "size", "item_id"))
+    # pairs beyond the radius: windows with one of an item's rarest shingles
     df = entries.select("h", "item_id").distinct().groupBy("h").agg(F.log1p(F.lit(float(n_items)) / F.count("*")).alias("weight"))
-    weighted = (entries.select("item_id", "h").distinct().join(df, "h").groupBy("item_id")
-                .agg(F.collect_list(F.struct("h", "weight")).alias("item")))
+    weights = cut(entries.select("item_id", "size", "h").distinct().join(df, "h"), "weights")
+    of_item = Window.partitionBy("item_id")
+    before = F.sum("weight").over(of_item.orderBy(F.desc("weight"), "h").rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight")
+    rare = (weights.withColumn("before", before).withColumn("all", F.sum("weight").over(of_item))
+            .where(F.col("before") <= (1 - SIMILARITY) * F.col("all") + 1e-6).select("item_id", "size", "h"))
+    far = prints.select("doc_id", "start", "size", F.explode("row").alias("h")).join(small(rare), ["size", "h"])
+    near = near.union(far.select("doc_id", "start", "size", "item_id")).distinct()
+    # exact weighted similarity
+    weighted = weights.groupBy("item_id").agg(F.collect_list(F.struct("h", "weight")).alias("item"))
     pair = near.join(prints.select("doc_id", "start", "size", "row"), ["doc_id", "start", "size"]).join(weighted, "item_id")
     item = F.col("item")
 

@@ -72,6 +72,26 @@ def test_leaks_equal_brute_force(spark):
     assert len(want) > 15
 
 
+def test_cut_off_leaks_equal_brute_force(spark):
+    # the last or first words differ, so that the fingerprints lie up to twenty bits apart
+    rng = random.Random(8)
+    vocab = [f"v{k}" for k in range(20_000)]
+    items = [(k, " ".join(rng.choices(vocab, k=rng.randint(60, 150)))) for k in range(40)]
+    docs = []
+    for d in range(400):
+        w = items[rng.randrange(40)][1].split()
+        other = rng.choices(vocab, k=int(len(w) * rng.uniform(0.04, 0.11)))
+        w = w[: len(w) - len(other)] + other if d % 2 else other + w[len(other):]
+        docs.append((d, " ".join(rng.choices(vocab, k=10) + w + rng.choices(vocab, k=10))))
+    docs += [(1000 + k, " ".join(rng.choices(vocab, k=100))) for k in range(20)]
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                              spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r.doc_id, r.item_id): r.similarity for r in got.collect()}
+    want = brute_leaks(docs, items)
+    assert found == pytest.approx(want)
+    assert sum(0.8 <= x < 0.9 for x in want.values()) > 150
+
+
 def test_leaks_of_small_table(spark):
     docs = [(r.doc_id, r.text) for r in pandas_docs(small(spark)).itertuples()]
     items = [(r.item_id, r.text) for r in small(spark, "benchmark").collect()]
