@@ -12,8 +12,9 @@ for every character it puts out, the source span it came from:
 
 The same detectors run on the normalised copy and each span found goes back to source
 characters through the map. Only stretches around something that was rewritten are
-normalised and searched, so plain text costs one scan. A span from the normalised copy
-that overlaps a plain span of any kind is dropped: plain ones stay as they are.
+normalised and searched, so plain text costs one scan. Plain spans stay as they are. A
+span from the normalised copy is added unless it equals or lies inside a plain span of any
+kind; one that reaches beyond plain spans stands beside them, and masking covers the union.
 
 All detectors take time in proportion to the text, whatever it holds. Null and empty
 texts have no spans; repeated rows are handled each for itself; extra columns are ignored
@@ -242,8 +243,8 @@ def all_spans(t: str) -> tuple[list[Span], list[Span]]:
             ends.append(far)
         new = []
         for a, b, kind in dict.fromkeys(hidden):
-            k = bisect_right(starts, b - 1) - 1
-            if k < 0 or ends[k] <= a:
+            k = bisect_right(starts, a) - 1  # of the plain spans that start by a, does one reach b
+            if k < 0 or ends[k] < b:
                 new.append((a, b, kind))
         hidden = new
     return plain, sorted([*plain, *hidden], key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
@@ -268,7 +269,8 @@ def detect(docs: DataFrame) -> DataFrame:
 
 
 def mask(t: str | None) -> str | None:
-    """The text with every span, plain or disguised, replaced by its kind in angle brackets."""
+    """The text with every span, plain or disguised, replaced by its kind in angle brackets;
+    overlapping spans are replaced as one, by the kind of the first."""
     if not t:
         return t
     out, at = [], 0

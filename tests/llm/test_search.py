@@ -189,6 +189,21 @@ def test_disguises_map_back_to_source(text, kind, shown):
         assert pii.mask(text) == text.replace(shown, f"<{kind}>")
 
 
+@pytest.mark.parametrize("text,base,shown,kind", [
+    ("to j\u0430ne@example.com now", "ne@example.com", "j\u0430ne@example.com", "email"),
+    ("to jane@example.c\u043em now", "jane@example.c", "jane@example.c\u043em", "email"),
+    ("host \uff1192.168.1.1 up", "92.168.1.1", "\uff1192.168.1.1", "ip"),
+    ("call +44 20 7946 095\uff18 x", "+44 20 7946 095", "+44 20 7946 095\uff18", "phone"),
+])
+def test_disguised_spans_wider_than_plain_ones(spark, text, base, shown, kind):
+    plain, spans = pii.all_spans(text)
+    assert [text[a:b] for a, b, _ in plain] == [base]
+    assert {(text[a:b], k) for a, b, k in spans} == {(base, kind), (shown, kind)}
+    assert pii.mask(text) == text.replace(shown, f"<{kind}>")
+    row = pii.pii_digest(docs_of(spark, [text])).first()
+    assert (row[f"n_{kind}"], row[f"base_{kind}"]) == (2, 1)
+
+
 @pytest.mark.parametrize("text", ["we met at noon. dot the i", "one two three", "look at this dot", "at dot at dot",
                                   "zero one two three", "Привет мир, как дела", "Ωμέγα και Άλφα", "a (at) b"])
 def test_ordinary_text_is_left_alone(text):
