@@ -6,9 +6,12 @@ for every character it puts out, the source span it came from:
 
 1. homoglyphs: look-alike letters, digits and signs of other scripts or widths become
    ASCII, invisible characters go;
-2. at/dot disguises: ``(at)``, ``[dot]``, ``name at host dot tld`` become ``@`` and ``.``;
+2. at/dot disguises: ``(at)``, ``[dot]``, ``name at host dot tld`` become ``@`` and ``.``, in
+   any mix of signs, brackets and words, also in the local part (up to four ``dot`` words). The
+   bare word ``at`` counts only where a dot of the host is disguised too: ``look at
+   example.com`` is ordinary text;
 3. spelled digits: runs of four or more number words ("five five five ...", "oh", "double
-   seven") become digits.
+   seven") become digits. Shorter runs stay words, also between digits.
 
 The same detectors run on the normalised copy and each span found goes back to source
 characters through the map. Only stretches around something that was rewritten are
@@ -131,8 +134,8 @@ _SPELLED = re.compile(rf"(?<![A-Za-z])(?:plus{_GAP})?{_WORD}(?:{_GAP}{_WORD}){{3
 _ONE_WORD = re.compile(r"[A-Za-z]+|[^A-Za-z]")
 _AT_SIGN = re.compile(r"\x20?[\[({<]\x20?at\x20?[\])}>]\x20?", re.I)
 _DOT_SIGN = re.compile(r"\x20?[\[({<]\x20?(?:dot|punkt|punto|point)\x20?[\])}>]\x20?", re.I)
-_AT_DOT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(\x20at\x20)[A-Za-z0-9-]{1,63}"
-                     r"((?:\x20dot\x20[A-Za-z0-9-]{1,63})+)", re.I)
+_AT_DOT = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{1,64}(?:\x20dot\x20[A-Za-z0-9._%+-]{1,64}){0,4}?)(\x20at\x20|@)"
+                     r"[A-Za-z0-9-]{1,63}((?:(?:\.|\x20dot\x20)[A-Za-z0-9-]{1,63})+)", re.I)
 _DOT_WORD = re.compile(r"\x20dot\x20", re.I)
 
 
@@ -174,6 +177,11 @@ def _digits_of(run: str) -> str:
     return "".join(out)
 
 
+def _source(r: Rewritten, piece: str, offset: int, k: int) -> str:
+    a, b = r.spans[k]
+    return piece[a - offset: b - offset]
+
+
 def normalise(piece: str, offset: int) -> Rewritten:
     """The chain of transducers over a stretch of text."""
     r = Rewritten(piece, offset)
@@ -183,14 +191,18 @@ def normalise(piece: str, offset: int) -> Rewritten:
     r.replace([(m.start(), m.end(), ".") for m in _DOT_SIGN.finditer(r.text)])
     edits = []
     for m in _AT_DOT.finditer(r.text):
-        edits.append((*m.span(1), "@"))
-        edits += [(x.start(), x.end(), ".") for x in _DOT_WORD.finditer(r.text, *m.span(2))]
+        dots = [(x.start(), x.end(), ".") for x in _DOT_WORD.finditer(r.text, *m.span(3))]
+        if m.group(2) != "@":
+            if not dots and not any(r.text[k] == "." and _source(r, piece, offset, k) != "." for k in range(*m.span(3))):
+                continue
+            dots.append((*m.span(2), "@"))
+        edits += sorted([*dots, *[(x.start(), x.end(), ".") for x in _DOT_WORD.finditer(r.text, *m.span(1))]])
     r.replace(edits)
     r.replace([(m.start(), m.end(), _digits_of(m.group())) for m in _SPELLED.finditer(r.text)])
     return r
 
 
-_TRIGGER = re.compile(r"[\[({<]\x20?(?:at|dot|punkt|punto|point)\x20?[\])}>]|\x20at\x20[A-Za-z0-9-]{1,63}\x20dot\x20|"
+_TRIGGER = re.compile(r"[\[({<]\x20?(?:at|dot|punkt|punto|point)\x20?[\])}>]|\x20dot\x20|"
                       + rf"(?<![A-Za-z])(?:plus{_GAP})?{_WORD}(?:{_GAP}{_WORD}){{3,}}(?![A-Za-z])", re.I)
 #: Characters kept around a rewritten place: the longest disguised form fits.
 _REACH = 160

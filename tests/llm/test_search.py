@@ -204,6 +204,33 @@ def test_disguised_spans_wider_than_plain_ones(spark, text, base, shown, kind):
     assert (row[f"n_{kind}"], row[f"base_{kind}"]) == (2, 1)
 
 
+@pytest.mark.parametrize("shown", [
+    "john [at] example dot com", "john at example (dot) com", "jane dot doe at example dot com", "john@example dot com",
+    "jane dot doe (at) example.com", "jane (dot) doe at mail.example dot co [dot] uk", "john at example\uff0ecom",
+])
+def test_mixed_at_and_dot_forms(shown):
+    text = f"write, {shown}, today"
+    assert [(text[a:b], k) for a, b, k in pii.all_spans(text)[1]] == [(shown, "email")]
+    assert pii.mask(text) == "write, <email>, today"
+
+
+def test_mixed_forms_beside_plain_spans():
+    text = "jane dot doe@example.co dot uk"
+    plain, spans = pii.all_spans(text)
+    assert plain == [(9, 23, "email")] and spans == [(0, 30, "email"), *plain] and pii.mask(text) == "<email>"
+
+
+@pytest.mark.parametrize("text", ["look at example.com", "call me at noon dot", "the dot at example.com is blue",
+                                  "seen at www.example.com (a) dot", "555 double two one"])
+def test_words_beside_plain_hosts_are_left_alone(text):
+    assert pii.all_spans(text) == ([], [])
+
+
+def test_mixed_forms_take_linear_time():
+    for t in ("a dot " * 40_000, "a at b." * 30_000, "a.b" * 60_000 + " at ", "a at b dot " * 20_000, "a@b dot " * 30_000, "x dot a@" * 30_000):
+        pii.all_spans(t)
+
+
 @pytest.mark.parametrize("text", ["we met at noon. dot the i", "one two three", "look at this dot", "at dot at dot",
                                   "zero one two three", "Привет мир, как дела", "Ωμέγα και Άλφα", "a (at) b"])
 def test_ordinary_text_is_left_alone(text):
