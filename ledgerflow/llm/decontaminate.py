@@ -21,7 +21,8 @@ The shingles of the items are broadcast when there are at most ``BROADCAST_ROWS`
 
 Cases: null and empty texts, and texts of fewer than five words, have no leaks; items of
 fewer than five words are not looked for; a document shorter than an item is compared as
-a whole; repeated rows leak each; empty tables give no leaks; extra columns are ignored by
+a whole; repeated rows leak each; rows without a doc_id are told apart by their texts, and
+their leaks have a null doc_id; empty tables give no leaks; extra columns are ignored by
 ``leaks`` and kept by ``clean``.
 """
 
@@ -37,6 +38,15 @@ BROADCAST_ROWS = 1_000_000
 _BITS = 64
 
 
+def _doc(doc_id: Column, text: Column) -> Column:
+    """The key of a row, never null: its doc_id, or where that is null a hash of its text."""
+    return F.struct(F.coalesce(doc_id, F.xxhash64(text)).alias("id"), doc_id.isNull().alias("unnamed"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return texts(docs).select(_doc(F.col("doc_id"), F.col("text")).alias("doc"), "text")
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
@@ -74,32 +84,31 @@ def item_table(benchmark: DataFrame) -> DataFrame:
     return w.select("item_id", F.size("w").alias("size"), shingles(F.col("w")).alias("row"), simhash(F.col("w")).alias("print"))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, start, size, similarity): the best window of each leaked item in each
-    document, ``start`` counted in words from 0."""
+def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``leaks`` with the key of the row, ``doc``, for doc_id."""
     items = cut(item_table(benchmark), "items")
     entries = items.select("item_id", "size", F.posexplode("row").alias("at", "h"))
     n_items, n_entries = items.count(), entries.count()
     small = (lambda t: F.broadcast(t)) if n_entries <= BROADCAST_ROWS else (lambda t: t)
     alignments = entries.select("h", "size", "at").distinct()
     # the windows: shared shingles, lined up with the items' sizes
-    rows = spread(texts(docs)).select("doc_id", words(F.col("text")).alias("w"))
-    hits = (rows.select("doc_id", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"))).alias("pos", "h"))
+    rows = spread(_keyed(docs)).select("doc", words(F.col("text")).alias("w"))
+    hits = (rows.select("doc", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"))).alias("pos", "h"))
             .join(small(alignments), "h"))
     start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n") - F.col("size")))
-    windows = cut(hits.select("doc_id", start.alias("start"), "size").distinct(), "windows")
-    by_doc = windows.groupBy("doc_id").agg(F.collect_set(F.struct("start", "size")).alias("windows"))
-    own = (texts(docs).join(by_doc, "doc_id").select("doc_id", words(F.col("text")).alias("w"), F.explode("windows").alias("x"))
-           .select("doc_id", F.col("x.start").alias("start"), F.col("x.size").alias("size"),
+    windows = cut(hits.select("doc", start.alias("start"), "size").distinct(), "windows")
+    by_doc = windows.groupBy("doc").agg(F.collect_set(F.struct("start", "size")).alias("windows"))
+    own = (_keyed(docs).join(by_doc, "doc").select("doc", words(F.col("text")).alias("w"), F.explode("windows").alias("x"))
+           .select("doc", F.col("x.start").alias("start"), F.col("x.size").alias("size"),
                    F.slice("w", F.col("x.start") + 1, F.col("x.size")).alias("w")))
-    prints = cut(own.select("doc_id", "start", "size", simhash(F.col("w")).alias("print"),
+    prints = cut(own.select("doc", "start", "size", simhash(F.col("w")).alias("print"),
                             F.array_distinct(shingles(F.col("w"))).alias("row")), "prints")
     # multi-index join, then the distance in full
-    left = prints.select("doc_id", "start", "size", F.col("print").alias("p"), F.explode(pieces(F.col("print"))).alias("x"))
+    left = prints.select("doc", "start", "size", F.col("print").alias("p"), F.explode(pieces(F.col("print"))).alias("x"))
     right = items.select("item_id", "size", F.col("print").alias("q"), F.explode(pieces(F.col("print"))).alias("x"))
     near = (left.join(small(right), ["size", "x"])
             .where(F.bit_count(F.col("p").bitwiseXOR(F.col("q"))) < BLOCKS)
-            .select("doc_id", "start", "size", "item_id"))
+            .select("doc", "start", "size", "item_id"))
     # pairs beyond the radius: windows with one of an item's rarest shingles
     df = entries.select("h", "item_id").distinct().groupBy("h").agg(F.log1p(F.lit(float(n_items)) / F.count("*")).alias("weight"))
     weights = cut(entries.select("item_id", "size", "h").distinct().join(df, "h"), "weights")
@@ -107,11 +116,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     before = F.sum("weight").over(of_item.orderBy(F.desc("weight"), "h").rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight")
     rare = (weights.withColumn("before", before).withColumn("all", F.sum("weight").over(of_item))
             .where(F.col("before") <= (1 - SIMILARITY) * F.col("all") + 1e-6).select("item_id", "size", "h"))
-    far = prints.select("doc_id", "start", "size", F.explode("row").alias("h")).join(small(rare), ["size", "h"])
-    near = near.union(far.select("doc_id", "start", "size", "item_id")).distinct()
+    far = prints.select("doc", "start", "size", F.explode("row").alias("h")).join(small(rare), ["size", "h"])
+    near = near.union(far.select("doc", "start", "size", "item_id")).distinct()
     # exact weighted similarity
     weighted = weights.groupBy("item_id").agg(F.collect_list(F.struct("h", "weight")).alias("item"))
-    pair = near.join(prints.select("doc_id", "start", "size", "row"), ["doc_id", "start", "size"]).join(weighted, "item_id")
+    pair = near.join(prints.select("doc", "start", "size", "row"), ["doc", "start", "size"]).join(weighted, "item_id")
     item = F.col("item")
 
     def weight(xs: Column) -> Column:
@@ -119,14 +128,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     common = weight(F.filter(item, lambda x: F.array_contains("row", x["h"])))
     more = F.size(F.array_except("row", F.transform(item, lambda x: x["h"]))) * F.log1p(F.lit(float(n_items)))
-    scored = pair.select("doc_id", "item_id", "start", "size", (common / (weight(item) + more)).alias("similarity"))
-    return (scored.where(F.col("similarity") >= SIMILARITY).groupBy("doc_id", "item_id")
+    scored = pair.select("doc", "item_id", "start", "size", (common / (weight(item) + more)).alias("similarity"))
+    return (scored.where(F.col("similarity") >= SIMILARITY).groupBy("doc", "item_id")
             .agg(F.max(F.struct("similarity", (-F.col("start")).alias("s"), "size")).alias("best"))
-            .select("doc_id", "item_id", (-F.col("best.s")).cast("long").alias("start"),
+            .select("doc", "item_id", (-F.col("best.s")).cast("long").alias("start"),
                     F.col("best.size").cast("long").alias("size"), F.round("best.similarity", 9).alias("similarity")))
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, start, size, similarity): the best window of each leaked item in each
+    document, ``start`` counted in words from 0."""
+    return _leaks(docs, benchmark).select(F.when(~F.col("doc.unnamed"), F.col("doc.id")).alias("doc_id"),
+                                          "item_id", "start", "size", "similarity")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, in which no item leaked."""
-    found = cut(leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
-    return docs.join(found, docs["doc_id"].cast("long") == found["_leaked"], "left_anti")
+    found = cut(_leaks(docs, benchmark).select(F.col("doc").alias("_leaked")).distinct(), "leaked")
+    own = _doc(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
+    return docs.join(found, own == found["_leaked"], "left_anti")

@@ -25,7 +25,9 @@ Links: documents whose sets of word n-grams have Jaccard similarity of at least
 Cases: null and empty texts have no n-grams, link with nothing and are their own
 component; texts with fewer words than n have their whole word sequence as the only
 n-gram; repeated rows are one class; a repeated doc_id is one document with several texts,
-whose links it joins; extra columns are ignored.
+whose links it joins; a row without a doc_id has the component of the documents with the same
+set, null where none has a doc_id: near copies of such rows are not linked, and ``keep_first``
+keeps all such rows when one of them has a null component; extra columns are ignored.
 """
 
 from __future__ import annotations

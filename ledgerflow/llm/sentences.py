@@ -15,7 +15,8 @@ to the places of a common run is one that Spark splits when skewed. A document's
 are bounded by its sentences.
 
 Cases: null and empty texts have no sentences and come back as they are; a repeated doc_id is
-one document, its rows keep what each has first; an empty table gives no rows; extra
+one document, its rows keep what each has first; a row without a doc_id has no place in the
+order, so that it comes back as it is and its runs do not count for others; an empty table gives no rows; extra
 columns are ignored by the query and kept by ``remove_repeats``.
 """
 

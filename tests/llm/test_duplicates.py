@@ -169,6 +169,18 @@ def test_sentence_spans_equal_every_run(spark):
     assert sum(map(len, gone)) > 50
 
 
+def test_rows_without_an_id(spark):
+    long = " ".join(f"w{k}" for k in range(45)) + "."
+    near = long.replace("w44", "other")
+    docs = spark.createDataFrame([(None, long), (None, near), (3, long), (None, "alone it stands"), (4, long)], "doc_id long, text string")
+    got = sentences.remove_repeats(docs).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, long), (0, near), (0, "alone it stands"), (3, long), (4, "")])
+    parts = {(r.doc_id, r.component_id) for r in jaccard.jaccard_components(docs, 3, 90).collect()}
+    assert parts == {(None, 3), (None, None), (3, 3), (4, 3)}
+    kept = sorted((r.doc_id or 0, r.text) for r in jaccard.keep_first(docs).collect())
+    assert kept == sorted([(0, long), (0, near), (0, "alone it stands"), (3, long)])
+
+
 def brute_suffix(rows, span):
     raws = [(d, (t or "").encode()) for d, t in rows]
     times = Counter(r[i: i + span] for _, r in raws for i in range(len(r) - span + 1))

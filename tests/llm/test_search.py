@@ -128,6 +128,15 @@ def test_leak_cases_and_native_plan(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_leaks_of_rows_without_an_id(spark):
+    benchmark = small(spark, "benchmark")
+    item = benchmark.first().text
+    rows = [(None, "before it " + item), (None, "a text of its own without any leak"), (None, None), (5, "another " + item), (6, "fine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id is None, r.doc_id) for r in decontaminate.leaks(docs, benchmark).collect()) == [(False, 5), (True, None)]
+    assert {r.text for r in decontaminate.clean(docs, benchmark).collect()} == {"a text of its own without any leak", None, "fine"}
+
+
 # --- personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
