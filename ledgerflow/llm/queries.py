@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontaminate, jaccard, packing, periodic, pii, quality, sentences, suffix, token_store, topk, toxicity
+from ledgerflow.llm import decontaminate, jaccard, packing, periodic, pii, quality, secrets, sentences, suffix, token_store, topk, toxicity
 from ledgerflow.sources.tables import read_table
 
 
@@ -62,6 +62,11 @@ def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_novel_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of fixed forms and by novelty in every document."""
+    return secrets.secrets_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op13_minimizer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document."""
     return periodic.periodic_digest(read_table(spark, sf_dir, "documents"))
@@ -70,7 +75,8 @@ def op13_minimizer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_factorization_machine, op2_bradley_terry, op3_token_store,
                               op4_jaccard_join, op5_sentence_spans, op6_simhash_windows, op7_deobfuscated_pii, op8_best_two_fit,
-                              op9_suffix_intervals, op10_threshold_top_k, op13_minimizer_runs)
+                              op9_suffix_intervals, op10_threshold_top_k, op11_novel_secrets,
+                              op13_minimizer_runs)
 }
 
 ORACLE: dict[str, str] = {
