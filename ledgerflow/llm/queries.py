@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontaminate, jaccard, packing, periodic, pii, quality, secrets, sentences, suffix, token_store, topk, toxicity
+from ledgerflow.llm import decontaminate, jaccard, negatives, packing, periodic, pii, quality, secrets, sentences, suffix, token_store, topk, toxicity
 from ledgerflow.sources.tables import read_table
 
 
@@ -67,6 +67,12 @@ def op11_novel_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op12_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 50."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 def op13_minimizer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document."""
     return periodic.periodic_digest(read_table(spark, sf_dir, "documents"))
@@ -76,7 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_factorization_machine, op2_bradley_terry, op3_token_store,
                               op4_jaccard_join, op5_sentence_spans, op6_simhash_windows, op7_deobfuscated_pii, op8_best_two_fit,
                               op9_suffix_intervals, op10_threshold_top_k, op11_novel_secrets,
-                              op13_minimizer_runs)
+                              op12_cover_tree_negatives, op13_minimizer_runs)
 }
 
 ORACLE: dict[str, str] = {
@@ -90,4 +96,21 @@ pairs AS (SELECT q.vec_id AS query_id, c.vec_id,
           FROM ok q JOIN ok c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM pairs QUALIFY rank <= 5""",
+    "op12_cover_tree_negatives": """
+WITH ok AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                  CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+           FROM ok a JOIN ok c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3""",
 }
