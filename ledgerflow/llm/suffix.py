@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import cut, mix64, texts
 
 SPAN, GRAM, GROUP = 400, 100, 4096
-PACK = 256
+#: Contexts hashed together, and hashes counted together.
+PACK, BUCKET = 256, 4_000_000
 
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0xD1342543DE82EF95
@@ -301,10 +302,11 @@ def group_ranges(rows: DataFrame, span: int) -> DataFrame:
     return rows.repartition("fp").sortWithinPartitions("fp", "key").mapInArrow(run, _RANGES)
 
 
-def window_ranges(rows: DataFrame, span: int) -> DataFrame:
-    """(key, ranges) by counting hashes of whole strings, for anchors with very many contexts."""
-    spark = rows.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def window_ranges(rows: DataFrame, span: int, gram: int, n: int) -> DataFrame:
+    """(key, ranges) by counting hashes of whole strings, for anchors with very many contexts;
+    ``n`` is the number of rows."""
+    # a bucket of hashes is counted in one go: their number follows the data, not the cluster
+    buckets = 1 + n * (span - gram + 1) // BUCKET
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, part = 0, TaskContext.get().partitionId()
@@ -318,7 +320,7 @@ def window_ranges(rows: DataFrame, span: int) -> DataFrame:
                 k += 1
 
     packs = cut(rows.mapInArrow(pack, "uid long, fp array<long>, key array<binary>, left_ array<int>, "
-                                      "ctx array<binary>, n array<long>"), "packs")
+                                      "ctx array<binary>, n array<long>").repartition("uid"), "packs")
 
     def hashed(fps: list[int], lefts: list[int], ctxs: list[bytes]) -> list[np.ndarray]:
         # by anchor and distance to it: a string of one text lies in the contexts of several
@@ -357,10 +359,13 @@ def window_ranges(rows: DataFrame, span: int) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for fps, keys, lefts, ctxs, told_ in zip(*[b.column(c).to_pylist() for c in ("fp", "key", "left_", "ctx", "again")]):
-                known = np.frombuffer(b"".join(told_), np.uint64)
+                known = np.unique(np.frombuffer(b"".join(told_), np.uint64))
+                hs = hashed(fps, lefts, ctxs)
+                h = np.concatenate(hs)
+                hit = known[np.searchsorted(known, h).clip(max=len(known) - 1)] == h
                 found = []
-                for key, left, h in zip(keys, lefts, hashed(fps, lefts, ctxs)):
-                    at = np.flatnonzero(np.isin(h, known)) - left
+                for key, left, again_ in zip(keys, lefts, np.split(hit, np.cumsum([len(x) for x in hs])[:-1])):
+                    at = np.flatnonzero(again_) - left
                     if len(at):
                         stop = np.flatnonzero(np.diff(at) > 1)
                         found.append((key, list(zip(at[np.append(0, stop + 1)].tolist(),
@@ -380,10 +385,10 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, group: i
                                         F.count("*").alias("copies"), F.min("n_bytes").alias("size"))
     held = cut(anchored_texts(docs, classes, repeated_anchors(own, classes), repeated), "anchored")
     ctx = cut(contexts(held, span, gram), "contexts")
-    big = ctx.groupBy("fp").count().where(F.col("count") > group).select("fp")
-    ranges = group_ranges(ctx.join(big, "fp", "left_anti"), span)
-    if big.limit(1).count():
-        ranges = ranges.union(window_ranges(ctx.join(big, "fp", "left_semi"), span))
+    big = ctx.groupBy("fp").count().where(F.col("count") > group)
+    ranges = group_ranges(ctx.join(big.select("fp"), "fp", "left_anti"), span)
+    if many := big.agg(F.sum("count")).first()[0]:
+        ranges = ranges.union(window_ranges(ctx.join(big.select("fp"), "fp", "left_semi"), span, gram, many))
     of_text = (occurrences(held, span, gram).join(cut(ranges, "ranges"), "key")
                .select("cls", F.transform("ranges", lambda r: F.struct(
                    (r["a"] + F.col("place")).alias("a"), (r["b"] + F.col("place")).alias("b"))).alias("ranges"))
