@@ -16,7 +16,8 @@ Links: documents whose sets of word n-grams have Jaccard similarity of at least
    incidence matrices, pairs whose sizes or counts are below the bound dropped. First every
    row meets only the block's smallest id; links found so are merged into components, and
    blocks whose rows are in one component are finished. The others are dealt out as tiles
-   of about 2 * ``TILE`` rows, so that a block of any size is never in one task. A tile is
+   of about 2 * ``TILE`` rows of sizes that can link, so that a block of any size is never in
+   one task and rows of far sizes never meet. A tile is
    multiplied twice: first over columns folded to ``BITS`` parities, which bounds the
    difference of two sets from below, then, with the rows that still have a partner in
    another component, over the columns themselves. It puts out a spanning forest of its
@@ -33,6 +34,7 @@ keeps all such rows when one of them has a null component; extra columns are ign
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +46,8 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import components, cut, discard, mix64, texts
 
 TILE, BITS = 192, 2048
+#: Hashes of n-grams counted together.
+BUCKET = 2_000_000
 
 
 class _Hashes(dict):
@@ -87,7 +91,8 @@ def _cls(digest: bytes) -> int:
 
 def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, digest, cls, zone): the set's size, a 128-bit digest and half of it
-    as a number, and the set's hashes in the counted part of the hash space, the lowest."""
+    as a number, and the low 48 bits of the set's hashes in the counted part of the hash space,
+    the lowest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = np.uint64(min(2 ** 64 - 1, 2 ** 64 * 2 * (100 - percent) // 100))
@@ -96,10 +101,69 @@ def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
                  pa.array([_cls(d) for d in digests], pa.int64()),
-                 pa.array([s[: np.searchsorted(s, top)].view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                 pa.array([_packed48(s[: np.searchsorted(s, top)]) for s in sets], pa.binary())],
                 ["doc_id", "n_shingles", "digest", "cls", "zone"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, digest binary, cls long, zone array<long>")
+    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, digest binary, cls long, zone binary")
+
+
+def _packed48(h: np.ndarray) -> bytes:
+    """The low 48 bits of 64-bit values."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked48(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def unshared(own: DataFrame) -> DataFrame:
+    """(cls, alone): how many n-grams of a class's zone no other class has.
+
+    Hashes go to buckets in packs of many documents, eight bytes each, and a bucket, whose
+    number follows the data, is counted in one task. Two n-grams that agree in 48 bits count
+    as one shared: that keeps a row longer and loses none."""
+    hashes = own.agg(F.sum(F.length("zone")).alias("n")).first()["n"] or 0
+    buckets = 1 + hashes // 6 // BUCKET
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                zones = part.column("zone").to_pylist()
+                h = _unpacked48(b"".join(zones))
+                row = np.repeat(np.arange(len(zones), dtype=np.uint16), [len(z) // 6 for z in zones])
+                bucket = (h % np.uint64(buckets)).astype(np.int64)
+                by = np.argsort(bucket, kind="stable")
+                edge = np.searchsorted(bucket[by], np.arange(buckets + 1))
+                cls = part.column("cls").to_numpy()
+                out = []
+                for k, (x, y) in enumerate(zip(edge, edge[1:])):
+                    if y > x:
+                        mine, place = np.unique(row[by[x:y]], return_inverse=True)
+                        out.append((k, cls[mine].tobytes(), place.astype(np.uint16).tobytes(), _packed48(h[by[x:y]])))
+                if out:
+                    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
+                                                     ["bucket", "classes", "places", "hashes"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, ["bucket"]):
+            h = np.concatenate([_unpacked48(x.as_py()) for x in t.column("hashes")])
+            cls = np.concatenate([np.frombuffer(c.as_py(), np.int64)[np.frombuffer(p.as_py(), np.uint16)]
+                                  for c, p in zip(t.column("classes"), t.column("places"))])
+            by = np.argsort(h, kind="stable")
+            h, cls = h[by], cls[by]
+            first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            low = np.minimum.reduceat(cls, first)
+            # counted by class: the exact copies of a text do not make its n-grams shared
+            found, times = np.unique(low[low == np.maximum.reduceat(cls, first)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(times, pa.int64())], ["cls", "alone"])
+
+    packs = own.select("cls", "zone").mapInArrow(pack, "bucket int, classes binary, places binary, hashes binary")
+    return (packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "cls long, alone long")
+            .groupBy("cls").agg(F.sum("alone").alias("alone")))
 
 
 def _room(percent: int):
@@ -115,12 +179,10 @@ def _folded(s: np.ndarray) -> bytes:
 
 def candidate_rows(docs: DataFrame, own: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """(cls, rep, n, folded, hashes) of the rows that can have a partner (step 2)."""
-    # counted by class: the exact copies of a text do not make its n-grams shared
-    unshared = (own.select("cls", F.explode("zone").alias("h"))
-                .groupBy("h").agg(F.min("cls").alias("cls"), F.max("cls").alias("other")).where("cls = other")
-                .groupBy("cls").agg(F.count("*").alias("alone")))
-    likely = (classes.join(unshared, "cls", "left")
+    likely = (classes.join(unshared(own), "cls", "left")
               .where(F.coalesce(F.col("alone"), F.lit(0)) <= _room(percent)).select("rep", F.col("cls").alias("wanted")))
+    # written first: by the size of the files Spark sees whether the texts need a shuffle at all
+    likely = cut(likely, "jaccard-likely")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, sets in _sets(batches, n):
@@ -249,14 +311,39 @@ def _tile_links(t: pa.Table, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _tiles(blocks: DataFrame) -> DataFrame:
-    """(h, i, j, side, rep, comp): each block's rows dealt by hash into parts of about ``TILE``, and
-    a tile for every two parts and for each part alone."""
-    dealt = blocks.withColumn("mine", F.pmod(F.xxhash64("cls", "h"), F.col("parts")).cast("int"))
-    return dealt.select("h", "cls", "rep", "n", "comp", "mine",
-                        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("theirs")).select(
-        "h", F.least("mine", "theirs").alias("i"), F.greatest("mine", "theirs").alias("j"),
-        (F.col("mine") > F.col("theirs")).cast("int").alias("side"), "cls", "rep", "n", "comp")
+def _size_class(percent: int):
+    """A row's size on a scale on which sizes that can link are at most two apart."""
+    width = max(1e-12, math.log(100 / percent) / 2 * (1 + 1e-9))
+    return F.floor(F.ln("n") / F.lit(width)).cast("long")
+
+
+def _tiles(placed: DataFrame, percent: int) -> DataFrame:
+    """(h, sa, sb, i, j, side, cls, rep, n, comp): the rows of unfinished blocks, dealt out. The rows
+    of a block fall into size classes, each dealt by hash into parts of about ``TILE``; there
+    is a tile for every two parts of size classes at most two apart, and for each part alone,
+    unless all their rows are in one component."""
+    sized = placed.withColumn("sc", _size_class(percent))
+    groups = cut(sized.groupBy("h", "sc").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                              F.ceil(F.count("*") / TILE).cast("int").alias("parts")), "jaccard-groups")
+    a = groups.select("h", F.col("sc").alias("sa"), F.col("lo").alias("la"), F.col("hi").alias("ha"), F.col("parts").alias("pa"),
+                      F.explode(F.expr("sequence(sc, sc + 2)")).alias("sb"))
+    b = groups.select("h", F.col("sc").alias("sb"), F.col("lo").alias("lb"), F.col("hi").alias("hb"), F.col("parts").alias("pb"))
+    pairs = cut(a.join(b, ["h", "sb"]).where(F.least("la", "lb") < F.greatest("ha", "hb")).select("h", "sa", "sb", "pa", "pb"),
+                "jaccard-pairs")
+    first = pairs.select("h", F.col("sa").alias("sc"), F.lit(0).alias("side"), "sa", "sb", F.col("pa").alias("own"), F.col("pb").alias("parts"))
+    second = (pairs.where("sa < sb")
+              .select("h", F.col("sb").alias("sc"), F.lit(1).alias("side"), "sa", "sb", F.col("pb").alias("own"), F.col("pa").alias("parts")))
+    # written first, so that a hot block's rows can be split over the tasks of the join
+    rows = cut(sized.join(pairs.select("h").distinct(), "h", "left_semi"), "jaccard-open")
+    dealt = (rows.join(first.union(second), ["h", "sc"])
+             .withColumn("mine", F.pmod(F.xxhash64("cls", "h"), F.col("own")).cast("int"))
+             .withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    one, mine, theirs = F.col("sa") == F.col("sb"), F.col("mine"), F.col("theirs")
+    return dealt.select(
+        "h", "sa", "sb",
+        F.when(one, F.least(mine, theirs)).when(F.col("side") == 0, mine).otherwise(theirs).alias("i"),
+        F.when(one, F.greatest(mine, theirs)).when(F.col("side") == 0, theirs).otherwise(mine).alias("j"),
+        F.when(one, (mine > theirs).cast("int")).otherwise(F.col("side")).alias("side"), "cls", "rep", "n", "comp")
 
 
 def links(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
@@ -269,10 +356,8 @@ def links(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
     merged = components(star, "jaccard-cc")
     placed = (columns.join(merged.withColumnRenamed("id", "rep"), "rep", "left")
               .withColumn("comp", F.coalesce("comp", "rep")))
-    open_ = cut(placed.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows"))
-                .where("lo <> hi").select("h", F.ceil(F.col("rows") / TILE).cast("int").alias("parts")), "jaccard-blocks")
-    tiles = _tiles(cut(placed.join(open_, "h"), "jaccard-open"))
-    keys = ["h", "i", "j"]
+    tiles = _tiles(placed, percent)
+    keys = ["h", "sa", "sb", "i", "j"]
 
     def dealt(df: DataFrame) -> DataFrame:
         return df.repartition(*keys).sortWithinPartitions(*keys, "n", "cls")
@@ -288,7 +373,7 @@ def links(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
             if found := _tile_links(t, percent):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
 
-    kind = "h long, i int, j int, side int, cls long, rep long, n long, comp long"
+    kind = "h long, sa long, sb long, i int, j int, side int, cls long, rep long, n long, comp long"
     folded = tiles.join(rows.select("cls", "folded"), "cls").select(*[c.split()[0] for c in kind.split(", ")], "folded")
     sifted = cut(dealt(folded).mapInArrow(sift, kind), "jaccard-sifted")
     more = dealt(sifted.join(rows.select("cls", "hashes"), "cls")).mapInArrow(product, "a long, b long")
@@ -298,10 +383,12 @@ def links(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
-    own = cut(document_sets(docs, n, percent), "jaccard-sets")
+    zoned = cut(document_sets(docs, n, percent), "jaccard-zones")
+    own = cut(zoned.drop("zone"), "jaccard-sets")
     classes = (own.where("n_shingles > 0").groupBy("digest")
                .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("cls").alias("cls")))
-    rows = cut(candidate_rows(docs, own, classes, n, percent), "jaccard-rows")
+    rows = cut(candidate_rows(docs, zoned, classes, n, percent), "jaccard-rows")
+    discard(spark, zoned)
     columns = cut(block_columns(rows, percent), "jaccard-columns")
     # only rows that share a block with another are looked at again: their sets are moved on
     met = columns.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").select("h")
