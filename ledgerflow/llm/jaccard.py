@@ -46,8 +46,8 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import components, cut, discard, mix64, texts
 
 TILE, BITS = 192, 2048
-#: Hashes of n-grams counted together.
-BUCKET = 2_000_000
+#: Hashes of n-grams counted together, and rows whose counts are added up together.
+BUCKET, SHARE = 2_000_000, 100_000
 
 
 class _Hashes(dict):
@@ -122,10 +122,12 @@ def unshared(own: DataFrame) -> DataFrame:
     """(cls, alone): how many n-grams of a class's zone no other class has.
 
     Hashes go to buckets in packs of many documents, eight bytes each, and a bucket, whose
-    number follows the data, is counted in one task. Two n-grams that agree in 48 bits count
+    number follows the data, is counted in one task; the buckets' counts are added up by
+    shares of the classes. Two n-grams that agree in 48 bits count
     as one shared: that keeps a row longer and loses none."""
     hashes = own.agg(F.sum(F.length("zone")).alias("n")).first()["n"] or 0
     buckets = 1 + hashes // 6 // BUCKET
+    shares = 1 + own.count() // SHARE
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -159,11 +161,25 @@ def unshared(own: DataFrame) -> DataFrame:
             low = np.minimum.reduceat(cls, first)
             # counted by class: the exact copies of a text do not make its n-grams shared
             found, times = np.unique(low[low == np.maximum.reduceat(cls, first)], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(times, pa.int64())], ["cls", "alone"])
+            share = (found.view(np.uint64) % np.uint64(shares)).astype(np.int64)
+            by = np.argsort(share, kind="stable")
+            found, times, edge = found[by], times[by], np.searchsorted(share[by], np.arange(shares + 1))
+            out = [(k, found[x:y].tobytes(), times[x:y].astype(np.uint32).tobytes())
+                   for k, (x, y) in enumerate(zip(edge, edge[1:])) if y > x]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary()))],
+                                                 ["share", "classes", "times"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, ["share"]):
+            cls, place = np.unique(np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in t.column("classes")]), return_inverse=True)
+            alone = np.bincount(place, np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in t.column("times")]))
+            yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(alone.astype(np.int64))], ["cls", "alone"])
 
     packs = own.select("cls", "zone").mapInArrow(pack, "bucket int, classes binary, places binary, hashes binary")
-    return (packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "cls long, alone long")
-            .groupBy("cls").agg(F.sum("alone").alias("alone")))
+    counts = (packs.repartition("bucket").sortWithinPartitions("bucket")
+              .mapInArrow(count, "share int, classes binary, times binary"))
+    return counts.repartition("share").sortWithinPartitions("share").mapInArrow(total, "cls long, alone long")
 
 
 def _room(percent: int):
@@ -181,9 +197,6 @@ def candidate_rows(docs: DataFrame, own: DataFrame, classes: DataFrame, n: int,
     """(cls, rep, n, folded, hashes) of the rows that can have a partner (step 2)."""
     likely = (classes.join(unshared(own), "cls", "left")
               .where(F.coalesce(F.col("alone"), F.lit(0)) <= _room(percent)).select("rep", F.col("cls").alias("wanted")))
-    # written first: by the size of the files Spark sees whether the texts need a shuffle at all
-    likely = cut(likely, "jaccard-likely")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, sets in _sets(batches, n):
             found = [(c, i, len(s), _folded(s), s.view(np.int64)) for c, i, s in
