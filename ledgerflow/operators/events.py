@@ -55,7 +55,8 @@ def _number_text(x: Column) -> Column:
     """A double as plain decimal text, without an exponent and with one digit at least
     behind the point (-5.0, 2000000.0)."""
     plain = F.regexp_replace(x.cast(T.DecimalType(38, 6)).cast(T.StringType()), "0+$", "")
-    return F.coalesce(F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain), x.cast(T.StringType()))
+    shown = F.coalesce(F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain), x.cast(T.StringType()))
+    return F.when(x.cast(T.StringType()) == "-0.0", F.lit("-0.0")).otherwise(shown)
 
 
 def validation_error(required=C.EVENT_REQUIRED_FIELDS, max_amount=C.EVENT_MAX_AMOUNT) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,6 +114,56 @@ def as_of_lookup(facts: DataFrame, history: DataFrame, ts_col: str = "transactio
             .drop(versions.customer_id).drop("effective_date", "expiry_date"))
 
 
+# --- snapshots in any order -----------------------------------------------------------------
+
+def observations(incoming: DataFrame, seen_on: dt.date) -> DataFrame:
+    """A snapshot as rows of the observation log: what was seen of each customer on a day. The log
+    keeps every snapshot, also where it changed nothing, so that a late one between two equal
+    ones is told from one at their end."""
+    return latest_customers(incoming).select("customer_id", *CUSTOMER_ATTRIBUTES, date_lit(seen_on).alias("seen_on"))
+
+
+def history_of(seen: DataFrame) -> DataFrame:
+    """The type-2 history of an observation log, by one sweep over each customer's days: a version
+    starts where the attributes differ from the day before it was seen last, and ends the day
+    before the next starts. Equals :func:`scd2_merge` over the snapshots in order, whatever
+    order they arrived in. A customer has one row a snapshot, so no group is large."""
+    by_day = Window.partitionBy("customer_id").orderBy("seen_on")
+    hashed = seen.withColumn("_hash_key", attribute_hash())
+    starts = (hashed.withColumn("_before", F.lag("_hash_key").over(by_day))
+              .where(F.col("_before").isNull() | (F.col("_before") != F.col("_hash_key")))
+              .withColumn("_next", F.lead("seen_on").over(by_day)))
+    closed = F.col("_next").isNotNull()
+    rows = starts.select(
+        hash_key(F.col("customer_id"), F.col("seen_on")).alias("customer_key"), "customer_id", *CUSTOMER_ATTRIBUTES,
+        F.col("seen_on").alias("effective_date"),
+        F.when(closed, F.date_sub("_next", 1)).otherwise(date_lit(C.OPEN_END_DATE)).alias("expiry_date"),
+        (~closed).alias("is_current"), "_hash_key",
+        F.coalesce("_next", "seen_on").cast(T.TimestampNTZType()).alias("_updated_at"))
+    return rows.select(*HISTORY_COLUMNS)
+
+
+def insert_snapshot(history: DataFrame, seen: DataFrame, incoming: DataFrame, seen_on: dt.date) -> DataFrame:
+    """The history after a snapshot of any day, earlier or later than those in the log ``seen``
+    (without it): the versions of its customers are swept anew, all others stay as they are.
+    A second snapshot of a day in the log replaces what was seen of its customers then."""
+    new = observations(incoming, seen_on)
+    ids = new.select("customer_id")
+    before = (seen.join(ids, "customer_id", "left_semi").where(F.col("seen_on") != date_lit(seen_on)))
+    return history.join(ids, "customer_id", "left_anti").select(*HISTORY_COLUMNS).unionByName(
+        history_of(before.unionByName(new)))
+
+
+def rekey(keyed: DataFrame, history: DataFrame, changed: DataFrame, ts_col: str = "transaction_timestamp") -> DataFrame:
+    """Point-in-time keys (:func:`as_of_lookup`) brought up to date after the customers in ``changed`` got
+    other versions; the rows of all other customers keep theirs."""
+    ids = changed.select("customer_id").distinct()
+    again = keyed.join(ids, "customer_id", "left_semi").drop("asof_customer_key", "asof_customer_tier")
+    # columns of their own: ``keyed`` may come from a part of the same history
+    versions = history.join(ids, "customer_id", "left_semi").select(*[F.col(c).alias(c) for c in HISTORY_COLUMNS])
+    return keyed.join(ids, "customer_id", "left_anti").unionByName(as_of_lookup(again, versions, ts_col))
+
+
 # --- mart: dim_customer -------------------------------------------------------------------
 
 def empty_dim_customer(spark) -> DataFrame:

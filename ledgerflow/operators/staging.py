@@ -139,3 +139,16 @@ def upsert_staging(target: DataFrame, source_staged: DataFrame) -> DataFrame:
         else:
             out.append(F.when(take_src, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
     return j.select(*out)
+
+
+def staging_changes(target: DataFrame, source_staged: DataFrame) -> DataFrame:
+    """The change feed of :func:`upsert_staging`: one row for each id that the source inserts or
+    replaces, with the staged columns after the change and ``before_timestamp``, the time of the
+    transaction before it (null for an insert). Give it the part of the target that can
+    hold the source's ids; rows that stay as they are do not appear."""
+    t = target.select(F.col("transaction_id").alias("_t_id"), F.col("transaction_timestamp").alias("before_timestamp"),
+                      F.col("_staged_at").alias("_t_staged_at"), F.col("_source_file").alias("_t_file"))
+    j = source_staged.join(t, F.col("transaction_id") == F.col("_t_id"), "left")
+    taken = j.where(F.col("_t_id").isNull() | (F.col("_loaded_at") > F.col("_t_staged_at")))
+    after = [F.coalesce("_source_file", "_t_file").alias(c) if c == "_source_file" else F.col(c) for c in STAGED_COLUMNS]
+    return taken.select(*after, F.when(F.col("_t_id").isNull(), "insert").otherwise("update").alias("change"), "before_timestamp")

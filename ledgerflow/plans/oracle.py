@@ -33,6 +33,7 @@ SELECT transaction_id, _loaded_at, amount_text FROM (
 oracle("dim_customer_load", "SELECT * FROM dim_customer", "dim_customer")
 oracle("scd2_changes", "SELECT customer_id, new_hash, existing_hash, change_type FROM changes2", "changes2")
 oracle("scd2_expire", "SELECT * FROM hist2", "hist2")
+oracle("scd2_late_snapshot", "SELECT * FROM hist2", "hist2")
 oracle("fact_load", "SELECT * FROM fact", "fact")
 oracle("merchant_stats", "SELECT * FROM merchant_stats", "merchant_stats")
 
@@ -329,6 +330,7 @@ cte("staged_run2", "SELECT " + ", ".join(f"CASE WHEN {_TAKE} THEN s.{c} ELSE t.{
     + " FROM staged_run1 t FULL OUTER JOIN staged2_src s ON t.transaction_id = s.transaction_id",
     ["staged_run1", "staged2_src"])
 oracle("stage_upsert", "SELECT * FROM staged_run2", "staged_run2")
+oracle("stage_merge_partitions", "SELECT * FROM staged_run2", "staged_run2")
 
 cte("merchant_stats_run1", merchant_stats_sql("staged_run1"), ["staged_run1"])
 cte("dim_merchant_run1", dim_merchant_rows_sql("merchant_stats_run1", RUN1) + "\nUNION ALL\n" + UNKNOWN_MERCHANT,
@@ -374,6 +376,11 @@ oracle("fact_load_incremental", "SELECT * FROM fact_run2_new", "fact_run2_new")
 
 cte("fact_reload", fact_sql("staged_run2", "dim_customer", "dim_merchant_run2", AS_OF, FULL_DAYS),
     ["staged_run2", "dim_customer", "dim_merchant_run2"])
+oracle("fact_upsert", f"""
+SELECT * FROM fact_run1 WHERE transaction_id NOT IN (SELECT transaction_id FROM staged_run2 WHERE _staged_at = {ts(AS_OF)})
+UNION ALL
+SELECT * FROM fact_reload WHERE transaction_id IN (SELECT transaction_id FROM staged_run2 WHERE _staged_at = {ts(AS_OF)})""",
+       "fact_run1", "fact_reload", "staged_run2")
 oracle("fact_full_reload", """
 SELECT coalesce(s._batch_id, f._batch_id) AS _batch_id, coalesce(s.staged_rows, 0) AS staged_rows,
   coalesce(f.fact_rows, 0) AS fact_rows
@@ -396,11 +403,12 @@ SELECT 'merchant_key', count(*), count(CASE WHEN merchant_key = -1 THEN 1 END),
   count(CASE WHEN merchant_key NOT IN (SELECT merchant_key FROM dim_merchant) THEN 1 END) FROM fact""",
        "fact", "dim_customer", "dim_merchant")
 
-oracle("scd2_as_of_lookup", """
+_POINT_IN_TIME = """
 SELECT s.transaction_id, s.customer_id, h.customer_key AS asof_customer_key, h.customer_tier AS asof_customer_tier
 FROM staged s LEFT JOIN hist2 h ON s.customer_id = h.customer_id
-  AND CAST(s.transaction_timestamp AS DATE) >= h.effective_date AND CAST(s.transaction_timestamp AS DATE) <= h.expiry_date""",
-       "staged", "hist2")
+  AND CAST(s.transaction_timestamp AS DATE) >= h.effective_date AND CAST(s.transaction_timestamp AS DATE) <= h.expiry_date"""
+for _key in ("scd2_as_of_lookup", "scd2_late_facts"):
+    oracle(_key, _POINT_IN_TIME, "staged", "hist2")
 
 # --- merchant windows, profiles ---------------------------------------------------------------------
 oracle("merchant_latest", """

@@ -380,6 +380,41 @@ def q_stage_upsert(spark, sf_dir):
     return P(spark, sf_dir).build_staged_run2()
 
 
+def _staged_months(spark, sf_dir):
+    """The staging table of run 1, kept by month, and run 2's staged batch."""
+    p = P(spark, sf_dir)
+    root = _fresh_dir(spark, "staging")
+    table = os.path.join(root, "staging")
+    PT.write_partitioned(p.staged_run1().withColumn("txn_day", SI.staging_day("month")), table, "txn_day", "transaction_id")
+    source, _ = ST.stage_transactions(p.clean_run2(), A.TXN_AS_OF, keep_load_time=True)
+    return p, root, table, source
+
+
+@query("stage_merge_partitions")
+def q_stage_merge_partitions(spark, sf_dir):
+    """Run 2's batch merged into the staging table kept by month: only the months that take its rows
+    or hold its ids are read and written."""
+    _, root, table, source = _staged_months(spark, sf_dir)
+    SI.merge_staging_table(spark, table, source, os.path.join(root, "scratch"), grain="month")
+    return spark.read.parquet(table).drop("txn_day")
+
+
+@query("fact_upsert")
+def q_fact_upsert(spark, sf_dir):
+    """The fact of run 1 after the changes that run 2 made to staging: replaced transactions are
+    retracted and inserted anew, new ones added."""
+    p, root, table, source = _staged_months(spark, sf_dir)
+    holding = PT.partitions_holding(spark, table, source, "txn_day", "transaction_id")
+    changes = ST.staging_changes(spark.read.parquet(table).where(F.col("txn_day").isin(holding)), source)
+    feed, fact = os.path.join(root, "changes"), os.path.join(root, "fact")
+    changes.write.parquet(feed)
+    SK.write_fact(p.fact_run1(), fact)
+    changes = spark.read.parquet(feed)
+    PT.upsert_fact(spark, fact, changes, p.dim_customer(), p.dim_merchant_run2(), A.TXN_AS_OF, A.simulated_processed_at(changes),
+                   os.path.join(root, "scratch"))
+    return spark.read.parquet(fact).drop("transaction_key", "date_month")
+
+
 @query("dim_merchant_upsert")
 def q_dim_merchant_upsert(spark, sf_dir):
     return P(spark, sf_dir).build_dim_merchant_run2()
@@ -421,6 +456,31 @@ def q_scd2_as_of_lookup(spark, sf_dir):
     return S.as_of_lookup(rows, p.customer_history()).drop("transaction_timestamp")
 
 
+def _late_snapshot(p, spark, sf_dir):
+    """The second customer snapshot loaded first, then the first one, late."""
+    first, second = (A.raw_customer_snapshot(spark, sf_dir, k) for k in (1, 2))
+    seen = S.observations(second, A.CUSTOMER_SNAPSHOT_2)
+    early = p.table("customer_history_early", lambda: S.history_of(seen))
+    return early, S.insert_snapshot(early, seen, first, A.CUSTOMER_SNAPSHOT_1), first
+
+
+@query("scd2_late_snapshot")
+def q_scd2_late_snapshot(spark, sf_dir):
+    """A customer snapshot that arrives after a later one ends between the versions it belongs to."""
+    return _late_snapshot(P(spark, sf_dir), spark, sf_dir)[1]
+
+
+@query("scd2_late_facts")
+def q_scd2_late_facts(spark, sf_dir):
+    """Point-in-time keys given under the history before the late snapshot, given anew to the
+    transactions of the customers it holds."""
+    p = P(spark, sf_dir)
+    early, history, late = _late_snapshot(p, spark, sf_dir)
+    rows = p.staged().select("transaction_id", "customer_id", "transaction_timestamp")
+    keyed = S.as_of_lookup(rows, early)
+    return S.rekey(keyed, history, late).drop("transaction_timestamp")
+
+
 # --- merchant windows ----------------------------------------------------------------------------
 @query("merchant_latest")
 def q_merchant_latest(spark, sf_dir):
@@ -637,6 +697,7 @@ def q_stream_stage_upsert(spark, sf_dir):
 
 # --- generators, table writes --------------------------------------------------------------------------
 from ledgerflow.sources import generators as G  # noqa: E402
+from ledgerflow.sources import partitioned as PT  # noqa: E402
 from ledgerflow.sources import sinks as SK  # noqa: E402
 
 
