@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import components, cut, discard, mix64, texts
 
-TILE, BITS = 192, 2048
+TILE, BITS = 512, 2048
 #: Hashes of n-grams counted together, and rows whose counts are added up together.
 BUCKET, SHARE = 2_000_000, 100_000
 
