@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import texts
+from ledgerflow.llm.common import cut, texts
 
 #: Kinds in the order in which spans with equal starts are listed; the first three are the fixed forms.
 KINDS = ["assign", "access", "hex", "novel"]
@@ -168,7 +168,17 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> bytes:
     """The identifier dictionary of the corpus: at most ``size`` bytes, so the driver holds at most
     ``size`` / 4 parts, as a part has three letters and a space or more."""
     weight = F.col("documents") * F.length("part")
-    rows = (identifier_parts(docs).where("documents > 1").orderBy(weight.desc(), "part").limit(size // 4)
+    counted = cut(identifier_parts(docs).where("documents > 1").withColumn("weight", weight), "secrets-parts")
+    # bytes by steps of the weight's logarithm (a few hundred rows) tell below which weight no part has
+    # room, so that the sort sees little more than the dictionary
+    steps = (counted.groupBy(F.floor(F.log2("weight") * 8).alias("step")).agg(F.sum(F.length("part") + 1).alias("bytes"))
+             .orderBy(F.desc("step")).collect())
+    least, room = None, size
+    for r in steps:
+        least, room = r.step, room - r.bytes
+        if room < 0:
+            break
+    rows = (counted.where(F.floor(F.log2("weight") * 8) >= F.lit(least)).orderBy(F.desc("weight"), "part").limit(size // 4)
             .select("part").collect())
     parts, used = [], 0
     for r in rows:
