@@ -18,6 +18,7 @@ from ledgerflow import constants as C
 from ledgerflow.functions.columns import minutes_between, rate, seconds_between, ts_lit
 
 DEC = T.DecimalType(18, 6)
+QUALITY_METRICS = ["row_count", "null_rate_amount", "duplicate_rate", "data_freshness_minutes", "avg_amount_usd"]
 METRIC_COLUMNS = ["metric_timestamp", "table_name", "metric_name", "metric_value", "threshold", "status", "details",
                   "batch_id"]
 SLA_COLUMNS = ["metric_timestamp", "dag_id", "execution_date", "metric_name", "metric_value", "unit", "status",
@@ -66,9 +67,14 @@ def quality_metrics(fact: DataFrame, as_of: dt.datetime, lookback: dt.timedelta
                     table_name: str = "fct_transactions", metrics: list[str] | None = None) -> DataFrame:
     """Rows of the data_quality_metrics table: row_count, null_rate_amount,
     duplicate_rate, data_freshness_minutes, avg_amount_usd (or the chosen subset)."""
-    all_names = ["row_count", "null_rate_amount", "duplicate_rate", "data_freshness_minutes", "avg_amount_usd"]
-    names = [m for m in all_names if metrics is None or m in metrics]
-    a = _quality_parts(fact, as_of, lookback, set(names))
+    names = [m for m in QUALITY_METRICS if metrics is None or m in metrics]
+    return quality_rows(_quality_parts(fact, as_of, lookback, set(names)), ts_lit(as_of), lookback, table_name, names)
+
+
+def quality_rows(a: DataFrame, as_of: Column, lookback: dt.timedelta, table_name: str,
+                 names: list[str] | None = None) -> DataFrame:
+    """Metric rows from windows' aggregates, one row of ``a`` for each window that ends at ``as_of``."""
+    names = QUALITY_METRICS if names is None else names
     mins = _window_minutes(lookback)
     n = F.col("n")
     rows = {}
@@ -89,7 +95,7 @@ def quality_metrics(fact: DataFrame, as_of: dt.datetime, lookback: dt.timedelta
             F.when(n == F.col("distinct_ids"), "PASS").otherwise("FAIL"),
             F.concat(F.lit("Duplicates: "), _s(dups)), F.col("batch_id"))
     if "data_freshness_minutes" in names:
-        age = minutes_between(F.col("max_ts"), ts_lit(as_of))
+        age = minutes_between(F.col("max_ts"), as_of)
         rows["data_freshness_minutes"] = (
             _dec(age), _dec(C.METRIC_FRESHNESS_MINUTES),
             F.when(age <= C.METRIC_FRESHNESS_MINUTES, "PASS").otherwise("WARNING"),
@@ -106,8 +112,8 @@ def quality_metrics(fact: DataFrame, as_of: dt.datetime, lookback: dt.timedelta
     structs = [F.struct(F.lit(m).alias("metric_name"), v.alias("metric_value"), t.alias("threshold"),
                         _s(st).alias("status"), det.alias("details"), b.alias("batch_id"))
                for m, (v, t, st, det, b) in rows.items() if m in names]
-    out = a.select(F.inline(F.array(*structs)))
-    return out.select(ts_lit(as_of).alias("metric_timestamp"), F.lit(table_name).alias("table_name"), "metric_name",
+    out = a.select(as_of.alias("metric_timestamp"), F.inline(F.array(*structs)))
+    return out.select("metric_timestamp", F.lit(table_name).alias("table_name"), "metric_name",
                       "metric_value", "threshold", "status", "details", "batch_id")
 
 
@@ -142,12 +148,12 @@ def top_failed_metrics(metrics: DataFrame, n: int = 20) -> DataFrame:
 
 # --- service-level metrics ------------------------------------------------------------------------
 
-def _sla_rows(agg: DataFrame, rows: list[tuple], as_of: dt.datetime) -> DataFrame:
+def _sla_rows(agg: DataFrame, rows: list[tuple], as_of: Column) -> DataFrame:
     structs = [F.struct(F.lit(name).alias("metric_name"), v.alias("metric_value"), F.lit(unit).alias("unit"),
                         st.alias("status"), det.alias("details")) for name, v, unit, st, det in rows]
-    return agg.select(F.inline(F.array(*structs))).select(
-        ts_lit(as_of).alias("metric_timestamp"), F.lit(C.PIPELINE_NAME).alias("dag_id"),
-        ts_lit(as_of).alias("execution_date"), "metric_name", "metric_value", "unit", "status", "details")
+    return agg.select(as_of.alias("metric_timestamp"), F.inline(F.array(*structs))).select(
+        "metric_timestamp", F.lit(C.PIPELINE_NAME).alias("dag_id"),
+        F.col("metric_timestamp").alias("execution_date"), "metric_name", "metric_value", "unit", "status", "details")
 
 
 def sla_window_aggregates(fact: DataFrame, as_of: dt.datetime, lookback: dt.timedelta) -> DataFrame:
@@ -171,7 +177,11 @@ def sla_metrics(fact: DataFrame, as_of: dt.datetime, lookback: dt.timedelta = dt
                 metrics: list[str] | None = None) -> DataFrame:
     """Rows of pipeline_sla_metrics: throughput, end-to-end latency (with P95 in the
     details) and dimension coverage over the window."""
-    a = sla_window_aggregates(fact, as_of, lookback)
+    return sla_rows(sla_window_aggregates(fact, as_of, lookback), ts_lit(as_of), lookback, metrics)
+
+
+def sla_rows(a: DataFrame, as_of: Column, lookback: dt.timedelta, metrics: list[str] | None = None) -> DataFrame:
+    """Service-level rows from windows' aggregates, one row of ``a`` for each window that ends at ``as_of``."""
     n = F.col("n")
     mins = F.greatest(minutes_between(F.col("first_processed"), F.col("last_processed")), F.lit(1))
     thr = rate(n, mins)
@@ -212,7 +222,7 @@ def daily_volume(fact: DataFrame, day: dt.date, as_of: dt.datetime) -> DataFrame
     n = F.col("n")
     return _sla_rows(a, [("daily_volume", _dec(n), "records",
                           F.when(n >= C.SLA_DAILY_TARGET, "ON_TRACK").otherwise("BELOW_TARGET"),
-                          F.concat(F.lit("Today: "), _s(n), F.lit(" records (target: 500K/day)")))], as_of)
+                          F.concat(F.lit("Today: "), _s(n), F.lit(" records (target: 500K/day)")))], ts_lit(as_of))
 
 
 def latency_bands(sla: DataFrame) -> DataFrame:

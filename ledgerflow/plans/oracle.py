@@ -723,3 +723,41 @@ SELECT {_CID} AS customer_id, 'First' || CAST({_draw(22)} % 5000 + 1 AS VARCHAR)
   {_pick_sql(_draw(29), ["standard", "standard", "standard", "gold", "gold", "platinum"])} AS customer_tier,
   CAST({ts(AS_OF)} AS DATE) - CAST({_draw(30)} % 1796 + 30 AS INTEGER) AS account_open_date
 FROM (SELECT CAST(c_custkey AS VARCHAR) AS k FROM customer) b""")
+
+
+# --- monitoring runs over time --------------------------------------------------------------------
+cte("runs", f"""SELECT r.k AS run, {ts(AS_OF)} - to_days(CAST(15 * r.k AS INTEGER)) AS as_of
+FROM range(0, (SELECT coalesce(greatest(date_diff('day', CAST(min(processed_at) AS DATE), CAST({ts(AS_OF)} AS DATE)), 0) // 15, 0) + 1 FROM fact)) r(k)""",
+    ["fact"])
+cte("run_window", f"SELECT r.as_of, f.* FROM runs r JOIN fact f ON f.processed_at >= r.as_of - INTERVAL {METRIC_DAYS} DAY AND f.processed_at <= r.as_of",
+    ["runs", "fact"])
+cte("run_upto", """SELECT r.as_of, max(f.transaction_timestamp) AS max_ts, max(f._batch_id) AS all_batch_id
+FROM runs r LEFT JOIN fact f ON f.processed_at <= r.as_of GROUP BY 1""", ["runs", "fact"])
+cte("runs_qm_agg", """
+SELECT u.as_of, coalesce(w.n, 0) AS n, w.batch_id, coalesce(w.null_amounts, 0) AS null_amounts, coalesce(w.distinct_ids, 0) AS distinct_ids,
+  w.avg_usd, w.min_usd, w.max_usd, u.max_ts, u.all_batch_id
+FROM run_upto u LEFT JOIN (SELECT as_of, count(*) AS n, max(_batch_id) AS batch_id, count(CASE WHEN amount IS NULL THEN 1 END) AS null_amounts,
+  count(DISTINCT transaction_id) AS distinct_ids, avg(amount_usd) AS avg_usd, min(amount_usd) AS min_usd, max(amount_usd) AS max_usd
+  FROM run_window GROUP BY 1) w ON u.as_of = w.as_of""", ["run_upto", "run_window"])
+_RUNS_QM = "\nUNION ALL\n".join(
+    "SELECT as_of, " + QM[m].strip().removeprefix("SELECT ").replace("FROM qm_agg", "FROM runs_qm_agg").replace(ts(AS_OF), "as_of") for m in QM)
+cte("runs_qm", f"""SELECT as_of AS metric_timestamp, 'fct_transactions' AS table_name, metric_name, metric_value, threshold, status, details, batch_id
+FROM ({_RUNS_QM}) m(as_of, metric_name, metric_value, threshold, status, details, batch_id)""", ["runs_qm_agg"])
+oracle("pane_quality_metrics", "SELECT * FROM runs_qm", "runs_qm")
+oracle("metric_history", "SELECT * FROM runs_qm", "runs_qm")
+oracle("top_failed_history", """SELECT * FROM runs_qm WHERE status IN ('FAIL', 'WARNING')
+ORDER BY metric_timestamp DESC, metric_name, table_name LIMIT 20""", "runs_qm")
+
+cte("runs_sla_agg", f"""
+SELECT r.as_of, count(w.as_of) AS n, min(w.processed_at) AS first_processed, max(w.processed_at) AS last_processed,
+  avg({seconds_sql('w.transaction_timestamp', 'w.processed_at')}) AS avg_latency,
+  quantile_disc({seconds_sql('w.transaction_timestamp', 'w.processed_at')}, 0.95) AS p95_latency,
+  count(CASE WHEN w.customer_key <> -1 AND w.merchant_key <> -1 THEN 1 END) AS covered,
+  count(CASE WHEN NOT (w.customer_key <> -1 AND w.merchant_key <> -1) THEN 1 END) AS orphans
+FROM runs r LEFT JOIN run_window w ON w.as_of = r.as_of GROUP BY 1""", ["runs", "run_window"])
+_RUNS_SLA = "\nUNION ALL\n".join(
+    "SELECT as_of, " + SLA[m].strip().removeprefix("SELECT ").replace("FROM sla_agg", "FROM runs_sla_agg") for m in SLA)
+oracle("pane_sla_metrics", f"""SELECT as_of AS metric_timestamp, 'transaction_pipeline' AS dag_id, as_of AS execution_date, metric_name, metric_value,
+  unit, status, details FROM ({_RUNS_SLA}) m(as_of, metric_name, metric_value, unit, status, details)""", "runs_sla_agg")
+oracle("pane_latency_sketch", f"""SELECT as_of AS metric_timestamp, count({seconds_sql('transaction_timestamp', 'processed_at')}) AS sample_size,
+  TRUE AS rank_within_one_percent FROM run_window GROUP BY 1 HAVING count({seconds_sql('transaction_timestamp', 'processed_at')}) > 0""", "run_window")
