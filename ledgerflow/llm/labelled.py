@@ -15,7 +15,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int) -
     """(doc_id, text, y) of at most ``sample`` labelled documents that are not held out, the
     first by a hash of doc_id. A doc_id with differing labels takes the larger one.
 
-    The sample is the only bound in the classifiers: it limits what is learnt from, not
+    A doc_id of several rows is learnt from once, by its smallest text: the sample has at most
+    ``sample`` rows however often ids repeat. The sample is the only bound in the classifiers: it limits what is learnt from, not
     what is scored.
     """
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -24,4 +25,4 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int) -
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # at most `sample` rows of two numbers
-    return own.join(F.broadcast(chosen), "doc_id")
+    return own.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))

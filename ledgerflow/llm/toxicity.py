@@ -3,14 +3,19 @@
 Terms of a document are its distinct lower-case words and the first four, five and six
 letters of longer ones, hashed to 2**24 numbers. Those that tell the classes of the
 training sample apart (a likelihood-ratio test on document counts, taken over the sample
-by a Spark aggregate) become the columns of the machine; all others have weight zero.
-The machine scores sum(w_i) + sum over pairs of <v_i, v_j>, so two terms that are harmless
-alone (a group's name, a mild insult) can weigh heavily together. Weights come from
-full-batch Adam on the logistic loss with ridge penalties.
+by a Spark aggregate) become columns of the machine; all others have weight zero. Words that
+tell only in pairs join them: the strongest directions of the words' co-occurrence weighted by
+what the single terms leave unexplained, where they stand out from chance, give columns and
+start factors.
+The machine scores sum(w_i) + sum over pairs of <v_i, v_j>, the product adding one half of the
+factors and taking off the other, so two terms that are harmless alone (a group's name, a mild
+insult) can weigh heavily together. Weights come from full-batch Adam on the logistic loss
+with ridges chosen by the loss on a part of the sample kept back.
 
 Only the text is an input. Null and empty texts have no terms and get the score of the
-intercept. Without labels, or with labels of one class, every document gets the smoothed
-share of toxic labels.
+intercept; a long text counts as its set of terms, whole. Ties in the choice of columns go to the
+smaller hash; an empty table of documents has no scores. Without labels, or with labels of
+one class, every document gets the smoothed share of toxic labels.
 """
 
 from __future__ import annotations
@@ -29,7 +34,9 @@ from ledgerflow.llm.common import cut, texts
 from ledgerflow.llm.labelled import held_out, training_rows
 
 SAMPLE = 8000
-COLUMNS = 768
+RANK = 8
+PAIR_WORDS = 2048
+RIDGES = ((2e-5, 5e-3), (2e-5, 3e-4), (2e-5, 2e-5), (2e-4, 3e-4), (2e-4, 2e-5))
 SPACE = (1 << 24) - 1
 THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
@@ -47,6 +54,11 @@ def terms(t: str) -> list[int]:
     return sorted({h for w in set(_WORD.findall(t.lower())) for h in word_terms(w)})
 
 
+def signs(rank: int) -> np.ndarray:
+    """Factors come in two halves: the inner product of a pair adds the first and takes off the second."""
+    return np.where(np.arange(rank) < (rank + 1) // 2, 1.0, -1.0)
+
+
 @dataclass
 class Machine:
     columns: dict[int, int]
@@ -54,13 +66,17 @@ class Machine:
     linear: np.ndarray
     factors: np.ndarray
 
+    @property
+    def signs(self) -> np.ndarray:
+        return signs(self.factors.shape[1])
+
     def score(self, active: list[np.ndarray]) -> np.ndarray:
         """Scores of documents given by their column numbers."""
         raw = np.full(len(active), self.bias)
         for k, a in enumerate(active):
             if len(a):
                 v = self.factors[a]
-                raw[k] += self.linear[a].sum() + 0.5 * ((v.sum(axis=0) ** 2).sum() - (v * v).sum())
+                raw[k] += self.linear[a].sum() + 0.5 * ((v.sum(axis=0) ** 2 - (v * v).sum(axis=0)) @ self.signs)
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
@@ -84,10 +100,81 @@ class Columns:
         return np.fromiter(sorted(out), np.int64, len(out))
 
 
-def fit(active: list[np.ndarray], y: np.ndarray, columns: dict[int, int], rank: int = 6, steps: int = 400,
-        rate: float = 0.05, ridge: float = 2e-5, ridge_factors: float = 5e-3, seed: int = 11) -> Machine:
-    """Full-batch Adam on the mean logistic loss; the ridge on the factors is the stronger one, so
-    a single telling term scores by its own weight and pairs add what it lacks."""
+class Incidence:
+    """Documents by columns as two sorted lists of (document, column), for products from either side."""
+
+    def __init__(self, active: list[np.ndarray], m: int):
+        sizes = np.fromiter(map(len, active), np.int64, len(active))
+        self.n, self.m = len(active), m
+        self.row = np.repeat(np.arange(self.n), sizes)
+        self.col = np.concatenate(active).astype(np.int64) if len(self.row) else np.zeros(0, np.int64)
+        turned = np.argsort(self.col, kind="stable")
+        self.row_t, self.col_t = self.row[turned], self.col[turned]
+
+    @staticmethod
+    def _sum(values: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
+        out = np.zeros((size, *values.shape[1:]))
+        if len(keys):
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            out[keys[first]] = np.add.reduceat(values, first, axis=0)
+        return out
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        return self._sum(v[self.col], self.row, self.n)
+
+    def turned_times(self, q: np.ndarray) -> np.ndarray:
+        return self._sum(q[self.row_t], self.col_t, self.m)
+
+
+def pair_directions(x: np.ndarray, residual: np.ndarray, rank: int, seed: int = 5, rounds: int = 25) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues (largest by size first) and vectors of the columns' co-occurrence weighted by ``residual``,
+    without its diagonal: the directions in which factors lower the loss of a machine that has none.
+    ``x`` is centred and of equal spread in each column, so that neither a column's own effect
+    nor its frequency shows. By block power iteration."""
+    r = (residual - residual.mean()).astype(np.float32)[:, None]
+    diagonal = ((x * x).T @ r)
+
+    def apply(u):
+        return x.T @ ((x @ u) * r) - diagonal * u
+
+    u = np.linalg.qr(np.random.default_rng(seed).normal(size=(x.shape[1], min(2 * rank, x.shape[1]))))[0].astype(np.float32)
+    for _ in range(rounds):
+        u = np.linalg.qr(apply(u))[0]
+    values, turn = np.linalg.eigh((u.T @ apply(u)).astype(float))
+    best = np.argsort(-np.abs(values))[:rank]
+    return values[best], u @ turn[:, best]
+
+
+def telling_pairs(active: list[np.ndarray], m: int, residual: np.ndarray, rank: int = RANK, seed: int = 5) -> np.ndarray:
+    """Start factors (columns by factors, zero where nothing tells) along the directions that stand out
+    from those of the same residuals dealt to other documents at random. A column is in a
+    direction where its loading is well above that of evenly spread ones."""
+    out = np.zeros((m, rank))
+    n = len(active)
+    if n < 50 or m < 2 or not np.ptp(residual):
+        return out
+    x = np.zeros((n, m), np.float32)
+    for k, a in enumerate(active):
+        x[k, a] = 1
+    mean = x.mean(axis=0)
+    x -= mean
+    x /= np.sqrt(np.maximum(mean * (1 - mean) * n, 1e-6))
+    values, vectors = pair_directions(x, residual, rank)
+    rng = np.random.default_rng(seed)
+    chance = max(np.abs(pair_directions(x, rng.permutation(residual), rank)[0]).max() for _ in range(3))
+    half = {1: list(np.flatnonzero(signs(rank) > 0)), -1: list(np.flatnonzero(signs(rank) < 0))}
+    for value, u in zip(values, vectors.T):
+        slots = half[1 if value > 0 else -1]
+        if abs(value) > 1.1 * chance and slots:
+            out[:, slots.pop(0)] = np.where(np.abs(u) >= min(1.5 / np.sqrt(m), 0.5 * np.abs(u).max()), u / np.abs(u).max(), 0)
+    return out
+
+
+def fit(active: list[np.ndarray], y: np.ndarray, columns: dict[int, int], rank: int = RANK, steps: int = 400,
+        rate: float = 0.05, ridge: float = 2e-5, ridge_factors: float = 2e-5, seed: int = 11,
+        start_factors: np.ndarray | None = None) -> Machine:
+    """Full-batch Adam on the mean logistic loss. Factors start near zero, or along ``start_factors``
+    (columns by directions) where pairs are known to tell."""
     n, m = len(active), len(columns)
     share = (y.sum() + 0.5) / (n + 1)
     start = float(np.log(share / (1 - share)))
@@ -95,25 +182,27 @@ def fit(active: list[np.ndarray], y: np.ndarray, columns: dict[int, int], rank:
     par = [np.array([start]), np.zeros(m), rng.normal(0, 0.05, (m, rank))]
     if n == 0 or m == 0 or y.min() == y.max():
         return Machine(columns, start, np.zeros(m), np.zeros((m, rank)))
+    sign = signs(rank)
+    if start_factors is not None:
+        par[2] += start_factors
     # documents with the same columns and label are one weighted row
     same: dict[tuple[bytes, float], int] = {}
     for a, label in zip(active, y.tolist()):
         same[a.tobytes(), label] = same.get((a.tobytes(), label), 0) + 1
-    x = np.zeros((len(same), m), np.float32)
-    for k, (a, _) in enumerate(same):
-        x[k, np.frombuffer(a, np.int64)] = 1
-    y, weight = np.array([label for _, label in same], np.float32), np.array([*same.values()], np.float32)
+    x = Incidence([np.frombuffer(a, np.int64) for a, _ in same], m)
+    y, weight = np.array([label for _, label in same]), np.array([*same.values()], float)
     weight *= np.where(y == 1, np.sqrt((n - share * n) / (share * n)), 1)  # the rarer class counts for more
-    weight = (weight / weight.sum()).astype(np.float32)
-    par = [p.astype(np.float32) for p in par]
+    weight = weight / weight.sum()
     first, second = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
     for step in range(1, steps + 1):
         b, w, v = par
-        q = x @ v
-        raw = b[0] + x @ w + 0.5 * ((q * q).sum(axis=1) - x @ (v * v).sum(axis=1))
+        both = x.times(np.column_stack([v, w, (v * v) @ sign]))
+        q = both[:, :rank]
+        raw = b[0] + both[:, rank] + 0.5 * ((q * q) @ sign - both[:, rank + 1])
         g = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) * weight
-        xg = x.T @ g
-        grads = [np.array([g.sum()]), xg + ridge * w, x.T @ (q * g[:, None]) - v * xg[:, None] + ridge_factors * v]
+        back = x.turned_times(np.column_stack([q * g[:, None], g]))
+        xg = back[:, rank]
+        grads = [np.array([g.sum()]), xg + ridge * w, (back[:, :rank] - v * xg[:, None]) * sign + ridge_factors * v]
         for k, d in enumerate(grads):
             first[k] = 0.9 * first[k] + 0.1 * d
             second[k] = 0.999 * second[k] + 0.001 * d * d
@@ -121,18 +210,39 @@ def fit(active: list[np.ndarray], y: np.ndarray, columns: dict[int, int], rank:
     return Machine(columns, float(par[0][0]), par[1], par[2])
 
 
+def fit_by_held_out_loss(active: list[np.ndarray], y: np.ndarray, columns: dict[int, int], start_factors: np.ndarray,
+                         ridges: tuple[tuple[float, float], ...] = RIDGES) -> Machine:
+    """The machine under those ridges (of weights, of factors) that lose least on a quarter of the
+    sample kept back, fitted again on all of it; the first of equal ones."""
+    kept_back = np.arange(len(active)) % 4 == 3
+    if len(ridges) == 1 or len(set(y[~kept_back])) < 2 or not kept_back.any():
+        return fit(active, y, columns, ridge=ridges[0][0], ridge_factors=ridges[0][1], start_factors=start_factors)
+    learn, test = [a for a, k in zip(active, kept_back) if not k], [a for a, k in zip(active, kept_back) if k]
+
+    def loss(pair):
+        p = np.clip(fit(learn, y[~kept_back], columns, ridge=pair[0], ridge_factors=pair[1], start_factors=start_factors).score(test), 1e-6, 1 - 1e-6)
+        return float(-np.mean(np.where(y[kept_back] == 1, np.log(p), np.log(1 - p))))
+
+    best = min(ridges, key=loss)
+    return fit(active, y, columns, ridge=best[0], ridge_factors=best[1], start_factors=start_factors)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
-    """Fit on a bounded sample. What comes to the driver: at most ``COLUMNS`` terms, and for
-    each sampled document which of them it has."""
+    """Fit on a bounded sample. Columns are the terms that tell the classes apart by themselves and the
+    words that tell in pairs, looked for among the ``PAIR_WORDS`` words that split the sample most
+    evenly, on what the first machine leaves unexplained. What comes to the driver: these
+    terms, and for each sampled document which of them it has."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [terms(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(found, pa.list_(pa.int32()))],
-                                             ["doc_id", "y", "terms"])
-
-    rows = cut(training_rows(docs, labels, "toxic", sample).mapInArrow(hashed, "doc_id long, y int, terms array<int>"),
-               "toxic-sample")
+            words = [set(_WORD.findall(t.lower())) for t in b.column("text").to_pylist()]
+            found = [sorted({h for w in ws for h in word_terms(w)}) for ws in words]
+            whole = [sorted({word_terms(w)[0] for w in ws}) for ws in words]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(found, pa.list_(pa.int32())),
+                                              pa.array(whole, pa.list_(pa.int32()))], ["doc_id", "y", "terms", "words"])
+
+    rows = cut(training_rows(docs, labels, "toxic", sample)
+               .mapInArrow(hashed, "doc_id long, y int, terms array<int>, words array<int>"), "toxic-sample")
     n, n1 = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     seen = (rows.select("y", F.explode("terms").alias("term")).groupBy("term")
             .agg(F.count("*").cast("double").alias("a"), F.sum("y").cast("double").alias("a1")).where("a >= 4"))
@@ -142,17 +252,42 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     def part(seen_, expected):
         return F.when(seen_ > 0, seen_ * F.log(seen_ / expected)).otherwise(0.0)
 
+    single: list[int] = []
+    paired: list[int] = []
     if 0 < n1 < n:
         gain = part(F.col("a1"), expect) + part(F.col("a") - F.col("a1"), F.col("a") - expect)
-        best = seen.select("term", gain.alias("gain")).where("gain > 6").orderBy(F.desc("gain"), "term").limit(COLUMNS)
-        columns = {r.term: k for k, r in enumerate(best.collect())}
-    else:
-        columns = {}
-    wanted = F.array(*[F.lit(c) for c in columns]) if columns else F.array().cast("array<int>")
-    got = rows.select("doc_id", "y", F.array_intersect("terms", wanted).alias("has")).toPandas()
-    got = got.sort_values("doc_id", kind="stable")
-    active = [np.array(sorted(columns[h] for h in has), np.int64) for has in got["has"]]
-    return fit(active, got["y"].to_numpy(float), columns)
+        single = [r.term for r in seen.select("term", gain.alias("gain")).where("gain > 6").orderBy(F.desc("gain"), "term").collect()]
+        words = rows.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("a")).where("a >= 4")
+        paired = [r.term for r in words.orderBy(F.desc(F.col("a") * (n - F.col("a"))), "term").limit(PAIR_WORDS).collect()]
+    number = {t: k for k, t in enumerate(dict.fromkeys([*single, *paired]))}
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            has = [sorted({number[h] for h in ts if h in number}) for ts in b.column("terms").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(has, pa.list_(pa.int32()))], ["doc_id", "y", "has"])
+
+    got = rows.select("doc_id", "y", "terms").mapInArrow(held, "doc_id long, y int, has array<int>").toPandas().sort_values("doc_id", kind="stable")
+    return fit_columns([np.array(h, np.int64) for h in got["has"]], got["y"].to_numpy(float), [number[t] for t in single],
+                       [number[t] for t in paired], list(number))
+
+
+def fit_columns(has: list[np.ndarray], y: np.ndarray, single: list[int], paired: list[int], terms_of: list[int]) -> Machine:
+    """The machine over the ``single`` columns and those of the ``paired`` ones that tell in pairs.
+    ``has`` are the documents' column numbers, ``terms_of`` the columns' terms."""
+
+    def only(chosen: list[int]) -> list[np.ndarray]:
+        place = np.full(len(terms_of) + 1, -1, np.int64)
+        place[chosen] = np.arange(len(chosen))
+        return [np.sort(p[p >= 0]) for p in (place[a] for a in has)]
+
+    mine = only(single)
+    alone = fit(mine, y, {terms_of[c]: k for k, c in enumerate(single)})
+    alone.factors[:] = 0
+    start = telling_pairs(only(paired), len(paired), y - alone.score(mine))
+    told = {c: start[k] for k, c in enumerate(paired) if start[k].any()}
+    chosen = list(dict.fromkeys([*single, *told]))
+    starts = np.array([told.get(c, np.zeros(RANK)) for c in chosen]).reshape(len(chosen), RANK)
+    return fit_by_held_out_loss(only(chosen), y, {terms_of[c]: k for k, c in enumerate(chosen)}, starts)
 
 
 def score_documents(docs: DataFrame, model: Machine) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import quality, toxicity
+from ledgerflow.llm import labelled, quality, toxicity
 from tests.llm.helpers import empty_docs, odd_docs, small
 
 SF = "/root/testdata/sf0.01"
@@ -66,13 +66,50 @@ def test_ranking_threshold_is_the_quantile_of_bad_documents():
     assert (m.score(x) < 0.5).sum() == 20
 
 
-def test_machine_learns_a_pair_that_single_terms_do_not_show():
-    # toxic only where both terms are present; each alone is as common in clean documents
-    active = [np.array(a, np.int64) for a in ([[0, 1]] * 40 + [[0]] * 60 + [[1]] * 60 + [[]] * 60)]
-    y = np.repeat([1.0, 0, 0, 0], [40, 60, 60, 60])
-    m = toxicity.fit(active, y, {10: 0, 20: 1})
-    both, first, second, none = m.score([np.array(a, np.int64) for a in ([0, 1], [0], [1], [])])
-    assert both > 0.7 and max(first, second, none) < 0.3
+def pairs_only(n, fillers, seed=1):
+    """Documents of two telling words, one of each set where toxic and two of one set where clean, so
+    that every word is as common in both classes; and filler words."""
+    rng = np.random.default_rng(seed)
+    docs, y = [], rng.random(n) < 0.5
+    for toxic in y:
+        one = rng.integers(2)
+        words = [rng.integers(20), 20 + rng.integers(20)] if toxic else [int(w) + 20 * one for w in rng.choice(20, 2, replace=False)]
+        docs.append(np.array(sorted([*map(int, words), *(40 + rng.choice(fillers, min(25, fillers), replace=False) if fillers else [])]), np.int64))
+    return docs, y.astype(float)
+
+
+@pytest.mark.parametrize("fillers", [0, 600])
+def test_machine_learns_pairs_that_single_terms_do_not_show(fillers):
+    docs, y = pairs_only(9000, fillers)
+    m = 40 + fillers
+    model = toxicity.fit_columns(docs[:6000], y[:6000], [], list(range(m)), list(range(m)))
+    held = [np.array([model.columns[c] for c in d if c in model.columns], np.int64) for d in docs[6000:]]
+    additive = toxicity.Machine(model.columns, model.bias, model.linear, np.zeros_like(model.factors))
+    assert auc(model.score(held), y[6000:]) >= 0.9
+    assert 0.4 < auc(additive.score(held), y[6000:]) < 0.6
+
+
+def test_no_pairs_stand_out_by_chance():
+    rng = np.random.default_rng(3)
+    docs = [np.sort(rng.choice(200, 15, replace=False)) for _ in range(2000)]
+    assert not toxicity.telling_pairs(docs, 200, rng.random(2000) - 0.5).any()
+
+
+def test_score_is_the_sum_over_pairs():
+    rng = np.random.default_rng(0)
+    model = toxicity.Machine({k: k for k in range(12)}, 0.3, rng.normal(size=12), rng.normal(size=(12, 5)))
+    docs = [np.sort(rng.choice(12, k, replace=False)) for k in (0, 1, 2, 5, 12)]
+    for d, got in zip(docs, model.score(docs)):
+        raw = model.bias + sum(model.linear[i] for i in d)
+        raw += sum(s * model.factors[i, f] * model.factors[j, f] for i in d for j in d if i < j for f, s in enumerate([1, 1, 1, -1, -1]))
+        assert got == pytest.approx(1 / (1 + np.exp(-raw)))
+
+
+def test_an_id_of_many_rows_is_learnt_from_once(spark):
+    docs = spark.range(3000).select((F.col("id") % 2).alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    labels = spark.createDataFrame([(0, 1, 1), (1, 0, 0), (1, 1, 1)], "doc_id long, quality int, toxic int")
+    rows = labelled.training_rows(docs, labels, "toxic", 10).collect()
+    assert {(r.doc_id, r.text, r.y) for r in rows} <= {(0, "t0", 1), (1, "t1", 1)} and len(rows) <= 2
 
 
 def test_accept_keeps_columns_and_order_of_decisions(spark):
