@@ -36,7 +36,7 @@ from ledgerflow.llm.labelled import held_out, training_rows
 SAMPLE = 8000
 RANK = 8
 PAIR_WORDS = 2048
-RIDGES = ((2e-5, 5e-3), (2e-5, 3e-4), (2e-5, 2e-5), (2e-4, 3e-4), (2e-4, 2e-5))
+RIDGES = ((2e-5, 5e-3), (2e-5, 3e-4), (2e-5, 2e-5))
 SPACE = (1 << 24) - 1
 THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
@@ -165,8 +165,8 @@ def telling_pairs(active: list[np.ndarray], m: int, residual: np.ndarray, rank:
     half = {1: list(np.flatnonzero(signs(rank) > 0)), -1: list(np.flatnonzero(signs(rank) < 0))}
     for value, u in zip(values, vectors.T):
         slots = half[1 if value > 0 else -1]
-        if abs(value) > 1.1 * chance and slots:
-            out[:, slots.pop(0)] = np.where(np.abs(u) >= min(1.5 / np.sqrt(m), 0.5 * np.abs(u).max()), u / np.abs(u).max(), 0)
+        if abs(value) > 1.2 * chance and slots:
+            out[:, slots.pop(0)] = np.where(np.abs(u) >= min(3 / np.sqrt(m), 0.5 * np.abs(u).max()), u / np.abs(u).max(), 0)
     return out
 
 
