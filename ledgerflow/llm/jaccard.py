@@ -3,7 +3,8 @@
 Links: documents whose sets of word n-grams have Jaccard similarity of at least
 ``percent`` / 100, decided in whole numbers on the exact sets (64-bit hashes of n-grams).
 
-1. Classes. Documents with the same set are one row of the matrix from here on.
+1. Classes. Documents with the same set are one row of the matrix from here on, named by 64
+   bits of the set's digest.
 2. Size-derived bound on single rows. A partner of a set of n n-grams shares at least
    n * percent / 100 of them, so at most n * (100 - percent) / 100 occur nowhere else.
    The n-grams of a fixed part of the hash space, twice that share of it, are counted over
@@ -14,7 +15,7 @@ Links: documents whose sets of word n-grams have Jaccard similarity of at least
    occur once. Rows that have a column in common form a block.
 4. Product. Within a block the overlap counts of all rows are accumulated as a product of
    incidence matrices, pairs whose sizes or counts are below the bound dropped. First every
-   row meets only the block's smallest id; links found so are merged into components, and
+   row meets only the block's smallest class; links found so are merged into components, and
    blocks whose rows are in one component are finished. The others are dealt out as tiles
    of about 2 * ``TILE`` rows of sizes that can link, so that a block of any size is never in
    one task and rows of far sizes never meet. A tile is
@@ -26,9 +27,10 @@ Links: documents whose sets of word n-grams have Jaccard similarity of at least
 Cases: null and empty texts have no n-grams, link with nothing and are their own
 component; texts with fewer words than n have their whole word sequence as the only
 n-gram; repeated rows are one class; a repeated doc_id is one document with several texts,
-whose links it joins; a row without a doc_id has the component of the documents with the same
-set, null where none has a doc_id: near copies of such rows are not linked, and ``keep_first``
-keeps all such rows when one of them has a null component; extra columns are ignored.
+whose links it joins (a text without words stays its own component); rows without a doc_id are
+linked like others, their component is the smallest doc_id in it, null where none has one;
+extra columns are ignored. ``keep_first`` decides by texts: a doc_id with two unlike texts keeps
+both.
 """
 
 from __future__ import annotations
@@ -89,22 +91,27 @@ def _cls(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, key): a row is known by its doc_id, which may be null, and a hash of its text."""
+    return texts(docs).withColumn("key", F.xxhash64("text"))
+
+
 def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, cls, zone): the set's size, a 128-bit digest and half of it
-    as a number, and the low 48 bits of the set's hashes in the counted part of the hash space,
-    the lowest."""
+    """(doc_id, key, n_shingles, digest, cls, zone): a hash of the text, the set's size, a 128-bit
+    digest and half of it as a number, and the low 48 bits of the set's hashes in the counted
+    part of the hash space, the lowest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = np.uint64(min(2 ** 64 - 1, 2 ** 64 * 2 * (100 - percent) // 100))
         for b, sets in _sets(batches, n):
             digests = [_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
+                [b.column("doc_id"), b.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
                  pa.array([_cls(d) for d in digests], pa.int64()),
                  pa.array([_packed48(s[: np.searchsorted(s, top)]) for s in sets], pa.binary())],
-                ["doc_id", "n_shingles", "digest", "cls", "zone"])
+                ["doc_id", "key", "n_shingles", "digest", "cls", "zone"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, digest binary, cls long, zone binary")
+    return _keyed(docs).mapInArrow(run, "doc_id long, key long, n_shingles long, digest binary, cls long, zone binary")
 
 
 def _packed48(h: np.ndarray) -> bytes:
@@ -194,33 +201,37 @@ def _folded(s: np.ndarray) -> bytes:
 
 
 def candidate_rows(docs: DataFrame, own: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """(cls, rep, n, folded, hashes) of the rows that can have a partner (step 2)."""
-    likely = (classes.join(unshared(own), "cls", "left")
-              .where(F.coalesce(F.col("alone"), F.lit(0)) <= _room(percent)).select("rep", F.col("cls").alias("wanted")))
+    """(cls, n, folded, hashes) of the rows that can have a partner (step 2)."""
+    likely = (classes.join(unshared(own), "cls", "left").where(F.coalesce(F.col("alone"), F.lit(0)) <= _room(percent))
+              .select(F.col("low.doc_id").alias("at_id"), F.col("low.key").alias("at_key"), F.col("cls").alias("wanted")))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, sets in _sets(batches, n):
-            found = [(c, i, len(s), _folded(s), s.view(np.int64)) for c, i, s in
-                     zip(b.column("wanted").to_pylist(), b.column("doc_id").to_pylist(), sets) if _cls(_digest(s)) == c]
+            found = [(c, len(s), _folded(s), s.view(np.int64)) for c, s in
+                     zip(b.column("wanted").to_pylist(), sets) if _cls(_digest(s)) == c]
             if found:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), kinds)],
-                                                 ["cls", "rep", "n", "folded", "hashes"])
+                                                 ["cls", "n", "folded", "hashes"])
+
+    rows = (_keyed(docs).join(likely, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("key") == F.col("at_key")))
+            .select("text", "wanted").mapInArrow(run, "cls long, n long, folded binary, hashes array<long>"))
+    return rows.dropDuplicates(["cls"]) if _repeated(own) else rows
 
-    rows = (texts(docs).join(likely.withColumnRenamed("rep", "doc_id"), "doc_id")
-            .mapInArrow(run, "cls long, rep long, n long, folded binary, hashes array<long>"))
-    repeated = own.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return rows.dropDuplicates(["cls"]) if repeated else rows
+
+def _repeated(own: DataFrame) -> bool:
+    """Whether a doc_id and text come twice."""
+    return bool(own.groupBy("doc_id", "key").count().where("count > 1").limit(1).count())
 
 
 def block_columns(rows: DataFrame, percent: int) -> DataFrame:
-    """(h, rep, n): the columns in which a row can meet a partner (step 3)."""
-    cells = rows.select("cls", "rep", "n", F.explode("hashes").alias("h"))
+    """(h, cls, n): the columns in which a row can meet a partner (step 3)."""
+    cells = rows.select("cls", "n", F.explode("hashes").alias("h"))
     df = cut(cells.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-df")
     row = Window.partitionBy("cls")
     shared = cells.join(df, "h").withColumns({
         "shared": F.count("*").over(row), "at": F.row_number().over(row.orderBy("df", "h"))})
-    return shared.where(F.col("at") <= _room(percent) + 1 - (F.col("n") - F.col("shared"))).select(
-        "h", "cls", "rep", "n")
+    return shared.where(F.col("at") <= _room(percent) + 1 - (F.col("n") - F.col("shared"))).select("h", "cls", "n")
 
 
 def _near(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, percent: int) -> np.ndarray:
@@ -228,11 +239,11 @@ def _near(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, percent: int) -> np
 
 
 def _links_to_first(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs of classes (p, q) that link, by the exact sets, as documents (a, b)."""
-    left = rows.select(F.col("cls").alias("p"), F.col("rep").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
-    right = rows.select(F.col("cls").alias("q"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
+    """The pairs of classes (p, q) that link, by the exact sets, as (a, b)."""
+    left = rows.select(F.col("cls").alias("p"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
+    right = rows.select(F.col("cls").alias("q"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
     overlap = F.size(F.array_intersect("ha", "hb"))
-    return (pairs.join(right, "q").join(left, "p").select("a", "b", "na", "nb", overlap.alias("o"))
+    return (pairs.join(right, "q").join(left, "p").select(F.col("p").alias("a"), F.col("q").alias("b"), "na", "nb", overlap.alias("o"))
             .where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b"))
 
 
@@ -290,7 +301,7 @@ def _tile_links(t: pa.Table, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among a tile's rows, by the product of their incidence
     matrices over the columns that two of them share."""
     n, look = _apart(t)
-    rep, comp = t.column("rep").to_numpy(), t.column("comp").to_numpy()
+    cls, comp = t.column("cls").to_numpy(), t.column("comp").to_numpy()
     sets = t.column("hashes").combine_chunks()
     row = np.repeat(np.arange(len(n)), np.diff(sets.offsets.to_numpy()))
     cells = sets.flatten().to_numpy()
@@ -320,7 +331,7 @@ def _tile_links(t: pa.Table, percent: int) -> list[tuple[int, int]]:
         ca, cb = find(int(comp[a])), find(int(comp[b]))
         if ca != cb:
             root[max(ca, cb)] = min(ca, cb)
-            out.append((int(rep[a]), int(rep[b])))
+            out.append((int(cls[a]), int(cls[b])))
     return out
 
 
@@ -330,8 +341,8 @@ def _size_class(percent: int):
     return F.floor(F.ln("n") / F.lit(width)).cast("long")
 
 
-def _tiles(placed: DataFrame, percent: int) -> DataFrame:
-    """(h, sa, sb, i, j, side, cls, rep, n, comp): the rows of unfinished blocks, dealt out. The rows
+def _tiles(placed: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(h, sa, sb, i, j, side, cls, n, comp), and the tables it reads: the rows of unfinished blocks, dealt out. The rows
     of a block fall into size classes, each dealt by hash into parts of about ``TILE``; there
     is a tile for every two parts of size classes at most two apart, and for each part alone,
     unless all their rows are in one component."""
@@ -352,24 +363,26 @@ def _tiles(placed: DataFrame, percent: int) -> DataFrame:
              .withColumn("mine", F.pmod(F.xxhash64("cls", "h"), F.col("own")).cast("int"))
              .withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
     one, mine, theirs = F.col("sa") == F.col("sb"), F.col("mine"), F.col("theirs")
-    return dealt.select(
+    tiles = dealt.select(
         "h", "sa", "sb",
         F.when(one, F.least(mine, theirs)).when(F.col("side") == 0, mine).otherwise(theirs).alias("i"),
         F.when(one, F.greatest(mine, theirs)).when(F.col("side") == 0, theirs).otherwise(mine).alias("j"),
-        F.when(one, (mine > theirs).cast("int")).otherwise(F.col("side")).alias("side"), "cls", "rep", "n", "comp")
+        F.when(one, (mine > theirs).cast("int")).otherwise(F.col("side")).alias("side"), "cls", "n", "comp")
+    return tiles, [groups, pairs, rows]
 
 
 def links(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) that connect exactly the components of all links (step 4)."""
-    first = (columns.groupBy("h").agg(F.min(F.struct("rep", "cls", "n")).alias("f"), F.count("*").alias("rows"))
+    """Edges (a, b) of classes that connect exactly the components of all links (step 4)."""
+    spark = rows.sparkSession
+    first = (columns.groupBy("h").agg(F.min(F.struct("cls", "n")).alias("f"), F.count("*").alias("rows"))
              .where("rows > 1").select("h", F.col("f.cls").alias("p"), F.col("f.n").alias("np")))
     pairs = (columns.join(first, "h").where("cls <> p").where(100 * F.least("n", "np") >= percent * F.greatest("n", "np"))
              .select("p", F.col("cls").alias("q")).distinct())
     star = cut(_links_to_first(pairs, rows, percent), "jaccard-star")
     merged = components(star, "jaccard-cc")
-    placed = (columns.join(merged.withColumnRenamed("id", "rep"), "rep", "left")
-              .withColumn("comp", F.coalesce("comp", "rep")))
-    tiles = _tiles(placed, percent)
+    placed = (columns.join(merged.withColumnRenamed("id", "cls"), "cls", "left")
+              .withColumn("comp", F.coalesce("comp", "cls")))
+    tiles, read = _tiles(placed, percent)
     keys = ["h", "sa", "sb", "i", "j"]
 
     def dealt(df: DataFrame) -> DataFrame:
@@ -386,20 +399,25 @@ def links(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
             if found := _tile_links(t, percent):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
 
-    kind = "h long, sa long, sb long, i int, j int, side int, cls long, rep long, n long, comp long"
+    kind = "h long, sa long, sb long, i int, j int, side int, cls long, n long, comp long"
     folded = tiles.join(rows.select("cls", "folded"), "cls").select(*[c.split()[0] for c in kind.split(", ")], "folded")
     sifted = cut(dealt(folded).mapInArrow(sift, kind), "jaccard-sifted")
-    more = dealt(sifted.join(rows.select("cls", "hashes"), "cls")).mapInArrow(product, "a long, b long")
+    for t in [merged, *read]:
+        discard(spark, t)
+    more = cut(dealt(sifted.join(rows.select("cls", "hashes"), "cls")).mapInArrow(product, "a long, b long"), "jaccard-more")
+    discard(spark, sifted)
     return star.union(more)
 
 
-def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' sets (doc_id, key, n_shingles, digest, cls), the classes (digest, low, n, cls), low
+    being the class's smallest row, and the links of classes (a, b)."""
     spark = docs.sparkSession
     zoned = cut(document_sets(docs, n, percent), "jaccard-zones")
     own = cut(zoned.drop("zone"), "jaccard-sets")
-    classes = (own.where("n_shingles > 0").groupBy("digest")
-               .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("cls").alias("cls")))
+    classes = cut(own.where("n_shingles > 0").groupBy("digest")
+                  .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("low"),
+                       F.min("n_shingles").alias("n"), F.min("cls").alias("cls")), "jaccard-classes")
     rows = cut(candidate_rows(docs, zoned, classes, n, percent), "jaccard-rows")
     discard(spark, zoned)
     columns = cut(block_columns(rows, percent), "jaccard-columns")
@@ -408,24 +426,47 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     live = cut(columns.join(met, "h", "left_semi").select("cls").distinct(), "jaccard-live")
     every, rows = rows, cut(rows.join(live, "cls", "left_semi"), "jaccard-live-rows")
     discard(spark, every)
-    merged = components(cut(links(rows, columns, percent), "jaccard-links"), "jaccard-all")
-    discard(spark, rows)
-    discard(spark, columns)
-    # written first, like the frequencies above: a join straight behind an aggregation could
-    # not be split where one set has very many documents
-    of_class = cut(classes.join(merged.withColumnRenamed("id", "rep"), "rep", "left")
-                   .select("digest", F.coalesce("comp", "rep").alias("component_id")), "jaccard-classes")
+    found = cut(links(rows, columns, percent), "jaccard-links")
+    for t in (live, rows, columns):
+        discard(spark, t)
+    return own, classes, found
+
+
+def _lowest(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(digest, low): for every class the smallest row of its component."""
+    merged = components(edges, "jaccard-all").withColumnRenamed("id", "cls")
+    # written first: a join straight behind an aggregation could not be split where one
+    # component has very many classes
+    least = cut(merged.join(classes.select("cls", "low"), "cls").groupBy("comp").agg(F.min("low").alias("least")), "jaccard-least")
+    return (classes.join(merged, "cls", "left").join(least, "comp", "left")
+            .select("digest", F.coalesce("least", "low").alias("low")))
+
+
+def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    own, classes, edges = _classes(docs, n, percent)
+    # a doc_id with several texts joins their classes
+    several = cut(own.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id")
+                  .agg(F.min("cls").alias("a"), F.max("cls").alias("last")).where("a < last").select("doc_id", "a"), "jaccard-several")
+    same = own.where("n_shingles > 0").join(several, "doc_id").select("a", F.col("cls").alias("b")).where("a <> b").distinct()
+    # written first, like the frequencies above, so that the join can be split where one set
+    # has very many documents
+    of_class = cut(_lowest(classes, edges.union(same)).select("digest", F.col("low.doc_id").alias("component_id")), "jaccard-components")
     return (own.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, that have the smallest doc_id of their component; of rows
-    with that same doc_id one."""
-    found = jaccard_components(docs, n, percent).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_kept"]), "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").limit(1).count()
-    if not repeated:
-        return kept
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return (kept.withColumn("_at", F.row_number().over(order)).where("_at = 1 OR doc_id IS NULL").drop("_at"))
+    """One row, all columns, of each component of texts: that of the smallest doc_id, rows without
+    one last, and of its texts that of the smallest hash. All rows without words stay."""
+    own, classes, edges = _classes(docs, n, percent)
+    first = _lowest(classes, edges).select(F.col("low.doc_id").alias("_kept_id"), F.col("low.key").alias("_kept_key"), F.lit(True).alias("_words"))
+    bare = own.where("n_shingles = 0").select("doc_id", "key", F.lit(False))
+    wanted = cut(first.union(bare).distinct(), "jaccard-kept")
+    kept = docs.join(wanted, docs["doc_id"].cast("long").eqNullSafe(wanted["_kept_id"])
+                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == wanted["_kept_key"]))
+    if _repeated(own.where("n_shingles > 0")):
+        order = Window.partitionBy("_kept_id", "_kept_key").orderBy("_kept_key")
+        once = kept.where("_words").withColumn("_kept_at", F.row_number().over(order)).where("_kept_at = 1").drop("_kept_at")
+        kept = once.union(kept.where("NOT _words"))
+    return kept.drop("_kept_id", "_kept_key", "_words")

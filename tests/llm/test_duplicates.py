@@ -93,6 +93,32 @@ def test_jaccard_odd_and_empty(spark):
     assert sorted(i for i in ids if i is not None) == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10]
 
 
+def test_repeated_and_missing_ids(spark):
+    """A doc_id's unlike texts are told apart, rows without a doc_id are linked like others."""
+    rng = random.Random(17)
+    a, b, c, d = (" ".join(rng.choices([f"v{k}" for k in range(900)], k=60)) for _ in range(4))
+    rows = [(5, a), (5, b), (5, b), (3, c), (8, c + " tail"), (None, b + " end"), (None, d), (None, d + " more"), (None, d),
+            (7, ""), (7, ""), (None, None)]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, _at int, key string")
+    kept = jaccard.keep_first(df, 3, 80)
+    assert kept.columns == df.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    one = {k for k in got if k[0] is None and k[1] and k[1].startswith(d[:20])}
+    assert len(one) == 1 and got[one.pop()] == 1
+    assert {k: v for k, v in got.items() if not (k[0] is None and k[1])} == {(5, a): 1, (5, b): 1, (3, c): 1, (7, ""): 2, (None, None): 1}
+    linked = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df, 3, 80).collect()}
+    assert linked == {(5, 58, 5), (3, 58, 3), (8, 59, 3), (None, 59, 5), (None, 58, None), (None, 59, None), (7, 0, 7), (None, 0, None)}
+
+
+def test_texts_of_one_id_join_components(spark):
+    rng = random.Random(23)
+    a, b = (" ".join(rng.choices([f"v{k}" for k in range(900)], k=60)) for _ in range(2))
+    rows = [(9, a), (5, a + " z"), (5, b), (2, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in jaccard.jaccard_components(df).collect()} == {2}
+    assert sorted((r.doc_id, r.text) for r in jaccard.keep_first(df).collect()) == [(2, b), (5, a + " z")]
+
+
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=40))
 def test_connected_components(spark, pairs):
