@@ -2,7 +2,8 @@
 
 ``cut`` writes a table to the shared folder and reads it back: lineage ends there, so a
 lost executor costs at most the work since the last cut, and an adaptive plan is not run
-twice. The files go when the session ends.
+twice. The shuffle files of the work go when the table is written, the tables when they are
+discarded or the session ends.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 from ledgerflow.session import ensure_checkpoint_dir
 
+#: Shuffle files of an execution are removed at its end; a stage that still asks for them runs again.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared checkpoint folder, removed when the session ends."""
@@ -30,7 +34,12 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -87,4 +96,5 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
                     f"{label}-{n}")
         discard(spark, labels)
         labels = after
+    discard(spark, both)
     return labels.select("id", "comp")
