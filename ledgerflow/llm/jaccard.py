@@ -15,7 +15,7 @@ Links: documents whose sets of word n-grams have Jaccard similarity of at least
    occur once. Rows that have a column in common form a block.
 4. Product. Within a block the overlap counts of all rows are accumulated as a product of
    incidence matrices, pairs whose sizes or counts are below the bound dropped. First every
-   row meets only the block's smallest class; links found so are merged into components, and
+   row meets only the block's row of the smallest doc_id; links found so are merged into components, and
    blocks whose rows are in one component are finished. The others are dealt out as tiles
    of about 2 * ``TILE`` rows of sizes that can link, so that a block of any size is never in
    one task and rows of far sizes never meet. A tile is
@@ -201,21 +201,22 @@ def _folded(s: np.ndarray) -> bytes:
 
 
 def candidate_rows(docs: DataFrame, own: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """(cls, n, folded, hashes) of the rows that can have a partner (step 2)."""
+    """(cls, rep, n, folded, hashes) of the rows that can have a partner (step 2)."""
     likely = (classes.join(unshared(own), "cls", "left").where(F.coalesce(F.col("alone"), F.lit(0)) <= _room(percent))
-              .select(F.col("low.doc_id").alias("at_id"), F.col("low.key").alias("at_key"), F.col("cls").alias("wanted")))
+              .select(F.col("low.doc_id").alias("at_id"), F.col("low.key").alias("at_key"), F.col("cls").alias("wanted"),
+                      F.coalesce("low.doc_id", F.lit(2 ** 63 - 1)).alias("rep")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, sets in _sets(batches, n):
-            found = [(c, len(s), _folded(s), s.view(np.int64)) for c, s in
-                     zip(b.column("wanted").to_pylist(), sets) if _cls(_digest(s)) == c]
+            found = [(c, i, len(s), _folded(s), s.view(np.int64)) for c, i, s in
+                     zip(b.column("wanted").to_pylist(), b.column("rep").to_pylist(), sets) if _cls(_digest(s)) == c]
             if found:
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), kinds)],
-                                                 ["cls", "n", "folded", "hashes"])
+                                                 ["cls", "rep", "n", "folded", "hashes"])
 
     rows = (_keyed(docs).join(likely, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("key") == F.col("at_key")))
-            .select("text", "wanted").mapInArrow(run, "cls long, n long, folded binary, hashes array<long>"))
+            .select("text", "wanted", "rep").mapInArrow(run, "cls long, rep long, n long, folded binary, hashes array<long>"))
     return rows.dropDuplicates(["cls"]) if _repeated(own) else rows
 
 
@@ -225,13 +226,13 @@ def _repeated(own: DataFrame) -> bool:
 
 
 def block_columns(rows: DataFrame, percent: int) -> DataFrame:
-    """(h, cls, n): the columns in which a row can meet a partner (step 3)."""
-    cells = rows.select("cls", "n", F.explode("hashes").alias("h"))
+    """(h, cls, rep, n): the columns in which a row can meet a partner (step 3)."""
+    cells = rows.select("cls", "rep", "n", F.explode("hashes").alias("h"))
     df = cut(cells.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-df")
     row = Window.partitionBy("cls")
     shared = cells.join(df, "h").withColumns({
         "shared": F.count("*").over(row), "at": F.row_number().over(row.orderBy("df", "h"))})
-    return shared.where(F.col("at") <= _room(percent) + 1 - (F.col("n") - F.col("shared"))).select("h", "cls", "n")
+    return shared.where(F.col("at") <= _room(percent) + 1 - (F.col("n") - F.col("shared"))).select("h", "cls", "rep", "n")
 
 
 def _near(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, percent: int) -> np.ndarray:
@@ -374,7 +375,7 @@ def _tiles(placed: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]
 def links(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) of classes that connect exactly the components of all links (step 4)."""
     spark = rows.sparkSession
-    first = (columns.groupBy("h").agg(F.min(F.struct("cls", "n")).alias("f"), F.count("*").alias("rows"))
+    first = (columns.groupBy("h").agg(F.min(F.struct("rep", "cls", "n")).alias("f"), F.count("*").alias("rows"))
              .where("rows > 1").select("h", F.col("f.cls").alias("p"), F.col("f.n").alias("np")))
     pairs = (columns.join(first, "h").where("cls <> p").where(100 * F.least("n", "np") >= percent * F.greatest("n", "np"))
              .select("p", F.col("cls").alias("q")).distinct())
