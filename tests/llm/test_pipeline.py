@@ -12,7 +12,7 @@ from tests.llm.helpers import SMALL, empty_docs, odd_docs, small
 from tests.llm.test_duplicates import brute_components
 from tests.llm.test_search import brute_leaks
 
-NUMBERS = range(1, 11)
+NUMBERS = range(1, 14)
 
 
 def test_every_operator_has_one_query():
