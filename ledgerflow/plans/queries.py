@@ -733,8 +733,8 @@ def q_bulk_load_modes(spark, sf_dir):
 
 @query("fact_layout")
 def q_fact_layout(spark, sf_dir):
-    """The fact written clustered (month directories, range-partitioned and sorted on
-    date key and customer key), read back."""
+    """The fact written clustered (month directories, range-partitioned and sorted along a curve
+    of date key and customer key), read back."""
     path = _fresh_dir(spark, "fact")
     SK.write_fact(P(spark, sf_dir).fact(), path, mode="overwrite")
     # transaction_key (dense numbering) depends on the write's partitioning; checked in tests
