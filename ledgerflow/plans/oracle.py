@@ -547,6 +547,11 @@ SELECT (SELECT count(*) FROM ev_checked WHERE error IS NULL) AS processed,
      []) AS first_errors""", "ev_checked")
 oracle("event_rejects", "SELECT event_id, event_pos, error, ts AS timestamp FROM ev_checked WHERE error IS NOT NULL",
        "ev_checked")
+oracle("stream_volume_over_time", f"""
+SELECT layer, day, count(*) AS records
+FROM (SELECT unnest(['received', CASE WHEN error IS NULL THEN 'accepted' ELSE 'rejected' END]) AS layer,
+        CAST(TIMESTAMP '{AS_OF}' AS DATE) - CAST(1 - event_id % 2 AS INTEGER) AS day
+      FROM ev_checked) v GROUP BY 1, 2""", "ev_checked")
 oracle("hourly_volume", "SELECT date_trunc('hour', ts) AS hour_start, count(*) AS events FROM ev GROUP BY 1", "ev")
 oracle("sliding_metrics", """
 SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, count(*) AS events,

@@ -647,6 +647,20 @@ def q_stream_incremental_ingest(spark, sf_dir):
     return spark.read.parquet(os.path.join(out, "accepted")).drop("_source_file", "event_pos", "_request_id", "_batch")
 
 
+@query("stream_volume_over_time")
+def q_stream_volume_over_time(spark, sf_dir):
+    """Events per layer and day of ingest, from the counts that the micro-batches of two daily runs
+    left: events of even ids land before the first run, all others before the second."""
+    root = _fresh_dir(spark, "stream-volumes")
+    src, out, ck, table = (os.path.join(root, x) for x in ("in", "out", "ck", "volumes"))
+    lines, odd = P(spark, sf_dir).event_lines(), F.col("event_id") % 2 == 1
+    for landed, days_ago in ((lines.where(~odd), 1), (lines.where(odd), 0)):
+        SI.land_messages(landed, src)
+        at = F.lit(A.TXN_AS_OF - datetime.timedelta(days=days_ago)).cast("timestamp_ntz")
+        SI.ingest_events(spark, src, out, ck, at, max_files_per_trigger=4, volumes=table)
+    return SI.stream_volumes(spark, table)
+
+
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """The ids kept by the dedup job: each accepted id once, whatever files share a batch."""

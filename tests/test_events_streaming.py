@@ -90,6 +90,23 @@ def test_stream_load_once(spark):
     assert spark.read.parquet(os.path.join(out, "accepted")).count() == n1
 
 
+def test_stream_volumes_equal_batch_and_count_a_repeated_batch_once(spark):
+    from ledgerflow.plans.layers import Layers
+    root = scratch_path(spark, f"t-{uuid.uuid4().hex[:8]}")
+    src, out, ck, table = (os.path.join(root, x) for x in ("in", "out", "ck", "volumes"))
+    assert SI.stream_volumes(spark, table).collect() == []
+    SI.land_messages(Layers(spark, SF_SMALL).event_lines(), src)
+    SI.ingest_events(spark, src, out, ck, now(), max_files_per_trigger=1, volumes=table)
+    got = {r.layer: r.records for r in SI.stream_volumes(spark, table).groupBy("layer").agg(F.sum("records").alias("records")).collect()}
+    kept = {x: spark.read.parquet(os.path.join(out, x)).count() for x in ("accepted", "rejects")}
+    assert got == {"received": sum(kept.values()), "accepted": kept["accepted"], "rejected": kept["rejects"]}
+    # a batch that is run again replaces its own counts
+    before = sorted(map(tuple, SI.stream_volumes(spark, table).collect()))
+    again = spark.read.parquet(os.path.join(table, "_batch=0"))
+    SI._write_batch(spark.createDataFrame(again.collect(), again.schema), table, 0)
+    assert sorted(map(tuple, SI.stream_volumes(spark, table).collect())) == before
+
+
 def test_stream_dedup_matches_distinct(spark):
     deduped = QUERIES["stream_dedup"](spark, SF_SMALL)
     batch = QUERIES["event_enrich"](spark, SF_SMALL)
