@@ -6,10 +6,13 @@ step from their better end (the high end for positive query components, the low
 negative ones), in strides that double. Rows met for the first time are scored in full. The bound is
 the query's product with the components last read: no unread row can score more. Reading
 stops when the bound is below the k-th best score (strictly, so ties go to the smaller
-vec_id whatever the order of reading) or every row has been met.
+vec_id whatever the order of reading) or every row has been met. The k-th score that a query
+has from a task's earlier blocks is carried on: a block whose largest components
+cannot reach it is not read at all, others stop as soon as their bound is below it.
 
 Query chunks meet every block by a join on a group number of the blocks, not through the
-driver; each block gives at most k rows a query, merged by a window. Of equal vectors in
+driver; a group has about ``TOGETHER`` blocks, so a chunk is copied once for so many. Each
+block gives at most k rows a query, merged by a window. Of equal vectors in
 a block only the k + 1 smallest ids can appear in an answer, so copies beyond are left out.
 
 Cases: vectors null or with null or non-finite components, and null ids, take no part;
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 
 BLOCK = 4096
 CHUNK = 512
+#: Blocks of a group, and query chunks whose k-th scores a task holds; a forgotten one costs reading only.
+TOGETHER, HELD = 4, 2000
 _PACKED = "dim int, ids binary, vectors binary"
 _ANSWER = "query_id long, vec_id long, score long"
 
@@ -80,9 +85,12 @@ class Block:
         keep = keep[np.argsort(ids[keep], kind="stable")]
         self.ids, self.v = ids[keep], vectors[keep]
         self.order = np.argsort(self.v, axis=0, kind="stable")
+        self.least, self.most = self.v.min(axis=0), self.v.max(axis=0)
+        self.met = 0  # rows scored so far
 
-    def top(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids and scores of the k best rows for ``q``, ties to the smaller id."""
+    def top(self, q: np.ndarray, own: int, k: int, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """The ids and scores of the k best rows for ``q``, ties to the smaller id; of rows that
+        score less than ``floor`` some may be missing."""
         n = len(self.ids)
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         met = np.zeros(n, bool)
@@ -91,6 +99,8 @@ class Block:
         if not len(up) and not len(down):
             best = np.flatnonzero(self.ids != own)[:k]
             return self.ids[best], np.zeros(len(best))
+        if self.most[up] @ q[up] + self.least[down] @ q[down] < floor:
+            return best, score
         while depth < n:
             to = min(n, depth + stride)
             now = np.zeros(n, bool)
@@ -99,12 +109,13 @@ class Block:
             now &= ~met
             met |= now
             new = np.flatnonzero(now & (self.ids != own))
+            self.met += len(new)
             best, score = np.concatenate([best, new]), np.concatenate([score, self.v[new] @ q])
             if len(best) > k:
                 top = np.lexsort((best, -score))[:k]
                 best, score = best[top], score[top]
             bound = self.v[self.order[n - to, up], up] @ q[up] + self.v[self.order[to - 1, down], down] @ q[down]
-            if (len(best) == k and bound < score.min()) or met.all():
+            if bound < max(floor, score.min() if len(best) == k else -np.inf) or met.all():
                 break
             depth, stride = to, stride * 2
         return self.ids[best], score
@@ -112,23 +123,33 @@ class Block:
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each row that ``is_query`` marks."""
-    spark = vectors.sparkSession
     rows = quantised(vectors)
-    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = 1 + vectors.count() // (BLOCK * TOGETHER)
     blocks = packed(rows, BLOCK).withColumn("grp", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
-    chunks = (packed(rows.where(is_query), CHUNK)
-              .select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
+    # numbered, so that equal chunks of repeated rows are not taken for one another
+    chunks = (packed(rows.where(is_query), CHUNK).withColumn("chunk", F.monotonically_increasing_id())
+              .select("chunk", "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
                       F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp")))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, block = None, None
+        scores: dict[int, np.ndarray] = {}  # of each query of a chunk, the k best so far
         for b in batches:
-            for dim, ids, vs, q_ids, q_vs in zip(*[b.column(c).to_pylist() for c in
-                                                   ("dim", "ids", "vectors", "q_ids", "q_vectors")]):
+            for dim, ids, vs, chunk, q_ids, q_vs in zip(*[b.column(c).to_pylist() for c in
+                                                   ("dim", "ids", "vectors", "chunk", "q_ids", "q_vectors")]):
                 if ids != last:
                     last, block = ids, Block(np.frombuffer(ids, np.int64), np.frombuffer(vs, np.float64).reshape(-1, dim), k)
-                found = [(i, *block.top(q, i, k)) for i, q in
-                         zip(np.frombuffer(q_ids, np.int64).tolist(), np.frombuffer(q_vs, np.float64).reshape(-1, dim))]
+                own = np.frombuffer(q_ids, np.int64)
+                best = scores.pop(chunk, None)
+                if best is None:
+                    best = np.full((len(own), k), -np.inf)
+                    if len(scores) >= HELD:
+                        scores.pop(next(iter(scores)))
+                found = [(i, *block.top(q, i, k, floor)) for i, q, floor in
+                         zip(own.tolist(), np.frombuffer(q_vs, np.float64).reshape(len(own), dim), best[:, 0].tolist())]
+                for at, (_, _, new) in enumerate(found):
+                    best[at] = np.sort(np.concatenate([best[at], new]))[-k:]
+                scores[chunk] = best
                 n = [len(x) for _, x, _ in found]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat([i for i, _, _ in found], n).astype(np.int64)),

@@ -309,6 +309,32 @@ def test_top_k_stops_early_and_is_exact():
     for q in v[:20]:
         ids, score = block.top(q, -1, 5)
         assert sorted(score, reverse=True) == sorted(v @ q, reverse=True)[:5]
+    assert block.met < 20 * 4000 / 4
+
+
+def test_top_k_carried_score_skips_and_loses_nothing():
+    rng = np.random.default_rng(2)
+    v = np.floor(256 * rng.normal(0, 1, (3000, 8)))
+    far, near = topk.Block(np.arange(3000), v, 5), topk.Block(np.arange(3000, 6000), np.floor(v / 100), 5)
+    for q in v[:10]:
+        want = sorted(far.v @ q, reverse=True)[:5]
+        assert sorted(near.top(q, -1, 5, want[-1])[1]) == [] and near.met == 0
+        # rows that tie with the carried score are still found
+        assert sorted(far.top(q, -1, 5, want[-1])[1], reverse=True) == want
+
+
+def test_top_k_of_a_table_given_twice(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    monkeypatch.setattr(topk, "CHUNK", 4)
+    rng = random.Random(11)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(3)]) for i in range(60)]
+    twice = spark.createDataFrame(rows * 2, "vec_id long, embedding array<float>").repartition(3)
+    got = topk.top_k(twice, F.col("vec_id") % 5 == 0, 5)
+    for i, own in rows[::5]:
+        q = np.floor(256 * np.array(own, np.float32).astype(float))
+        # both rows of a query answer together, each with both rows of a candidate
+        best = sorted(-int(q @ np.floor(256 * np.array(v, np.float32).astype(float))) for j, v in rows * 4 if j != i)
+        assert sorted(-r.score for r in got.where(F.col("query_id") == i).collect()) == best[:5]
 
 
 def test_top_k_empty(spark):
