@@ -158,3 +158,47 @@ def test_any_order_of_snapshots_gives_one_history(spark):
             got = kept(S.insert_snapshot(got, seen, snaps[d], d))
             seen = kept(seen.unionByName(S.observations(snaps[d], d)))
         assert sorted(map(str, got.collect())) == want, order
+
+
+def test_a_large_batch_does_not_ask_every_filter(spark, monkeypatch):
+    root = scratch_path(spark, f"large-{uuid.uuid4().hex[:8]}")
+    table = os.path.join(root, "t")
+    rows = staged_rows(spark, [(f"T{k}", at(k % 30), 1, at(40), at(40)) for k in range(300)]).drop("_loaded_at")
+    PT.write_partitioned(rows.withColumn("txn_day", SI.staging_day("day")), table, "txn_day", "transaction_id")
+    asked = []
+    monkeypatch.setattr(PT, "probe", lambda *a: asked.append(a) or probe(*a))
+    large = spark.range(100).select(F.concat(F.lit("T"), F.col("id") * 30).alias("transaction_id"))  # 100 ids x 30 filters
+    assert PT.partitions_holding(spark, table, large, "txn_day", "transaction_id") == [at(0).date()] and not asked
+    assert PT.partitions_holding(spark, table, large.limit(1), "txn_day", "transaction_id") == [at(0).date()] and len(asked) == 1
+
+
+def test_a_batch_is_computed_once(spark):
+    root = scratch_path(spark, f"once-{uuid.uuid4().hex[:8]}")
+    table, seen = os.path.join(root, "t"), spark.sparkContext.accumulator(0)
+    target = staged_rows(spark, [(f"T{k}", at(k % 4), 1, at(20), at(20)) for k in range(40)]).drop("_loaded_at")
+    PT.write_partitioned(target.withColumn("txn_day", SI.staging_day("day")), table, "txn_day", "transaction_id")
+
+    def count(parts):
+        for b in parts:
+            seen.add(b.num_rows)
+            yield b
+
+    batch = staged_rows(spark, [(f"T{k}", at(k % 4), 2, at(30), at(31)) for k in range(10)])
+    SI.merge_staging_table(spark, table, batch.mapInArrow(count, batch.schema), os.path.join(root, "s"))
+    assert seen.value == 10
+    assert spark.read.parquet(table).where("amount = 2").count() == 10
+
+
+def test_a_delivery_lands_in_a_bounded_number_of_files(spark):
+    path = scratch_path(spark, f"delivery-{uuid.uuid4().hex[:8]}")
+    raw = A.raw_transactions(spark, SF_SMALL)
+    SI.land_transactions_csv(raw.repartition(30), path)
+    assert 0 < len([f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".csv")]) <= 8
+
+
+def test_keys_are_dense_across_files(spark):
+    from ledgerflow.functions.keys import dense_keys
+    keyed = dense_keys(spark.range(0, 1000, 1, 7).withColumn("v", F.col("id") * 2), "k", 5)
+    assert keyed.columns == ["k", "id", "v"]
+    assert [tuple(r) for r in keyed.orderBy("k").collect()] == [(i + 6, i, i * 2) for i in range(1000)]
+    assert "ExistingRDD" not in keyed._jdf.queryExecution().toString()  # no row-wise checkpoint
