@@ -55,16 +55,25 @@ def with_slice(fact: DataFrame, slide: dt.timedelta) -> DataFrame:
 
 
 def build_slices(fact: DataFrame, slide: dt.timedelta) -> DataFrame:
+    """Aggregates by slice and latency. The batch is a group key at first: the maximum of a text in
+    the aggregate over all rows would have them sorted; then it is one over few rows a slice."""
     known = (F.col("customer_key") != C.UNKNOWN_KEY) & (F.col("merchant_key") != C.UNKNOWN_KEY)
     return (with_slice(fact, slide)
             .withColumn("latency", seconds_between(F.col("transaction_timestamp"), F.col("processed_at")))
-            .groupBy("pane", "on_edge", "latency").agg(
+            .groupBy("pane", "on_edge", "latency", "_batch_id").agg(
                 F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("amount").isNull(), 1)).alias("null_amounts"),
-                F.max("_batch_id").alias("batch_id"), F.max("transaction_timestamp").alias("max_ts"),
-                F.count("amount_usd").alias("usd_rows"), F.sum("amount_usd").cast("decimal(38,2)").alias("usd_sum"),
+                F.max("transaction_timestamp").alias("max_ts"),
+                F.count("amount_usd").alias("usd_rows"), F.sum("amount_usd").alias("usd_sum"),
                 F.min("amount_usd").alias("min_usd"), F.max("amount_usd").alias("max_usd"),
                 F.min("processed_at").alias("first_processed"), F.max("processed_at").alias("last_processed"),
-                F.count(F.when(known, 1)).alias("covered"), F.count(F.when(~known, 1)).alias("orphans")))
+                F.count(F.when(known, 1)).alias("covered"), F.count(F.when(~known, 1)).alias("orphans"))
+            .groupBy("pane", "on_edge", "latency").agg(
+                F.sum("n").alias("n"), F.sum("null_amounts").alias("null_amounts"),
+                F.max("_batch_id").alias("batch_id"), F.max("max_ts").alias("max_ts"),
+                F.sum("usd_rows").alias("usd_rows"), F.sum("usd_sum").cast("decimal(38,2)").alias("usd_sum"),
+                F.min("min_usd").alias("min_usd"), F.max("max_usd").alias("max_usd"),
+                F.min("first_processed").alias("first_processed"), F.max("last_processed").alias("last_processed"),
+                F.sum("covered").alias("covered"), F.sum("orphans").alias("orphans")))
 
 
 def build_firsts(fact: DataFrame, slide: dt.timedelta) -> DataFrame:
