@@ -22,13 +22,13 @@ def _items(text: Column) -> Column:
     return F.when(F.json_array_length(text).isNotNull(), F.from_json(text, ARR)).otherwise(F.array(text))
 
 
-def extract_events(line: Column) -> Column:
+def extract_events(line: Column, keys: Column | None = None) -> Column:
     """array<string> of event payloads from one message, in the order the envelopes
     are tried: Records[].body, body (object, list or JSON text), detail, a bare event
     with transaction_id, a bare list. A JSON object of another shape carries no
     events; text that is not JSON at all is kept as one (malformed) event so it is
     rejected visibly instead of vanishing. A list inside a Records body is flattened."""
-    keys = F.json_object_keys(line)
+    keys = F.json_object_keys(line) if keys is None else keys
     has = lambda k: F.coalesce(F.array_contains(keys, F.lit(k)), F.lit(False))
     records = F.from_json(F.get_json_object(line, "$.Records"), ARR)
     from_records = F.flatten(F.transform(records, lambda r: _items(F.get_json_object(r, "$.body"))))
@@ -43,8 +43,10 @@ def extract_events(line: Column) -> Column:
 
 def unwrap(messages: DataFrame, line_col: str = "line") -> DataFrame:
     """One row per event: the message columns plus ``event_pos`` and ``payload``."""
-    return (messages.select("*", F.posexplode(extract_events(F.col(line_col))).alias("event_pos", "payload"))
-            .drop(line_col))
+    # the keys are asked for by every branch: a column of their own is computed once a message
+    keyed = messages.withColumn("_keys", F.json_object_keys(F.col(line_col)))
+    return (keyed.select("*", F.posexplode(extract_events(F.col(line_col), F.col("_keys"))).alias("event_pos", "payload"))
+            .drop(line_col, "_keys"))
 
 
 def _field(name: str) -> Column:
@@ -62,17 +64,17 @@ def _number_text(x: Column) -> Column:
 def validation_error(required=C.EVENT_REQUIRED_FIELDS, max_amount=C.EVENT_MAX_AMOUNT) -> Column:
     """The first failing rule's message, or null. Rules in order: JSON object,
     required keys present (a present null passes), numeric amount, amount > 0,
-    amount <= max, known currency (upper-cased), transaction_id of 3+ characters."""
-    keys = F.json_object_keys(F.col("payload"))
+    amount <= max, known currency (upper-cased), transaction_id of 3+ characters. The parts that several
+    rules read are the columns of :func:`_parsed`."""
+    keys, raw_amount = F.col("_keys"), F.col("_amount")
     missing = F.array_except(F.array(*[F.lit(f) for f in sorted(required)]), keys)
-    raw_amount = _field("amount")
     amt = raw_amount.try_cast(T.DoubleType())
     # a JSON string or whole number is shown as it came, another number as a double
     as_text = F.col("payload").rlike(r'"amount"\s*:\s*"') | raw_amount.rlike(r"^-?\d+$")
     shown = F.when(as_text, raw_amount).otherwise(_number_text(amt))
     invalid = F.concat(F.lit("Invalid amount: "), F.coalesce(F.when(amt.isNull(), raw_amount).otherwise(shown), F.lit("None")),
                        F.lit(" — "))
-    currency = F.upper(F.coalesce(_field("currency"), F.lit("None")))
+    currency = F.upper(F.coalesce(F.col("_currency"), F.lit("None")))
     tid = F.coalesce(_field("transaction_id"), F.lit("None"))
     return F.coalesce(
         F.when(keys.isNull(), F.lit("Malformed event: not a JSON object")),
@@ -87,8 +89,15 @@ def validation_error(required=C.EVENT_REQUIRED_FIELDS, max_amount=C.EVENT_MAX_AM
     )
 
 
+def _parsed(events: DataFrame) -> DataFrame:
+    """The payload's keys, amount and currency, parsed once an event: as the output of a generator
+    (of one row), which a filter on what follows from them is not pushed through."""
+    parts = F.struct(F.json_object_keys(F.col("payload")).alias("_keys"), _field("amount").alias("_amount"), _field("currency").alias("_currency"))
+    return events.select("*", F.inline(F.array(parts)))
+
+
 def validate(events: DataFrame) -> DataFrame:
-    return events.withColumn("_error", validation_error())
+    return _parsed(events).withColumn("_error", validation_error()).drop("_keys", "_amount", "_currency")
 
 
 def enrich(valid: DataFrame, ingested_at: Column, request_id: Column | None = None,
