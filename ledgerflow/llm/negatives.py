@@ -14,10 +14,10 @@ whose score lies in a window of the positive's score are returned.
   angle and cover every row within it. Levels shrink by ``SHRINK``; a node of ``LEAF`` rows or
   fewer is a leaf. Each node keeps its labels (if one) and its exact covering radius.
 * Descent. The angle between query and centre, less or plus the covering radius, bounds the inner
-  products of all of a node's rows. The open node of the best bound is split first; nodes
-  whose bounds lie outside the window, or below the worst of the k rows found, or whose rows
-  have the wrong label, are skipped whole; the rows of a leaf are scored exactly. Ends when no
-  open node can add a row.
+  products of all of a node's rows. Queries go down a tree together, level by level, each with
+  its own open nodes: nodes whose bounds lie outside the window, or below the worst of the k
+  rows found, or whose rows have the wrong label, are skipped whole; the rows of the leaves
+  reached are scored exactly.
 
 Query chunks meet the blocks by a join, not through the driver, copied once for each group
 of blocks; each block gives at most k rows a window, and what a query has found in earlier
@@ -34,18 +34,21 @@ Empty tables give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import heapq
-from collections import Counter, OrderedDict
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import cut
 
 BLOCK, CHUNK, LEAF, SHRINK = 2048, 1024, 48, 1.4
+#: Queries of a chunk that go down a tree together.
+STRIP = 128
 #: Trees and bounds that a task keeps at hand; losing one costs time only.
 TREES, HELD = 8, 200_000
 _PACKED = "grp int, dim int, ids binary, labels binary, vectors binary"
@@ -94,6 +97,7 @@ class CoverTree:
             self.children[node] = np.array(made)
             work += [(c, reach) for c in made]
         self.centre, self.radius, self.label = np.array(self.centre), np.array(self.radius), np.array(self.label, np.int64)
+        self.cos, self.sin = np.cos(self.radius), np.sin(self.radius)
 
     def _node(self, angle: np.ndarray, centre: int, rows: np.ndarray) -> int:
         own = self.labels[rows]
@@ -105,65 +109,106 @@ class CoverTree:
         return len(self.centre) - 1
 
 
+class Queries:
+    """Queries against one tree, all of them taken down it together."""
+
+    def __init__(self, tree: CoverTree, own: np.ndarray, labels: np.ndarray, q: np.ndarray, same: bool):
+        self.tree, self.own, self.labels, self.q, self.same = tree, own, labels, q, same
+        self.scale = np.sqrt((q * q).sum(axis=1)) * tree.top
+        self.met = np.zeros(len(own), np.int64)
+
+    def _bounds(self, at: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The largest and the least product that a row of each node can have with each query."""
+        t, scale = self.tree, self.scale[at, None]
+        cos = np.clip((self.q[at] @ t.v[t.centre[nodes]].T) / np.where(scale > 0, scale, 1.0), -1.0, 1.0)
+        sin = np.sqrt(1.0 - cos * cos)
+        # cosines of the angle to the centre less and plus the covering radius, from 0 to pi
+        near = np.where(cos >= t.cos[nodes], 1.0, cos * t.cos[nodes] + sin * t.sin[nodes])
+        far = np.where(cos <= -t.cos[nodes], -1.0, cos * t.cos[nodes] - sin * t.sin[nodes])
+        slack = 1e-6 * scale + 1e-6  # far above rounding of the angles
+        return scale * near + slack, scale * far - slack
+
+    def _leaves(self, floor: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(queries, leaves, open): the leaves that can add a row to a window (window, query, leaf)."""
+        t = self.tree
+        at, nodes = np.arange(len(self.own)), np.zeros(1, np.int64)
+        open_ = np.ones((len(floor), len(at), 1), bool)
+        leaves, reached = [], []
+        while len(nodes) and len(at):
+            one = t.label[nodes]
+            wanted = (one == _NO_LABEL) | ((one == self.labels[at, None]) == self.same)
+            up, low = self._bounds(at, nodes)
+            open_ &= wanted & (up >= floor[:, at, None]) & (low <= high[:, at, None])
+            if nodes[0] == 0:  # queries that the whole block has nothing for
+                at, open_ = at[open_.any(axis=(0, 2))], open_[:, open_.any(axis=(0, 2))]
+            some = open_.any(axis=(0, 1))
+            nodes, open_ = nodes[some], open_[:, :, some]
+            leaf = np.array([t.children[n] is None for n in nodes], bool)
+            leaves.append(nodes[leaf])
+            reached.append(open_[:, :, leaf])
+            below = [t.children[n] for n in nodes[~leaf]]
+            open_ = np.repeat(open_[:, :, ~leaf], [len(c) for c in below], axis=2)
+            nodes = np.concatenate(below) if below else nodes[:0]
+        return at, np.concatenate(leaves), np.concatenate(reached, axis=2) if len(at) else open_[:, :, :0]
+
+    def best(self, k: int, low: np.ndarray, high: np.ndarray, scores: np.ndarray, ids: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Merges the tree's rows with scores from ``low`` to ``high`` (window, query) into the k best
+        found so far, ``scores`` and ``ids`` (window, query, k), best first, -inf where there are
+        fewer. Gives the rows that are among them now: (window, query, score, id)."""
+        t = self.tree
+        floor = np.maximum(low, scores[:, :, -1])  # one that ties the worst of the k may have a smaller id
+        at, leaves, open_ = self._leaves(floor, high)
+        none = tuple(np.zeros(0, x) for x in (np.int64, np.int64, np.float64, np.int64))
+        if not len(at) or not len(leaves):
+            return none
+        sizes = np.array([len(t.rows[n]) for n in leaves])
+        self.met[at] += open_.any(axis=0) @ sizes
+        rows, leaf = np.concatenate([t.rows[n] for n in leaves]), np.repeat(np.arange(len(leaves)), sizes)
+        product = self.q[at] @ t.v[rows].T
+        usable_ = ((t.labels[rows] == self.labels[at, None]) == self.same) & (t.ids[rows] != self.own[at, None])
+        out = []
+        for w in range(len(low)):
+            ok = open_[w][:, leaf] & usable_ & (product >= floor[w, at, None]) & (product <= high[w, at, None])
+            many = np.flatnonzero(ok.sum(axis=1) > k)
+            if len(many):
+                worst = np.partition(np.where(ok[many], product[many], -np.inf), len(rows) - k, axis=1)[:, len(rows) - k]
+                ok[many] &= product[many] >= worst[:, None]
+            q, r = np.nonzero(ok)
+            if not len(q):
+                continue
+            hit = np.unique(q)
+            held = np.isfinite(scores[w, at[hit]])
+            q = np.concatenate([np.repeat(hit, held.sum(axis=1)), q])
+            i = np.concatenate([ids[w, at[hit]][held], t.ids[rows[r]]])
+            s = np.concatenate([scores[w, at[hit]][held], product[q[len(q) - len(r):], r]])
+            fresh = np.arange(len(q)) >= len(q) - len(r)
+            by = np.lexsort((i, -s, q))
+            q, i, s, fresh = q[by], i[by], s[by], fresh[by]
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            q, i, s, fresh, place = (x[place < k] for x in (q, i, s, fresh, place))
+            scores[w, at[q], place], ids[w, at[q], place] = s, i
+            out.append((np.full(int(fresh.sum()), w), at[q[fresh]], s[fresh], i[fresh]))
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else none
+
+
 class Query:
-    """One query against one tree; products and bounds are worked out once for all its windows."""
+    """One query against one tree."""
 
     def __init__(self, tree: CoverTree, own: int, label: int, q: np.ndarray, same: bool):
-        self.tree, self.own, self.own_label, self.q, self.same = tree, own, label, q, same
-        self.scale = float(np.sqrt(q @ q)) * tree.top
-        self.known: dict[int, tuple] = {}
-        self.met = 0
-        self.root = self._bounds(np.zeros(1, np.int64))
-
-    def _bounds(self, nodes: np.ndarray) -> list[tuple[float, float, int]]:
-        """(upper, lower, node) of the nodes that can hold a row of a wanted label."""
-        t = self.tree
-        one = t.label[nodes]
-        nodes = nodes[(one == _NO_LABEL) | ((one == self.own_label) == self.same)]
-        if not len(nodes):
-            return []
-        if not self.scale:
-            return [(0.0, 0.0, int(n)) for n in nodes]
-        at = np.arccos(np.clip(t.v[t.centre[nodes]] @ self.q / self.scale, -1.0, 1.0))
-        slack = 1e-6 * self.scale + 1e-6  # far above rounding of the angles
-        high = self.scale * np.cos(np.maximum(0.0, at - t.radius[nodes])) + slack
-        low = self.scale * np.cos(np.minimum(np.pi, at + t.radius[nodes])) - slack
-        return list(zip(high.tolist(), low.tolist(), nodes.tolist()))
-
-    def _open(self, node: int) -> tuple:
-        """The children of a node, or the rows of a leaf with their exact scores."""
-        if node not in self.known:
-            t = self.tree
-            if t.children[node] is not None:
-                self.known[node] = (self._bounds(t.children[node]), None, None)
-            else:
-                rows = t.rows[node]
-                self.met += len(rows)
-                rows = rows[((t.labels[rows] == self.own_label) == self.same) & (t.ids[rows] != self.own)]
-                self.known[node] = (None, t.ids[rows], t.v[rows] @ self.q)
-        return self.known[node]
+        self._one = Queries(tree, np.array([own], np.int64), np.array([label], np.int64), q[None], same)
+
+    @property
+    def met(self) -> int:
+        return int(self._one.met[0])
 
     def best(self, k: int, low: float, high: float, found: list[tuple[float, int]]) -> list[tuple[float, int]]:
         """``found`` and the tree's rows with scores from ``low`` to ``high``: the k best as (score, -id)."""
-        best = heapq.nlargest(k, found)
-        open_ = [(-min(u, high), n) for u, lo, n in self.root if u >= low and lo <= high]
-        heapq.heapify(open_)
-        while open_:
-            bound, node = heapq.heappop(open_)
-            if len(best) == k and -bound < best[-1][0]:
-                break  # no open node reaches the worst of the k; one that ties it may hold a smaller id
-            inner, ids, scores = self._open(node)
-            if inner is not None:
-                for u, lo, n in inner:
-                    if u >= low and lo <= high and (len(best) < k or u >= best[-1][0]):
-                        heapq.heappush(open_, (-min(u, high), n))
-                continue
-            ok = (scores >= low) & (scores <= high)
-            if len(best) == k:
-                ok &= scores >= best[-1][0]
-            if ok.any():
-                best = heapq.nlargest(k, [*best, *zip(scores[ok].tolist(), (-ids[ok]).tolist())])
-        return best
+        scores, ids = np.full((1, 1, k), -np.inf), np.zeros((1, 1, k), np.int64)
+        for x, (s, i) in enumerate(sorted(found, reverse=True)[:k]):
+            scores[0, 0, x], ids[0, 0, x] = s, -i
+        self._one.best(k, np.array([[low]]), np.array([[high]]), scores, ids)
+        return [(s, -i) for s, i in zip(scores[0, 0].tolist(), ids[0, 0].tolist()) if s > -np.inf]
 
 
 def blocks_of(rows: DataFrame, keep: int) -> DataFrame:
@@ -182,7 +227,7 @@ def blocks_of(rows: DataFrame, keep: int) -> DataFrame:
         def out() -> pa.RecordBatch:
             ids = np.array([h[0] for h in held], np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array([int(ids[0]) % groups], pa.int32()), pa.array([len(held[0][2])], pa.int32()),
+                [pa.array([TaskContext.get().partitionId() % groups], pa.int32()), pa.array([len(held[0][2])], pa.int32()),
                  pa.array([ids.tobytes()], pa.binary()), pa.array([np.array([h[1] for h in held], np.int64).tobytes()], pa.binary()),
                  pa.array([np.array([h[2] for h in held], np.float64).tobytes()], pa.binary())],
                 ["grp", "dim", "ids", "labels", "vectors"])
@@ -210,6 +255,24 @@ def _chunked(queries: DataFrame, blocks: DataFrame) -> DataFrame:
     return chunks.join(blocks.select("dim", "grp").distinct(), "dim")
 
 
+class _Chunk:
+    """The queries of a chunk in order of their keys, with their windows in order of theirs."""
+
+    def __init__(self, queries: pa.StructArray):
+        own, akey, label = (queries.field(c).to_numpy(zero_copy_only=False) for c in ("vec_id", "akey", "label"))
+        v = queries.field("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(own), -1)
+        windows, sizes = queries.field("windows").flatten(), pc.list_value_length(queries.field("windows")).to_numpy()
+        q, key = np.repeat(akey, sizes), windows.field("key").to_numpy()
+        by, order = np.lexsort((key, q)), np.argsort(akey, kind="stable")
+        self.own, self.akey, self.label, self.v = own[order], akey[order], label[order], v[order]
+        # windows that a query has fewer of than others are empty
+        place = (np.arange(len(q)) - np.searchsorted(q[by], q[by]), np.searchsorted(self.akey, q[by]))
+        shape = (int(sizes.max(initial=0)), len(own))
+        self.key, self.low, self.high = np.zeros(shape, np.int64), np.full(shape, np.inf), np.full(shape, -np.inf)
+        for to, c in ((self.key, "key"), (self.low, "low"), (self.high, "high")):
+            to[place] = windows.field(c).to_numpy()[by]
+
+
 def _search(pairs: DataFrame, k: int, same: bool) -> DataFrame:
     """(akey, key, score, vec_id): what every block has for the windows (key, low, high) of the
     queries of the chunks it meets, as far as it can be among the k best."""
@@ -217,7 +280,7 @@ def _search(pairs: DataFrame, k: int, same: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees: OrderedDict[bytes, CoverTree] = OrderedDict()
         # what a query has found in this task: no row below its worst can be among the k best of all
-        carried: dict[tuple[int, int], list] = {}
+        carried: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
             for ids, labels, vs, queries in zip(*[b.column(c) for c in ("ids", "labels", "vectors", "queries")]):
                 raw = ids.as_py() + labels.as_py()
@@ -227,19 +290,21 @@ def _search(pairs: DataFrame, k: int, same: bool) -> DataFrame:
                                            np.frombuffer(vs.as_py(), np.float64).reshape(len(i), -1))
                     if len(trees) > TREES:
                         trees.popitem(last=False)
-                out = []
-                for q in queries.as_py():
-                    one = Query(trees[raw], q["vec_id"], q["label"], np.array(q["v"], np.float64), same)
-                    for w in q["windows"]:
-                        key = (q["akey"], w["key"])
-                        before = carried.get(key, [])
-                        best = one.best(k, w["low"], w["high"], before)
-                        out += [(*key, int(s), -i) for s, i in (Counter(best) - Counter(before)).elements()]
-                        carried[key] = best
-                if len(carried) > HELD:  # bounds only: without them a block gives more rows than needed
-                    carried.clear()
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["akey", "key", "score", "vec_id"])
+                c = _Chunk(queries.values)
+                name = c.akey.tobytes() + c.key.tobytes()
+                if name not in carried:
+                    if sum(s.size for s, _ in carried.values()) > HELD * k:  # bounds only: without them a block gives more rows than needed
+                        carried.clear()
+                    carried[name] = np.full((*c.key.shape, k), -np.inf), np.zeros((*c.key.shape, k), np.int64)
+                scores, found = carried[name]
+                for x in range(0, len(c.own), STRIP):
+                    part = slice(x, x + STRIP)
+                    some = Queries(trees[raw], c.own[part], c.label[part], c.v[part], same)
+                    w, q, score, i = some.best(k, c.low[:, part], c.high[:, part], scores[:, part], found[:, part])
+                    if len(w):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c.akey[part][q]), pa.array(c.key[:, part][w, q]), pa.array(score.astype(np.int64)), pa.array(i)],
+                            ["akey", "key", "score", "vec_id"])
 
     return pairs.select("ids", "labels", "vectors", "queries").mapInArrow(run, "akey long, key long, score long, vec_id long")
 
@@ -255,8 +320,12 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column, positiv
     anchors = rows.where(is_anchor).withColumn("akey", F.xxhash64("vec_id", "label", "v"))
     any_score = F.array(F.struct(F.lit(0).cast("long").alias("key"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high")))
 
+    # the tables are small for the work on them: the number of tasks follows the groups, not the bytes
+    tasks = 2 * max(1, blocks.select("dim", "grp").distinct().count())
+
     def search(queries: DataFrame, k: int, same: bool) -> DataFrame:
-        return _search(blocks.join(_chunked(queries, blocks), ["dim", "grp"]), k, same)
+        left, right = (df.repartition(tasks, "dim", "grp") for df in (blocks, _chunked(queries, blocks)))
+        return _search(left.join(right, ["dim", "grp"]), k, same)
 
     near = search(anchors.withColumn("windows", any_score), positives, True)
     place = F.row_number().over(Window.partitionBy("akey").orderBy(F.desc("score"), "vec_id"))

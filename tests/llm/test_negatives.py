@@ -115,3 +115,35 @@ def test_query_matches_sql(spark):
     want = sorted(con.execute(f"SELECT {', '.join(FIELDS)} FROM ({ORACLE['op12_cover_tree_negatives']})").fetchall())
     got = sorted(tuple(r) for r in op12_cover_tree_negatives(spark, SMALL).select(*FIELDS).collect())
     assert got == want
+
+
+def test_queries_go_down_a_tree_together():
+    rows = made(11, 600, 8, 15, 20)
+    ids, labels, v = (np.array([r[k] for r in rows], t) for k, t in ((0, np.int64), (1, np.int64), (2, np.float64)))
+    tree = negatives.CoverTree(ids, labels, v)
+    at = np.arange(0, 600, 4)
+    for same, low, high in ((True, -np.inf, np.inf), (False, 0.0, 40_000.0)):
+        all_ = negatives.Queries(tree, ids[at], labels[at], v[at], same)
+        shape = (1, len(at), 5)
+        scores, found = np.full(shape, -np.inf), np.zeros(shape, np.int64)
+        w, q, s, i = all_.best(5, np.full(shape[:2], low), np.full(shape[:2], high), scores, found)
+        for x, a in enumerate(at):
+            product = v @ v[a]
+            ok = ((labels == labels[a]) == same) & (ids != a) & (product >= low) & (product <= high)
+            want = sorted(zip((-product[ok]).tolist(), ids[ok].tolist()))[:5]
+            assert [(-s_, i_) for s_, i_ in zip(scores[0, x].tolist(), found[0, x].tolist()) if s_ > -np.inf] == want
+            assert sorted((-s_, i_) for s_, i_ in zip(s[q == x].tolist(), i[q == x].tolist())) == want
+
+
+def test_the_search_is_dealt_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "BLOCK", 16)
+    seen, search = [], negatives._search
+
+    def look(pairs, k, same):
+        seen.append(pairs.rdd.getNumPartitions())
+        return search(pairs, k, same)
+
+    monkeypatch.setattr(negatives, "_search", look)
+    rows = made(12, 200, 4, 8, 25)
+    assert run(spark, rows) == full_scan(rows)
+    assert len(seen) == 2 and min(seen) >= 8
