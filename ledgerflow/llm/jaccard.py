@@ -19,8 +19,8 @@ Links: documents whose sets of word n-grams have Jaccard similarity of at least
    blocks whose rows are in one component are finished. The others are dealt out as tiles
    of about 2 * ``TILE`` rows of sizes that can link, so that a block of any size is never in
    one task and rows of far sizes never meet. A tile is
-   multiplied twice: first over columns folded to ``BITS`` parities, which bounds the
-   difference of two sets from below, then, with the rows that still have a partner in
+   multiplied twice: first over columns folded to parities, ``BITS`` or more for long rows,
+   which bounds the difference of two sets from below, then, with the rows that still have a partner in
    another component, over the columns themselves. It puts out a spanning forest of its
    links, never all its pairs.
 
@@ -48,6 +48,8 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import components, cut, discard, mix64, texts
 
 TILE, BITS = 512, 2048
+#: N-grams of a part of a tile, about, and those multiplied in one go.
+CELLS, STEP = 4_000_000, 400_000
 #: Hashes of n-grams counted together, and rows whose counts are added up together.
 BUCKET, SHARE = 2_000_000, 100_000
 
@@ -195,9 +197,17 @@ def _room(percent: int):
 
 
 def _folded(s: np.ndarray) -> bytes:
-    """The parities of a set's columns folded to ``BITS``: two of these differ in no more
-    places than the sets do."""
-    return np.packbits(np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).tobytes()
+    """The parities of a set's columns folded to ``BITS``, or for a long row to the power of two
+    times that which is at least twice its length: two of these differ in no more places than
+    the sets do, and those of unlike sets in many more."""
+    bits = BITS << ((2 * len(s) - 1) // BITS).bit_length()
+    return np.packbits(np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def _same_width(folded: list[bytes]) -> np.ndarray:
+    """Folded rows, one a line, folded on to the narrowest of them."""
+    width = min(map(len, folded))
+    return np.array([np.bitwise_xor.reduce(np.frombuffer(f, np.uint8).reshape(-1, width), axis=0) for f in folded]).view(np.uint64)
 
 
 def candidate_rows(docs: DataFrame, own: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
@@ -286,10 +296,11 @@ def _possible(t: pa.Table, percent: int) -> np.ndarray:
     a, b = np.nonzero(np.triu(look, 1))
     if not len(a):
         return np.zeros(len(n), bool)
-    bits = np.frombuffer(b"".join(t.column("folded").to_pylist()), np.uint64).reshape(len(n), -1)
+    bits = _same_width(t.column("folded").to_pylist())
     ok = np.zeros(len(n), bool)
-    for k in range(0, len(a), 8192):
-        i, j = a[k: k + 8192], b[k: k + 8192]
+    pairs = max(1, 8192 * BITS // 64 // bits.shape[1])
+    for k in range(0, len(a), pairs):
+        i, j = a[k: k + pairs], b[k: k + pairs]
         differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
         # overlap is (n + m - difference) / 2 at most
         near = (100 + percent) * (n[i] + n[j] - differ) >= 2 * percent * (n[i] + n[j])
@@ -304,21 +315,25 @@ def _tile_links(t: pa.Table, percent: int) -> list[tuple[int, int]]:
     n, look = _apart(t)
     cls, comp = t.column("cls").to_numpy(), t.column("comp").to_numpy()
     sets = t.column("hashes").combine_chunks()
-    row = np.repeat(np.arange(len(n)), np.diff(sets.offsets.to_numpy()))
+    every_row = np.repeat(np.arange(len(n), dtype=np.int32), np.diff(sets.offsets.to_numpy()))
     cells = sets.flatten().to_numpy()
-    _, column, times = np.unique(cells, return_inverse=True, return_counts=True)
-    common = times[column] > 1
-    row, column = row[common], column[common]
-    _, column = np.unique(column, return_inverse=True)
-    width = int(column.max(initial=-1)) + 1
     overlap = np.zeros((len(n), len(n)), np.float32)
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    for a in range(0, width, 4096):  # a block of columns at a time
-        part = slice(*np.searchsorted(column, [a, a + 4096]))
-        x = np.zeros((len(n), min(4096, width - a)), np.float32)
-        x[row[part], column[part] - a] = 1
-        overlap += x @ x.T
+    steps = 1 + len(cells) // STEP
+    step = (cells.view(np.uint64) % np.uint64(steps)).astype(np.int32)
+    for k in range(steps):  # all cells of a column are in one step
+        now = step == k
+        _, column, times = np.unique(cells[now], return_inverse=True, return_counts=True)
+        common = times[column] > 1
+        row, column = every_row[now][common], column[common]
+        _, column = np.unique(column, return_inverse=True)
+        width = int(column.max(initial=-1)) + 1
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for a in range(0, width, 4096):  # a block of columns at a time
+            part = slice(*np.searchsorted(column, [a, a + 4096]))
+            x = np.zeros((len(n), min(4096, width - a)), np.float32)
+            x[row[part], column[part] - a] = 1
+            overlap += x @ x.T
     near = _near(n[:, None], n[None, :], overlap.astype(np.int64), percent) & look
     root: dict[int, int] = {}
 
@@ -344,12 +359,12 @@ def _size_class(percent: int):
 
 def _tiles(placed: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
     """(h, sa, sb, i, j, side, cls, n, comp), and the tables it reads: the rows of unfinished blocks, dealt out. The rows
-    of a block fall into size classes, each dealt by hash into parts of about ``TILE``; there
+    of a block fall into size classes, each dealt by hash into parts of about ``TILE`` rows, or ``CELLS`` n-grams if that is less; there
     is a tile for every two parts of size classes at most two apart, and for each part alone,
     unless all their rows are in one component."""
     sized = placed.withColumn("sc", _size_class(percent))
     groups = cut(sized.groupBy("h", "sc").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                              F.ceil(F.count("*") / TILE).cast("int").alias("parts")), "jaccard-groups")
+                                              F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / CELLS)).cast("int").alias("parts")), "jaccard-groups")
     a = groups.select("h", F.col("sc").alias("sa"), F.col("lo").alias("la"), F.col("hi").alias("ha"), F.col("parts").alias("pa"),
                       F.explode(F.expr("sequence(sc, sc + 2)")).alias("sb"))
     b = groups.select("h", F.col("sc").alias("sb"), F.col("lo").alias("lb"), F.col("hi").alias("hb"), F.col("parts").alias("pb"))

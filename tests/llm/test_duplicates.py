@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,6 +79,54 @@ def test_large_blocks_are_tiled(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == brute_components(enumerate(texts), 3, 70)
 
 
+def test_tiles_of_long_rows_stay_small(spark, monkeypatch):
+    # long rows: few of them in a tile, multiplied a part of the columns at a time
+    monkeypatch.setattr(jaccard, "CELLS", 200)
+    monkeypatch.setattr(jaccard, "STEP", 50)
+    seen, tiles = [], jaccard._tiles
+
+    def look(placed, percent):
+        out, read = tiles(placed, percent)
+        seen.append(out.groupBy("h", "sa", "sb", "i", "j").sum("n").agg({"sum(n)": "max"}).first()[0])
+        return out, read
+
+    monkeypatch.setattr(jaccard, "_tiles", look)
+    rng = random.Random(21)
+    base = [f"b{k}" for k in range(60)]
+    texts = [" ".join(rng.choice([w, w, w, w, w, w, w, "x"]) if rng.random() < 0.3 else w for w in base) for _ in range(80)]
+    got = jaccard.jaccard_components(docs_of(spark, texts), 3, 70)
+    assert sorted(map(tuple, got.collect())) == brute_components(enumerate(texts), 3, 70)
+    assert seen and seen[0] < 1500
+
+
+def test_a_product_of_long_rows_needs_little_memory():
+    rng = np.random.default_rng(1)
+    base = rng.integers(-2 ** 63, 2 ** 63 - 1, 9000)
+    t = pa.table({"cls": pa.array(range(200), pa.int64()), "n": pa.array([8000] * 200, pa.int64()), "comp": pa.array(range(200), pa.int64()),
+                  "side": pa.array([0] * 200, pa.int32()),
+                  "hashes": pa.array([rng.choice(base, 8000, replace=False) for _ in range(200)], pa.list_(pa.int64()))})
+    tracemalloc.start()
+    try:
+        found = jaccard._tile_links(t, 80)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 199 and peak < 60e6
+
+
+def test_long_rows_that_are_unlike_go_no_further():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2 ** 64 - 1, n, np.uint64)) for n in (6000, 6500, 7000, 8100, 8200, 8300)]
+    sets.append(np.unique(np.append(sets[3][:8000], rng.integers(0, 2 ** 64 - 1, 500, np.uint64))))
+    t = pa.table({"n": pa.array([len(s) for s in sets], pa.int64()), "comp": pa.array(range(len(sets)), pa.int64()),
+                  "side": pa.array([0] * len(sets), pa.int32()), "folded": pa.array([jaccard._folded(s) for s in sets], pa.binary())})
+    assert jaccard._possible(t, 80).tolist() == [False, False, False, True, False, False, True]
+    assert len({len(jaccard._folded(s)) for s in sets}) == 2
+    for x in sets:
+        for y in sets:
+            assert np.bitwise_count(np.bitwise_xor(*jaccard._same_width([jaccard._folded(x), jaccard._folded(y)]))).sum() <= len(np.setxor1d(x, y))
+
+
 def test_components_of_small_table(spark):
     rows = [(r.doc_id, r.text) for r in pandas_docs(small(spark)).itertuples()]
     got = jaccard.jaccard_components(small(spark))
