@@ -18,6 +18,8 @@ STAGED_COLUMNS = [
     "channel", "card_type", "card_last_four", "merchant_category", "merchant_city", "merchant_country",
     "is_international", "response_code", "auth_code", "_staged_at", "_batch_id", "_source_file",
 ]
+CLEAN_COLUMNS = [c for c in STAGED_COLUMNS if c not in ("_staged_at", "_batch_id", "_source_file")] + [
+    "_loaded_at", "_source_file", "card_number"]
 # Columns the staging table declares NOT NULL.
 STAGED_REQUIRED = ["transaction_id", "customer_id", "merchant_id", "amount", "currency", "transaction_timestamp",
                    "status", "channel"]
@@ -29,7 +31,9 @@ def recent(df: DataFrame, ts_col: str, as_of: dt.datetime, lookback: dt.timedelt
     return df.where((F.col(ts_col) >= ts_lit(as_of - lookback)) & (F.col(ts_col) <= ts_lit(as_of)))
 
 
-def clean_columns() -> list[Column]:
+def carried_columns() -> list[Column]:
+    """The cleaned columns, the card number as it came and no column that follows from others: what
+    :func:`latest_per_key` has to carry."""
     t = F.trim
     return [
         t("transaction_id").alias("transaction_id"),
@@ -41,38 +45,54 @@ def clean_columns() -> list[Column]:
         F.lower(t("status")).alias("status"),
         F.lower(t("channel")).alias("channel"),
         t("card_type").alias("card_type"),
-        last_four(F.col("card_number")).alias("card_last_four"),
         t("merchant_category").alias("merchant_category"),
         t("merchant_city").alias("merchant_city"),
         F.upper(t("merchant_country")).alias("merchant_country"),
-        international_flag(F.col("merchant_country")).alias("is_international"),
         t("response_code").alias("response_code"),
         t("auth_code").alias("auth_code"),
         F.col("_loaded_at"),
         F.col("_source_file"),
-        # never the number itself: check 15 counts the marks
-        F.when(unmasked_card(F.col("card_number")), F.concat(F.lit(C.UNMASKED_MARK), mask_card(F.col("card_number"))))
-        .otherwise(F.col("card_number")).alias("card_number"),
+        F.col("card_number"),
     ]
 
 
+def with_derived(carried: DataFrame) -> DataFrame:
+    """The cleaned rows: carried columns and those that follow from them."""
+    derived = {
+        "card_last_four": last_four(F.col("card_number")),
+        "is_international": international_flag(F.col("merchant_country")),
+        # never the number itself: check 15 counts the marks
+        "card_number": F.when(unmasked_card(F.col("card_number")), F.concat(F.lit(C.UNMASKED_MARK), mask_card(F.col("card_number"))))
+        .otherwise(F.col("card_number")),
+    }
+    return carried.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in CLEAN_COLUMNS])
+
+
 def latest_per_key(df: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
     """Keep the first row per key under ``order`` (a total order: add a tie-break).
 
     ``row_number() == 1`` plans as a WindowGroupLimit on both sides of the shuffle, so
     each map task sends at most one row per key: a key holding a third of all rows
     costs one row per task in the exchange, not a third of the data in one task.
+
+    The rows are sorted by a hash of the key before the key itself: a sort compares eight bytes of its
+    first column at once, and ids begin with the same letters, so that it would go to the
+    texts of the rows for almost every comparison.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(F.hash(*[F.col(k) for k in keys]), *keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def clean_rows(raw: DataFrame, as_of: dt.datetime, lookback: dt.timedelta) -> DataFrame:
-    """Recent raw rows with id and amount text, cleaned, every version kept."""
+def carried_rows(raw: DataFrame, as_of: dt.datetime, lookback: dt.timedelta) -> DataFrame:
     src = recent(null_markers(raw), "_loaded_at", as_of, lookback)
     src = src.where(F.col("transaction_id").isNotNull() & F.col("amount").isNotNull())
-    return src.select(*clean_columns())
+    return src.select(*carried_columns())
+
+
+def clean_rows(raw: DataFrame, as_of: dt.datetime, lookback: dt.timedelta) -> DataFrame:
+    """Recent raw rows with id and amount text, cleaned, every version kept."""
+    return with_derived(carried_rows(raw, as_of, lookback))
 
 
 def latest_valid(raw: DataFrame, as_of: dt.datetime, lookback: dt.timedelta) -> tuple[DataFrame, DataFrame]:
@@ -93,11 +113,13 @@ def clean_transactions(raw: DataFrame, as_of: dt.datetime, lookback: dt.timedelt
     The not-null test runs on the raw text before the cast; rows whose amount does not
     parse keep a null amount here and are split off by :func:`stage_transactions`.
     """
-    cleaned = clean_rows(raw, as_of, lookback)
+    carried = carried_rows(raw, as_of, lookback)
     # tie-break after load time: source file, then the raw amount (total order)
-    return latest_per_key(cleaned, "transaction_id",
-                          [F.col("_loaded_at").desc(), F.col("_source_file").desc_nulls_last(),
-                           F.col("amount").desc_nulls_last(), F.col("transaction_timestamp").desc_nulls_last()])
+    latest = latest_per_key(carried, "transaction_id",
+                            [F.col("_loaded_at").desc(), F.col("_source_file").desc_nulls_last(),
+                             F.col("amount").desc_nulls_last(), F.col("transaction_timestamp").desc_nulls_last()])
+    # derived for the rows kept only, and not sorted and shuffled with them
+    return with_derived(latest)
 
 
 def _reject_reason() -> Column:
@@ -110,7 +132,8 @@ def stage_transactions(clean: DataFrame, as_of: dt.datetime, keep_load_time: boo
     so persisting ``clean`` lets the two writes share one scan. ``keep_load_time`` keeps
     ``_loaded_at`` on the staged rows, as :func:`upsert_staging` needs it."""
     with_reason = clean.withColumn("_reject_reason", _reject_reason())
-    staged = (with_reason.where(F.col("_reject_reason").isNull())
+    # no reason: plain tests that reach the scan
+    staged = (clean.where(" AND ".join(f"{c} IS NOT NULL" for c in STAGED_REQUIRED))
               .withColumn("_staged_at", ts_lit(as_of))
               .withColumn("_batch_id", batch_id(as_of))
               .select(*STAGED_COLUMNS, *(["_loaded_at"] if keep_load_time else [])))
