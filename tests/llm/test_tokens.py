@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -47,6 +48,29 @@ def test_codes_round_trip(values):
     assert token_store.decode_values(control, data, len(values)).tolist() == values
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2 ** 32 - 1)), max_size=9), max_size=9))
+def test_rows_are_coded_together_as_one_by_one(rows):
+    n = np.array([len(r) for r in rows], np.int64)
+    values = np.array([x for r in rows for x in r], "<u4")
+    control, data, groups, size = token_store.encode_rows(values, n)
+    alone = [token_store.encode_values(np.array(r, "<u4")) for r in rows]
+    assert (control.tobytes(), data.tobytes()) == (b"".join(c for c, _ in alone), b"".join(d for _, d in alone))
+    assert (groups.tolist(), size.tolist()) == ([len(c) for c, _ in alone], [len(d) for _, d in alone])
+    assert token_store.decode_rows(control, data, n).tolist() == values.tolist()
+
+
+@pytest.mark.parametrize("step", [1, 7, 1 << 16])
+def test_steps_lose_no_row(monkeypatch, step):
+    monkeypatch.setattr(token_store, "STEP", step)
+    held = pa.array([b"", b"ab", b"abcdef", b"", b"cd", b"efgh", b""], pa.binary())
+    b = pa.RecordBatch.from_arrays([held], ["ids"]).slice(1)
+    got = [x for c, n in token_store._steps(b, token_store._bytes_of(b.column("ids"))[1] // 2)
+           for x in token_store._binary(token_store._bytes_of(c.column("ids"))[0], 2 * n).to_pylist()]
+    assert got == held.to_pylist()[1:]
+    assert list(token_store._steps(b.slice(0, 0), np.zeros(0, np.int64))) == []
+
+
 def expected(tok, docs):
     rows = pandas_docs(docs).sort_values("doc_id", kind="stable", na_position="first")
     ids = [np.append(np.frombuffer(x, "<u2").astype("<u4"), np.uint32(1)) for x in whole(tok, rows.text.tolist())]
