@@ -80,8 +80,9 @@ def build_firsts(fact: DataFrame, slide: dt.timedelta) -> DataFrame:
     """(pane, on_edge, previous pane, ids). Repeats within a slice are merged before the shuffle."""
     held = (with_slice(fact, slide).where(F.col("transaction_id").isNotNull())
             .groupBy("transaction_id", "pane", "on_edge").agg(F.lit(1).alias("one")))
-    # the edge of a slice comes before its inside
-    before = F.lag("pane").over(Window.partitionBy("transaction_id").orderBy("pane", F.col("on_edge").desc()))
+    # the edge of a slice comes before its inside; the hash of the id is sorted first, as ids begin with the
+    # same letters (:func:`ledgerflow.operators.staging.latest_per_key`)
+    before = F.lag("pane").over(Window.partitionBy(F.hash("transaction_id"), "transaction_id").orderBy("pane", F.col("on_edge").desc()))
     return held.select("pane", "on_edge", before.alias("previous")).groupBy("pane", "on_edge", "previous").agg(F.count(F.lit(1)).alias("ids"))
 
 
