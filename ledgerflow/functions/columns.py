@@ -130,15 +130,21 @@ def hash_key(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast(T.LongType())
 
 
+def _card_digits(card: Column) -> Column:
+    """The text without '-' and ' '; ``replace`` works on its bytes, ``translate`` makes a string of every character."""
+    text = card.cast(T.StringType())
+    return F.replace(F.replace(text, F.lit("-"), F.lit("")), F.lit(" "), F.lit(""))
+
+
 def unmasked_card(card: Column) -> Column:
     """True for 13 or more digits and nothing else but spaces and hyphens."""
-    digits = F.translate(card.cast(T.StringType()), "- ", "")
+    digits = _card_digits(card)
     return F.coalesce(digits.rlike("^[0-9]{13,}$"), F.lit(False))
 
 
 def mask_card(card: Column) -> Column:
     """Strip '-' and ' ', keep '****' + last four, or '****' when shorter."""
-    digits = F.translate(card.cast(T.StringType()), "- ", "")
+    digits = _card_digits(card)
     return (F.when(card.isNull(), F.lit(None).cast(T.StringType()))
             .when(F.length(digits) >= 4, F.concat(F.lit("****"), F.right(digits, F.lit(4))))
             .otherwise(F.lit("****")))

@@ -36,6 +36,10 @@ METRIC_WINDOW = dt.timedelta(days=A.TXN_METRIC_LOOKBACK_DAYS)
 NO_DICTIONARY = {f"parquet.enable.dictionary#{c}": "false"
                  for c in ("transaction_id", "customer_id", "amount", "auth_code", "_loaded_at")}
 
+# Layers are mostly codes and ids that share their beginnings: zstd stores them in a quarter to a third
+# fewer bytes than the default, in the same time.
+LAYER_COMPRESSION = "zstd"
+
 _LOCK = threading.RLock()
 _SIGNATURES: dict = {}
 _CODE_VERSION: str | None = None
@@ -112,7 +116,7 @@ class Layers:
                 # half-written layer, and of two concurrent builders one wins
                 tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
                 (df.write.mode("overwrite").option("parquet.block.size", LAYER_ROW_GROUP_BYTES).options(**NO_DICTIONARY)
-                 .parquet(tmp))
+                 .option("compression", LAYER_COMPRESSION).parquet(tmp))
                 _publish(self.spark, tmp, path)
         return self.spark.read.parquet(path)
 

@@ -87,7 +87,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(F.col("s_nationkey") % 9, TXN_COUNTRY_BY_NATION9).alias("merchant_country"),
         F.lit("00").alias("response_code"),
         F.concat(F.lit("AUTH"), _s(F.lit(100000) + order)).alias("auth_code"),
-        (F.col("l_shipdate") + F.make_dt_interval(secs=part.cast(T.DecimalType(18, 6)))).alias("_loaded_at"),
+        (F.col("l_shipdate") + part * F.expr("INTERVAL '1' SECOND")).alias("_loaded_at"),
         F.concat(F.lit("transactions_"), F.date_format("l_shipdate", "yyyyMM"), F.lit(".csv")).alias("_source_file"),
     )
 

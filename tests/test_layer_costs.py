@@ -8,10 +8,13 @@ import uuid
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.columns import mask_card, unmasked_card
 from ledgerflow.functions.keys import dense_keys
+from ledgerflow.operators import panes as PN
 from ledgerflow.operators import staging as ST
 from ledgerflow.plans.layers import Layers
 from ledgerflow.session import HASHED_JOIN_PARTITION_BYTES, scratch_path
+from ledgerflow.sources import adapters as A
 from ledgerflow.sources import landing as L
 
 from conftest import SF_SMALL
@@ -75,6 +78,51 @@ def test_columns_of_single_values_are_written_without_a_dictionary(spark):
     assert not with_dictionary["transaction_id"] and not with_dictionary["auth_code"] and with_dictionary["currency"]
 
 
+def test_layers_are_stored_with_zstd(spark):
+    p = Layers(spark, SF_SMALL, run_id=f"costs-{uuid.uuid4().hex[:8]}")
+    p.clean()
+    for name in ("raw", "clean"):
+        group = pq.ParquetFile(glob.glob(os.path.join(p._root(), name, "part-*"))[0]).metadata.row_group(0)
+        assert {group.column(i).compression for i in range(group.num_columns)} == {"ZSTD"}
+
+
+def test_card_digits_are_taken_without_a_string_a_character(spark):
+    cards = ["4111-1111-1111-1234", " 4111 1111 1111 9999 ", "-- 12", "", None, "4111\t111111111", "é-123 4", "----", "1234567890123"]
+    df = spark.createDataFrame([(c,) for c in cards], "card string")
+    old = F.translate("card", "- ", "")
+    masked = (F.when(F.col("card").isNull(), F.lit(None).cast("string"))
+              .when(F.length(old) >= 4, F.concat(F.lit("****"), F.right(old, F.lit(4)))).otherwise(F.lit("****")))
+    out = df.select(unmasked_card(F.col("card")).alias("open"), mask_card(F.col("card")).alias("masked"))
+    assert "translate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.collect() == df.select(F.coalesce(old.rlike("^[0-9]{13,}$"), F.lit(False)).alias("open"), masked.alias("masked")).collect()
+
+
+def test_load_times_are_added_without_decimals(spark, tmp_path):
+    day = dt.datetime(1996, 2, 28, 23, 59)
+    lines = [(1, p, 1, k, 10.5, "N", "O", d) for k, (p, d) in enumerate([(0, day), (86399, day), (200000, day), (None, day), (5, None)])]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, "
+                          "l_linestatus string, l_shipdate timestamp_ntz").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 1)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, 1)], "s_suppkey long, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    raw = A.raw_transactions(spark, str(tmp_path))
+    assert raw.schema["_loaded_at"].dataType.simpleString() == "timestamp_ntz"
+    assert "make_dt_interval" not in raw._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r._loaded_at for r in raw.collect() if r._loaded_at), key=str)
+    assert got == [day, day + dt.timedelta(seconds=86399), day + dt.timedelta(seconds=200000)] and raw.count() == 5
+
+
+def test_ids_of_slices_are_sorted_by_their_hash(spark):
+    at = [dt.datetime(2024, 1, d) for d in (1, 1, 2, 3, 2)]
+    fact = spark.createDataFrame(list(zip(["T1", "T1", "T1", "T2", None], at)), "transaction_id string, processed_at timestamp_ntz")
+    out = PN.build_firsts(fact, dt.timedelta(days=1))
+    sorts = [x for x in out._jdf.queryExecution().sparkPlan().toString().splitlines() if "Window [" in x]
+    assert sorts and all("_w" in x.split("windowspecdefinition(")[1].split(",")[0] for x in sorts)  # the hash, an attribute of its own
+    day = 86_400_000_000
+    first = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    assert sorted(tuple(r) for r in out.select("pane", "ids", F.coalesce("previous", F.lit(0))).collect()) == [
+        (first, 1, 0), (first + day, 1, first), (first + 2 * day, 1, 0)]
+
+
 def test_stored_rows_are_numbered_without_a_copy(spark):
     base = scratch_path(spark, f"numbered-{uuid.uuid4().hex[:8]}")
     spark.range(0, 1000, 1, 5).write.parquet(base)
