@@ -17,6 +17,8 @@ from ledgerflow.plans.layers import Layers
 from ledgerflow.session import scratch_path, store
 from ledgerflow.sources import adapters as A
 from ledgerflow.sources import partitioned as PT
+from ledgerflow.streaming import ingest as SI
+from test_partitioned import at, staged_rows
 
 
 @pytest.fixture
@@ -72,6 +74,25 @@ def test_rows_of_a_key_are_in_one_slice(spark, monkeypatch):
     assert os.listdir(os.path.join(root, "s")) == []
 
 
+def test_a_partition_merge_is_done_in_slices_and_moved(spark, small_slices):
+    root = folder(spark, "merge")
+    table, scratch = os.path.join(root, "t"), os.path.join(root, "s")
+    target = staged_rows(spark, [(f"T{k}", at(k % 5), 1, at(20), at(20)) for k in range(100)]).drop("_loaded_at")
+    PT.write_partitioned(target.withColumn("txn_day", SI.staging_day("day")), table, "txn_day", "transaction_id")
+    # T0 .. T29 move to other days, day 3 loses all its rows, T40 is too old, N1 is new
+    moved = [(f"T{k}", at(50), 2, at(30), at(31)) for k in range(100) if k < 30 or k % 5 == 3]
+    batch = staged_rows(spark, [*moved, ("T40", at(0), 9, at(1), at(31)), ("N1", at(51), 3, at(30), at(31))])
+    want = ST.upsert_staging(target, batch).select(*ST.STAGED_COLUMNS)
+    days = SI.merge_staging_table(spark, table, batch, scratch)
+    assert len(small_slices) > 3 and sum(small_slices) == 100 + batch.count()
+    got = spark.read.parquet(table)
+    assert got.select(*ST.STAGED_COLUMNS).exceptAll(want).count() == 0 and got.count() == want.count() == 101
+    assert got.where(F.col("txn_day") != F.to_date("transaction_timestamp")).count() == 0
+    left = sorted(str(d) for d in days if d != at(3).date())
+    assert PT.partition_values(spark, table, "txn_day") == left == PT.partition_values(spark, PT.filters_path(table), "txn_day")
+    assert os.listdir(scratch) == [] and sorted(os.listdir(root)) == ["s", "t", "t_filters"]
+
+
 def test_fact_upsert_in_slices_and_groups_of_months(spark, small_slices, monkeypatch):
     p, root = QM.P(spark, SF_SMALL), folder(spark, "fact")
     table, feed = os.path.join(root, "fact"), os.path.join(root, "feed")
