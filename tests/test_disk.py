@@ -1,5 +1,6 @@
 """What upserts leave on disk while they run: shuffle files, copies, landed text."""
 
+import datetime as dt
 import glob
 import os
 import time
@@ -93,6 +94,19 @@ def test_a_partition_merge_is_done_in_slices_and_moved(spark, small_slices):
     assert os.listdir(scratch) == [] and sorted(os.listdir(root)) == ["s", "t", "t_filters"]
 
 
+def test_stream_upsert_in_slices_keeps_the_newest(spark, small_slices):
+    root = folder(spark, "newest")
+    table, scratch = os.path.join(root, "t"), os.path.join(root, "s")
+    first = staged_rows(spark, [(f"T{k}", at(k % 3), k, at(10), at(10)) for k in range(60)])
+    SI.upsert_staging_table(spark, table, first, scratch)
+    SI.upsert_staging_table(spark, table, staged_rows(spark, [(f"T{k}", at(k % 4), 500, at(9 + k % 3), at(20)) for k in range(30, 90)]), scratch)
+    got = {r.transaction_id: (r.transaction_timestamp, int(r.amount)) for r in spark.read.parquet(table).collect()}
+    new = {f"T{k}": (at(k % 4), 500) for k in range(30, 90) if k >= 60 or k % 3 == 2}
+    tied = {f"T{k}": max((k, at(k % 3)), (500, at(k % 4)))[::-1] for k in range(30, 60) if k % 3 == 1}
+    assert got == {**{f"T{k}": (at(k % 3), k) for k in range(60)}, **new, **tied}
+    assert len(small_slices) > 6 and spark.read.parquet(table).count() == 90
+
+
 def test_fact_upsert_in_slices_and_groups_of_months(spark, small_slices, monkeypatch):
     p, root = QM.P(spark, SF_SMALL), folder(spark, "fact")
     table, feed = os.path.join(root, "fact"), os.path.join(root, "feed")
@@ -147,3 +161,16 @@ def test_staging_of_the_second_run_is_stored_in_slices(spark, monkeypatch):
     assert not os.path.exists(os.path.join(p._root(), "staged_run2.slices")) or os.listdir(os.path.join(p._root(), "staged_run2.slices")) == []
 
 
+def test_deliveries_can_land_compressed(spark):
+    src, n = folder(spark, "gz"), 50
+    typed = [f"T{k}" for k in range(n)]
+    raw = spark.createDataFrame([(i, dt.datetime(2024, 1, 2)) for i in typed], "transaction_id string, _loaded_at timestamp_ntz").select(
+        "transaction_id", *[F.lit({"amount": "5", "transaction_timestamp": "2024-01-01"}.get(c, "x y")).alias(c)
+                            for c in SI.L.RAW_TXN_FIELDS[1:]], "_loaded_at")
+    SI.land_transactions_csv(raw, src, compression="gzip")
+    assert all(f.endswith(".csv.gz") for f in os.listdir(src) if not f.startswith("."))
+    table, scratch = os.path.join(src + "-out", "t"), os.path.join(src + "-out", "s")
+    SI.stage_landing_stream(spark, src, table, os.path.join(src + "-out", "ck"), scratch, os.path.join(src + "-out", "rejects"),
+                            dt.timedelta(days=30), as_of_of_batch="data", file_glob=f"{SI.L.TXN_CSV_GLOB}.gz")
+    assert sorted(r.transaction_id for r in spark.read.parquet(table).collect()) == sorted(typed)
+    assert os.listdir(scratch) == [] and not spark.sparkContext._jsc.getPersistentRDDs()
